@@ -1,0 +1,33 @@
+"""Named-table scan with a declared schema.
+
+Sheets of the original workbooks are landed as Parquet or CSV files (one
+folder per sheet); Spark reads them in parallel splits, with the schema given
+rather than inferred so the scan needs no extra pass over the data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from civic_indicators.sources.headers import with_unique_headers
+
+
+def scan(spark: SparkSession, path: str, fmt: str = "parquet",
+         schema: StructType | str | None = None, **options) -> DataFrame:
+    """Read one landed sheet. CSV defaults to a header row; repeated headers
+    get ``.1`` suffixes like a sheet reader gives them."""
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        options.setdefault("header", "true")
+        options.setdefault("multiLine", "true")
+        options.setdefault("encoding", "UTF-8")
+    if schema is not None:
+        reader = reader.schema(schema)
+    df = reader.options(**options).load(path)
+    return with_unique_headers(df)
+
+
+def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A driver table ``<root>/<name>.parquet``."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
