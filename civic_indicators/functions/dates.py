@@ -16,20 +16,17 @@ from civic_indicators.functions.cols import as_col
 from civic_indicators.functions.patterns import EXCEL_MAX_SERIAL, EXCEL_ORIGIN
 from civic_indicators.functions.text import strip
 
-# Day-first guesses tried after the strict dd-mm-yyyy form, in order. The
-# month-first form only catches what cannot be day-first (03/25/2025).
+# Day-first guesses tried after the strict dd-mm-yyyy form, in order, on the
+# text with '/' and '.' separators turned into '-'. The month-first form only
+# catches what cannot be day-first (03/25/2025).
 _TIME = "[ H:mm[:ss]]"
 DAYFIRST_FORMATS = (
-    "d/M/yyyy" + _TIME,
     "d-M-yyyy" + _TIME,
-    "d.M.yyyy" + _TIME,
     "yyyy-M-d" + _TIME,
     "yyyy-M-d'T'H:mm[:ss]",
-    "yyyy/M/d" + _TIME,
-    "M/d/yyyy" + _TIME,
     "M-d-yyyy" + _TIME,
 )
-ISO_DAYFIRST_FORMATS = ("yyyy-d-M" + _TIME, "yyyy/d/M" + _TIME)
+ISO_DAYFIRST_FORMATS = ("yyyy-d-M" + _TIME,)
 
 
 def to_ts(c, fmt: str | None = None) -> Column:
@@ -68,7 +65,8 @@ def parse_mixed_date(c, iso_dayfirst: bool = False, trimmed: bool = False) -> Co
     if iso_dayfirst:
         formats = [f for f in formats if not f.startswith("yyyy")]
         formats = list(ISO_DAYFIRST_FORMATS) + formats
-    guesses = [F.try_to_timestamp(s, F.lit(f)) for f in formats]
+    dashed = F.translate(s, "/.", "--")
+    guesses = [F.try_to_timestamp(dashed, F.lit(f)) for f in formats]
     return (F.when(s.isNull() | (s == ""), F.lit(None).cast("timestamp"))
             .when(s.rlike("^[0-9]+$"), excel_serial(s))
             .otherwise(F.coalesce(strict, *guesses)))
