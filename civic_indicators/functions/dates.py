@@ -16,17 +16,22 @@ from civic_indicators.functions.cols import as_col
 from civic_indicators.functions.patterns import EXCEL_MAX_SERIAL, EXCEL_ORIGIN
 from civic_indicators.functions.text import strip
 
-# Day-first guesses tried after the strict dd-mm-yyyy form, in order, on the
-# text with '/' and '.' separators turned into '-'. The month-first form only
-# catches what cannot be day-first (03/25/2025).
+# Day-first guesses tried after the strict dd-mm-yyyy form, on the text with
+# '/' and '.' separators turned into '-'. Each format runs only on text of its
+# own shape (a cheap regex test): a failed parse costs an exception inside the
+# JVM, so trying every format on every cell would dominate the flow's time.
+# The month-first form only catches what cannot be day-first (03/25/2025).
 _TIME = "[ H:mm[:ss]]"
+_TIME_RE = "( [0-9]{1,2}:[0-9]{2}(:[0-9]{2})?)?$"
+_DMY_RE = "^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}"
+_YMD_RE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 DAYFIRST_FORMATS = (
-    "d-M-yyyy" + _TIME,
-    "yyyy-M-d" + _TIME,
-    "yyyy-M-d'T'H:mm[:ss]",
-    "M-d-yyyy" + _TIME,
+    (_DMY_RE + _TIME_RE, "d-M-yyyy" + _TIME),
+    (_YMD_RE + _TIME_RE, "yyyy-M-d" + _TIME),
+    (_YMD_RE + "T[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?$", "yyyy-M-d'T'H:mm[:ss]"),
+    (_DMY_RE + _TIME_RE, "M-d-yyyy" + _TIME),
 )
-ISO_DAYFIRST_FORMATS = ("yyyy-d-M" + _TIME,)
+ISO_DAYFIRST_FORMATS = ((_YMD_RE + _TIME_RE, "yyyy-d-M" + _TIME),)
 
 
 def to_ts(c, fmt: str | None = None) -> Column:
@@ -60,13 +65,13 @@ def parse_mixed_date(c, iso_dayfirst: bool = False, trimmed: bool = False) -> Co
     s = as_col(c).cast("string")
     if not trimmed:
         s = strip(s)
-    strict = F.try_to_timestamp(s, F.lit("d-M-yyyy"))
+    strict = F.when(s.rlike(_DMY_RE + "$"), F.try_to_timestamp(s, F.lit("d-M-yyyy")))
     formats = list(DAYFIRST_FORMATS)
     if iso_dayfirst:
-        formats = [f for f in formats if not f.startswith("yyyy")]
+        formats = [f for f in formats if not f[1].startswith("yyyy")]
         formats = list(ISO_DAYFIRST_FORMATS) + formats
     dashed = F.translate(s, "/.", "--")
-    guesses = [F.try_to_timestamp(dashed, F.lit(f)) for f in formats]
+    guesses = [F.when(dashed.rlike(shape), F.try_to_timestamp(dashed, F.lit(f))) for shape, f in formats]
     return (F.when(s.isNull() | (s == ""), F.lit(None).cast("timestamp"))
             .when(s.rlike("^[0-9]+$"), excel_serial(s))
             .otherwise(F.coalesce(strict, *guesses)))

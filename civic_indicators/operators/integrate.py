@@ -44,10 +44,16 @@ def person_key(c) -> Column:
 
 
 def first_values(df: DataFrame, key: str, cols: Sequence[str], order: Sequence[str] | str) -> DataFrame:
-    """A1: first non-null value of each column per key, in ``order``; null keys dropped."""
-    o = order_key(order)
+    """A1: first non-null value of each column per key, in ``order``; null keys dropped.
+
+    The order key is projected once; each column keeps the value whose
+    (non-null) row has the smallest order key.
+    """
+    rows = df.filter(col(key).isNotNull()).select(col(key).alias(key), order_key(order).alias(_ORD),
+                                                  *[col(c) for c in cols])
+    o = F.col(_ORD)
     aggs = [F.min_by(col(c), F.when(col(c).isNotNull(), o)).alias(c) for c in cols]
-    return df.filter(col(key).isNotNull()).groupBy(col(key).alias(key)).agg(*aggs)
+    return rows.groupBy(key).agg(*aggs)
 
 
 def distinct_concat(df: DataFrame, key: str, cols: Sequence[str], order: Sequence[str] | str,

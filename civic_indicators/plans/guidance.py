@@ -91,22 +91,31 @@ def workshops_per_person(workshops: DataFrame, order: Sequence[str],
     return per_key(w, KEY, order, first=first, concat=concat)
 
 
-def registrations_per_person(registrations: DataFrame, order: Sequence[str]) -> DataFrame:
+def _only(cols: list[str], keep: Sequence[str] | None) -> list[str]:
+    return cols if keep is None else [c for c in cols if c in set(keep)]
+
+
+def registrations_per_person(registrations: DataFrame, order: Sequence[str],
+                             columns: Sequence[str] | None = None) -> DataFrame:
+    """A1/A2 over the register: first value per column, programme and
+    conditions joined. ``columns`` limits the output to the ones needed."""
     r = rename_by_pattern(registrations, REG_KEY_HEADER, KEY)
     r = replace_columns(r, {KEY: person_key(KEY)})
     concat = [REG_PROGRAMME, REG_CONDITION]
     first = [c for c in r.columns if c != KEY and c not in concat]
-    return per_key(r, KEY, order, first=first, concat=concat)
+    return per_key(r, KEY, order, first=_only(first, columns), concat=_only(concat, columns))
 
 
-def counsellors_per_person(log: DataFrame, order: Sequence[str]) -> DataFrame:
+def counsellors_per_person(log: DataFrame, order: Sequence[str],
+                           columns: Sequence[str] | None = None) -> DataFrame:
+    """A1/A2 over the counsellor log (second NUMERO header is the person)."""
     g = rename_by_pattern(with_unique_headers(log), LOG_KEY_HEADER, KEY)
     g = drop_columns(g, LOG_DROP)
     g = lower_strings(g)
     g = replace_columns(g, {KEY: person_key(KEY)})
     concat = [LOG_POPULATION, LOG_WORKSHOP]
     first = [c for c in g.columns if c != KEY and c not in concat]
-    return per_key(g, KEY, order, first=first, concat=concat)
+    return per_key(g, KEY, order, first=_only(first, columns), concat=_only(concat, columns))
 
 
 def guidance(sessions: DataFrame, workshops: DataFrame, registrations: DataFrame,
@@ -125,8 +134,8 @@ def guidance(sessions: DataFrame, workshops: DataFrame, registrations: DataFrame
         raise ValueError(f"workshops sheet lacks the sessions headers {sorted(missing)}")
     w = workshops_per_person(workshops, workshop_order, shared)
     people = outer_merge(s, w, KEY)
-    reg = registrations_per_person(registrations, registration_order)
-    log = counsellors_per_person(counsellors, counsellor_order)
+    reg = registrations_per_person(registrations, registration_order, [REG_PROGRAMME, REG_CONDITION])
+    log = counsellors_per_person(counsellors, counsellor_order, [LOG_AGE, LOG_POPULATION])
     people = enrich(people, reg, KEY, [REG_PROGRAMME, REG_CONDITION])
     people = enrich(people, log, KEY, [LOG_AGE, LOG_POPULATION])
     people = replace_columns(people, {REG_CONDITION: concat_present(REG_CONDITION, LOG_POPULATION)})

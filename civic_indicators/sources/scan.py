@@ -13,8 +13,30 @@ from pyspark.sql.types import StructType
 from civic_indicators.sources.headers import with_unique_headers
 
 
+SPREAD_MIN_BYTES = 1 << 20  # on-disk (compressed) bytes
+
+
+def spread(df: DataFrame, min_partitions: int | None = None,
+           min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Round-robin a scan over the cluster when its files give fewer splits
+    than there are cores (one landed sheet, one unsplittable file, one row
+    group) and it holds enough bytes for the per-row work to matter.
+
+    A large input already has one split per block, so this is a no-op there
+    and adds no shuffle at scale.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df._jdf.rdd().getNumPartitions() >= want:
+        return df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) < min_bytes:
+        return df
+    return df.repartition(want)
+
+
 def scan(spark: SparkSession, path: str, fmt: str = "parquet",
-         schema: StructType | str | None = None, **options) -> DataFrame:
+         schema: StructType | str | None = None, spread_rows: bool = True, **options) -> DataFrame:
     """Read one landed sheet. CSV defaults to a header row; repeated headers
     get ``.1`` suffixes like a sheet reader gives them."""
     reader = spark.read.format(fmt)
@@ -25,9 +47,11 @@ def scan(spark: SparkSession, path: str, fmt: str = "parquet",
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.options(**options).load(path)
-    return with_unique_headers(df)
+    df = with_unique_headers(df)
+    return spread(df) if spread_rows else df
 
 
-def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+def table(spark: SparkSession, root: str, name: str, spread_rows: bool = True) -> DataFrame:
     """A driver table ``<root>/<name>.parquet``."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
