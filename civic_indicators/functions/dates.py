@@ -121,7 +121,9 @@ def period(c, year: int, month: int | None = None) -> Column:
     """A calendar month (or year) as a half-open range on the raw column.
 
     Unlike ``month(c) = m`` this is a plain comparison, so Parquet row groups
-    outside the range are skipped (PushedFilters).
+    outside the range are skipped (PushedFilters). It is null for a null
+    date: a filter or a conditional count treats that as "not in"; wrap it
+    in ``coalesce(..., False)`` before negating.
     """
     if month is None:
         start, end = _dt.date(year, 1, 1), _dt.date(year + 1, 1, 1)
@@ -129,4 +131,4 @@ def period(c, year: int, month: int | None = None) -> Column:
         start = _dt.date(year, month, 1)
         end = _dt.date(year + (month == 12), month % 12 + 1, 1)
     c = as_col(c)
-    return F.coalesce((c >= F.lit(start)) & (c < F.lit(end)), F.lit(False))
+    return (c >= F.lit(start)) & (c < F.lit(end))

@@ -143,7 +143,7 @@ def distinct_with_null(c) -> Column:
 def distinct_values(df: DataFrame, column: str, cohort: Column | None = None) -> DataFrame:
     """Distinct values (null included as a value) of one column."""
     if cohort is not None:
-        df = df.filter(_true(cohort))
+        df = df.filter(cohort)  # null -> dropped; stays pushable
     return df.select(col(column)).distinct()
 
 
@@ -155,7 +155,7 @@ def sum_where(c, cohort: Column) -> Column:
 def sum_by(df: DataFrame, key: str, c: str, cohort: Column | None = None, name: str = "total") -> DataFrame:
     """A10: per key (null keys dropped) sum of a column within the cohort."""
     if cohort is not None:
-        df = df.filter(_true(cohort))
+        df = df.filter(cohort)  # null -> dropped; stays pushable
     return (df.filter(col(key).isNotNull()).groupBy(col(key).alias(key))
               .agg(F.coalesce(F.sum(col(c)), F.lit(0)).alias(name)))
 
@@ -164,7 +164,7 @@ def value_counts(df: DataFrame, column: str, cohort: Column | None = None, name:
                  sort: bool = True) -> DataFrame:
     """Frequency of each non-null value, most frequent first (ties by value)."""
     if cohort is not None:
-        df = df.filter(_true(cohort))
+        df = df.filter(cohort)  # null -> dropped; stays pushable
     out = df.filter(col(column).isNotNull()).groupBy(col(column).alias(column)).agg(F.count(F.lit(1)).alias(name))
     return out.orderBy(F.desc(name), F.asc(column)) if sort else out
 
@@ -184,7 +184,7 @@ def pivot_counts(df: DataFrame, rows: Sequence[str], column: str, labels: Sequen
     """Counts of (rows...) x column, with a given label list (no extra job
     to discover labels); rows null in any key are dropped, empty cells are 0."""
     if cohort is not None:
-        df = df.filter(_true(cohort))
+        df = df.filter(cohort)  # null -> dropped; stays pushable
     keys = [*rows, column]
     df = df.filter(_not_null_all(keys))
     out = df.groupBy(*[col(r).alias(r) for r in rows]).pivot(column, list(labels)).count()

@@ -1,8 +1,10 @@
-"""Named cohort predicates (P15). Each returns a null-safe boolean Column.
+"""Named cohort predicates.
 
-Where a year is known the month is expressed as a date range on the raw
-column (``period``), which Parquet can use to skip row groups; cohorts
-without a year keep ``month(col) = m``.
+Predicates are plain comparisons so a filter on them reaches the Parquet
+scan (PushedFilters); they are null where an input is null, which filters
+and the conditional counts of a panel treat as "not in the cohort". Where a
+year is known the month is a date range on the raw column (``period``);
+cohorts without a year keep ``month(col) = m``.
 """
 
 from __future__ import annotations
@@ -14,19 +16,15 @@ from civic_indicators.functions.cols import as_col, col
 from civic_indicators.functions.dates import period
 
 
-def _t(c: Column) -> Column:
-    return F.coalesce(c, F.lit(False))
-
-
 def in_month(date_col, month: int, year: int | None = None) -> Column:
     """Month of a date column, optionally of a given year (Q10: year optional)."""
     if year is not None:
         return period(date_col, year, month)
-    return _t(F.month(as_col(date_col)) == F.lit(month))
+    return F.month(as_col(date_col)) == F.lit(month)
 
 
 def equals(column: str, value) -> Column:
-    return _t(col(column) == F.lit(value))
+    return col(column) == F.lit(value)
 
 
 def month_number_is(column: str, month: int, year_column: str | None = None, year: int | None = None) -> Column:
