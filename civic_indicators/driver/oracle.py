@@ -477,6 +477,54 @@ def sql_guidance_panels() -> str:
     return f"WITH {GUIDE_ROWS}, wide AS (SELECT {', '.join(aggs)} FROM gp) {' UNION ALL '.join(parts)}"
 
 
+def sql_inclusive_employer_count() -> str:
+    anyf = "coalesce(etnias, migrante, vca, discapacidad) IS NOT NULL"
+    return f"WITH {PLACE_ROWS} SELECT {dwn('nombre_de_la_empresa')} AS employers FROM pl WHERE {anyf} AND {PLACED}"
+
+
+def sql_disability_posts() -> str:
+    return (f"WITH {PLACE_ROWS} SELECT nombre_de_la_empresa, CAST(coalesce(sum(puestos_de_trabajo_en_plataforma), 0) AS BIGINT) AS posts "
+            f"FROM pl WHERE mes_registro = '{Q.PLACE_MONTH_NAME}' AND discapacidad IS NOT NULL "
+            f"AND nombre_de_la_empresa IS NOT NULL GROUP BY 1")
+
+
+def sql_disability_vacancies() -> str:
+    return (f"WITH {PLACE_ROWS} SELECT nombre_de_la_vacante, count(*) AS count FROM pl WHERE {PLACED} "
+            f"AND discapacidad IS NOT NULL AND nombre_de_la_vacante IS NOT NULL GROUP BY 1")
+
+
+def sql_vacancy_summary_dedup() -> str:
+    m = f"mes_registro = '{Q.PLACE_MONTH_NAME}'"
+    return (f"WITH {PLACE_ROWS} SELECT (SELECT {dwn('nombre_de_la_empresa')} FROM pl WHERE {m}) AS employers, "
+            f"(SELECT {dwn('\"código_proceso\"')} FROM pl WHERE {m}) AS processes, "
+            f"(SELECT CAST(coalesce(sum(p), 0) AS BIGINT) FROM (SELECT \"código_proceso\", "
+            f"max(puestos_de_trabajo_en_plataforma) AS p FROM pl WHERE {m} GROUP BY 1)) AS posts")
+
+
+def sql_guidance_monthly() -> str:
+    flags = {"disability": "discapacidad", "vca": "vca", "vvg": "vvg", "migrant": "migrante",
+             "ethnic": "grupos_etnicos", "reintegrated": "reincorporados"}
+    tagged = (f"SELECT 'guided' AS cohort, \"año_orientado\" AS year, mes_orientado AS month, * FROM gp "
+              f"WHERE mes_orientado IS NOT NULL UNION ALL "
+              f"SELECT 'workshop' AS cohort, \"año_taller\" AS year, mes_taller AS month, * FROM gp "
+              f"WHERE mes_taller IS NOT NULL")
+    aggs = ", ".join(panel_aggs("true", "sexo", "m", "f", flags, "edad"))
+    parts = [f"SELECT cohort, year, month, '{ind}' AS indicator, {ind} AS value FROM wide" for ind in INDICATORS]
+    return (f"WITH {GUIDE_ROWS}, wide AS (SELECT cohort, year, month, {aggs} FROM ({tagged}) GROUP BY 1, 2, 3) "
+            f"{' UNION ALL '.join(parts)}")
+
+
+def sql_registration_panels() -> str:
+    aggs = []
+    for i, name in enumerate(Q.REG_COHORTS):
+        coh = (f"{reg_cohort(name)} AND month(fecha_accion_dia) = {Q.REG_MONTH} "
+               f"AND year(fecha_accion_dia) = {Q.REG_YEAR}")
+        aggs += panel_aggs(coh, '"género"', "M", "F", PANEL_FLAGS, "edad", f"c{i}__")
+    parts = [f"SELECT '{name}' AS cohort, '{ind}' AS indicator, c{i}__{ind} AS value FROM wide"
+             for i, name in enumerate(Q.REG_COHORTS) for ind in INDICATORS]
+    return f"WITH {REG_ROWS}, wide AS (SELECT {', '.join(aggs)} FROM reg_valid) {' UNION ALL '.join(parts)}"
+
+
 def oracle() -> dict[str, str]:
     out = dict(SQL_SIMPLE)
     out.update({
@@ -500,5 +548,11 @@ def oracle() -> dict[str, str]:
         "inclusive_employers": sql_inclusive_employers(),
         "disability_report": sql_disability_report(),
         "disability_placements": sql_disability_placements(),
+        "inclusive_employer_count": sql_inclusive_employer_count(),
+        "disability_posts": sql_disability_posts(),
+        "disability_vacancies": sql_disability_vacancies(),
+        "vacancy_summary_dedup": sql_vacancy_summary_dedup(),
+        "guidance_monthly": sql_guidance_monthly(),
+        "registration_panels": sql_registration_panels(),
     })
     return out

@@ -476,6 +476,39 @@ def q_disability_placements(spark, root):
     return PL.disability_placements(placement_rows(spark, root), PLACE_MONTH_NAME)
 
 
+def q_inclusive_employer_count(spark, root):
+    """Number of such employers (a missing name counts once)."""
+    return PL.inclusive_employer_count(placement_rows(spark, root), PLACE_MONTH_NAME)
+
+
+def q_disability_posts(spark, root):
+    """Posts per employer for vacancies of the month held by people with a disability label."""
+    return PL.disability_posts(placement_rows(spark, root), PLACE_MONTH_NAME)
+
+
+def q_disability_vacancies(spark, root):
+    """Placed people with a disability label per vacancy name."""
+    return PL.disability_placements(placement_rows(spark, root), PLACE_MONTH_NAME, PL.VACANCY)
+
+
+def q_vacancy_summary_dedup(spark, root):
+    """L4 with Q11's option: each vacancy process's posts counted once."""
+    return PL.vacancy_summary(placement_rows(spark, root), PLACE_MONTH_NAME, dedupe_key="código_proceso")
+
+
+def q_guidance_monthly(spark, root):
+    """L5 for guidance: guided and workshop cohorts per month of their own dates."""
+    return G.monthly(guidance_people(spark, root))
+
+
+def q_registration_panels(spark, root):
+    """A6 for the three registration cohorts of one month, one pass."""
+    from civic_indicators.operators import panels
+    valid = registration_valid(spark, root)
+    preds = {n: R.cohort(n, REG_MONTH, REG_YEAR, REG_COHORTS) for n in REG_COHORTS}
+    return panels(valid, preds, R.PANEL)
+
+
 QUERIES = {
     "indicator_panel": q_indicator_panel,
     "monthly_panels": q_monthly_panels,
@@ -519,4 +552,10 @@ QUERIES = {
     "inclusive_employers": q_inclusive_employers,
     "disability_report": q_disability_report,
     "disability_placements": q_disability_placements,
+    "inclusive_employer_count": q_inclusive_employer_count,
+    "disability_posts": q_disability_posts,
+    "disability_vacancies": q_disability_vacancies,
+    "vacancy_summary_dedup": q_vacancy_summary_dedup,
+    "guidance_monthly": q_guidance_monthly,
+    "registration_panels": q_registration_panels,
 }

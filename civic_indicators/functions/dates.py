@@ -92,6 +92,11 @@ def day_text(c) -> Column:
     return F.date_format(as_col(c), "yyyy-MM-dd")
 
 
+def day_from_text(c) -> Column:
+    """A yyyy-MM-dd text back to a date (null if it is not one)."""
+    return F.try_to_timestamp(as_col(c), F.lit("yyyy-MM-dd")).cast("date")
+
+
 def month_of(c) -> Column:
     return F.month(as_col(c))
 

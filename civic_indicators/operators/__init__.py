@@ -8,7 +8,7 @@ from civic_indicators.operators.aggregate import (
 )
 from civic_indicators.operators.clean import (
     assign_where, clean_text, drop_empty, empty_to_null, fill, lower_strings, missing_any,
-    null_sentinels, null_values, project, recode, replace_columns, split_valid, where_equals,
+    null_sentinels, null_values, project, recode, replace_columns, sort_by, split_valid, where_equals,
 )
 from civic_indicators.operators.integrate import (
     distinct_concat, drop_ids, enrich, first_values, keep_ids, outer_merge, per_key, person_key,
@@ -20,6 +20,6 @@ __all__ = [
     "panels", "pivot_counts", "preview", "profile", "sum_by", "sum_where", "union_ids",
     "value_counts", "assign_where", "clean_text", "drop_empty", "empty_to_null", "fill",
     "lower_strings", "missing_any", "null_sentinels", "null_values", "project", "recode",
-    "replace_columns", "split_valid", "where_equals", "distinct_concat", "drop_ids", "enrich",
+    "replace_columns", "sort_by", "split_valid", "where_equals", "distinct_concat", "drop_ids", "enrich",
     "first_values", "keep_ids", "outer_merge", "per_key", "person_key",
 ]

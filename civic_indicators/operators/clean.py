@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from civic_indicators.functions.cols import as_col, col
 from civic_indicators.functions.patterns import SENTINELS
@@ -29,10 +29,14 @@ def replace_columns(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
 
 def null_sentinels(df: DataFrame, values: Iterable[str] = SENTINELS,
                    cols: Sequence[str] | None = None) -> DataFrame:
-    """Exact sentinel text ('nan') becomes null in every string column."""
+    """Exact sentinel text ('nan') becomes null in every string column,
+    and NaN becomes null in floating-point columns."""
     strings = _string_cols(df)
-    targets = [c for c in (cols or df.columns) if c in strings]
-    return replace_columns(df, {c: null_if_in(c, values) for c in targets})
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))}
+    wanted = cols or df.columns
+    exprs = {c: null_if_in(c, values) for c in wanted if c in strings}
+    exprs.update({c: F.when(~F.isnan(col(c)), col(c)) for c in wanted if c in floats})
+    return replace_columns(df, exprs)
 
 
 def clean_text(df: DataFrame, cols: Sequence[str], lower: bool = False) -> DataFrame:
@@ -114,3 +118,8 @@ def assign_where(df: DataFrame, column: str, mask: Column, value) -> DataFrame:
 def project(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Column subset."""
     return df.select(*[col(c) for c in cols])
+
+
+def sort_by(df: DataFrame, *cols: str, ascending: bool = True) -> DataFrame:
+    """Order rows by the given columns (a range-partitioned global sort)."""
+    return df.orderBy(*[col(c).asc_nulls_last() if ascending else col(c).desc_nulls_last() for c in cols])

@@ -53,3 +53,8 @@ def present(column: str) -> Column:
 def with_counsellor(month_col: str, month: int, year_col: str, year: int, counsellor_col: str) -> Column:
     """(i): guided in a month by a named counsellor."""
     return month_number_is(month_col, month, year_col, year) & present(counsellor_col)
+
+
+def until(column: str, cutoff) -> Column:
+    """P20: on or before a cut-off (a date, or yyyy-MM-dd text on a text column)."""
+    return col(column) <= F.lit(cutoff)

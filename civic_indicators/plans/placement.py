@@ -23,6 +23,7 @@ from civic_indicators.operators.clean import (
     clean_text, drop_empty, null_sentinels, null_values, recode, replace_columns,
 )
 from civic_indicators.operators.cohorts import equals, in_month, placed, present
+from civic_indicators.session import materialize
 from civic_indicators.sources.headers import normalize_headers, rename
 
 SENT_DATE = "fecha_envío_hojas_de_vida_a_la_empresa"
@@ -71,8 +72,17 @@ class PlacementRules:
 
 
 def placement(raw: DataFrame, rules: PlacementRules = PlacementRules(),
-              text_columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
-    """L3: cleaned, typed and labelled placement rows."""
+              text_columns: Sequence[str] = TEXT_COLUMNS, checkpoint: bool = False) -> DataFrame:
+    """L3: cleaned, typed and labelled placement rows.
+
+    ``checkpoint=True`` materialises the rows in the cluster's checkpoint
+    folder, for runs that feed several reports from them.
+    """
+    rows = _placement(raw, rules, text_columns)
+    return materialize(rows) if checkpoint else rows
+
+
+def _placement(raw: DataFrame, rules: PlacementRules, text_columns: Sequence[str]) -> DataFrame:
     df = normalize_headers(raw)
     df = null_sentinels(df, rules.sentinels)
     df = replace_columns(df, {SENT_DATE: to_ts_or_null(SENT_DATE)})
@@ -123,13 +133,29 @@ def placed_in(month_name: str) -> Column:
     return placed(PLACED, PLACED_MONTH, month_name)
 
 
-def vacancy_summary(rows: DataFrame, month_name: str) -> DataFrame:
+def vacancy_summary(rows: DataFrame, month_name: str, dedupe_key: str | None = None) -> DataFrame:
     """L4: employers and vacancy processes (null counted once as a value) and
-    posts (summed over candidate rows) registered in a month."""
+    posts registered in a month.
+
+    Posts are summed over candidate rows, as the report does (a vacancy with
+    three candidates counts three times); ``dedupe_key='código_proceso'``
+    counts each process's posts once (its largest value), via a per-process
+    pre-aggregate.
+    """
     sub = rows.filter(equals(REG_MONTH, month_name))
-    return sub.agg(distinct_with_null(EMPLOYER).alias("employers"),
-                   distinct_with_null(PROCESS).alias("processes"),
-                   F.coalesce(F.sum(col(POSTS)), F.lit(0)).cast("long").alias("posts"))
+    posts = F.coalesce(F.sum(col(POSTS)), F.lit(0)).cast("long")
+    if dedupe_key is None:
+        return sub.agg(distinct_with_null(EMPLOYER).alias("employers"),
+                       distinct_with_null(PROCESS).alias("processes"), posts.alias("posts"))
+    # One small aggregate per metric, stacked and pivoted back to one row
+    # (no keyless join between the two aggregates).
+    counts = sub.agg(distinct_with_null(EMPLOYER).alias("employers"),
+                     distinct_with_null(PROCESS).alias("processes"))
+    per = sub.groupBy(col(dedupe_key).alias("__k")).agg(F.max(col(POSTS)).alias(POSTS))
+    long = (counts.select(F.inline(F.array(F.struct(F.lit("employers").alias("m"), F.col("employers").alias("v")),
+                                           F.struct(F.lit("processes").alias("m"), F.col("processes").alias("v")))))
+            .unionByName(per.agg(F.lit("posts").alias("m"), posts.alias("v"))))
+    return long.groupBy().pivot("m", ["employers", "processes", "posts"]).agg(F.first("v"))
 
 
 def monthly_report(rows: DataFrame, month: int, month_name: str, year: int | None = None,
@@ -160,6 +186,6 @@ def disability_posts(rows: DataFrame, month_name: str) -> DataFrame:
     return sum_by(rows, EMPLOYER, POSTS, equals(REG_MONTH, month_name) & present("discapacidad"), "posts")
 
 
-def disability_placements(rows: DataFrame, month_name: str, by: str = EMPLOYER) -> DataFrame:
+def disability_placements(rows: DataFrame, month_name: str, by: str = EMPLOYER) -> DataFrame:  # noqa: D401
     """Placed people with a disability label per employer (or per vacancy)."""
     return value_counts(rows, by, placed_in(month_name) & present("discapacidad"))

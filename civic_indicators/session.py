@@ -63,3 +63,13 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
         sc.setCheckpointDir(fallback)
         return sc.getCheckpointDir()
     return None
+
+
+def materialize(df, eager: bool = True):
+    """Cut a long lineage with a reliable checkpoint in the shared folder the
+    cluster names in ``spark.checkpoint.dir`` (never an executor-local one),
+    so a lost executor does not force recomputation from the sources. Used
+    when several reports read the same cleaned rows."""
+    if checkpoint_dir(df.sparkSession) is None:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder before materializing")
+    return df.checkpoint(eager=eager)
