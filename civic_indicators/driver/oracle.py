@@ -181,7 +181,9 @@ SQL_SIMPLE = {
         AND o_orderdate <= TIMESTAMP '1998-01-01'""",
     "masked_assign_concat": """SELECT o_orderkey,
         CASE WHEN o_orderstatus = 'F' THEN 'final' WHEN o_orderpriority = '1-URGENT' THEN 'urgente' END AS label,
-        concat_ws(', ', NULLIF(o_orderstatus, 'P'), NULLIF(o_orderpriority, '5-LOW')) AS joined FROM orders""",
+        CASE WHEN o_orderstatus <> 'P' OR o_orderpriority <> '5-LOW'
+             THEN concat_ws(', ', NULLIF(o_orderstatus, 'P'), NULLIF(o_orderpriority, '5-LOW')) END AS joined
+        FROM orders""",
     "parse_dates": """SELECT o_orderkey,
         CASE WHEN o_orderkey % 6 = 5 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS mixed,
         CASE WHEN o_orderkey % 6 = 5 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS lenient,
@@ -443,7 +445,8 @@ clog AS (SELECT a.numerodocumento, a.edad, coalesce(cp.poblacion, '') AS poblaci
   LEFT JOIN cp ON a.numerodocumento = cp.numerodocumento),
 people AS (
   SELECT p0.*, r.prog AS programa_de_gobierno,
-    lower(concat_ws(', ', r.cond, c.poblacion)) AS condiciones_especiales,
+    lower(CASE WHEN r.cond IS NOT NULL OR c.poblacion IS NOT NULL THEN concat_ws(', ', r.cond, c.poblacion) END)
+      AS condiciones_especiales,
     CAST(round_even(try_cast(c.edad AS DOUBLE), 0) AS INTEGER) AS edad
   FROM p0 LEFT JOIN reg r ON p0.numerodocumento = r.numerodocumento
   LEFT JOIN clog c ON p0.numerodocumento = c.numerodocumento

@@ -40,11 +40,21 @@ def to_ts(c, fmt: str | None = None) -> Column:
 
 
 def to_ts_or_null(c, fmt: str | None = None) -> Column:
-    """Lenient parse; a bad value becomes null."""
+    """Lenient parse; a bad value becomes null.
+
+    Without a format: ISO text first, then slash/dot/dash dates month-first
+    (03/04/2025 is 4 March), day-first only when that is the only reading
+    (25/03/2025), each format tried only on text of its shape.
+    """
     c = as_col(c)
     if fmt:
         return F.try_to_timestamp(c, F.lit(fmt))
-    return F.try_to_timestamp(c.cast("string"))
+    s = c.cast("string")
+    dashed = F.translate(s, "/.", "--")
+    shape = dashed.rlike(_DMY_RE + _TIME_RE)
+    return F.coalesce(F.try_to_timestamp(s),
+                      F.when(shape, F.try_to_timestamp(dashed, F.lit("M-d-yyyy" + _TIME))),
+                      F.when(shape, F.try_to_timestamp(dashed, F.lit("d-M-yyyy" + _TIME))))
 
 
 def excel_serial(s) -> Column:

@@ -19,12 +19,11 @@ def _string_cols(df: DataFrame) -> set[str]:
 
 
 def replace_columns(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
-    """Replace/add many columns in one projection, keeping column order."""
+    """Replace/add many columns in one projection, keeping column order
+    (new names are appended)."""
     if not exprs:
         return df
-    out = [exprs[c].alias(c) if c in exprs else col(c) for c in df.columns]
-    out += [e.alias(c) for c, e in exprs.items() if c not in df.columns]
-    return df.select(*out)
+    return df.withColumns(dict(exprs))
 
 
 def null_sentinels(df: DataFrame, values: Iterable[str] = SENTINELS,

@@ -14,6 +14,7 @@ from civic_indicators.sources.headers import with_unique_headers
 
 
 SPREAD_MIN_BYTES = 1 << 20  # on-disk (compressed) bytes
+_SPREAD_DECISIONS: dict[tuple, bool] = {}
 
 
 def spread(df: DataFrame, min_partitions: int | None = None,
@@ -27,12 +28,11 @@ def spread(df: DataFrame, min_partitions: int | None = None,
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() >= want:
-        return df
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) < min_bytes:
-        return df
-    return df.repartition(want)
+    key = (tuple(sorted(df.inputFiles())), want, min_bytes)
+    if key not in _SPREAD_DECISIONS:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        _SPREAD_DECISIONS[key] = size >= min_bytes and df._jdf.rdd().getNumPartitions() < want
+    return df.repartition(want) if _SPREAD_DECISIONS[key] else df
 
 
 def scan(spark: SparkSession, path: str, fmt: str = "parquet",

@@ -37,6 +37,13 @@ def test_mixed_date_parser(spark):
     assert swapped[5] == "2025-03-02"
 
 
+def test_lenient_parse_is_month_first(spark):
+    from civic_indicators.functions import to_ts_or_null
+    df = one_col(spark, ["03/04/2025", "25/03/2025", "2025-03-04", "2025-03-04 10:00:00", "x", None])
+    got = [r[0] for r in rows(df.select(day_text(to_ts_or_null("v"))))]
+    assert got == ["2025-03-04", "2025-03-25", "2025-03-04", "2025-03-04", None, None]
+
+
 def test_strict_parse_raises_on_bad_text(spark):
     df = one_col(spark, ["2025-02-03 10:00:00", "not a date"])
     with pytest.raises(Exception):
@@ -89,7 +96,7 @@ def test_digits_only_ages(spark):
 def test_concat_present(spark):
     df = spark.createDataFrame([(0, "a", "b"), (1, "a", None), (2, None, "b"), (3, None, None)],
                                "i int, a string, b string").orderBy("i")
-    assert [r[0] for r in rows(df.select(concat_present("a", "b")))] == ["a, b", "a", "b", ""]
+    assert [r[0] for r in rows(df.select(concat_present("a", "b")))] == ["a, b", "a", "b", None]
 
 
 def test_case_insensitive_match_folds_accents(spark):
