@@ -17,21 +17,40 @@ SPREAD_MIN_BYTES = 1 << 20  # on-disk (compressed) bytes
 _SPREAD_DECISIONS: dict[tuple, bool] = {}
 
 
-def spread(df: DataFrame, min_partitions: int | None = None,
-           min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+def _bytes_conf(spark, key: str, default: int) -> int:
+    try:
+        raw = str(spark.conf.get(key)).strip().lower()     # Spark's own default when unset
+    except Exception:  # noqa: BLE001 - unknown key
+        raw = str(default)
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    raw = raw[:-1] if raw.endswith("b") else raw
+    return int(float(raw[:-1]) * units[raw[-1]]) if raw and raw[-1] in units else int(raw)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = SPREAD_MIN_BYTES,
+           memo_key: str | None = None) -> DataFrame:
     """Round-robin a scan over the cluster when its files give fewer splits
     than there are cores (one landed sheet, one unsplittable file, one row
     group) and it holds enough bytes for the per-row work to matter.
 
-    A large input already has one split per block, so this is a no-op there
-    and adds no shuffle at scale.
+    Decided from the scan's size statistics first: an input of at least
+    ``cores x maxPartitionBytes`` has enough splits, so at scale nothing is
+    planned or listed on the driver and no shuffle is added. Only small
+    inputs have their split count checked.
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
-    key = (tuple(sorted(df.inputFiles())), want, min_bytes)
-    if key not in _SPREAD_DECISIONS:
+    key = (memo_key, want, min_bytes) if memo_key else None
+    if key is None or key not in _SPREAD_DECISIONS:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        _SPREAD_DECISIONS[key] = size >= min_bytes and df._jdf.rdd().getNumPartitions() < want
+        split = _bytes_conf(spark, "spark.sql.files.maxPartitionBytes", 128 << 20)
+        if size < min_bytes or size >= want * split:
+            decision = False
+        else:
+            decision = df._jdf.rdd().getNumPartitions() < want
+        if key is None:
+            return df.repartition(want) if decision else df
+        _SPREAD_DECISIONS[key] = decision
     return df.repartition(want) if _SPREAD_DECISIONS[key] else df
 
 
@@ -48,10 +67,11 @@ def scan(spark: SparkSession, path: str, fmt: str = "parquet",
         reader = reader.schema(schema)
     df = reader.options(**options).load(path)
     df = with_unique_headers(df)
-    return spread(df) if spread_rows else df
+    return spread(df, memo_key=f"{fmt}:{path}") if spread_rows else df
 
 
 def table(spark: SparkSession, root: str, name: str, spread_rows: bool = True) -> DataFrame:
     """A driver table ``<root>/<name>.parquet``."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows else df
+    path = f"{root.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return spread(df, memo_key=f"parquet:{path}") if spread_rows else df
