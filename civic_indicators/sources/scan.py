@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from civic_indicators.sources.headers import with_unique_headers
+from civic_indicators.sources.headers import unique_names, with_unique_headers
 
 
 SPREAD_MIN_BYTES = 1 << 20  # on-disk (compressed) bytes
@@ -66,10 +66,22 @@ def scan(spark: SparkSession, path: str, fmt: str = "parquet",
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.options(**options).load(path)
+    if fmt == "csv" and str(options.get("header")).lower() == "true" and schema is None:
+        df = df.toDF(*sheet_headers(spark, path, options))
     df = with_unique_headers(df)
     return spread(df, memo_key=f"{fmt}:{path}") if spread_rows else df
 
 
+def sheet_headers(spark: SparkSession, path: str, options: dict) -> list[str]:
+    """Header names as a sheet reader gives them: a blank header at position i
+    is ``Unnamed: i`` and repeats get ``.1``, ``.2`` (Spark's CSV reader would
+    rename repeats by position instead). Reads one parsed record, so quoted
+    headers with line breaks stay whole."""
+    first = spark.read.options(**{**options, "header": "false"}).csv(path).limit(1).collect()
+    raw = list(first[0]) if first else []
+    return unique_names([v if v not in (None, "") else f"Unnamed: {i}" for i, v in enumerate(raw)])
+
+
 def table(spark: SparkSession, root: str, name: str, spread_rows: bool = True) -> DataFrame:
     """A driver table ``<root>/<name>.parquet``."""
     path = f"{root.rstrip('/')}/{name}.parquet"

@@ -127,3 +127,13 @@ def test_profile_daily_counts_preview(spark):
     assert prof["t"] == ("string", 2, 3) and prof["id"] == ("int", 3, 3)
     assert rows(daily_counts(df, "d", "2025-01-02"), "d", "count") == [("2025-01-01", 1), ("2025-01-02", 2)]
     assert [r[0] for r in rows(preview(df, "id", 2), "id")] == [1, 2]
+
+
+def test_csv_scan_keeps_sheet_style_headers(spark, tmp_path):
+    from civic_indicators.sources import scan
+    path = tmp_path / "log.csv"
+    path.write_text('MES,NUMERO,"Programa / Aliado\n(Si aplica)",NUMERO,\n'
+                    'abril,1,x,100,\nmayo,2,"y, z",200,\n', encoding="utf-8")
+    df = scan(spark, str(path), "csv")
+    assert df.columns == ["MES", "NUMERO", "Programa / Aliado\n(Si aplica)", "NUMERO.1", "Unnamed: 4"]
+    assert sorted(rows(df, "NUMERO.1", "Programa / Aliado\n(Si aplica)")) == [("100", "x"), ("200", "y, z")]
