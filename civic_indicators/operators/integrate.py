@@ -83,16 +83,42 @@ def per_key(df: DataFrame, key: str, order: Sequence[str] | str, first: Sequence
             concat: Sequence[str] = (), sep: str = ",") -> DataFrame:
     """A1 + A2 for one table: one row per non-null key, ``first`` columns by
     first non-null value, ``concat`` columns by ordered distinct join ('' when
-    a key has no value). Both sides are hash-partitioned on ``key`` already,
-    so the final join adds no exchange."""
+    a key has no value).
+
+    One scan and one two-level aggregation, no self-join. Level 1 groups by
+    (key, column, value): it keeps each value's first-seen order and, for
+    every ``first`` column, the candidate value with its order (``min_by`` is
+    decomposable). Level 2 groups by key: it orders the distinct values and
+    picks each first column's candidate with the smallest order. A hot key
+    is spread over its distinct values at level 1, and reaches level 2 as
+    one row per distinct value.
+    """
+    first, concat = list(first), list(concat)
     if not concat:
         return first_values(df, key, first, order)
-    joined = distinct_concat(df, key, concat, order, sep)
     if not first:
-        return joined
-    firsts = first_values(df, key, first, order)
-    out = firsts.join(joined, key, "inner")
-    return out.select(*[col(c) for c in firsts.columns], *[col(c) for c in concat])
+        return distinct_concat(df, key, concat, order, sep)
+    o = order_key(order)
+    base = df.filter(col(key).isNotNull()).select(
+        col(key).alias(key), o.alias(_ORD), *[col(c).alias(f"__f{i}") for i, c in enumerate(first)],
+        *[col(c).cast("string").alias(f"__c{i}") for i, c in enumerate(concat)])
+    pairs = F.array(*[F.struct(F.lit(c).alias(_COL), F.col(f"__c{i}").alias(_VAL)) for i, c in enumerate(concat)])
+    fcols = [f"__f{i}" for i in range(len(first))]
+    long = base.select(key, _ORD, *fcols, F.inline(pairs))
+    lvl1 = [F.min(_ORD).alias(_SEEN)]
+    for f in fcols:
+        present = F.col(f).isNotNull()
+        lvl1 += [F.min_by(F.col(f), F.when(present, F.col(_ORD))).alias(f),
+                 F.min(F.when(present, F.col(_ORD))).alias(f + "_o")]
+    level1 = long.groupBy(key, _COL, _VAL).agg(*lvl1)
+    items = F.array_sort(F.collect_list(F.when(F.col(_VAL).isNotNull(),
+                                               F.struct(F.col(_SEEN), F.col(_COL), F.col(_VAL)))))
+    lvl2 = [items.alias("__items")] + [F.min_by(F.col(f), F.col(f + "_o")).alias(f) for f in fcols]
+    level2 = level1.groupBy(key).agg(*lvl2)
+    return level2.select(
+        key, *[F.col(f"__f{i}").alias(c) for i, c in enumerate(first)],
+        *[F.array_join(F.transform(F.filter("__items", _is_col(c)), lambda x: x[_VAL]), sep).alias(c)
+          for c in concat])
 
 
 def outer_merge(left: DataFrame, right: DataFrame, on: str,

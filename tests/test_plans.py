@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import __spark_entry__ as E
-from civic_indicators.operators import distinct_concat, first_values, outer_merge
+from civic_indicators.operators import distinct_concat, first_values, outer_merge, per_key
 
 SF = "/root/testdata/sf0.001"
 
@@ -83,3 +83,15 @@ def test_first_values_and_concat_match_brute_force(spark, data, parts):
                 expect_concat[k].append(v)
     assert first == expect_first
     assert concat == {k: ",".join(v) for k, v in expect_concat.items()}
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(keys, vals, vals, vals), max_size=40), st.integers(1, 5))
+def test_per_key_single_pass_matches_separate_operators(spark, data, parts):
+    rows = [(k, i, a, b, c) for i, (k, a, b, c) in enumerate(data)]
+    df = spark.createDataFrame(rows, "k string, o int, a string, b string, c string").repartition(parts)
+    got = sorted(map(tuple, per_key(df, "k", "o", first=["a", "b"], concat=["b", "c"]).collect()), key=repr)
+    f = first_values(df, "k", ["a", "b"], "o")
+    d = distinct_concat(df, "k", ["b", "c"], "o").withColumnRenamed("b", "bb")
+    expect = sorted(map(tuple, f.join(d, "k").select("k", "a", "b", "bb", "c").collect()), key=repr)
+    assert got == expect
