@@ -528,6 +528,34 @@ def sql_registration_panels() -> str:
     return f"WITH {REG_ROWS}, wide AS (SELECT {', '.join(aggs)} FROM reg_valid) {' UNION ALL '.join(parts)}"
 
 
+def sql_population_labels() -> str:
+    from civic_indicators.functions import patterns as P
+    c = "lower(text)"
+    reg = {
+        "grupos_etnicos": all_labels(c, P.ETHNIC_GROUPS),
+        "vca": flag(P.VCA_LABEL, m("source", P.VCA_PROGRAMME), m(c, P.VCA_CONDITION)),
+        "discapacidad": last_match(c, P.DISABILITY_REGISTRATION),
+        "migrante": flag(P.MIGRANT_LABEL, m(c, P.MIGRANT_CONDITION), m("lang", P.MIGRANT_DOCUMENT_REGISTRATION)),
+        "vvg": flag(P.VVG_LABEL, m(c, P.VVG_CONDITION)),
+        "reincorporados": flag(P.REINTEGRATED_LABEL, m(c, P.REINTEGRATED_CONDITION)),
+    }
+    gui = dict(reg, discapacidad=last_match(c, P.DISABILITY_GUIDANCE),
+               migrante=flag(P.MIGRANT_LABEL, m(c, P.MIGRANT_CONDITION), m("lang", P.MIGRANT_DOCUMENT_GUIDANCE)))
+    ethnic_any = "|".join(p for p, _ in P.ETHNIC_GROUPS)
+    pla = {
+        "discapacidad": last_match(c, P.DISABILITY_PLACEMENT),
+        "vca": flag(P.VCA_LABEL_PLACEMENT, m(c, P.VCA_CONDITION_PLACEMENT)),
+        "vvg": flag(P.VVG_LABEL, m(c, P.VVG_CONDITION_PLACEMENT)),
+        "migrante": flag(P.MIGRANT_LABEL_PLACEMENT, m(c, P.MIGRANT_CONDITION_PLACEMENT)),
+        "etnias": flag(P.ETHNIC_ANY_LABEL, m(c, ethnic_any)),
+        "reincorporados": flag(P.REINTEGRATED_LABEL, m(c, P.REINTEGRATED_CONDITION)),
+    }
+    cols = ([f"{e} AS reg_{k}" for k, e in reg.items()] + [f"{e} AS gui_{k}" for k, e in gui.items()]
+            + [f"{e} AS pla_{k}" for k, e in pla.items()])
+    anyp = f"coalesce({pla['etnias']}, {pla['migrante']}, {pla['vca']}, {pla['discapacidad']}) IS NOT NULL"
+    return f"SELECT doc_id, {', '.join(cols)}, {anyp} AS any_population FROM documents"
+
+
 def oracle() -> dict[str, str]:
     out = dict(SQL_SIMPLE)
     out.update({
@@ -557,5 +585,6 @@ def oracle() -> dict[str, str]:
         "vacancy_summary_dedup": sql_vacancy_summary_dedup(),
         "guidance_monthly": sql_guidance_monthly(),
         "registration_panels": sql_registration_panels(),
+        "population_labels": sql_population_labels(),
     })
     return out

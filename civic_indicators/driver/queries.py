@@ -509,6 +509,23 @@ def q_registration_panels(spark, root):
     return panels(valid, preds, R.PANEL)
 
 
+def q_population_labels(spark, root):
+    """C1-C4 with the flows' own fixed rules over whole documents: the lower-cased
+    text is the condition, the source the programme and the language the document type."""
+    d = _t(spark, root, "documents").select("doc_id", F.lower("text").alias("cond"), "source", "lang")
+    reg = R.population_labels("cond", "source", "lang")
+    gui = G.population_labels("cond", "source", "lang")
+    pla = PL.population_labels("cond")
+    out = d.select("doc_id",
+                   *[e.alias(f"reg_{k}") for k, e in reg.items()],
+                   *[e.alias(f"gui_{k}") for k, e in gui.items()],
+                   *[e.alias(f"pla_{k}") for k, e in pla.items()])
+    out = out.withColumn("any_population", any_flag("pla_etnias", "pla_migrante", "pla_vca", "pla_discapacidad"))
+    for c in ("reg_grupos_etnicos", "gui_grupos_etnicos"):
+        out = _joined(out, c)
+    return out
+
+
 QUERIES = {
     "indicator_panel": q_indicator_panel,
     "monthly_panels": q_monthly_panels,
@@ -558,4 +575,5 @@ QUERIES = {
     "vacancy_summary_dedup": q_vacancy_summary_dedup,
     "guidance_monthly": q_guidance_monthly,
     "registration_panels": q_registration_panels,
+    "population_labels": q_population_labels,
 }

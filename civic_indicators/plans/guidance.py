@@ -149,18 +149,25 @@ def classify(people: DataFrame, rules: GuidanceRules = GuidanceRules()) -> DataF
         "edad": round_half_even("edad"),
         "condiciones_especiales": F.lower(col("condiciones_especiales")),
     })
-    c = col("condiciones_especiales")
     return replace_columns(people, {
         "rango_de_edad": band("edad", rules.age_bands),
+        **population_labels("condiciones_especiales", "programa_de_gobierno", "tipodocumento", rules),
+    })
+
+
+def population_labels(condition, programme, document, rules: GuidanceRules = GuidanceRules()) -> dict:
+    """The six population label columns of the guidance flow."""
+    c = condition
+    return {
         "grupos_etnicos": labels_all(c, rules.ethnic),
-        "vca": flag(rules.vca_label, matches("programa_de_gobierno", rules.vca_programme),
+        "vca": flag(rules.vca_label, matches(programme, rules.vca_programme),
                     matches(c, rules.vca_condition)),
         "discapacidad": label_last_match(c, rules.disability, ignore_case=True),
         "migrante": flag(rules.migrant_label, matches(c, rules.migrant_condition),
-                         matches("tipodocumento", rules.migrant_document)),
+                         matches(document, rules.migrant_document)),
         "vvg": flag(rules.vvg_label, matches(c, rules.vvg_condition)),
         "reincorporados": flag(rules.reintegrated_label, matches(c, rules.reintegrated_condition)),
-    })
+    }
 
 
 PANEL = PanelSpec(

@@ -103,16 +103,21 @@ def _placement(raw: DataFrame, rules: PlacementRules, text_columns: Sequence[str
         "año_publicacion_vacante": iso_year(pub),
         PLACED: F.coalesce(to_number(PLACED).try_cast("int"), F.lit(0)),
     })
-    c = col(CONDITION)
+    return replace_columns(df, population_labels(CONDITION, rules))
+
+
+def population_labels(condition, rules: PlacementRules = PlacementRules()) -> dict:
+    """The six population label columns of the placement flow (condition text only)."""
+    c = condition
     ethnic_any = "|".join(p for p, _ in rules.ethnic)
-    return replace_columns(df, {
+    return {
         "discapacidad": label_last_match(c, rules.disability, ignore_case=True),
         "vca": flag(rules.vca_label, matches(c, rules.vca_condition)),
         "vvg": flag(rules.vvg_label, matches(c, rules.vvg_condition)),
         "migrante": flag(rules.migrant_label, matches(c, rules.migrant_condition)),
         "etnias": flag(rules.ethnic_label, matches(c, ethnic_any)),
         "reincorporados": flag(rules.reintegrated_label, matches(c, rules.reintegrated_condition)),
-    })
+    }
 
 
 PANEL = PanelSpec(

@@ -97,18 +97,23 @@ def classify(df: DataFrame, rules: RegistrationRules = RegistrationRules(),
     }
     df = replace_columns(df, exprs)
     df = replace_columns(df, {ACTION: day_text(col(ACTION_DATE))}).drop("__reg", "__upd")
-    c = col(CONDITION)
-    labels = {
+    return replace_columns(df, population_labels(CONDITION, PROGRAMME, DOC_TYPE, rules))
+
+
+def population_labels(condition, programme, document, rules: RegistrationRules = RegistrationRules()) -> dict:
+    """The six population label columns of the registration flow, from the
+    (lower-cased) condition text, the programme text and the document type."""
+    c = condition
+    return {
         "grupos_etnicos": labels_all(c, rules.ethnic),
-        "vca": flag(rules.vca_label, matches(PROGRAMME, rules.vca_programme),
+        "vca": flag(rules.vca_label, matches(programme, rules.vca_programme),
                     matches(c, rules.vca_condition)),
         "discapacidad": label_last_match(c, rules.disability, ignore_case=True),
         "migrante": flag(rules.migrant_label, matches(c, rules.migrant_condition),
-                         matches(DOC_TYPE, rules.migrant_document)),
+                         matches(document, rules.migrant_document)),
         "vvg": flag(rules.vvg_label, matches(c, rules.vvg_condition)),
         "reincorporados": flag(rules.reintegrated_label, matches(c, rules.reintegrated_condition)),
     }
-    return replace_columns(df, labels)
 
 
 def registration(raw: DataFrame, year: int | None = None,
