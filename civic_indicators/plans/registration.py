@@ -18,7 +18,7 @@ from civic_indicators.functions.classify import flag, label_last_match, labels_a
 from civic_indicators.functions.cols import col
 from civic_indicators.functions.dates import day_text, latest, parse_mixed_date, to_day
 from civic_indicators.functions.text import matches, strip
-from civic_indicators.operators.aggregate import PanelSpec, daily_counts, indicator_panel, monthly_panels
+from civic_indicators.operators.aggregate import PanelSpec, indicator_panel, monthly_panels
 from civic_indicators.operators.clean import clean_text, missing_any, null_sentinels, replace_columns, split_valid
 from civic_indicators.operators.cohorts import registration_cohort
 from civic_indicators.sources.headers import normalize_headers
@@ -164,6 +164,13 @@ def monthly(valid: DataFrame, spec: PanelSpec = PANEL,
 
 
 def misdated_audit(valid: DataFrame, cutoff: str) -> DataFrame:
-    """Rows per action day at or before ``cutoff`` (late or misdated records)."""
-    df = valid.filter(col(ACTION_DATE) <= F.lit(cutoff).cast("date"))
-    return daily_counts(df, ACTION)
+    """Rows per action day at or before ``cutoff`` (late or misdated records).
+
+    The cut-off is applied to the per-day groups (HAVING), not the rows: the
+    day is derived from two parsed dates, so a row filter could not reach the
+    files anyway, and Catalyst would copy both date parsers into it.
+    """
+    days = (valid.groupBy(col(ACTION).alias(ACTION))
+                 .agg(F.count(F.lit(1)).alias("count"), F.max(col(ACTION_DATE)).alias("__day")))
+    return (days.filter(F.col("__day") <= F.lit(cutoff).cast("date"))
+                .orderBy(ACTION).select(ACTION, "count"))
