@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from civic_indicators.driver import standins as S
 from civic_indicators.functions import (
     any_flag, band, concat_present, day_text, digits_or_null, flag, iso_week, iso_year, label_last_match,
-    labels_all, latest, matches, month_of, parse_mixed_date, period, round_half_even, strip, to_day,
+    labels_all, latest, matches, month_of, parse_mixed_date, period, round_half_even, to_day,
     to_number, to_ts, to_ts_or_null, year_of,
 )
 from civic_indicators.operators import (
     assign_where, clean_text, column_frequencies, daily_counts, distinct_values, distinct_with_null,
-    drop_empty, empty_to_null, enrich, fill, keep_ids, lower_strings, missing_any, null_sentinels,
+    drop_empty, empty_to_null, enrich, fill, keep_ids, lower_strings, null_sentinels,
     null_values, outer_merge, per_key, pivot_counts, preview, profile, project, recode, sum_by,
     union_ids, value_counts, where_equals,
 )
