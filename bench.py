@@ -4,7 +4,7 @@
 
 Each query runs end to end into Spark's ``noop`` sink (the whole plan
 executes, nothing is collected to the driver). One warm-up pass, then the
-median of ``BENCH_RUNS`` timed runs per query. Prints one JSON line.
+median of ``BENCH_RUNS`` (default 5) timed runs per query. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ def run(spark, name: str, root: str) -> float:
 def main() -> None:
     root = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = get_spark(f"local[{cpus}]", app="civic_bench", shuffle_partitions=int(cpus) * 2,
                       extra={"spark.driver.memory": "16g"})

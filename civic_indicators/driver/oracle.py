@@ -375,6 +375,12 @@ def sql_disability_report() -> str:
             f"AND rango_de_edad IS NOT NULL AND sexo IS NOT NULL AND discapacidad IS NOT NULL GROUP BY 1, 2")
 
 
+def sql_disability_report_sent() -> str:
+    cells = ", ".join(f"count(*) FILTER (WHERE discapacidad = '{l}') AS \"{l}\"" for l in Q.PLACE_LABELS)
+    return (f"WITH {PLACE_ROWS} SELECT rango_de_edad, sexo, {cells} FROM pl WHERE {SENT} "
+            f"AND rango_de_edad IS NOT NULL AND sexo IS NOT NULL AND discapacidad IS NOT NULL GROUP BY 1, 2")
+
+
 def sql_disability_placements() -> str:
     return (f"WITH {PLACE_ROWS} SELECT nombre_de_la_empresa, count(*) AS count FROM pl WHERE {PLACED} "
             f"AND discapacidad IS NOT NULL AND nombre_de_la_empresa IS NOT NULL GROUP BY 1")
@@ -586,5 +592,6 @@ def oracle() -> dict[str, str]:
         "guidance_monthly": sql_guidance_monthly(),
         "registration_panels": sql_registration_panels(),
         "population_labels": sql_population_labels(),
+        "disability_report_sent": sql_disability_report_sent(),
     })
     return out

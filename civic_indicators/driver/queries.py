@@ -471,6 +471,11 @@ def q_disability_report(spark, root):
     return PL.disability_pivot(placement_rows(spark, root), PL.placed_in(PLACE_MONTH_NAME), PLACE_LABELS)
 
 
+def q_disability_report_sent(spark, root):
+    """(age band, sex) x disability for CVs sent in the month (any year)."""
+    return PL.disability_pivot(placement_rows(spark, root), PL.sent(PLACE_MONTH), PLACE_LABELS)
+
+
 def q_disability_placements(spark, root):
     """Placed people with a disability label per employer."""
     return PL.disability_placements(placement_rows(spark, root), PLACE_MONTH_NAME)
@@ -576,4 +581,5 @@ QUERIES = {
     "guidance_monthly": q_guidance_monthly,
     "registration_panels": q_registration_panels,
     "population_labels": q_population_labels,
+    "disability_report_sent": q_disability_report_sent,
 }
