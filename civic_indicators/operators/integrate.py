@@ -10,10 +10,10 @@ Scale notes
   ``min`` of the order, spreading a hot key over its distinct values; only
   the distinct values of a key (what the output string holds anyway) meet in
   one group.
-* ``outer_merge`` rewrites the full outer join as a left join plus the
-  unmatched right rows (anti join against the *distinct* left keys). A full
-  outer join cannot be split by the adaptive skew handling; a left outer join
-  can, and the anti join sees at most one row per key on each side.
+* ``outer_merge`` runs the full outer join as one left join (stub rows for
+  the right-only keys are added to the left side). A full outer join cannot
+  be split by the adaptive skew handling; a left outer join can, and the
+  right side is read once.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civic_indicators.functions.cols import col
+from civic_indicators.functions.cols import col, quote
 from civic_indicators.functions.text import strip
 
 _ORD = "__ord"
@@ -126,19 +126,28 @@ def outer_merge(left: DataFrame, right: DataFrame, on: str,
     """J1 + J2: full outer join on ``on``; for overlapping columns the left
     value wins unless it is null. Columns that exist on one side only pass.
 
-    Written as left join + right rows without a left match, which equals the
-    full outer join for any input and keeps a skewed left side splittable.
+    Run as *one* left join that reads ``right`` once: the left side gets a
+    key-only stub row for every right key it lacks (from key projections,
+    which Catalyst prunes to cheap distinct-key aggregates), so the stubs pick
+    up the right-only rows. A left outer join, unlike a full outer join, can
+    have a skewed left side split by adaptive execution. Right rows with a
+    null key match nothing, as in SQL: they carry tag 1 and are picked up by a
+    single (null, 1) stub through a null-safe key comparison, while real left
+    rows carry tag 0.
     """
     if overlap is None:
         overlap = [c for c in left.columns if c in set(right.columns) and c != on]
     overlap = list(overlap)
     r_only = [c for c in right.columns if c != on and c not in set(left.columns)]
     rname = {c: f"{c}__r" for c in overlap}
-    r = right.select(col(on), *[col(c).alias(rname[c]) for c in overlap], *[col(c) for c in r_only])
-    matched = left.join(r, on, "left")
+    r = right.select(col(on).alias("__rk"), F.col(quote(on)).isNull().cast("int").alias("__rt"),
+                     *[col(c).alias(rname[c]) for c in overlap], *[col(c) for c in r_only])
     left_keys = left.select(col(on)).filter(col(on).isNotNull()).distinct()
-    unmatched = r.join(left_keys, on, "left_anti")
-    both = matched.unionByName(unmatched, allowMissingColumns=True)
+    stubs = (r.select(F.col("__rk").alias(on), F.col("__rt").alias("__lt")).distinct()
+              .join(left_keys, on, "left_anti"))
+    widened = left.withColumn("__lt", F.lit(0)).unionByName(stubs, allowMissingColumns=True)
+    cond = [col(on).eqNullSafe(F.col("__rk")), F.col("__lt") == F.col("__rt")]
+    both = widened.join(r, cond, "left")
     out = []
     for c in left.columns:
         out.append(F.coalesce(col(c), col(rname[c])).alias(c) if c in rname else col(c))
