@@ -17,12 +17,12 @@ from civic_indicators.functions import (
 )
 from civic_indicators.operators import (
     assign_where, clean_text, column_frequencies, daily_counts, distinct_values, distinct_with_null,
-    drop_empty, empty_to_null, enrich, fill, keep_ids, lower_strings, null_sentinels,
+    drop_empty, empty_to_null, enrich, fill, lower_strings, null_sentinels,
     null_values, outer_merge, per_key, pivot_counts, preview, profile, project, recode, sum_by,
     union_ids, value_counts, where_equals,
 )
 from civic_indicators.operators.aggregate import age_predicate
-from civic_indicators.operators.integrate import drop_ids
+from civic_indicators.operators.integrate import mark_ids
 from civic_indicators.plans import guidance as G
 from civic_indicators.plans import placement as PL
 from civic_indicators.plans import registration as R
@@ -125,15 +125,14 @@ def q_misdated_audit(spark, root):
 
 
 def q_quarantine_split(spark, root):
-    """P13 + U1 + J5: ids missing type or number (union of two id sets) split the
-    register by semi/anti join into valid and rejected rows."""
+    """P13 + U1 + J5: ids missing type or number (union of two id sets) mark the
+    register's rows rejected, the rest valid (membership by one left join)."""
     df, _ = R.prepare(S.register(spark, root), REG_RULES)
     df = df.withColumnRenamed("no._", "row_id")
     ids = union_ids(df.filter(F.col("tipo_documento").isNull()).select("row_id"),
                     df.filter(F.col("número_documento").isNull()).select("row_id"))
-    valid = drop_ids(df, ids, "row_id").select("row_id", F.lit("valid").alias("status"))
-    rejected = keep_ids(df, ids, "row_id").select("row_id", F.lit("rejected").alias("status"))
-    return valid.unionByName(rejected)
+    marked = mark_ids(df.select("row_id"), ids, "row_id", "rejected")
+    return marked.select("row_id", F.when(F.col("rejected"), F.lit("rejected")).otherwise(F.lit("valid")).alias("status"))
 
 
 def q_sink_roundtrip(spark, root):
@@ -430,11 +429,8 @@ def q_guidance(spark, root):
 
 
 def q_guidance_panels(spark, root):
-    """A6 for guidance: guided and workshop cohorts of one month."""
-    people = guidance_people(spark, root)
-    g = G.guided_panel(people, GUIDE_MONTH, GUIDE_YEAR).withColumn("cohort", F.lit("guided"))
-    w = G.workshop_panel(people, GUIDE_MONTH, GUIDE_YEAR).withColumn("cohort", F.lit("workshop"))
-    return g.unionByName(w)
+    """A6 for guidance: guided and workshop cohorts of one month, one pass."""
+    return G.month_panels(guidance_people(spark, root), GUIDE_MONTH, GUIDE_YEAR)
 
 
 PLACE_OUT = ("mes_registro", "gestión_vacante_", "código_proceso", "nombre_de_la_empresa",

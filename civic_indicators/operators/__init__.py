@@ -11,7 +11,7 @@ from civic_indicators.operators.clean import (
     null_sentinels, null_values, project, recode, replace_columns, sort_by, split_valid, where_equals,
 )
 from civic_indicators.operators.integrate import (
-    distinct_concat, drop_ids, enrich, first_values, keep_ids, outer_merge, per_key, person_key,
+    distinct_concat, drop_ids, enrich, first_values, keep_ids, mark_ids, outer_merge, per_key, person_key,
 )
 
 __all__ = [
@@ -21,5 +21,5 @@ __all__ = [
     "value_counts", "assign_where", "clean_text", "drop_empty", "empty_to_null", "fill",
     "lower_strings", "missing_any", "null_sentinels", "null_values", "project", "recode",
     "replace_columns", "sort_by", "split_valid", "where_equals", "distinct_concat", "drop_ids", "enrich",
-    "first_values", "keep_ids", "outer_merge", "per_key", "person_key",
+    "first_values", "keep_ids", "mark_ids", "outer_merge", "per_key", "person_key",
 ]

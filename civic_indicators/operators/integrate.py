@@ -173,3 +173,12 @@ def keep_ids(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
 def drop_ids(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     """Rows whose id is not in ``ids`` (anti join)."""
     return df.join(ids.select(col(on)), on, "left_anti")
+
+
+def mark_ids(df: DataFrame, ids: DataFrame, on: str, name: str = "in_ids") -> DataFrame:
+    """J5 in one pass: every row of ``df`` with a flag telling whether its id is
+    in ``ids`` (the semi and the anti join of ``keep_ids``/``drop_ids`` as one
+    left join against the distinct ids)."""
+    hits = ids.select(col(on)).filter(col(on).isNotNull()).distinct().withColumn("__hit", F.lit(True))
+    return (df.join(hits, on, "left")
+              .withColumn(name, F.coalesce(F.col("__hit"), F.lit(False))).drop("__hit"))

@@ -23,7 +23,7 @@ from civic_indicators.functions.cols import col
 from civic_indicators.functions.dates import month_of, to_ts, year_of
 from civic_indicators.functions.numbers import band, round_half_even
 from civic_indicators.functions.text import concat_present, matches
-from civic_indicators.operators.aggregate import PanelSpec, indicator_panel, monthly_panels
+from civic_indicators.operators.aggregate import PanelSpec, indicator_panel, monthly_panels, panels
 from civic_indicators.operators.clean import lower_strings, replace_columns
 from civic_indicators.operators.cohorts import month_number_is
 from civic_indicators.operators.integrate import enrich, outer_merge, per_key, person_key
@@ -188,6 +188,12 @@ def workshop_panel(people: DataFrame, month: int, year: int, spec: PanelSpec = P
     return indicator_panel(people, month_number_is("mes_taller", month, "año_taller", year), spec)
 
 
+def month_panels(people: DataFrame, month: int, year: int, spec: PanelSpec = PANEL) -> DataFrame:
+    """(d) + (e): guided and workshop panels of one month in one pass: (cohort, indicator, value)."""
+    return panels(people, {"guided": month_number_is("mes_orientado", month, "año_orientado", year),
+                           "workshop": month_number_is("mes_taller", month, "año_taller", year)}, spec)
+
+
 def monthly(people: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
     """L5 for guidance: both cohorts per month of their own execution date."""
     t = F.lit(True)

@@ -137,3 +137,14 @@ def test_csv_scan_keeps_sheet_style_headers(spark, tmp_path):
     df = scan(spark, str(path), "csv")
     assert df.columns == ["MES", "NUMERO", "Programa / Aliado\n(Si aplica)", "NUMERO.1", "Unnamed: 4"]
     assert sorted(rows(df, "NUMERO.1", "Programa / Aliado\n(Si aplica)")) == [("100", "x"), ("200", "y, z")]
+
+
+def test_id_sets(spark):
+    from civic_indicators.operators import drop_ids, keep_ids, mark_ids, union_ids
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d")], "id int, v string")
+    ids = union_ids(spark.createDataFrame([(1,), (3,)], "id int"), spark.createDataFrame([(3,), (None,)], "id int"))
+    assert sorted(r[0] for r in rows(ids, "id") if r[0] is not None) == [1, 3]
+    assert sorted(r[0] for r in rows(keep_ids(df, ids, "id"), "v")) == ["a", "c"]
+    assert sorted(r[0] for r in rows(drop_ids(df, ids, "id"), "v")) == ["b", "d"]
+    assert sorted(rows(mark_ids(df, ids, "id"), "v", "in_ids")) == [("a", True), ("b", False), ("c", True),
+                                                                    ("d", False)]
