@@ -3,7 +3,7 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query runs end to end into Spark's ``noop`` sink (the whole plan
-executes, nothing is collected to the driver). One warm-up pass, then the
+executes, nothing is collected to the driver). One warm-up run, then the
 median of ``BENCH_RUNS`` (default 5) timed runs per query. Prints one JSON line.
 """
 
@@ -38,15 +38,19 @@ def main() -> None:
     spark = get_spark(f"local[{cpus}]", app="civic_bench", shuffle_partitions=int(cpus) * 2,
                       extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
+    times, errors = {}, {}
     for n in names:
-        run(spark, n, root)
-    times = {}
-    for n in names:
-        times[n] = round(statistics.median(run(spark, n, root) for _ in range(runs)), 3)
+        try:
+            run(spark, n, root)
+            times[n] = round(statistics.median(run(spark, n, root) for _ in range(runs)), 3)
+        except Exception as e:  # noqa: BLE001 - report and go on with the other queries
+            times[n], errors[n] = None, f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(root.rstrip("/")).removeprefix("sf")
-    print(json.dumps({"metric": "headline_total_median", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "runs": runs,
-                      "cpus": int(cpus)}))
+    out = {"metric": "headline_total_median", "value": round(sum(t for t in times.values() if t), 3),
+           "unit": "sec", "queries": times, "sf": sf, "runs": runs, "cpus": int(cpus)}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 

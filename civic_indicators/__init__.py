@@ -8,6 +8,6 @@ Everything is expressed with Spark's built-in SQL functions so Catalyst can
 prune, push down and code-generate the whole plan; no Python UDF is used.
 """
 
-from civic_indicators.session import checkpoint_dir, get_spark
+from civic_indicators.session import checkpoint_dir, cluster_conf, get_spark, materialize
 
-__all__ = ["get_spark", "checkpoint_dir"]
+__all__ = ["get_spark", "checkpoint_dir", "cluster_conf", "materialize"]

@@ -45,6 +45,30 @@ def get_spark(master: str | None = None, app: str = "civic_indicators",
     return spark
 
 
+def cluster_conf(input_bytes: int, executor_cores: int, target_partition_bytes: int = 256 << 20,
+                 max_partitions: int = 100_000) -> dict[str, str]:
+    """Settings sized from the input volume, for a cluster run.
+
+    Shuffle partitions are chosen so that a partition of the widest shuffle
+    (at most about the input size) holds ~``target_partition_bytes`` and fits
+    an executor task's memory without spilling; adaptive execution then
+    coalesces the small ones and splits skewed ones. Scan splits use the same
+    target. At 100 TB and 256 MB this gives ~400k shuffle partitions, capped
+    at ``max_partitions`` (then ~1 GB per partition before coalescing, which
+    sort-based shuffles and aggregates spill gracefully).
+    """
+    parts = max(executor_cores * 2, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
