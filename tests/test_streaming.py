@@ -22,3 +22,14 @@ def test_landing_folder_is_processed_incrementally(spark, tmp_path):
     assert spark.read.parquet(f"{out}/quarantine").count() == 2
     panel = dict(R.panel(cur, "self_registered_new", 3, 2025).collect())
     assert panel["men"] == 1 and panel["women"] == 1
+
+
+def test_replayed_batch_replaces_its_own_output(spark, tmp_path):
+    from civic_indicators.streaming.landing import _write_batch
+    out = str(tmp_path / "out")
+    batch = register(spark)
+    _write_batch(batch, 7, out, R.RegistrationRules(), None)
+    _write_batch(batch, 7, out, R.RegistrationRules(), None)      # the same batch again after a failure
+    _write_batch(batch.limit(1), 8, out, R.RegistrationRules(), None)
+    cur = curated_rows(spark, out)
+    assert cur.filter("_batch = 7").count() == 4 and cur.filter("_batch = 8").count() == 1
