@@ -159,10 +159,15 @@ def enrich(df: DataFrame, other: DataFrame, on: str, cols: Sequence[str]) -> Dat
     """Left join a few columns of a table with one row per key.
 
     No hint: adaptive execution turns it into a broadcast join when the
-    aggregated side is measured below the broadcast threshold at run time,
-    and keeps the sort-merge join (with skew splitting of ``df``) otherwise.
+    per-key side is *measured* below the broadcast threshold at run time, and
+    keeps the sort-merge join otherwise. Right-side null keys are dropped
+    (they never match) and the keys are compared null-safely, which yields
+    the plain equi-join result but makes the planner shuffle the per-key side
+    by the join key instead of reusing its aggregate's partitioning: only
+    then can adaptive execution split the partition of a hot key on ``df``.
     """
-    return df.join(other.select(col(on), *[col(c) for c in cols]), on, "left")
+    r = other.filter(col(on).isNotNull()).select(col(on).alias("__ek"), *[col(c) for c in cols])
+    return df.join(r, col(on).eqNullSafe(F.col("__ek")), "left").drop("__ek")
 
 
 def keep_ids(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
