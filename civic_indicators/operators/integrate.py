@@ -3,17 +3,22 @@ concatenation (A2), outer merge (J1/J2), enrichment (J3/J4) and id sets (J5).
 
 Scale notes
 -----------
-* ``first_per_key`` is one hash aggregate of ``min_by`` expressions. ``min_by``
-  has a partial (map-side) phase, so a key holding a third of all rows still
-  reaches the final aggregate as one partial row per map task.
+* ``first_values`` is one aggregate of ``min_by`` expressions with a partial
+  (map-side) phase, so a key holding a third of all rows reaches the final
+  aggregate as one partial row per map task. With text values the buffers
+  are variable-width and Spark aggregates by sorting, which spills to disk
+  gracefully instead of failing.
 * ``distinct_concat`` first deduplicates (key, value) pairs with a partial
   ``min`` of the order, spreading a hot key over its distinct values; only
   the distinct values of a key (what the output string holds anyway) meet in
   one group.
+* ``per_key`` does both in one scan and one two-level aggregation.
 * ``outer_merge`` runs the full outer join as one left join (stub rows for
-  the right-only keys are added to the left side). A full outer join cannot
-  be split by the adaptive skew handling; a left outer join can, and the
+  the right-only keys are added to the left side): a full outer join cannot
+  be split by the adaptive skew handling, a left outer join can, and the
   right side is read once.
+* ``enrich`` compares keys null-safely so the per-key side is shuffled by the
+  join key, which is what lets adaptive execution split a hot key.
 """
 
 from __future__ import annotations
