@@ -18,12 +18,16 @@ from pyspark.sql import functions as F
 from civic_indicators.functions.dates import stamp_date
 
 STATUS = "_status"
+# Rows per output file: bounds file size without an extra shuffle (a task
+# that holds many rows of one partition value rolls over to a new file).
+MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def write_curated(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                  mode: str = "overwrite") -> None:
+                  mode: str = "overwrite", max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
     """Curated Parquet, optionally partitioned (e.g. by year)."""
-    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    w = (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+           .option("maxRecordsPerFile", max_records_per_file))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -33,6 +37,7 @@ def write_quarantine(df: DataFrame, path: str, run_date: str | _dt.date | None =
     """Rejected rows under ``run_date=<date>``; a rerun replaces that day only."""
     (df.withColumn("run_date", stamp_date(run_date))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy("run_date").parquet(path))
 
 
@@ -46,4 +51,5 @@ def write_split(df: DataFrame, rejected: Column, path: str,
     status = F.when(F.coalesce(rejected, F.lit(False)), F.lit("rejected")).otherwise(F.lit("valid"))
     (df.withColumn(STATUS, status).withColumn("run_date", stamp_date(run_date))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy("run_date", STATUS).parquet(path))
