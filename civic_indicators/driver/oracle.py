@@ -593,5 +593,9 @@ def oracle() -> dict[str, str]:
         "registration_panels": sql_registration_panels(),
         "population_labels": sql_population_labels(),
         "disability_report_sent": sql_disability_report_sent(),
+        "event_value_sums": """SELECT event_type, CAST(coalesce(sum(CAST(value AS DECIMAL(18, 2))), 0) AS DOUBLE) AS total
+            FROM events WHERE ts < TIMESTAMP '2024-01-16' AND event_type IS NOT NULL GROUP BY 1
+            UNION ALL SELECT 'ALL', CAST(coalesce(sum(CAST(value AS DECIMAL(18, 2))) FILTER (WHERE ts < TIMESTAMP '2024-01-16'), 0)
+            AS DOUBLE) FROM events""",
     })
     return out

@@ -18,7 +18,7 @@ from civic_indicators.functions import (
 from civic_indicators.operators import (
     assign_where, clean_text, column_frequencies, daily_counts, distinct_values, distinct_with_null,
     drop_empty, empty_to_null, enrich, fill, lower_strings, null_sentinels,
-    null_values, outer_merge, per_key, pivot_counts, preview, profile, project, recode, sum_by,
+    null_values, outer_merge, per_key, pivot_counts, preview, profile, project, recode, sum_by, sum_where,
     union_ids, value_counts, where_equals,
 )
 from civic_indicators.operators.aggregate import age_predicate
@@ -379,6 +379,16 @@ def q_sums(spark, root):
         total.withColumn("posts", F.col("posts").cast("long")))
 
 
+def q_event_value_sums(spark, root):
+    """A9 + A10 on events: value per event type for the first half of the month,
+    plus the overall filtered total (A9), summed exactly as decimals."""
+    e = _t(spark, root, "events").select("event_type", "ts", F.col("value").cast("decimal(18,2)").alias("value"))
+    first_half = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    per = sum_by(e, "event_type", "value", first_half, "total")
+    total = e.agg(F.lit("ALL").alias("event_type"), sum_where("value", first_half).alias("total"))
+    return per.unionByName(total).withColumn("total", F.col("total").cast("double"))
+
+
 def q_value_counts(spark, root):
     """A11 + T2: event types by frequency."""
     return value_counts(_t(spark, root, "events"), "event_type")
@@ -578,4 +588,5 @@ QUERIES = {
     "registration_panels": q_registration_panels,
     "population_labels": q_population_labels,
     "disability_report_sent": q_disability_report_sent,
+    "event_value_sums": q_event_value_sums,
 }
