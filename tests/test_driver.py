@@ -38,3 +38,28 @@ def test_query_matches_oracle(spark, duck, name):
     dc, dr = _rows(duck.sql(E.oracle_sql()[name]).df())
     assert sc == dc
     assert sr == dr
+
+
+def test_panel_invariants(spark):
+    """Per cohort-month: men + women and each label count stay within the
+    cohort's rows, and the three age groups never exceed the rows with a sex."""
+    from pyspark.sql import functions as F
+
+    from civic_indicators.driver import queries as Q
+    from civic_indicators.plans import registration as R
+    valid = Q.registration_valid(spark, SF)
+    panels = {(c, y, m, i): v for c, y, m, i, v in R.monthly(valid, cohorts=Q.REG_COHORTS).collect()}
+    sizes = {}
+    for name, (ch, kind) in Q.REG_COHORTS.items():
+        rows = (valid.filter((F.col("canal_de_registro") == ch) & (F.col("tipo_registro") == kind)
+                             & F.col("fecha_accion_dia").isNotNull())
+                     .groupBy(F.year("fecha_accion_dia").alias("y"), F.month("fecha_accion_dia").alias("m"))
+                     .agg(F.count(F.lit(1)).alias("n"), F.count("género").alias("sexed")).collect())
+        for r in rows:
+            sizes[(name, r["y"], r["m"])] = (r["n"], r["sexed"])
+    assert sizes and {k[:3] for k in panels} == set(sizes)
+    for (name, y, m), (n, sexed) in sizes.items():
+        p = {i: v for (c, yy, mm, i), v in panels.items() if (c, yy, mm) == (name, y, m)}
+        assert p["men"] + p["women"] <= n
+        assert p["elders"] + p["adults"] + p["youth"] <= sexed
+        assert all(p[f] <= n for f in ("disability", "vca", "vvg", "migrant", "ethnic", "reintegrated"))
