@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civic_indicators.driver import standins as S
+from civic_indicators.driver.schemas import SCHEMAS, driver_table
 from civic_indicators.functions import (
     any_flag, band, concat_present, day_text, digits_or_null, flag, iso_week, iso_year, label_last_match,
     labels_all, latest, matches, month_of, parse_mixed_date, period, round_half_even, to_day,
@@ -28,7 +29,7 @@ from civic_indicators.plans import placement as PL
 from civic_indicators.plans import registration as R
 from civic_indicators.session import checkpoint_dir
 from civic_indicators.sources import (
-    drop_columns, normalize_headers, rename, rename_by_pattern, scan, table, with_unique_headers,
+    drop_columns, normalize_headers, rename, rename_by_pattern, scan, with_unique_headers,
     write_curated, write_split,
 )
 
@@ -73,7 +74,7 @@ SEGMENT_RECODE = {"BUILDING": "CONSTRUCCION", "MACHINERY": "MAQUINARIA"}
 
 
 def _t(spark, root, name):
-    return table(spark, root, name)
+    return driver_table(spark, root, name)
 
 
 # ------------------------------------------------------------- flows (inputs)
@@ -154,7 +155,7 @@ def q_sink_roundtrip(spark, root):
 def q_scan_headers(spark, root):
     """A sheet with spaced, accented, repeated headers is scanned,
     de-duplicated, normalised, renamed and pruned."""
-    c = scan(spark, f"{root.rstrip('/')}/customer.parquet")
+    c = scan(spark, f"{root.rstrip('/')}/customer.parquet", schema=SCHEMAS["customer"])
     sheet = c.select(F.col("c_custkey").alias("Número Cliente"), F.col("c_name").alias("Nombre Cliente"),
                      F.col("c_nationkey").alias("Región ID"), F.col("c_mktsegment").alias("Segmento"),
                      F.col("c_mktsegment").alias("Segmento"))

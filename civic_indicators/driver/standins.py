@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civic_indicators.sources.scan import table
+from civic_indicators.driver.schemas import driver_table as table
 
 # FIXED VALUES: Spanish month names, used by the placement sheet.
 MONTHS = ("Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio", "Agosto",

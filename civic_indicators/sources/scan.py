@@ -82,8 +82,10 @@ def sheet_headers(spark: SparkSession, path: str, options: dict) -> list[str]:
     return unique_names([v if v not in (None, "") else f"Unnamed: {i}" for i, v in enumerate(raw)])
 
 
-def table(spark: SparkSession, root: str, name: str, spread_rows: bool = True) -> DataFrame:
-    """A driver table ``<root>/<name>.parquet``."""
+def table(spark: SparkSession, root: str, name: str, spread_rows: bool = True,
+          schema: StructType | str | None = None) -> DataFrame:
+    """A table ``<root>/<name>.parquet``; a declared schema skips footer-based inference."""
     path = f"{root.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(path)
     return spread(df, memo_key=f"parquet:{path}") if spread_rows else df

@@ -63,3 +63,14 @@ def test_panel_invariants(spark):
         assert p["men"] + p["women"] <= n
         assert p["elders"] + p["adults"] + p["youth"] <= sexed
         assert all(p[f] <= n for f in ("disability", "vca", "vvg", "migrant", "ethnic", "reintegrated"))
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_declared_schemas_match_the_files(spark, sf):
+    from civic_indicators.driver.schemas import SCHEMAS
+    from pyspark.sql.types import _parse_datatype_string
+    root = f"/root/testdata/{sf}"
+    for name, ddl in SCHEMAS.items():
+        declared = _parse_datatype_string(ddl)
+        actual = spark.read.parquet(f"{root}/{name}.parquet").schema
+        assert [(f.name, f.dataType) for f in declared.fields] == [(f.name, f.dataType) for f in actual.fields], name
