@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civic_indicators.sources.scan import table
+from civic_indicators.sources.readers import table
 
 SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",

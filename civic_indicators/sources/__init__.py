@@ -3,7 +3,7 @@
 from civic_indicators.sources.headers import (
     drop_columns, normalize_headers, rename, rename_by_pattern, unique_names, with_unique_headers,
 )
-from civic_indicators.sources.scan import scan, table
+from civic_indicators.sources.readers import scan, table
 from civic_indicators.sources.sinks import write_curated, write_quarantine, write_split
 
 __all__ = [
