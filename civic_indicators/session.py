@@ -72,7 +72,9 @@ def cluster_conf(input_bytes: int, executor_cores: int, target_partition_bytes:
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    ``fallback`` is only used when the session has none (tests on one machine).
+    ``fallback`` is only used when the session has none *and* runs in local
+    mode (tests on one machine); on a cluster a machine-local folder would be
+    wrong, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -83,7 +85,10 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir()
     if fallback:
-        os.makedirs(fallback, exist_ok=True) if "://" not in fallback else None
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for this cluster")
+        if "://" not in fallback:
+            os.makedirs(fallback, exist_ok=True)
         sc.setCheckpointDir(fallback)
         return sc.getCheckpointDir()
     return None
