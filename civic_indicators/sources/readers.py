@@ -8,6 +8,7 @@ rather than inferred so the scan needs no extra pass over the data.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from civic_indicators.sources.headers import unique_names, with_unique_headers
@@ -55,9 +56,16 @@ def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = SP
 
 
 def scan(spark: SparkSession, path: str, fmt: str = "parquet",
-         schema: StructType | str | None = None, spread_rows: bool = True, **options) -> DataFrame:
+         schema: StructType | str | None = None, spread_rows: bool = True,
+         row_order: str | None = None, **options) -> DataFrame:
     """Read one landed sheet. CSV defaults to a header row; repeated headers
-    get ``.1`` suffixes like a sheet reader gives them."""
+    get ``.1`` suffixes like a sheet reader gives them.
+
+    ``row_order`` adds a column with the rows' file order (sheet row order,
+    what "first value per person" means), taken right at the scan, before
+    anything moves rows between partitions: Spark numbers each split's rows
+    in file order and orders splits by file and offset.
+    """
     reader = spark.read.format(fmt)
     if fmt == "csv":
         options.setdefault("header", "true")
@@ -69,6 +77,8 @@ def scan(spark: SparkSession, path: str, fmt: str = "parquet",
     if fmt == "csv" and str(options.get("header")).lower() == "true" and schema is None:
         df = df.toDF(*sheet_headers(spark, path, options))
     df = with_unique_headers(df)
+    if row_order:
+        df = df.withColumn(row_order, F.monotonically_increasing_id())
     return spread(df, memo_key=f"{fmt}:{path}") if spread_rows else df
 
 

@@ -105,7 +105,7 @@ def test_guidance_flow(spark):
     assert panel["men"] == 1 and panel["women"] == 1 and panel["youth"] == 1 and panel["disability"] == 1
 
 
-def test_placement_flow(spark):
+def placement_sheet(spark):
     cols = ["Mes Registro", "Gestión Vacante ", "Población", "Código Proceso", "Nombre de la Empresa",
             "Nombre de la Vacante", "Vacantes Solicitadas/Puestos de Trabajo en Plataforma",
             "Fecha Envío Hojas de Vida a la Empresa", "Fecha de Publicacion de la Vacante", "Sexo", "Edad",
@@ -122,7 +122,11 @@ def test_placement_flow(spark):
     ]
     schema = ", ".join(f"c{i} {t}" for i, t in enumerate(["string"] * 6 + ["int", "string", "timestamp"]
                                                            + ["string"] * 7))
-    raw = spark.createDataFrame(data, schema).toDF(*cols)
+    return spark.createDataFrame(data, schema).toDF(*cols)
+
+
+def test_placement_flow(spark):
+    raw = placement_sheet(spark)
     out = PL.placement(raw)
     assert out.count() == 3
     got = {r[0]: r[1:] for r in rows(out, "código_proceso", "nombre_de_la_empresa", "edad", "rango_de_edad",
