@@ -18,3 +18,8 @@ def col(name: str) -> Column:
 def as_col(c) -> Column:
     """Accept a Column or a raw (unquoted) column name."""
     return c if isinstance(c, Column) else col(c)
+
+
+def sql_string(value: str) -> str:
+    """A Spark SQL string literal (quotes and backslashes escaped)."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

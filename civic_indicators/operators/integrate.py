@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civic_indicators.functions.cols import col, quote
+from civic_indicators.functions.cols import col, quote, sql_string
 from civic_indicators.functions.text import strip
 
 _ORD = "__ord"
@@ -48,40 +48,60 @@ def person_key(c) -> Column:
     return strip(c if isinstance(c, Column) else col(c)).cast("string")
 
 
+def _order_sql(order: Sequence[str] | str) -> str:
+    order = [order] if isinstance(order, str) else list(order)
+    if len(order) == 1:
+        return quote(order[0])
+    return "named_struct(" + ", ".join(f"'o{i}', {quote(c)}" for i, c in enumerate(order)) + ")"
+
+
+# The operators below write each projected column and each aggregate as one
+# SQL expression: the same plan as the Column API, built with one JVM call per
+# expression instead of one per node.
+
 def first_values(df: DataFrame, key: str, cols: Sequence[str], order: Sequence[str] | str) -> DataFrame:
     """A1: first non-null value of each column per key, in ``order``; null keys dropped.
 
     The order key is projected once; each column keeps the value whose
     (non-null) row has the smallest order key.
     """
-    rows = df.filter(col(key).isNotNull()).select(col(key).alias(key), order_key(order).alias(_ORD),
-                                                  *[col(c) for c in cols])
-    o = F.col(_ORD)
-    aggs = [F.min_by(col(c), F.when(col(c).isNotNull(), o)).alias(c) for c in cols]
-    return rows.groupBy(key).agg(*aggs)
+    k = quote(key)
+    rows = (df.filter(col(key).isNotNull())
+              .selectExpr(f"{k} AS {k}", f"{_order_sql(order)} AS {_ORD}", *[quote(c) for c in cols]))
+    aggs = [F.expr(f"min_by({quote(c)}, CASE WHEN {quote(c)} IS NOT NULL THEN {_ORD} END) AS {quote(c)}")
+            for c in cols]
+    return rows.groupBy(col(key)).agg(*aggs)
+
+
+def _pairs_sql(names: Sequence[str], value_cols: Sequence[str]) -> str:
+    items = ", ".join(f"named_struct('{_COL}', {sql_string(n)}, '{_VAL}', {v})" for n, v in zip(names, value_cols))
+    return f"inline(array({items}))"
+
+
+def _joined_sql(name: str, sep: str) -> str:
+    return (f"array_join(transform(filter(__items, x -> x.{_COL} = {sql_string(name)} AND x.{_VAL} IS NOT NULL), "
+            f"x -> x.{_VAL}), {sql_string(sep)}) AS {quote(name)}")
+
+
+_ITEMS_SQL = (f"array_sort(collect_list(CASE WHEN {_VAL} IS NOT NULL "
+              f"THEN named_struct('{_SEEN}', {_SEEN}, '{_COL}', {_COL}, '{_VAL}', {_VAL}) END)) AS __items")
 
 
 def distinct_concat(df: DataFrame, key: str, cols: Sequence[str], order: Sequence[str] | str,
                     sep: str = ",") -> DataFrame:
     """A2: per non-null key, the distinct non-null values of each column joined
     by ``sep`` in first-seen order; '' when a key has no value in a column."""
-    o = order_key(order)
+    k = quote(key)
     cols = list(cols)
-    base = df.filter(col(key).isNotNull()).select(col(key).alias(key), o.alias(_ORD), *[col(c) for c in cols])
-    pairs = F.array(*[F.struct(F.lit(c).alias(_COL), col(c).cast("string").alias(_VAL)) for c in cols])
-    long = base.select(key, _ORD, F.inline(pairs))
+    base = (df.filter(col(key).isNotNull())
+              .selectExpr(f"{k} AS {k}", f"{_order_sql(order)} AS {_ORD}",
+                          *[f"CAST({quote(c)} AS STRING) AS __c{i}" for i, c in enumerate(cols)]))
+    long = base.selectExpr(k, _ORD, _pairs_sql(cols, [f"__c{i}" for i in range(len(cols))]))
     # Stage 1 (partial + final aggregate on key, column, value): one row per
     # distinct value; a null value keeps the key present at no extra cost.
-    seen = long.groupBy(key, _COL, _VAL).agg(F.min(_ORD).alias(_SEEN))
-    items = F.array_sort(F.collect_list(F.struct(F.col(_SEEN), F.col(_COL), F.col(_VAL))))
-    out = seen.groupBy(key).agg(items.alias("__items"))
-    exprs = [F.array_join(F.transform(F.filter("__items", _is_col(c)), lambda x: x[_VAL]), sep).alias(c)
-             for c in cols]
-    return out.select(key, *exprs)
-
-
-def _is_col(name: str):
-    return lambda x: (x[_COL] == F.lit(name)) & x[_VAL].isNotNull()
+    seen = long.groupBy(col(key), _COL, _VAL).agg(F.expr(f"min({_ORD}) AS {_SEEN}"))
+    out = seen.groupBy(col(key)).agg(F.expr(_ITEMS_SQL))
+    return out.selectExpr(k, *[_joined_sql(c, sep) for c in cols])
 
 
 def per_key(df: DataFrame, key: str, order: Sequence[str] | str, first: Sequence[str] = (),
@@ -103,27 +123,22 @@ def per_key(df: DataFrame, key: str, order: Sequence[str] | str, first: Sequence
         return first_values(df, key, first, order)
     if not first:
         return distinct_concat(df, key, concat, order, sep)
-    o = order_key(order)
-    base = df.filter(col(key).isNotNull()).select(
-        col(key).alias(key), o.alias(_ORD), *[col(c).alias(f"__f{i}") for i, c in enumerate(first)],
-        *[col(c).cast("string").alias(f"__c{i}") for i, c in enumerate(concat)])
-    pairs = F.array(*[F.struct(F.lit(c).alias(_COL), F.col(f"__c{i}").alias(_VAL)) for i, c in enumerate(concat)])
+    k = quote(key)
     fcols = [f"__f{i}" for i in range(len(first))]
-    long = base.select(key, _ORD, *fcols, F.inline(pairs))
-    lvl1 = [F.min(_ORD).alias(_SEEN)]
+    base = (df.filter(col(key).isNotNull())
+              .selectExpr(f"{k} AS {k}", f"{_order_sql(order)} AS {_ORD}",
+                          *[f"{quote(c)} AS {f}" for c, f in zip(first, fcols)],
+                          *[f"CAST({quote(c)} AS STRING) AS __c{i}" for i, c in enumerate(concat)]))
+    long = base.selectExpr(k, _ORD, *fcols, _pairs_sql(concat, [f"__c{i}" for i in range(len(concat))]))
+    lvl1 = [F.expr(f"min({_ORD}) AS {_SEEN}")]
     for f in fcols:
-        present = F.col(f).isNotNull()
-        lvl1 += [F.min_by(F.col(f), F.when(present, F.col(_ORD))).alias(f),
-                 F.min(F.when(present, F.col(_ORD))).alias(f + "_o")]
-    level1 = long.groupBy(key, _COL, _VAL).agg(*lvl1)
-    items = F.array_sort(F.collect_list(F.when(F.col(_VAL).isNotNull(),
-                                               F.struct(F.col(_SEEN), F.col(_COL), F.col(_VAL)))))
-    lvl2 = [items.alias("__items")] + [F.min_by(F.col(f), F.col(f + "_o")).alias(f) for f in fcols]
-    level2 = level1.groupBy(key).agg(*lvl2)
-    return level2.select(
-        key, *[F.col(f"__f{i}").alias(c) for i, c in enumerate(first)],
-        *[F.array_join(F.transform(F.filter("__items", _is_col(c)), lambda x: x[_VAL]), sep).alias(c)
-          for c in concat])
+        lvl1 += [F.expr(f"min_by({f}, CASE WHEN {f} IS NOT NULL THEN {_ORD} END) AS {f}"),
+                 F.expr(f"min(CASE WHEN {f} IS NOT NULL THEN {_ORD} END) AS {f}_o")]
+    level1 = long.groupBy(col(key), _COL, _VAL).agg(*lvl1)
+    lvl2 = [F.expr(_ITEMS_SQL)] + [F.expr(f"min_by({f}, {f}_o) AS {f}") for f in fcols]
+    level2 = level1.groupBy(col(key)).agg(*lvl2)
+    return level2.selectExpr(k, *[f"{f} AS {quote(c)}" for c, f in zip(first, fcols)],
+                             *[_joined_sql(c, sep) for c in concat])
 
 
 def outer_merge(left: DataFrame, right: DataFrame, on: str,
