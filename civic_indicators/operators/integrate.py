@@ -160,19 +160,17 @@ def outer_merge(left: DataFrame, right: DataFrame, on: str,
     overlap = list(overlap)
     r_only = [c for c in right.columns if c != on and c not in set(left.columns)]
     rname = {c: f"{c}__r" for c in overlap}
-    r = right.select(col(on).alias("__rk"), F.col(quote(on)).isNull().cast("int").alias("__rt"),
-                     *[col(c).alias(rname[c]) for c in overlap], *[col(c) for c in r_only])
+    k = quote(on)
+    r = right.selectExpr(f"{k} AS __rk", f"CAST({k} IS NULL AS INT) AS __rt",
+                         *[f"{quote(c)} AS {quote(rname[c])}" for c in overlap], *[quote(c) for c in r_only])
     left_keys = left.select(col(on)).filter(col(on).isNotNull()).distinct()
-    stubs = (r.select(F.col("__rk").alias(on), F.col("__rt").alias("__lt")).distinct()
-              .join(left_keys, on, "left_anti"))
+    stubs = r.selectExpr(f"__rk AS {k}", "__rt AS __lt").distinct().join(left_keys, on, "left_anti")
     widened = left.withColumn("__lt", F.lit(0)).unionByName(stubs, allowMissingColumns=True)
     cond = [col(on).eqNullSafe(F.col("__rk")), F.col("__lt") == F.col("__rt")]
     both = widened.join(r, cond, "left")
-    out = []
-    for c in left.columns:
-        out.append(F.coalesce(col(c), col(rname[c])).alias(c) if c in rname else col(c))
-    out += [col(c) for c in r_only]
-    return both.select(*out)
+    out = [f"coalesce({quote(c)}, {quote(rname[c])}) AS {quote(c)}" if c in rname else quote(c)
+           for c in left.columns]
+    return both.selectExpr(*out, *[quote(c) for c in r_only])
 
 
 def enrich(df: DataFrame, other: DataFrame, on: str, cols: Sequence[str]) -> DataFrame:

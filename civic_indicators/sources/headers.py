@@ -69,8 +69,4 @@ def rename_by_pattern(df: DataFrame, pattern: str, to: str, regex: bool = False)
 def drop_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """Drop by exact name (names with dots or spaces included)."""
     cols = [c for c in cols if c in df.columns]
-    keep = [c for c in df.columns if c not in set(cols)]
-    if not cols:
-        return df
-    from civic_indicators.functions.cols import col
-    return df.select(*[col(c) for c in keep])
+    return df.drop(*cols) if cols else df       # by exact name: dots and spaces are not parsed
