@@ -8,8 +8,18 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from civic_indicators.functions.cols import as_col
-from civic_indicators.functions.text import matches
+from civic_indicators.functions.cols import as_col, quote, sql_string
+from civic_indicators.functions.text import matches, regex
+
+
+def _sql_ok(c, rules) -> bool:
+    """Use the one-expression path for a column name and backslash-free patterns
+    (a backslash's meaning in a SQL literal depends on a session setting)."""
+    return isinstance(c, str) and not any("\\" in p or "\\" in label for p, label in rules)
+
+
+def _match_sql(name: str, pattern: str, ignore_case: bool) -> str:
+    return f"coalesce({quote(name)} RLIKE {sql_string(regex(pattern, ignore_case))}, false)"
 
 
 def label_last_match(c, rules: Sequence[tuple[str, str]], ignore_case: bool = True) -> Column:
@@ -18,6 +28,12 @@ def label_last_match(c, rules: Sequence[tuple[str, str]], ignore_case: bool = Tr
     Built as one CASE over the reversed rule list, so the whole rule set is a
     single projected expression.
     """
+    if not rules:
+        return F.lit(None).cast("string")
+    if _sql_ok(c, rules):  # one SQL expression: the same CASE, built in one JVM call
+        whens = " ".join(f"WHEN {_match_sql(c, p, ignore_case)} THEN {sql_string(label)}"
+                         for p, label in reversed(list(rules)))
+        return F.expr(f"CASE {whens} END")
     c = as_col(c)
     out = None
     for pattern, label in reversed(list(rules)):
@@ -38,6 +54,11 @@ def flag(label: str, *predicates: Column) -> Column:
 
 def labels_all(c, rules: Sequence[tuple[str, str]], ignore_case: bool = False) -> Column:
     """Every matching label in rule order, as an array; null when none match."""
+    if _sql_ok(c, rules):
+        items = ", ".join(f"CASE WHEN {_match_sql(c, p, ignore_case)} THEN {sql_string(label)} END"
+                          for p, label in rules)
+        return F.expr(f"CASE WHEN size(array_compact(array({items}))) > 0 "
+                      f"THEN array_compact(array({items})) END")
     c = as_col(c)
     arr = F.array_compact(F.array(*[F.when(matches(c, p, ignore_case), F.lit(label))
                                     for p, label in rules]))

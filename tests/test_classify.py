@@ -40,3 +40,14 @@ def test_any_flag(spark):
     df = spark.createDataFrame([(0, None, None), (1, "x", None), (2, None, "y")],
                                "i int, a string, b string").orderBy("i")
     assert [r[0] for r in rows(df.select(any_flag("a", "b")))] == [False, True, True]
+
+
+def test_name_and_column_paths_agree(spark):
+    from pyspark.sql import functions as F
+    df = texts(spark, ["discapacidad visual y física", "FÍSICA", "afro, gitano, raizal", "v.c.a", "Múltiple",
+                       None, "", "indígena; víctima; vvg", "psicosocial auditiva"])
+    for rules in (P.DISABILITY_REGISTRATION, P.DISABILITY_GUIDANCE, P.DISABILITY_PLACEMENT, P.ETHNIC_GROUPS):
+        by_name = rows(df.select(label_last_match("c", rules).alias("a"), labels_all("c", rules).alias("b")))
+        by_col = rows(df.select(label_last_match(F.col("c"), rules).alias("a"),
+                                labels_all(F.col("c"), rules).alias("b")))
+        assert by_name == by_col
