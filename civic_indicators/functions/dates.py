@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from civic_indicators.functions.cols import as_col
+from civic_indicators.functions.cols import as_col, quote, sql_string
 from civic_indicators.functions.patterns import EXCEL_MAX_SERIAL, EXCEL_ORIGIN
 from civic_indicators.functions.text import strip
 
@@ -72,14 +72,23 @@ def parse_mixed_date(c, iso_dayfirst: bool = False, trimmed: bool = False) -> Co
     strip when the caller projected a trimmed column already (keeps the
     generated code small: the text is referenced by every format).
     """
-    s = as_col(c).cast("string")
-    if not trimmed:
-        s = strip(s)
-    strict = F.when(s.rlike(_DMY_RE + "$"), F.try_to_timestamp(s, F.lit("d-M-yyyy")))
     formats = list(DAYFIRST_FORMATS)
     if iso_dayfirst:
         formats = [f for f in formats if not f[1].startswith("yyyy")]
         formats = list(ISO_DAYFIRST_FORMATS) + formats
+    if isinstance(c, str) and trimmed:  # one SQL expression, built in one JVM call
+        s, d = f"CAST({quote(c)} AS STRING)", f"translate(CAST({quote(c)} AS STRING), '/.', '--')"
+        guesses = ", ".join([f"CASE WHEN {s} RLIKE '{_DMY_RE}$' THEN try_to_timestamp({s}, 'd-M-yyyy') END"]
+                            + [f"CASE WHEN {d} RLIKE '{shape}' THEN try_to_timestamp({d}, {sql_string(f)}) END"
+                               for shape, f in formats])
+        return F.expr(f"CASE WHEN {s} IS NULL OR {s} = '' THEN CAST(NULL AS TIMESTAMP) "
+                      f"WHEN {s} RLIKE '^[0-9]+$' THEN CASE WHEN try_cast({s} AS INT) BETWEEN 0 AND {EXCEL_MAX_SERIAL} "
+                      f"THEN CAST(date_add(DATE'{EXCEL_ORIGIN}', try_cast({s} AS INT)) AS TIMESTAMP) END "
+                      f"ELSE coalesce({guesses}) END")
+    s = as_col(c).cast("string")
+    if not trimmed:
+        s = strip(s)
+    strict = F.when(s.rlike(_DMY_RE + "$"), F.try_to_timestamp(s, F.lit("d-M-yyyy")))
     dashed = F.translate(s, "/.", "--")
     guesses = [F.when(dashed.rlike(shape), F.try_to_timestamp(dashed, F.lit(f))) for shape, f in formats]
     return (F.when(s.isNull() | (s == ""), F.lit(None).cast("timestamp"))

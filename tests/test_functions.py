@@ -37,6 +37,16 @@ def test_mixed_date_parser(spark):
     assert swapped[5] == "2025-03-02"
 
 
+def test_mixed_date_parser_paths_agree(spark):
+    values = ["45678", "03-02-2025", "3-2-2025", "03/02/2025 10:20", "03/25/2025", "2025-02-03", "31-02-2025",
+              "20250203", "hola", "", None, "03.02.2025", "2025-02-03 08:00:00", "2025-02-03T08:00", "9999999999"]
+    df = one_col(spark, values)
+    for iso in (False, True):
+        by_name = rows(df.select(parse_mixed_date("v", iso, trimmed=True)))
+        by_col = rows(df.select(parse_mixed_date(F.col("v"), iso, trimmed=True)))
+        assert by_name == by_col
+
+
 def test_lenient_parse_is_month_first(spark):
     from civic_indicators.functions import to_ts_or_null
     df = one_col(spark, ["03/04/2025", "25/03/2025", "2025-03-04", "2025-03-04 10:00:00", "x", None])
