@@ -18,80 +18,76 @@ from civic_indicators.driver.schemas import driver_table as table
 MONTHS = ("Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio", "Agosto",
           "Septiembre", "Octubre", "Noviembre", "Diciembre")
 
-NBSP = "\u00a0"
-
-
 def month_name(ts: Column) -> Column:
     return F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month(ts))
 
 
-def text_date(ts: Column, style: Column) -> Column:
-    """Render a timestamp as sheet text in one of four styles (0-3)."""
-    serial = F.datediff(F.to_date(ts), F.lit("1899-12-30").cast("date")).cast("string")
-    return (F.when(style == 0, serial)
-             .when(style == 1, F.date_format(ts, "dd-MM-yyyy"))
-             .when(style == 2, F.date_format(ts, "dd/MM/yyyy HH:mm"))
-             .otherwise(F.date_format(ts, "yyyy-MM-dd")))
-
-
 def _days(ts: Column, n: Column) -> Column:
     return F.timestamp_add("DAY", n, ts)
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text_date_sql(ts: str, style: str) -> str:
+    """Render a timestamp as sheet text in one of four styles (0-3)."""
+    return (f"CASE WHEN {style} = 0 THEN CAST(datediff(to_date({ts}), DATE'1899-12-30') AS STRING) "
+            f"WHEN {style} = 1 THEN date_format({ts}, 'dd-MM-yyyy') "
+            f"WHEN {style} = 2 THEN date_format({ts}, 'dd/MM/yyyy HH:mm') "
+            f"ELSE date_format({ts}, 'yyyy-MM-dd') END")
+
+
+# The sheets below are written as SQL projections (one JVM call per sheet).
+
 def register(spark: SparkSession, root: str) -> DataFrame:
     """Registration sheet (raw headers) from orders x customer."""
     o = table(spark, root, "orders")
     c = table(spark, root, "customer")
     j = o.join(c, o.o_custkey == c.c_custkey)
-    key = F.col("o_custkey").cast("string")
-    with_time = F.concat(F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit(" "),
-                         F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit(":30"))
-    updated = _days(F.col("o_orderdate"), (F.col("o_custkey") % 45).cast("int"))
-    return j.select(
-        F.col("o_orderkey").alias("No. "),
-        F.when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P"), F.lit("nan"))
-         .when(F.col("o_orderstatus") == "F", F.concat(F.lit(" "), key, F.lit(NBSP)))
-         .otherwise(key).alias("Número Documento"),
-        F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("Tipo Documento"),
-        F.year("o_orderdate").alias("Año"),
-        F.when((F.col("o_orderkey") % 4) == 2, with_time)
-         .otherwise(text_date(F.col("o_orderdate"), F.col("o_orderkey") % 4)).alias("Fecha Registro"),
-        F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("string"))
-         .when(F.col("o_orderstatus") == "P", F.lit("sin fecha"))
-         .otherwise(text_date(updated, (F.col("o_orderkey") + 1) % 4)).alias("Fecha Actualización"),
-        F.concat_ws(", ", "o_orderpriority", "c_mktsegment").alias("Condiciones Especiales"),
-        F.col("c_name").alias("Programa de Gobierno"),
-        F.col("o_orderstatus").alias("Canal de Registro"),
-        F.col("c_mktsegment").alias("TIPO_REGISTRO"),
-        F.when(F.col("c_nationkey") % 3 == 0, F.lit(None).cast("string"))
-         .when(F.col("c_nationkey") % 3 == 1, F.lit("M")).otherwise(F.lit("F")).alias("Género"),
-        (F.floor("o_totalprice").cast("long") % 90).cast("int").alias("Edad"),
-        F.concat(F.lit("  300 "), (F.col("c_custkey") % 1000).cast("string"), F.lit("\t")).alias("Celular"),
+    key = "CAST(o_custkey AS STRING)"
+    updated = "timestampadd(DAY, CAST(o_custkey % 45 AS INT), o_orderdate)"
+    return j.selectExpr(
+        f"o_orderkey AS {_q('No. ')}",
+        f"CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN 'nan' "
+        f"WHEN o_orderstatus = 'F' THEN concat(' ', {key}, char(160)) ELSE {key} END AS {_q('Número Documento')}",
+        f"nullif(o_orderpriority, '4-NOT SPECIFIED') AS {_q('Tipo Documento')}",
+        f"year(o_orderdate) AS {_q('Año')}",
+        f"CASE WHEN o_orderkey % 4 = 2 THEN concat(date_format(o_orderdate, 'dd/MM/yyyy'), ' ', "
+        f"lpad(CAST(o_orderkey % 24 AS STRING), 2, '0'), ':30') "
+        f"ELSE {_text_date_sql('o_orderdate', 'o_orderkey % 4')} END AS {_q('Fecha Registro')}",
+        f"CASE WHEN o_orderstatus = 'O' THEN CAST(NULL AS STRING) WHEN o_orderstatus = 'P' THEN 'sin fecha' "
+        f"ELSE {_text_date_sql(updated, '(o_orderkey + 1) % 4')} END AS {_q('Fecha Actualización')}",
+        f"concat_ws(', ', o_orderpriority, c_mktsegment) AS {_q('Condiciones Especiales')}",
+        f"c_name AS {_q('Programa de Gobierno')}",
+        f"o_orderstatus AS {_q('Canal de Registro')}",
+        "c_mktsegment AS TIPO_REGISTRO",
+        f"CASE WHEN c_nationkey % 3 = 0 THEN CAST(NULL AS STRING) WHEN c_nationkey % 3 = 1 THEN 'M' ELSE 'F' END "
+        f"AS {_q('Género')}",
+        f"CAST(CAST(floor(o_totalprice) AS BIGINT) % 90 AS INT) AS {_q('Edad')}",
+        f"concat('  300 ', CAST(c_custkey % 1000 AS STRING), char(9)) AS {_q('Celular')}",
     )
 
 
-def _activity_dates(ts: Column, before: int, after: int) -> list[Column]:
-    fmt = "yyyy-MM-dd HH:mm:ss"
-    return [
-        F.date_format(_days(ts, F.lit(-before)), fmt).alias("FechaAgendamiento"),
-        F.date_format(ts, fmt).alias("FechaEjecucion"),
-        F.date_format(_days(ts, F.lit(after)), fmt).alias("FechaEvaluacion"),
-    ]
+def _activity_sql(ts: str, before: int, after: int) -> list[str]:
+    fmt = "'yyyy-MM-dd HH:mm:ss'"
+    return [f"date_format(timestampadd(DAY, -{before}, {ts}), {fmt}) AS FechaAgendamiento",
+            f"date_format({ts}, {fmt}) AS FechaEjecucion",
+            f"date_format(timestampadd(DAY, {after}, {ts}), {fmt}) AS FechaEvaluacion"]
 
 
 def sessions(spark: SparkSession, root: str) -> DataFrame:
     """Counselling sessions sheet from orders (one row per session)."""
-    o = table(spark, root, "orders")
-    return o.select(
-        F.col("o_custkey").cast("string").alias("NumeroDocumento"),
-        *_activity_dates(F.col("o_orderdate"), 3, 2),
-        F.concat(F.lit("Orientador "), F.col("o_orderstatus")).alias("UsuarioNombre"),
-        F.when(F.col("o_custkey") % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("Sexo"),
-        F.col("o_orderpriority").alias("TipoDocumento"),
-        F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("ProgramaGobierno"),
-        F.lit("Orientacion").alias("Indicador"),
-        F.when(F.col("o_orderkey") % 5 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("Ciudad "), (F.col("o_custkey") % 7).cast("string"))).alias("Ciudad"),
+    return table(spark, root, "orders").selectExpr(
+        "CAST(o_custkey AS STRING) AS NumeroDocumento",
+        *_activity_sql("o_orderdate", 3, 2),
+        "concat('Orientador ', o_orderstatus) AS UsuarioNombre",
+        "CASE WHEN o_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS Sexo",
+        "o_orderpriority AS TipoDocumento",
+        "nullif(o_orderstatus, 'P') AS ProgramaGobierno",
+        "'Orientacion' AS Indicador",
+        "CASE WHEN o_orderkey % 5 = 0 THEN CAST(NULL AS STRING) "
+        "ELSE concat('Ciudad ', CAST(o_custkey % 7 AS STRING)) END AS Ciudad",
     )
 
 
@@ -102,41 +98,37 @@ WORKSHOP_ORDER = ("orden", "linea", "proveedor", "cantidad", "precio", "descuent
 def workshops(spark: SparkSession, root: str) -> DataFrame:
     """Workshop attendance sheet from lineitem; same headers as the sessions
     sheet plus the sheet's own row-order columns."""
-    li = table(spark, root, "lineitem")
-    return li.select(
-        F.col("l_partkey").cast("string").alias("NumeroDocumento"),
-        *_activity_dates(F.col("l_shipdate"), 7, 1),
-        F.concat(F.lit("Tallerista "), F.col("l_suppkey").cast("string")).alias("UsuarioNombre"),
-        F.when(F.col("l_partkey") % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("Sexo"),
-        F.nullif(F.col("l_returnflag"), F.lit("N")).alias("TipoDocumento"),
-        F.concat(F.col("l_linestatus"), F.lit("-"), F.col("l_returnflag")).alias("ProgramaGobierno"),
-        F.lit("Taller").alias("Indicador"),
-        F.when(F.col("l_linenumber") == 1, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("Ciudad "), F.col("l_linenumber").cast("string"))).alias("Ciudad"),
-        F.col("l_orderkey").alias("Orden"), F.col("l_linenumber").alias("Linea"),
-        F.col("l_suppkey").alias("Proveedor"), F.col("l_quantity").alias("Cantidad"),
-        F.col("l_extendedprice").alias("Precio"), F.col("l_discount").alias("Descuento"),
-        F.col("l_tax").alias("Impuesto"), F.col("l_returnflag").alias("Marca"),
-        F.col("l_linestatus").alias("Estado"),
+    return table(spark, root, "lineitem").selectExpr(
+        "CAST(l_partkey AS STRING) AS NumeroDocumento",
+        *_activity_sql("l_shipdate", 7, 1),
+        "concat('Tallerista ', CAST(l_suppkey AS STRING)) AS UsuarioNombre",
+        "CASE WHEN l_partkey % 2 = 0 THEN 'M' ELSE 'F' END AS Sexo",
+        "nullif(l_returnflag, 'N') AS TipoDocumento",
+        "concat(l_linestatus, '-', l_returnflag) AS ProgramaGobierno",
+        "'Taller' AS Indicador",
+        "CASE WHEN l_linenumber = 1 THEN CAST(NULL AS STRING) "
+        "ELSE concat('Ciudad ', CAST(l_linenumber AS STRING)) END AS Ciudad",
+        "l_orderkey AS Orden", "l_linenumber AS Linea", "l_suppkey AS Proveedor", "l_quantity AS Cantidad",
+        "l_extendedprice AS Precio", "l_discount AS Descuento", "l_tax AS Impuesto", "l_returnflag AS Marca",
+        "l_linestatus AS Estado",
     )
 
 
 def counsellor_log(spark: SparkSession, root: str) -> DataFrame:
     """Counsellor log sheet from events: two 'NUMERO' headers (the second is
     the person) and a header-less column."""
-    e = table(spark, root, "events")
-    age = F.concat(F.floor(F.col("value")).cast("long").cast("string"), F.lit(".5"))
-    return e.select(
-        F.col("event_id").alias("FILA"),
-        F.month("ts").alias("MES"),
-        F.col("event_id").cast("string").alias("NUMERO"),
-        F.col("user_id").cast("string").alias("NUMERO"),
-        F.date_format("ts", "yyyy-MM-dd").alias("FECHA"),
-        F.concat(F.lit("Psicologa "), (F.col("user_id") % 3).cast("string")).alias("ORIENTADOR"),
-        F.when(F.col("event_type") == "error", F.lit("desconocida")).otherwise(age).alias("EDAD"),
-        F.upper(F.col("event_type")).alias("POBLACIÓN"),
-        F.col("props").alias("TALLER FIS"),
-        F.lit(None).cast("string").alias("Unnamed: 22"),
+    return table(spark, root, "events").selectExpr(
+        "event_id AS FILA",
+        "month(ts) AS MES",
+        "CAST(event_id AS STRING) AS NUMERO",
+        "CAST(user_id AS STRING) AS NUMERO",
+        "date_format(ts, 'yyyy-MM-dd') AS FECHA",
+        "concat('Psicologa ', CAST(user_id % 3 AS STRING)) AS ORIENTADOR",
+        "CASE WHEN event_type = 'error' THEN 'desconocida' "
+        "ELSE concat(CAST(CAST(floor(value) AS BIGINT) AS STRING), '.5') END AS EDAD",
+        f"upper(event_type) AS {_q('POBLACIÓN')}",
+        f"props AS {_q('TALLER FIS')}",
+        f"CAST(NULL AS STRING) AS {_q('Unnamed: 22')}",
     )
 
 
