@@ -202,6 +202,9 @@ def mark_ids(df: DataFrame, ids: DataFrame, on: str, name: str = "in_ids") -> Da
     """J5 in one pass: every row of ``df`` with a flag telling whether its id is
     in ``ids`` (the semi and the anti join of ``keep_ids``/``drop_ids`` as one
     left join against the distinct ids)."""
-    hits = ids.select(col(on)).filter(col(on).isNotNull()).distinct().withColumn("__hit", F.lit(True))
-    return (df.join(hits, on, "left")
-              .withColumn(name, F.coalesce(F.col("__hit"), F.lit(False))).drop("__hit"))
+    hits = (ids.filter(col(on).isNotNull()).select(col(on).alias("__id")).distinct()
+               .withColumn("__hit", F.lit(True)))
+    # null-safe comparison (ids has no nulls): the distinct ids are shuffled by
+    # the join key, so a hot id on ``df`` can be split, as in ``enrich``
+    return (df.join(hits, col(on).eqNullSafe(F.col("__id")), "left")
+              .withColumn(name, F.coalesce(F.col("__hit"), F.lit(False))).drop("__hit", "__id"))

@@ -56,5 +56,11 @@ def test_hot_key_join_is_split_and_whole(spark):
         enriched = enrich(sessions, per_person, "k", ["v"])
         assert len(enriched.collect()) == n
         assert "skew=true" in enriched._jdf.queryExecution().executedPlan().toString()
+        from civic_indicators.operators import mark_ids
+        marked = mark_ids(sessions, workshops.select("k"), "k")
+        got = marked.collect()
+        assert "skew=true" in marked._jdf.queryExecution().executedPlan().toString()
+        assert len(got) == n and sum(r["in_ids"] for r in got) == sum(1 for r in got if r["k"] in
+                                                                         {"hot"} | {str(i) for i in range(700)})
     finally:
         _restore(spark, old)
