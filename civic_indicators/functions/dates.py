@@ -141,6 +141,11 @@ def stamp_date(run_date: str | _dt.date | None = None) -> Column:
     return F.lit(str(run_date)).cast("date")
 
 
+def stamp(df, run_date: str | _dt.date | None = None, column: str = "run_date"):
+    """The run date as a column of ``df``."""
+    return df.withColumn(column, stamp_date(run_date))
+
+
 def period(c, year: int, month: int | None = None) -> Column:
     """A calendar month (or year) as a half-open range on the raw column.
 

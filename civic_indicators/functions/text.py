@@ -59,3 +59,6 @@ def concat_present(a, b, sep: str = ", ") -> Column:
     """``a<sep>b`` when both are present, else whichever is present (null if neither)."""
     a, b = as_col(a), as_col(b)
     return F.when(a.isNotNull() | b.isNotNull(), F.concat_ws(sep, a, b))
+
+
+append_text = concat_present  # P18 under its report name

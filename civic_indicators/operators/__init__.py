@@ -11,7 +11,8 @@ from civic_indicators.operators.clean import (
     null_sentinels, null_values, project, recode, replace_columns, sort_by, split_valid, where_equals,
 )
 from civic_indicators.operators.integrate import (
-    distinct_concat, drop_ids, enrich, first_values, keep_ids, mark_ids, outer_merge, per_key, person_key,
+    coalesce_join, distinct_concat, drop_ids, enrich, first_per_key, first_values, keep_ids, mark_ids,
+    outer_by_person, outer_merge, per_key, person_key,
 )
 
 __all__ = [
@@ -22,4 +23,5 @@ __all__ = [
     "lower_strings", "missing_any", "null_sentinels", "null_values", "project", "recode",
     "replace_columns", "sort_by", "split_valid", "where_equals", "distinct_concat", "drop_ids", "enrich",
     "first_values", "keep_ids", "mark_ids", "outer_merge", "per_key", "person_key",
+    "coalesce_join", "first_per_key", "outer_by_person",
 ]

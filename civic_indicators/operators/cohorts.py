@@ -58,3 +58,34 @@ def with_counsellor(month_col: str, month: int, year_col: str, year: int, counse
 def until(column: str, cutoff) -> Column:
     """P20: on or before a cut-off (a date, or yyyy-MM-dd text on a text column)."""
     return col(column) <= F.lit(cutoff)
+
+
+def age_group(age, lo=None, hi=None, hi_inclusive: bool = False, min_age=None) -> Column:
+    """Guarded numeric range on ages (elders >= 60, adults 29-59, youth <= 28)."""
+    from civic_indicators.operators.aggregate import age_predicate
+    return age_predicate(age, lo, hi, hi_inclusive, min_age)
+
+
+def any_population(*label_cols: str) -> Column:
+    """(g): at least one population label present."""
+    from civic_indicators.functions.classify import any_flag
+    return any_flag(*label_cols)
+
+
+# The named cohorts of the reports, by name -> builder.
+COHORTS = {
+    "vacancy_month": lambda column, month_name: equals(column, month_name),                  # (a)
+    "sent": lambda date_col, month, year=None: in_month(date_col, month, year),              # (b)
+    "placed": placed,                                                                        # (c)
+    "guided": month_number_is,                                                               # (d)
+    "workshop": month_number_is,                                                             # (e)
+    "registration": registration_cohort,                                                     # (f)
+    "any_population": any_population,                                                        # (g)
+    "has_label": present,                                                                    # (h)
+    "with_counsellor": with_counsellor,                                                      # (i)
+}
+
+
+def cohort(name: str, *args, **params) -> Column:
+    """A named cohort predicate, e.g. ``cohort("sent", "fecha_envio", 4)``."""
+    return COHORTS[name](*args, **params)

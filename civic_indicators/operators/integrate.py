@@ -73,6 +73,9 @@ def first_values(df: DataFrame, key: str, cols: Sequence[str], order: Sequence[s
     return rows.groupBy(col(key)).agg(*aggs)
 
 
+first_per_key = first_values  # A1 under its report name
+
+
 def _pairs_sql(names: Sequence[str], value_cols: Sequence[str]) -> str:
     items = ", ".join(f"named_struct('{_COL}', {sql_string(n)}, '{_VAL}', {v})" for n, v in zip(names, value_cols))
     return f"inline(array({items}))"
@@ -173,6 +176,27 @@ def outer_merge(left: DataFrame, right: DataFrame, on: str,
     return both.selectExpr(*out, *[quote(c) for c in r_only])
 
 
+outer_by_person = outer_merge  # J1 under its report name
+
+
+def coalesce_join(left: DataFrame, right: DataFrame, on: str, how: str = "full_outer",
+                  cols: Sequence[str] | None = None) -> DataFrame:
+    """Join on ``on`` and merge overlapping columns (left value unless null).
+
+    ``how='full_outer'`` is ``outer_merge``; other join types keep the
+    columns of both sides and coalesce the overlapping ones after the join.
+    """
+    if how in ("full_outer", "outer", "full"):
+        return outer_merge(left, right, on, cols)
+    overlap = list(cols) if cols is not None else [c for c in left.columns if c in set(right.columns) and c != on]
+    r_only = [c for c in right.columns if c != on and c not in set(left.columns)]
+    r = right.selectExpr(quote(on), *[f"{quote(c)} AS {quote(c + '__r')}" for c in overlap], *[quote(c) for c in r_only])
+    joined = left.join(r, on, how)
+    keep = [f"coalesce({quote(c)}, {quote(c + '__r')}) AS {quote(c)}" if c in overlap else quote(c)
+            for c in [on] + [c for c in left.columns if c != on]]
+    return joined.selectExpr(*keep, *[quote(c) for c in r_only])
+
+
 def enrich(df: DataFrame, other: DataFrame, on: str, cols: Sequence[str]) -> DataFrame:
     """Left join a few columns of a table with one row per key.
 

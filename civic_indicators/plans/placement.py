@@ -194,3 +194,19 @@ def disability_posts(rows: DataFrame, month_name: str) -> DataFrame:
 def disability_placements(rows: DataFrame, month_name: str, by: str = EMPLOYER) -> DataFrame:  # noqa: D401
     """Placed people with a disability label per employer (or per vacancy)."""
     return value_counts(rows, by, placed_in(month_name) & present("discapacidad"))
+
+
+def disability_report(rows: DataFrame, month: int, month_name: str, year: int | None = None,
+                      labels: Sequence[str] = tuple(l for _, l in P.DISABILITY_PLACEMENT)) -> dict[str, DataFrame]:
+    """The disability report of a month, as named tables: CVs sent with a
+    disability label, the sent and placed pivots, posts per employer and
+    placements per employer and per vacancy."""
+    from civic_indicators.operators.aggregate import count_flag
+    return {
+        "sent_with_disability": rows.agg(count_flag("discapacidad", sent(month, year)).alias("count")),
+        "sent_pivot": disability_pivot(rows, sent(month, year), labels),
+        "placed_pivot": disability_pivot(rows, placed_in(month_name), labels),
+        "posts_per_employer": disability_posts(rows, month_name),
+        "placed_per_employer": disability_placements(rows, month_name),
+        "placed_per_vacancy": disability_placements(rows, month_name, VACANCY),
+    }

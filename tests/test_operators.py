@@ -148,3 +148,35 @@ def test_id_sets(spark):
     assert sorted(r[0] for r in rows(drop_ids(df, ids, "id"), "v")) == ["b", "d"]
     assert sorted(rows(mark_ids(df, ids, "id"), "v", "in_ids")) == [("a", True), ("b", False), ("c", True),
                                                                     ("d", False)]
+
+
+def test_coalesce_join_other_join_types(spark):
+    from civic_indicators.operators import coalesce_join
+    left = spark.createDataFrame([("1", None, 10), ("2", "l2", 20)], "k string, v string, a int")
+    right = spark.createDataFrame([("1", "r1", "x"), ("3", "r3", "y")], "k string, v string, b string")
+    assert sorted(rows(coalesce_join(left, right, "k", "left"), "k", "v", "a", "b")) == [
+        ("1", "r1", 10, "x"), ("2", "l2", 20, None)]
+    assert rows(coalesce_join(left, right, "k", "inner"), "k", "v", "a", "b") == [("1", "r1", 10, "x")]
+    assert len(rows(coalesce_join(left, right, "k"), "k")) == 3          # full outer
+
+
+def test_named_cohorts_and_stamp(spark):
+    import datetime as dt
+    from civic_indicators.functions import stamp
+    from civic_indicators.operators.cohorts import age_group, cohort
+    df = spark.createDataFrame([(dt.date(2025, 4, 2), 1, "abril", 30), (dt.date(2024, 4, 9), 0, "abril", 61)],
+                               "d date, placed int, m string, age int")
+    got = rows(df.select(cohort("sent", "d", 4).alias("a"), cohort("sent", "d", 4, 2025).alias("b"),
+                         cohort("placed", "placed", "m", "abril").alias("c"), age_group("age", 29, 60).alias("e")))
+    assert got == [(True, True, True, True), (True, False, False, False)]
+    assert rows(stamp(df, "2025-01-31").select(F.col("run_date").cast("string")).distinct()) == [("2025-01-31",)]
+
+
+def test_disability_report_tables(spark):
+    from civic_indicators.plans import placement as PL
+    from tests.test_flows import placement_sheet
+    report = PL.disability_report(PL.placement(placement_sheet(spark)), 4, "abril")
+    assert set(report) == {"sent_with_disability", "sent_pivot", "placed_pivot", "posts_per_employer",
+                           "placed_per_employer", "placed_per_vacancy"}
+    assert report["sent_with_disability"].first()["count"] == 1
+    assert rows(report["placed_per_employer"], "nombre_de_la_empresa", "count") == [("acme", 1)]
