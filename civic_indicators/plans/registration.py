@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from civic_indicators.functions import patterns as P
 from civic_indicators.functions.classify import flag, label_last_match, labels_all
 from civic_indicators.functions.cols import col
-from civic_indicators.functions.dates import day_text, latest, parse_mixed_date, to_day
+from civic_indicators.functions.dates import day_text, latest, parse_mixed_date, stamp, to_day
 from civic_indicators.functions.text import matches, strip
 from civic_indicators.operators.aggregate import PanelSpec, indicator_panel, monthly_panels
 from civic_indicators.operators.clean import clean_text, missing_any, null_sentinels, replace_columns, split_valid
@@ -116,14 +116,17 @@ def population_labels(condition, programme, document, rules: RegistrationRules =
     }
 
 
-def registration(raw: DataFrame, year: int | None = None,
+def registration(raw: DataFrame, year: int | None = None, run_date=None,
                  rules: RegistrationRules = RegistrationRules(),
                  text_columns: Sequence[str] = TEXT_COLUMNS,
                  iso_dayfirst: bool = False) -> tuple[DataFrame, DataFrame]:
     """L1: (valid, rejected). Rejected rows miss the document type or number
-    (a 'nan' cell counts as missing); valid rows of ``year`` get dates and labels."""
+    (a 'nan' cell counts as missing) and carry ``run_date`` when one is given;
+    valid rows of ``year`` get dates and labels."""
     df, reject = prepare(raw, rules, text_columns)
     valid, rejected = split_valid(df, reject)
+    if run_date is not None:
+        rejected = stamp(rejected, run_date)
     if year is not None:
         valid = valid.filter(F.coalesce(col(YEAR) == F.lit(year), F.lit(False)))
     return classify(valid, rules, iso_dayfirst), rejected

@@ -34,8 +34,9 @@ def register(spark):
 
 
 def test_registration_flow(spark):
-    valid, rejected = R.registration(register(spark), year=2025)
+    valid, rejected = R.registration(register(spark), year=2025, run_date="2025-04-01")
     assert sorted(r[0] for r in rows(rejected, "no._")) == [3, 4]
+    assert {str(r[0]) for r in rows(rejected, "run_date")} == {"2025-04-01"}
     got = {r[0]: r[1:] for r in rows(valid, "no._", "fecha_accion", "grupos_etnicos", "vca", "discapacidad",
                                        "migrante", "vvg", "reincorporados", "teléfono")}
     assert set(got) == {1, 2, 6}
