@@ -1,12 +1,13 @@
 """L2 guidance flow: counselling sessions + workshops + registrations +
 counsellor log -> one row per session (and per workshop-only person).
 
-Shuffle plan: the three per-person aggregates each hash-partition on the
-person key; ``enrich`` joins reuse that partitioning on the aggregate side.
-The full outer merge of sessions with workshops runs as left join + anti
-join (see ``operators.integrate.outer_merge``), so a person with a huge
-number of sessions can be split by adaptive skew handling. Small aggregates
-are broadcast by adaptive execution once their measured size allows it.
+Shuffle plan: each per-person aggregate is one two-level aggregation on the
+person key (``per_key``). The full outer merge of sessions with workshops
+runs as one left join that reads the workshops aggregate once
+(``operators.integrate.outer_merge``), and the two enrichments compare keys
+null-safely (``enrich``): in all three joins a person with a huge number of
+sessions can be split by adaptive skew handling. Small aggregates are
+broadcast by adaptive execution once their measured size allows it.
 """
 
 from __future__ import annotations
