@@ -65,7 +65,10 @@ def cluster_conf(input_bytes: int, executor_cores: int, target_partition_bytes:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
-        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        # Planning-time broadcast uses file-size estimates (compressed bytes):
+        # keep it small; the runtime conversion measures the shuffled side.
+        "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     }
 
 
