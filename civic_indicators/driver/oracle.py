@@ -474,6 +474,12 @@ def sql_guidance() -> str:
     return f"WITH {GUIDE_ROWS} SELECT {cols} FROM gp"
 
 
+def sql_guided_listing() -> str:
+    return (f"WITH {GUIDE_ROWS} SELECT numerodocumento, orientador, discapacidad FROM gp "
+            f"WHERE mes_orientado = {Q.GUIDE_MONTH} AND \"año_orientado\" = {Q.GUIDE_YEAR} "
+            f"AND orientador IS NOT NULL AND discapacidad IS NOT NULL")
+
+
 def sql_guidance_panels() -> str:
     flags = {"disability": "discapacidad", "vca": "vca", "vvg": "vvg", "migrant": "migrante",
              "ethnic": "grupos_etnicos", "reintegrated": "reincorporados"}
@@ -593,6 +599,7 @@ def oracle() -> dict[str, str]:
         "registration_panels": sql_registration_panels(),
         "population_labels": sql_population_labels(),
         "disability_report_sent": sql_disability_report_sent(),
+        "guided_listing": sql_guided_listing(),
         "event_value_sums": """SELECT event_type, CAST(coalesce(sum(CAST(value AS DECIMAL(18, 2))), 0) AS DOUBLE) AS total
             FROM events WHERE ts < TIMESTAMP '2024-01-16' AND event_type IS NOT NULL GROUP BY 1
             UNION ALL SELECT 'ALL', CAST(coalesce(sum(CAST(value AS DECIMAL(18, 2))) FILTER (WHERE ts < TIMESTAMP '2024-01-16'), 0)

@@ -444,6 +444,16 @@ def q_guidance_panels(spark, root):
     return G.month_panels(guidance_people(spark, root), GUIDE_MONTH, GUIDE_YEAR)
 
 
+def q_guided_listing(spark, root):
+    """P15 (i) + P19: people guided in the month by a named counsellor who carry a
+    disability label, listed by person and counsellor."""
+    from civic_indicators.operators.cohorts import cohort, present
+    people = guidance_people(spark, root)
+    f = cohort("with_counsellor", "mes_orientado", GUIDE_MONTH, "año_orientado", GUIDE_YEAR, "orientador")
+    return project(people.filter(f & present("discapacidad")),
+                   ["numerodocumento", "orientador", "discapacidad"])
+
+
 PLACE_OUT = ("mes_registro", "gestión_vacante_", "código_proceso", "nombre_de_la_empresa",
              "puestos_de_trabajo_en_plataforma", "fecha_envío_hojas_de_vida_a_la_empresa", "sexo",
              "edad", "rango_de_edad", "condicion", "convenio", "nivel_educativo", "colocado",
@@ -590,4 +600,5 @@ QUERIES = {
     "population_labels": q_population_labels,
     "disability_report_sent": q_disability_report_sent,
     "event_value_sums": q_event_value_sums,
+    "guided_listing": q_guided_listing,
 }
