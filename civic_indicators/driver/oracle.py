@@ -17,7 +17,9 @@ def strip(x: str) -> str:
     return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
 
 
-def m(x: str, pattern: str, i: bool = False) -> str:
+def m(x: str, pattern, i: bool = False) -> str:
+    if isinstance(pattern, (tuple, list)):
+        return "(" + " OR ".join(m(x, p, i) for p in pattern) + ")"
     flags = ", 'i'" if i else ""
     return f"coalesce(regexp_matches({x}, '{pattern}'{flags}), false)"
 

@@ -62,7 +62,7 @@ VCA_LABEL = "VCA"
 VCA_LABEL_PLACEMENT = "vca"
 
 # Gender violence.
-VVG_CONDITION = "viole|vvg"
+VVG_CONDITION = ("viole", "vvg")
 VVG_CONDITION_PLACEMENT = "vvg|violencia|mch"
 VVG_LABEL = "vvg"
 
@@ -71,7 +71,7 @@ MIGRANT_CONDITION = "migr|retor"
 MIGRANT_DOCUMENT_REGISTRATION = "acional|ermiso|tranje"
 MIGRANT_DOCUMENT_GUIDANCE = "dni|ppt|ce"
 MIGRANT_LABEL = "Migrante o Retornado"
-MIGRANT_CONDITION_PLACEMENT = "igran|etorn"
+MIGRANT_CONDITION_PLACEMENT = ("igran", "etorn")
 MIGRANT_LABEL_PLACEMENT = "Migrante y/o retronado"
 
 # Reintegrated people.

@@ -50,8 +50,15 @@ def regex(pattern: str, ignore_case: bool = False) -> str:
     return ("(?iu)" if ignore_case else "") + pattern
 
 
-def matches(c, pattern: str, ignore_case: bool = False) -> Column:
-    """True when the pattern occurs anywhere in the text; null text gives false."""
+def matches(c, pattern, ignore_case: bool = False) -> Column:
+    """True when the pattern (or any of a tuple of patterns) occurs anywhere in
+    the text; null text gives false."""
+    if isinstance(pattern, (tuple, list)):
+        out = None
+        for p in pattern:
+            m = matches(c, p, ignore_case)
+            out = m if out is None else (out | m)
+        return out if out is not None else F.lit(False)
     return F.coalesce(as_col(c).rlike(regex(pattern, ignore_case)), F.lit(False))
 
 

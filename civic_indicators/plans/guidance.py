@@ -58,7 +58,7 @@ class GuidanceRules:
     migrant_condition: str = P.MIGRANT_CONDITION
     migrant_document: str = P.MIGRANT_DOCUMENT_GUIDANCE
     migrant_label: str = P.MIGRANT_LABEL
-    vvg_condition: str = P.VVG_CONDITION
+    vvg_condition: str | tuple[str, ...] = P.VVG_CONDITION
     vvg_label: str = P.VVG_LABEL
     reintegrated_condition: str = P.REINTEGRATED_CONDITION
     reintegrated_label: str = P.REINTEGRATED_LABEL

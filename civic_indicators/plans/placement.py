@@ -58,7 +58,7 @@ class PlacementRules:
     vca_label: str = P.VCA_LABEL_PLACEMENT
     vvg_condition: str = P.VVG_CONDITION_PLACEMENT
     vvg_label: str = P.VVG_LABEL
-    migrant_condition: str = P.MIGRANT_CONDITION_PLACEMENT
+    migrant_condition: str | tuple[str, ...] = P.MIGRANT_CONDITION_PLACEMENT
     migrant_label: str = P.MIGRANT_LABEL_PLACEMENT
     ethnic: Sequence[tuple[str, str]] = P.ETHNIC_GROUPS
     ethnic_label: str = P.ETHNIC_ANY_LABEL
