@@ -38,6 +38,13 @@ def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = SP
     ``cores x maxPartitionBytes`` has enough splits, so at scale nothing is
     planned or listed on the driver and no shuffle is added. Only small
     inputs have their split count checked.
+
+    Rows are hash-partitioned on their scan position (``monotonically_increasing_id``,
+    fixed for a given file split) rather than round-robin: round-robin sorts
+    each input partition first to stay repeatable on retries, which here
+    would mean sorting the whole file in one task. Spark marks this shuffle
+    indeterminate and re-runs the whole map stage if a retry is needed.
+    Column pruning and filters still pass below it.
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
@@ -50,9 +57,13 @@ def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = SP
         else:
             decision = df._jdf.rdd().getNumPartitions() < want
         if key is None:
-            return df.repartition(want) if decision else df
+            return _spread(df, want) if decision else df
         _SPREAD_DECISIONS[key] = decision
-    return df.repartition(want) if _SPREAD_DECISIONS[key] else df
+    return _spread(df, want) if _SPREAD_DECISIONS[key] else df
+
+
+def _spread(df: DataFrame, want: int) -> DataFrame:
+    return df.repartition(want, F.monotonically_increasing_id())
 
 
 def scan(spark: SparkSession, path: str, fmt: str = "parquet",
