@@ -16,11 +16,16 @@ WHITESPACE_CLASS = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 _EDGE_SPACE = f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$"
+# The same set as characters, for ``trim`` (no regular expression needed).
+WHITESPACE_CHARS = "".join(
+    [chr(x) for x in range(0x09, 0x0E)] + [chr(x) for x in range(0x1C, 0x21)]
+    + ["\x85", "\xa0", "\u1680"] + [chr(x) for x in range(0x2000, 0x200B)]
+    + ["\u2028", "\u2029", "\u202f", "\u205f", "\u3000"])
 
 
 def strip(c) -> Column:
     """Remove leading and trailing white space of every Unicode kind."""
-    return F.regexp_replace(as_col(c), _EDGE_SPACE, "")
+    return F.trim(as_col(c), F.lit(WHITESPACE_CHARS))
 
 
 def clean(c, lower: bool = False) -> Column:

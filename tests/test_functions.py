@@ -21,6 +21,17 @@ def test_strip_removes_every_unicode_space(spark):
     assert [r[0] for r in rows(df.select(strip("v")))] == ["a", "b", "c", "d", None, ""]
 
 
+def test_strip_matches_python_strip_on_every_space(spark):
+    from civic_indicators.functions.text import _EDGE_SPACE, WHITESPACE_CHARS
+    assert all(ch.isspace() for ch in WHITESPACE_CHARS)
+    assert {c for c in map(chr, range(0x3001)) if c.isspace()} == set(WHITESPACE_CHARS)
+    values = [f"{a}x y{b}" for a in WHITESPACE_CHARS for b in WHITESPACE_CHARS[::3]] + ["", "  ", "a", None]
+    df = one_col(spark, values)
+    got = rows(df.select(strip("v"), F.regexp_replace("v", _EDGE_SPACE, "")))
+    assert all(a == b for a, b in got)
+    assert [r[0] for r in got[:-4]] == [v.strip() for v in values[:-4]]
+
+
 def test_only_exact_sentinel_becomes_null(spark):
     df = one_col(spark, ["nan", " nan", None, ""])
     assert [r[0] for r in rows(df.select(null_if_in("v", ["nan"])))] == [None, " nan", None, ""]
