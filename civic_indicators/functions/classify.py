@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from civic_indicators.functions.cols import as_col, quote, sql_string
-from civic_indicators.functions.text import matches, regex
+from civic_indicators.functions.text import is_plain, matches, regex
 
 
 def _sql_ok(c, rules) -> bool:
@@ -19,6 +19,8 @@ def _sql_ok(c, rules) -> bool:
 
 
 def _match_sql(name: str, pattern: str, ignore_case: bool) -> str:
+    if not ignore_case and is_plain(pattern):
+        return f"coalesce(contains({quote(name)}, {sql_string(pattern)}), false)"
     return f"coalesce({quote(name)} RLIKE {sql_string(regex(pattern, ignore_case))}, false)"
 
 

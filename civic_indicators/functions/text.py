@@ -55,6 +55,15 @@ def regex(pattern: str, ignore_case: bool = False) -> str:
     return ("(?iu)" if ignore_case else "") + pattern
 
 
+_REGEX_META = set(".^$*+?()[]{}|\\")
+
+
+def is_plain(pattern: str) -> bool:
+    """A pattern without regex syntax: a case-sensitive search for it is a
+    substring test, which needs no regex engine."""
+    return bool(pattern) and not (set(pattern) & _REGEX_META)
+
+
 def matches(c, pattern, ignore_case: bool = False) -> Column:
     """True when the pattern (or any of a tuple of patterns) occurs anywhere in
     the text; null text gives false."""
@@ -64,6 +73,8 @@ def matches(c, pattern, ignore_case: bool = False) -> Column:
             m = matches(c, p, ignore_case)
             out = m if out is None else (out | m)
         return out if out is not None else F.lit(False)
+    if not ignore_case and is_plain(pattern):
+        return F.coalesce(as_col(c).contains(pattern), F.lit(False))
     return F.coalesce(as_col(c).rlike(regex(pattern, ignore_case)), F.lit(False))
 
 

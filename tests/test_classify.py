@@ -51,3 +51,15 @@ def test_name_and_column_paths_agree(spark):
         by_col = rows(df.select(label_last_match(F.col("c"), rules).alias("a"),
                                 labels_all(F.col("c"), rules).alias("b")))
         assert by_name == by_col
+
+
+
+def test_plain_patterns_use_substring_search(spark):
+    from pyspark.sql import functions as F
+    from civic_indicators.functions.text import is_plain
+    assert is_plain("rein") and is_plain("indí") and not is_plain("v.c.a") and not is_plain("a|b")
+    df = texts(spark, ["reincorporado", "REIN", None, "armado", "x.y"])
+    for p in ("rein", "armado", "x.y", "REIN"):
+        fast = [r[0] for r in rows(df.select(matches("c", p)))]
+        slow = [r[0] for r in rows(df.select(F.coalesce(F.col("c").rlike(p), F.lit(False))))]
+        assert fast == slow
