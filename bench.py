@@ -35,7 +35,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    spark = get_spark(f"local[{cpus}]", app="civic_bench", shuffle_partitions=int(cpus) * 2,
+    spark = get_spark(f"local[{cpus}]", app="civic_bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2)),
                       extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     times, errors = {}, {}
