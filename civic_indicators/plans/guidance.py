@@ -32,11 +32,12 @@ from civic_indicators.sources.headers import (
     drop_columns, normalize_headers, rename, rename_by_pattern, with_unique_headers,
 )
 
+# FIXED VALUES: sheet columns and headers of the guidance sources, as the source names them.
 KEY = "numerodocumento"
 DATES = ("fechaagendamiento", "fechaejecucion", "fechaevaluacion")
 STAFF = "usuarionombre"
 
-# Source headers of the other two sheets.
+# Headers of the other two sheets.
 REG_KEY_HEADER = "Número Documento"
 REG_PROGRAMME = "Programa de Gobierno"
 REG_CONDITION = "Condiciones Especiales"

@@ -26,6 +26,8 @@ from civic_indicators.operators.cohorts import equals, in_month, placed, present
 from civic_indicators.session import materialize
 from civic_indicators.sources.headers import normalize_headers, rename
 
+# FIXED VALUES: placement sheet columns (after header normalisation) and the
+# text columns lower-cased and trimmed, as the source names them.
 SENT_DATE = "fecha_envío_hojas_de_vida_a_la_empresa"
 PUBLISHED = "fecha_de_publicacion_de_la_vacante"
 POSTS = "puestos_de_trabajo_en_plataforma"
@@ -39,7 +41,6 @@ PLACED_MONTH = "mes_de_colocación_en_plataforma"
 CONDITION = "condicion"
 EMPTY_ROW_KEYS = ("mes_registro", "gestión_vacante_", "población", "código_proceso")
 
-# Columns lower-cased and trimmed.
 TEXT_COLUMNS = (
     "mes_registro", "convenio", "gestión_vacante_", "población", "código_proceso",
     "nombre_de_la_empresa", "nombre_de_la_vacante", "nombre_del_candidato", "nivel_educativo",

@@ -42,7 +42,8 @@ class RegistrationRules:
     sentinels: Sequence[str] = P.SENTINELS
 
 
-# Register columns after header normalisation.
+# FIXED VALUES: register columns (after header normalisation), the text
+# columns trimmed first, and the published cohorts, as the source names them.
 DOC_NUMBER = "número_documento"
 DOC_TYPE = "tipo_documento"
 YEAR = "año"
@@ -139,7 +140,7 @@ PANEL = PanelSpec(
     age_col=AGE,
 )
 
-# The three published panels: (channel, record type).
+# FIXED VALUES: the three published panels, (channel, record type).
 COHORTS = {
     "self_registered_new": ("Autoregistro", "Registro_nuevo"),
     "agency_new": ("Agencia", "Registro_nuevo"),
