@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from civic_indicators.driver import standins as S
 from civic_indicators.driver.schemas import SCHEMAS, driver_table
 from civic_indicators.functions import (
-    any_flag, band, concat_present, day_text, digits_or_null, flag, iso_week, iso_year, label_last_match,
+    any_flag, band, concat_present, day_from_text, day_text, digits_or_null, flag, iso_week, iso_year, label_last_match,
     labels_all, latest, matches, month_of, parse_mixed_date, period, round_half_even, to_day,
     to_number, to_ts, to_ts_or_null, year_of,
 )
@@ -23,6 +23,7 @@ from civic_indicators.operators import (
     union_ids, value_counts, where_equals,
 )
 from civic_indicators.operators.aggregate import age_predicate
+from civic_indicators.operators.cohorts import until
 from civic_indicators.operators.integrate import mark_ids
 from civic_indicators.plans import guidance as G
 from civic_indicators.plans import placement as PL
@@ -224,7 +225,7 @@ def q_cohort_filter(spark, root):
     o = _t(spark, root, "orders").withColumn("age", (F.floor("o_totalprice").cast("long") % 90))
     o = where_equals(o, {"o_orderstatus": "F"})
     o = o.filter(period("o_orderdate", 1996, 3) & age_predicate("age", 29, 60)
-                 & (F.col("o_orderdate") <= F.lit("1998-01-01").cast("timestamp")))
+                 & until("o_orderdate", "1998-01-01"))
     return project(o, ["o_orderkey", "o_custkey", "age"])
 
 
@@ -266,7 +267,7 @@ def q_date_parts(spark, root):
     s = F.col("l_shipdate")
     return li.select("l_orderkey", "l_linenumber",
                      day_text(last).alias("latest_day"),
-                     (F.to_date(day_text(last)) == last).alias("text_roundtrip"),
+                     (day_from_text(day_text(last)) == last).alias("text_roundtrip"),
                      month_of(s).alias("month"), year_of(s).alias("year"),
                      iso_week(s).alias("iso_week"), iso_year(s).alias("iso_year"))
 
