@@ -376,7 +376,7 @@ def q_sums(spark, root):
     coh = F.col("mes_registro") == PLACE_MONTH_NAME
     per = sum_by(rows, "nombre_de_la_empresa", "puestos_de_trabajo_en_plataforma", coh, "posts")
     total = rows.agg(F.lit("TOTAL").alias("nombre_de_la_empresa"),
-                     F.coalesce(F.sum(F.when(coh, F.col("puestos_de_trabajo_en_plataforma"))), F.lit(0)).alias("posts"))
+                     sum_where("puestos_de_trabajo_en_plataforma", coh).alias("posts"))
     return per.withColumn("posts", F.col("posts").cast("long")).unionByName(
         total.withColumn("posts", F.col("posts").cast("long")))
 
