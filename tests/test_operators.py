@@ -180,3 +180,13 @@ def test_disability_report_tables(spark):
                            "placed_per_employer", "placed_per_vacancy"}
     assert report["sent_with_disability"].first()["count"] == 1
     assert rows(report["placed_per_employer"], "nombre_de_la_empresa", "count") == [("acme", 1)]
+
+
+def test_fixture_rows_for_concat_and_panel_ages(spark):
+    df = spark.createDataFrame([("p", 1, "u"), ("p", 2, "u"), ("p", 3, "w"), ("p", 4, None),
+                                ("q", 1, None), ("q", 2, None)], "key string, o int, v string")
+    assert dict(rows(distinct_concat(df, "key", ["v"], "o"), "key", "v")) == {"p": "u,w", "q": ""}
+    spec = PanelSpec(sex_col="s", male="m", female="f", flags={}, age_col="a")
+    ages = spark.createDataFrame([("m", 28), ("f", 29), ("m", 59), ("f", 60), ("m", 0)], "s string, a int")
+    got = dict(rows(indicator_panel(ages, F.lit(True), spec), "indicator", "value"))
+    assert (got["youth"], got["adults"], got["elders"]) == (2, 2, 1)
