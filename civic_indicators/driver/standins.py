@@ -9,8 +9,7 @@ inputs in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from civic_indicators.driver.schemas import driver_table as table
 
@@ -18,13 +17,6 @@ from civic_indicators.driver.schemas import driver_table as table
 MONTHS = ("Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio", "Agosto",
           "Septiembre", "Octubre", "Noviembre", "Diciembre")
 
-def month_name(ts: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month(ts))
-
-
-def _days(ts: Column, n: Column) -> Column:
-    return F.timestamp_add("DAY", n, ts)
-
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -134,33 +126,29 @@ def counsellor_log(spark: SparkSession, root: str) -> DataFrame:
 
 def placement_sheet(spark: SparkSession, root: str) -> DataFrame:
     """Placement sheet (raw headers) from lineitem: one row per candidate sent."""
-    li = table(spark, root, "lineitem")
-    first = F.col("l_linenumber") == 1
-    n = F.col("l_returnflag") == "N"
-    return li.select(
-        F.when(first & n, F.lit(None).cast("string")).otherwise(month_name(F.col("l_shipdate"))).alias("Mes Registro"),
-        F.when(first, F.lit(None).cast("string")).otherwise(F.concat(F.lit("Gestion "), F.col("l_linestatus"))).alias("Gestión Vacante "),
-        F.when(n, F.lit(None).cast("string")).otherwise(F.col("l_returnflag")).alias("Población"),
-        F.when(first & n, F.lit("nan")).otherwise(F.col("l_orderkey").cast("string")).alias("Código Proceso"),
-        F.when(F.col("l_suppkey") % 10 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("Proveedor "), F.col("l_suppkey").cast("string"))).alias("Nombre de la Empresa"),
-        F.concat(F.lit("Cargo "), (F.col("l_partkey") % 50).cast("string")).alias("Nombre de la Vacante"),
-        F.concat(F.lit("Candidato "), F.col("l_partkey").cast("string")).alias("Nombre del Candidato"),
-        F.col("l_quantity").cast("int").alias("Vacantes Solicitadas/Puestos de Trabajo en Plataforma"),
-        F.when((F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 2), F.lit("pendiente"))
-         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("Fecha Envío Hojas de Vida a la Empresa"),
-        _days(F.col("l_shipdate"), F.lit(-10)).alias("Fecha de Publicacion de la Vacante"),
-        F.when(F.col("l_returnflag") == "A", F.lit("M")).when(F.col("l_returnflag") == "R", F.lit("F"))
-         .otherwise(F.lit(" F ")).alias("Sexo"),
-        F.when(F.col("l_linenumber") == 3, F.lit(None).cast("string"))
-         .when(F.col("l_linenumber") == 4, F.lit("x"))
-         .otherwise((F.floor("l_extendedprice").cast("long") % 80).cast("string")).alias("Edad"),
-        F.when(F.col("l_linenumber") == 5, F.lit("Ninguna"))
-         .otherwise(F.concat(F.col("l_returnflag"), F.col("l_linestatus"), F.lit(" tipo "),
-                             (F.col("l_partkey") % 7).cast("string"))).alias("Condicion"),
-        F.when(F.col("l_tax") == 0, F.lit("Ninguno"))
-         .otherwise(F.concat(F.lit("Convenio "), F.col("l_linestatus"))).alias("Convenio"),
-        F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("Nivel Educativo"),
-        F.when(F.col("l_linestatus") == "F", F.lit("1")).when(n, F.lit("si")).otherwise(F.lit("0")).alias("Colocado"),
-        month_name(_days(F.col("l_shipdate"), F.lit(20))).alias("Mes de Colocación en Plataforma"),
+    months = "array(" + ", ".join(f"'{m}'" for m in MONTHS) + ")"
+    first, n = "l_linenumber = 1", "l_returnflag = 'N'"
+    return table(spark, root, "lineitem").selectExpr(
+        f"CASE WHEN {first} AND {n} THEN CAST(NULL AS STRING) ELSE element_at({months}, month(l_shipdate)) END "
+        f"AS {_q('Mes Registro')}",
+        f"CASE WHEN {first} THEN CAST(NULL AS STRING) ELSE concat('Gestion ', l_linestatus) END AS {_q('Gestión Vacante ')}",
+        f"CASE WHEN {n} THEN CAST(NULL AS STRING) ELSE l_returnflag END AS {_q('Población')}",
+        f"CASE WHEN {first} AND {n} THEN 'nan' ELSE CAST(l_orderkey AS STRING) END AS {_q('Código Proceso')}",
+        f"CASE WHEN l_suppkey % 10 = 0 THEN CAST(NULL AS STRING) ELSE concat('Proveedor ', CAST(l_suppkey AS STRING)) END "
+        f"AS {_q('Nombre de la Empresa')}",
+        f"concat('Cargo ', CAST(l_partkey % 50 AS STRING)) AS {_q('Nombre de la Vacante')}",
+        f"concat('Candidato ', CAST(l_partkey AS STRING)) AS {_q('Nombre del Candidato')}",
+        f"CAST(l_quantity AS INT) AS {_q('Vacantes Solicitadas/Puestos de Trabajo en Plataforma')}",
+        f"CASE WHEN l_linestatus = 'O' AND l_linenumber = 2 THEN 'pendiente' ELSE date_format(l_shipdate, 'yyyy-MM-dd') END "
+        f"AS {_q('Fecha Envío Hojas de Vida a la Empresa')}",
+        f"timestampadd(DAY, -10, l_shipdate) AS {_q('Fecha de Publicacion de la Vacante')}",
+        f"CASE WHEN l_returnflag = 'A' THEN 'M' WHEN l_returnflag = 'R' THEN 'F' ELSE ' F ' END AS Sexo",
+        f"CASE WHEN l_linenumber = 3 THEN CAST(NULL AS STRING) WHEN l_linenumber = 4 THEN 'x' "
+        f"ELSE CAST(CAST(floor(l_extendedprice) AS BIGINT) % 80 AS STRING) END AS Edad",
+        f"CASE WHEN l_linenumber = 5 THEN 'Ninguna' "
+        f"ELSE concat(l_returnflag, l_linestatus, ' tipo ', CAST(l_partkey % 7 AS STRING)) END AS Condicion",
+        f"CASE WHEN l_tax = 0 THEN 'Ninguno' ELSE concat('Convenio ', l_linestatus) END AS Convenio",
+        f"concat(l_returnflag, l_linestatus) AS {_q('Nivel Educativo')}",
+        f"CASE WHEN l_linestatus = 'F' THEN '1' WHEN {n} THEN 'si' ELSE '0' END AS Colocado",
+        f"element_at({months}, month(timestampadd(DAY, 20, l_shipdate))) AS {_q('Mes de Colocación en Plataforma')}",
     )
