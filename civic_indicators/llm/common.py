@@ -223,3 +223,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         was = now
     return e.select(F.col("a").alias("id"), F.col("b").alias("component_id")).union(
         e.select(F.col("b"), F.col("b")).distinct())
+
+
+def without(docs: DataFrame, ids: DataFrame, column: str, log2_bits: int = 24) -> DataFrame:
+    """``docs`` less the rows whose ``column`` is in ``ids`` (one bigint column).
+
+    Rows that a fixed-size filter rules out pass where they are; only the others,
+    about as many as ``ids``, are shuffled for the exact anti-join. Null keys stay.
+    """
+    key, flag = fresh(docs, "_key", "_flag")
+    gone = ids.select(F.col(ids.columns[0]).cast("bigint").alias(key)).where(f"{key} is not null").distinct()
+    marked = docs.withColumn(flag, F.coalesce(maybe_in(docs, column, gone, key, log2_bits), F.lit(False)))
+    clear = marked.where(~F.col(flag)).drop(flag)
+    left = marked.where(F.col(flag)).drop(flag).join(gone, q(column).cast("bigint") == F.col(key), "left_anti")
+    return clear.unionByName(left)

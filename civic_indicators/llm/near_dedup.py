@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civic_indicators.llm.common import (LOW32, MASK, WordHashes, components, fresh, hash_words, maybe_in, mix, q,
-                                         shingle_hashes, stage, words)
+                                         shingle_hashes, stage, without, words)
 
 
 @dataclass(frozen=True)
@@ -225,6 +225,5 @@ def near_groups(docs: DataFrame, p: NearDedup = NearDedup(), text: str = "text",
 
 def drop_near(docs: DataFrame, p: NearDedup = NearDedup(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without the documents that are not the smallest id of their group."""
-    gone = stage(near_groups(docs, p, text, doc_id).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    key = fresh(docs, "_gone")[0]
-    return docs.join(gone.withColumnRenamed("_gone", key), q(doc_id).cast("bigint") == F.col(key), "left_anti")
+    gone = stage(near_groups(docs, p, text, doc_id).where(~F.col("kept")).select("doc_id"), "gone")
+    return without(docs, gone, doc_id)

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from civic_indicators.llm.exact_dedup import exact_groups
 from civic_indicators.llm.near_dedup import NearDedup, near_groups
+from civic_indicators.llm.quality import quality
+from civic_indicators.llm.toxicity import toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,11 +19,20 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), NearDedup(k=4, pct=80))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_near_dedup": op1_near_dedup, "op5_exact_dedup": op5_exact_dedup}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {"op1_near_dedup": op1_near_dedup, "op3_quality": op3_quality, "op5_exact_dedup": op5_exact_dedup,
+           "op10_toxicity": op10_toxicity}
 
 ORACLE = {
     "op5_exact_dedup": """
