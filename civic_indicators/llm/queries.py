@@ -5,7 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from civic_indicators.llm.decontaminate import contaminated
 from civic_indicators.llm.exact_dedup import exact_groups
+from civic_indicators.llm.langid import identify
+from civic_indicators.llm.mixing import MixParams, mix
 from civic_indicators.llm.near_dedup import NearDedup, near_groups
 from civic_indicators.llm.quality import quality
 from civic_indicators.llm.toxicity import toxicity
@@ -15,24 +18,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The mixture that is asked for: domains by source, languages within, sources within these.
+MIXTURE = MixParams(
+    levels=("CASE WHEN source IN ('src0', 'src1', 'src2', 'src3', 'src4') THEN 'web' "
+            "WHEN source IN ('src5', 'src6', 'src7', 'src8', 'src9', 'src10', 'src11') THEN 'reference' ELSE 'other' END",
+            "lang", "source"),
+    weights={("web",): 5, ("reference",): 3, ("other",): 2,
+             ("web", "en"): 4, ("web", "de"): 2, ("reference", "en"): 3, ("other", "es"): 2, ("other", "en"): 0,
+             ("web", "en", "src0"): 3},
+    share=(1, 2), max_epochs=4, seed="mix-1")
+
+
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), NearDedup(k=4, pct=80))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), MIXTURE).selectExpr(
+        "doc_id", "mix_level_0 AS domain", "mix_level_1 AS lang", "mix_level_2 AS source", "mix_tokens AS n_tokens", "mix_epoch AS epoch")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op1_near_dedup": op1_near_dedup, "op3_quality": op3_quality, "op5_exact_dedup": op5_exact_dedup,
-           "op10_toxicity": op10_toxicity}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_mixing, op3_quality, op4_langid, op5_exact_dedup,
+                                   op7_decontamination, op10_toxicity, pipeline)}
 
 ORACLE = {
     "op5_exact_dedup": """
