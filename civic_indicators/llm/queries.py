@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from civic_indicators.llm.decontaminate import contaminated
 from civic_indicators.llm.exact_dedup import exact_groups
+from civic_indicators.llm.html_text import extract
 from civic_indicators.llm.langid import identify
+from civic_indicators.llm.lm_score import score
 from civic_indicators.llm.mixing import MixParams, mix
 from civic_indicators.llm.near_dedup import NearDedup, near_groups
 from civic_indicators.llm.quality import quality
@@ -54,6 +56,14 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,7 +74,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_mixing, op3_quality, op4_langid, op5_exact_dedup,
-                                   op7_decontamination, op10_toxicity, pipeline)}
+                                   op7_decontamination, op8_html_text, op9_lm_score, op10_toxicity, pipeline)}
 
 ORACLE = {
     "op5_exact_dedup": """
