@@ -4,6 +4,7 @@ parameters, over its whole table; and their SQL where SQL can express them."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from civic_indicators.llm.decontaminate import contaminated
 from civic_indicators.llm.exact_dedup import exact_groups
@@ -12,6 +13,7 @@ from civic_indicators.llm.langid import identify
 from civic_indicators.llm.lm_score import score
 from civic_indicators.llm.mixing import MixParams, mix
 from civic_indicators.llm.near_dedup import NearDedup, near_groups
+from civic_indicators.llm.pii import pseudonymise
 from civic_indicators.llm.quality import quality
 from civic_indicators.llm.toxicity import toxicity
 
@@ -52,6 +54,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_found", F.array_join("kinds", ",").alias("kinds"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -74,7 +80,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_mixing, op3_quality, op4_langid, op5_exact_dedup,
-                                   op7_decontamination, op8_html_text, op9_lm_score, op10_toxicity, pipeline)}
+                                   op6_pii, op7_decontamination, op8_html_text, op9_lm_score, op10_toxicity, pipeline)}
 
 ORACLE = {
     "op5_exact_dedup": """
