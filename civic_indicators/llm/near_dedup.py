@@ -18,8 +18,12 @@ No bucket is expanded into all its pairs at once. Texts with equal sets are one
 class from the start. Then, in rounds, each class is checked against the smallest
 class of each component it meets in a bucket and does not belong to yet, and
 verified links merge components; a group of near copies collapses to one component
-in the first round. What remains in a bucket are classes of different components;
-their pairs are all checked in the end, so no link between different texts is lost.
+in the first round. What remains in buckets are classes of different components. They
+are joined exactly by prefix filtering: shingles are ordered from rare to common (by
+counts in a fixed number of slots, so ties and collisions only change the order), sets
+that reach the similarity share one of their first n - ceil(pct * n / 100) + 1 shingles,
+and every pair of different components that shares one is verified. A passage or line
+that many texts have in common is not among their rare shingles and makes no pairs.
 
 Results: a null or blank text has an empty set and no link; a null id is linked
 with nothing and kept; rows of one id are one document; an empty table gives an
@@ -36,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civic_indicators.llm.common import (LOW32, MASK, WordHashes, components, fresh, hash_words, maybe_in, mix, q,
-                                         shingle_hashes, stage, without, words)
+                                         shingle_hashes, slot_counts, stage, without, words)
 
 
 @dataclass(frozen=True)
@@ -169,6 +173,23 @@ def verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     return two.select("a", "b", "s", "s2").mapInArrow(run, "a bigint, b bigint")
 
 
+def rare_prefixes(sets: DataFrame, pct: int, log2_slots: int = 20) -> DataFrame:
+    """(rep, n, component_id, w): the shingles of each set, from the rarest, that a set of the similarity must share one of."""
+    shared = sets.sparkSession.sparkContext.broadcast(slot_counts(sets.select("s"), log2_slots))
+    low = np.uint64((1 << log2_slots) - 1)
+
+    def run(batches):
+        for batch in batches:
+            for i in range(len(batch)):
+                x = np.frombuffer(batch.column("s")[i].as_py(), np.uint64)
+                n = len(x)
+                order = np.lexsort((x, shared.value[(x & low).astype(np.int64)]))[:n + (-pct * n) // 100 + 1]
+                w = x[order].view(np.int64)
+                yield pa.record_batch({c: pa.array(np.full(len(w), batch.column(c)[i].as_py(), np.int64)) for c in ("rep", "n", "component_id")} | {"w": pa.array(w)})
+
+    return sets.select("rep", "n", "component_id", "s").mapInArrow(run, "rep bigint, n bigint, component_id bigint, w bigint")
+
+
 def near_groups(docs: DataFrame, p: NearDedup = NearDedup(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, class_id."""
     sig = stage(signatures(docs, p, text, doc_id), "sig")
@@ -201,12 +222,16 @@ def near_groups(docs: DataFrame, p: NearDedup = NearDedup(), text: str = "text",
         grown = components(links)
         comp = stage(member.select("rep").distinct().join(grown, member.rep == grown.id, "left")
                      .select("rep", F.coalesce("component_id", "rep").alias("component_id")), "comp")
-    # The rest: pairs of a bucket that lie in different components, each once.
+    # The rest: classes that share a bucket with another component, joined by their rare shingles.
     placed = member.join(comp, "rep")
     mixed = placed.groupBy("bucket").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo <> hi")
-    placed = stage(placed.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed")
-    x, y = placed.alias("x"), placed.alias("y")
-    rest = (x.join(y, F.expr("x.bucket = y.bucket and x.component_id > y.component_id and "
+    apart = placed.join(mixed.select("bucket"), "bucket", "left_semi").select("rep", "n", "component_id").distinct()
+    apart = stage(apart.join(sets, F.col("rep") == F.col("id")).select("rep", "n", "component_id", "s"), "apart")
+    word = stage(rare_prefixes(apart, p.pct), "prefixes")
+    shared = word.groupBy("w").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo <> hi")
+    word = word.join(shared.select("w"), "w", "left_semi")
+    x, y = word.alias("x"), word.alias("y")
+    rest = (x.join(y, F.expr("x.w = y.w and x.component_id > y.component_id and "
                              f"100 * least(x.n, y.n) >= {p.pct} * greatest(x.n, y.n)"))
             .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
     seen = checked.select("a", "b").union(checked.select("b", "a"))
@@ -215,7 +240,7 @@ def near_groups(docs: DataFrame, p: NearDedup = NearDedup(), text: str = "text",
     comp = components(links)
     by_class = classes.select("d1", "d2", "n", "rep").join(comp, classes.rep == comp.id, "left").select(
         "d1", "d2", "n", F.col("rep").alias("class_id"), F.coalesce("component_id", "rep").alias("component_id"))
-    by_class = stage(by_class, "byclass").repartition("d1", "d2", "n")
+    by_class = stage(by_class, "byclass")
     out = sig.select("doc_id", "n", "d1", "d2").join(by_class, ["d1", "d2", "n"], "left")
     cid = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), cid.alias("component_id"),
