@@ -77,9 +77,10 @@ def exact_groups(docs: DataFrame, index: DigestIndex | None = None, batch: str =
     index = index or DigestIndex(docs.sparkSession)
     index.add(docs, batch, text, doc_id)
     own = docs.select(q(doc_id).cast("bigint").alias("doc_id"), text_digest(q(text)).alias("text_sha256"))
-    # A left join whose document side adaptive execution can split at a hot digest.
-    found = index.entries().select(F.col("digest").alias("text_sha256"), "keep_id", "group_size", "batch")
-    found = found.repartition("text_sha256")
+    # Read as plain files, so that both sides are shuffled for the join and adaptive execution can
+    # split the document side at a hot digest.
+    found = index.spark.read.schema(f"{index.COLUMNS}, batch STRING").parquet(index.path)
+    found = found.select(F.col("digest").alias("text_sha256"), "keep_id", "group_size", "batch")
     out = own.join(found, "text_sha256", "left")
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("batch") == batch)
     return out.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
