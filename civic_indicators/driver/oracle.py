@@ -207,9 +207,24 @@ SQL_SIMPLE = {
     "enrich_left": """SELECT o.o_orderkey, c.c_mktsegment, n.n_name FROM orders o
         LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""",
     "value_counts": "SELECT event_type, count(*) AS count FROM events GROUP BY 1",
-    "column_frequencies": """SELECT 'o_orderstatus' AS "column", o_orderstatus AS value, count(*) AS count FROM orders GROUP BY 2
-        UNION ALL SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders GROUP BY 2
-        UNION ALL SELECT 'o_custkey', CAST(o_custkey AS VARCHAR), count(*) FROM orders GROUP BY 2""",
+    "column_frequencies": " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {e} AS value, count(*) AS count FROM orders WHERE {e} IS NOT NULL GROUP BY 2" for c, e in (
+            ("o_orderkey", "CAST(o_orderkey AS VARCHAR)"), ("o_custkey", "CAST(o_custkey AS VARCHAR)"), ("o_orderstatus", "o_orderstatus"),
+            ("o_totalprice", "CAST(o_totalprice AS VARCHAR)"), ("o_orderdate", "strftime(o_orderdate, '%Y-%m-%d')"),
+            ("o_orderpriority", "o_orderpriority"))),
+    "id_sets": """WITH ids AS (SELECT c_custkey FROM customer WHERE c_acctbal < 0 UNION SELECT c_custkey FROM customer WHERE c_nationkey < 5),
+        o AS (SELECT o_orderkey, o_custkey IN (SELECT c_custkey FROM ids) AS hit FROM orders)
+        SELECT CASE WHEN hit THEN 'kept' ELSE 'dropped' END AS part, o_orderkey FROM o
+        UNION ALL SELECT 'marked_' || CASE WHEN hit THEN 'true' ELSE 'false' END, o_orderkey FROM o""",
+    "unparsed_dates": """SELECT style, day, CAST(sum(bad) AS BIGINT) AS unparsed, count(*) AS rows FROM (
+        SELECT o_orderkey % 7 AS style, CASE WHEN o_orderkey % 7 < 4 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day,
+            CASE WHEN o_orderkey % 7 = 4 THEN 1 ELSE 0 END AS bad FROM orders) GROUP BY 1, 2""",
+    "sorted_types": """SELECT event_type, count, CAST(row_number() OVER (ORDER BY count DESC, event_type) AS INTEGER) AS place
+        FROM (SELECT event_type, count(*) AS count FROM events WHERE event_type IS NOT NULL GROUP BY 1)""",
+    "person_keys": """SELECT person, count(*) AS rows, count(age) AS ages, max(age) AS oldest FROM (
+        SELECT CASE WHEN o_orderkey % 5 > 1 THEN CAST(o_custkey AS VARCHAR) END AS person,
+            CASE WHEN o_orderkey % 5 <> 3 THEN CAST(CASE WHEN (o_custkey % 90) % 2 = 0 THEN o_custkey % 90 ELSE o_custkey % 90 + 1 END AS INTEGER) END AS age
+        FROM orders) GROUP BY 1""",
     "pivot_counts": f"""SELECT rango_de_edad, p_brand, {', '.join(f"count(*) FILTER (WHERE p_type = '{t}') AS {t}" for t in Q.TYPE_LABELS)}
         FROM (SELECT {age_band('(p_size * 2 - 2)')} AS rango_de_edad, p_brand, p_type FROM part)
         WHERE rango_de_edad IS NOT NULL AND p_brand IS NOT NULL AND p_type IS NOT NULL GROUP BY 1, 2""",
@@ -510,6 +525,15 @@ def sql_disability_vacancies() -> str:
             f"AND discapacidad IS NOT NULL AND nombre_de_la_vacante IS NOT NULL GROUP BY 1")
 
 
+def sql_text_posts() -> str:
+    posts = "CASE WHEN puestos_de_trabajo_en_plataforma = 13 THEN NULL ELSE puestos_de_trabajo_en_plataforma END"
+    month = f"mes_registro = '{Q.PLACE_MONTH_NAME}'"
+    return (f"WITH {PLACE_ROWS} SELECT 'deduped' AS what, '' AS name, CAST(coalesce(sum(most), 0) AS BIGINT) AS posts FROM "
+            f"(SELECT max({posts}) AS most FROM pl WHERE {month} GROUP BY \"código_proceso\") "
+            f"UNION ALL SELECT 'employer', nombre_de_la_empresa, CAST(coalesce(sum({posts}), 0) AS BIGINT) FROM pl "
+            f"WHERE {month} AND discapacidad IS NOT NULL AND nombre_de_la_empresa IS NOT NULL GROUP BY 2")
+
+
 def sql_vacancy_summary_dedup() -> str:
     m = f"mes_registro = '{Q.PLACE_MONTH_NAME}'"
     return (f"WITH {PLACE_ROWS} SELECT (SELECT {dwn('nombre_de_la_empresa')} FROM pl WHERE {m}) AS employers, "
@@ -602,6 +626,7 @@ def oracle() -> dict[str, str]:
         "population_labels": sql_population_labels(),
         "disability_report_sent": sql_disability_report_sent(),
         "guided_listing": sql_guided_listing(),
+        "text_posts": sql_text_posts(),
         "event_value_sums": """SELECT event_type, CAST(coalesce(sum(CAST(value AS DECIMAL(18, 2))), 0) AS DOUBLE) AS total
             FROM events WHERE ts < TIMESTAMP '2024-01-16' AND event_type IS NOT NULL GROUP BY 1
             UNION ALL SELECT 'ALL', CAST(coalesce(sum(CAST(value AS DECIMAL(18, 2))) FILTER (WHERE ts < TIMESTAMP '2024-01-16'), 0)

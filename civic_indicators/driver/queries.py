@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civic_indicators.driver import standins as S
@@ -14,17 +14,17 @@ from civic_indicators.driver.schemas import SCHEMAS, driver_table
 from civic_indicators.functions import (
     any_flag, band, concat_present, day_from_text, day_text, digits_or_null, flag, iso_week, iso_year, label_last_match,
     labels_all, latest, matches, month_of, parse_mixed_date, period, round_half_even, to_day,
-    to_number, to_ts, to_ts_or_null, year_of,
+    to_number, to_ts, to_ts_or_null, unparsed, year_of,
 )
 from civic_indicators.operators import (
     assign_where, clean_text, column_frequencies, daily_counts, distinct_values, distinct_with_null,
     drop_empty, empty_to_null, enrich, fill, lower_strings, null_sentinels,
-    null_values, outer_merge, per_key, pivot_counts, preview, profile, project, recode, sum_by, sum_where,
-    union_ids, value_counts, where_equals,
+    null_values, outer_merge, per_key, person_key, pivot_counts, preview, profile, project, recode, sort_by,
+    sums, union_ids, value_counts, where_equals,
 )
 from civic_indicators.operators.aggregate import age_predicate
 from civic_indicators.operators.cohorts import until
-from civic_indicators.operators.integrate import mark_ids
+from civic_indicators.operators.integrate import drop_ids, keep_ids, mark_ids
 from civic_indicators.plans import guidance as G
 from civic_indicators.plans import placement as PL
 from civic_indicators.plans import registration as R
@@ -66,6 +66,7 @@ PLACE_RULES = PL.PlacementRules(
 )
 PLACE_LABELS = ("Final", "Abierto", "Bajo")
 PLACE_MONTH, PLACE_MONTH_NAME = 4, "abril"
+MONTH_NAMES = ("ene", "feb", "mar", "abr", "may", "jun", "jul", "ago", "sep", "oct", "nov", "dic")
 
 DOC_LABELS = (("the ", "Inglés"), ("ÜBER|sch", "Alemán"), ("ÉT|eau|ç", "Francés"),
               ("ción|ñ", "Español"), ("license", "Licencia"))
@@ -127,14 +128,66 @@ def q_misdated_audit(spark, root):
 
 
 def q_quarantine_split(spark, root):
-    """P13 + U1 + J5: ids missing type or number (union of two id sets) mark the
-    register's rows rejected, the rest valid (membership by one left join)."""
-    df, _ = R.prepare(S.register(spark, root), REG_RULES)
-    df = df.withColumnRenamed("no._", "row_id")
-    ids = union_ids(df.filter(F.col("tipo_documento").isNull()).select("row_id"),
-                    df.filter(F.col("número_documento").isNull()).select("row_id"))
-    marked = mark_ids(df.select("row_id"), ids, "row_id", "rejected")
-    return marked.select("row_id", F.when(F.col("rejected"), F.lit("rejected")).otherwise(F.lit("valid")).alias("status"))
+    """The register's rows, valid or rejected by the flow's own test, in one pass."""
+    df, reject = R.prepare(S.register(spark, root), REG_RULES)
+    return df.select(F.col("`no._`").alias("row_id"), F.when(reject, F.lit("rejected")).otherwise(F.lit("valid")).alias("status"))
+
+
+def q_id_sets(spark, root):
+    """U1 + J5: orders of customers in either of two id sets, of the others, and all of them marked."""
+    c = _t(spark, root, "customer")
+    ids = union_ids(c.filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("o_custkey")),
+                    c.filter(F.col("c_nationkey") < 5).select(F.col("c_custkey").alias("o_custkey")))
+    o = _t(spark, root, "orders").select("o_orderkey", "o_custkey")
+    part = lambda df, name: df.select(F.lit(name).alias("part"), "o_orderkey")
+    marked = mark_ids(o, ids, "o_custkey", "hit")
+    return (part(keep_ids(o, ids, "o_custkey"), "kept").unionByName(part(drop_ids(o, ids, "o_custkey"), "dropped"))
+            .unionByName(marked.select(F.concat(F.lit("marked_"), F.col("hit").cast("string")).alias("part"), "o_orderkey")))
+
+
+def q_unparsed_dates(spark, root):
+    """D3: cells that hold text but no date, per rendered shape (with the shapes of q_parse_dates and more)."""
+    o = _t(spark, root, "orders")
+    d, style = F.col("o_orderdate"), F.col("o_orderkey") % 7
+    text = (F.when(style == 0, F.date_format(d, "yyyy-MM-dd HH:mm:ss.S")).when(style == 1, F.date_format(d, "d/M/yy"))
+             .when(style == 2, F.concat(F.date_format(d, "dd-"), F.element_at(F.array(*[F.lit(m) for m in MONTH_NAMES]), F.month(d)), F.date_format(d, "-yyyy")))
+             .when(style == 3, F.concat(F.date_format(d, "dd/MM/yyyy"), F.lit(" 10:20:00 PM")))
+             .when(style == 4, F.lit("pendiente")).when(style == 5, F.lit(" ")))
+    return o.select(style.alias("style"), day_text(parse_mixed_date(text)).alias("day"), unparsed(text).alias("bad")).groupBy("style", "day").agg(
+        F.sum(F.col("bad").cast("int")).alias("unparsed"), F.count(F.lit(1)).alias("rows"))
+
+
+def q_sorted_types(spark, root):
+    """T1 + T2: event types by falling frequency, ties by name, with their place in that order."""
+    counts = value_counts(_t(spark, root, "events"), "event_type", sort=False)
+    ranked = counts.withColumn("place", F.row_number().over(Window.orderBy(F.desc("count"), "event_type")))
+    return sort_by(ranked, "place")
+
+
+def q_person_keys(spark, root):
+    """Q18 + P10: person numbers as written in sheets (blank, sentinel, padded) and ages that overflow an int."""
+    o = _t(spark, root, "orders")
+    k = F.col("o_orderkey") % 5
+    number = (F.when(k == 0, F.lit("  ")).when(k == 1, F.lit("nan")).when(k == 2, F.concat(F.lit(" "), F.col("o_custkey").cast("string"), F.lit(" ")))
+               .otherwise(F.col("o_custkey").cast("string")))
+    age = F.when(k == 3, F.lit("3001234567")).otherwise(F.concat((F.col("o_custkey") % 90).cast("string"), F.lit(".5")))
+    rows = o.select("o_orderkey", person_key(number).alias("person"), round_half_even(age).alias("age"))
+    return rows.groupBy("person").agg(F.count(F.lit(1)).alias("rows"), F.count("age").alias("ages"), F.max("age").alias("oldest"))
+
+
+def q_text_posts(spark, root):
+    """L4 + L7 on a placement sheet landed as text: posts '9' and '10', a junk cell and a junk publication date."""
+    sheet = S.placement_sheet(spark, root)
+    posts = [c for c in sheet.columns if "puestos" in c.lower()][0]
+    pub = [c for c in sheet.columns if "publicacion" in c.lower().replace("ó", "o") and "fecha" in c.lower()][0]
+    whole = F.col(f"`{posts}`").cast("double").cast("long").cast("string")
+    text = sheet.withColumn(posts, F.when(whole == "13", F.lit("sin dato")).otherwise(whole)).withColumn(
+        pub, F.coalesce(F.date_format(F.col(f"`{pub}`"), "dd/MM/yyyy"), F.lit("pronto")))
+    rows = PL.placement(text, rules=PLACE_RULES)
+    one = PL.vacancy_summary(rows, PLACE_MONTH_NAME, dedupe_key="código_proceso").select(
+        F.lit("deduped").alias("what"), F.lit("").alias("name"), F.col("posts").cast("long").alias("posts"))
+    per = PL.disability_posts(rows, PLACE_MONTH_NAME).select(F.lit("employer").alias("what"), F.col(PL.EMPLOYER).alias("name"), F.col("posts").cast("long").alias("posts"))
+    return one.unionByName(per)
 
 
 def q_sink_roundtrip(spark, root):
@@ -374,11 +427,8 @@ def q_sums(spark, root):
     """A9 + A10: posts per employer for the month, plus the month total."""
     rows = placement_rows(spark, root)
     coh = F.col("mes_registro") == PLACE_MONTH_NAME
-    per = sum_by(rows, "nombre_de_la_empresa", "puestos_de_trabajo_en_plataforma", coh, "posts")
-    total = rows.agg(F.lit("TOTAL").alias("nombre_de_la_empresa"),
-                     sum_where("puestos_de_trabajo_en_plataforma", coh).alias("posts"))
-    return per.withColumn("posts", F.col("posts").cast("long")).unionByName(
-        total.withColumn("posts", F.col("posts").cast("long")))
+    out = sums(rows, "nombre_de_la_empresa", "puestos_de_trabajo_en_plataforma", coh, "posts", "TOTAL")
+    return out.withColumn("posts", F.col("posts").cast("long"))
 
 
 def q_event_value_sums(spark, root):
@@ -386,9 +436,7 @@ def q_event_value_sums(spark, root):
     plus the overall filtered total (A9), summed exactly as decimals."""
     e = _t(spark, root, "events").select("event_type", "ts", F.col("value").cast("decimal(18,2)").alias("value"))
     first_half = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
-    per = sum_by(e, "event_type", "value", first_half, "total")
-    total = e.agg(F.lit("ALL").alias("event_type"), sum_where("value", first_half).alias("total"))
-    return per.unionByName(total).withColumn("total", F.col("total").cast("double"))
+    return sums(e, "event_type", "value", first_half, "total", "ALL").withColumn("total", F.col("total").cast("double"))
 
 
 def q_value_counts(spark, root):
@@ -397,9 +445,8 @@ def q_value_counts(spark, root):
 
 
 def q_column_frequencies(spark, root):
-    """Value frequencies of three order columns in one job."""
-    o = _t(spark, root, "orders")
-    return column_frequencies(o, ["o_orderstatus", "o_orderpriority", "o_custkey"])
+    """Value frequencies of every order column in one job (the time stamp as its day)."""
+    return column_frequencies(_t(spark, root, "orders").withColumn("o_orderdate", day_text("o_orderdate")))
 
 
 def q_pivot_counts(spark, root):
@@ -411,8 +458,7 @@ def q_pivot_counts(spark, root):
 
 def q_daily_counts(spark, root):
     """A14 + T1: events per day up to a cutoff, in date order."""
-    e = _t(spark, root, "events").select(day_text(F.col("ts")).alias("day"))
-    return daily_counts(e, "day", "2024-01-20")
+    return daily_counts(_t(spark, root, "events"), "day", "2024-01-20", ts="ts")
 
 
 def q_table_profile(spark, root):
@@ -486,12 +532,12 @@ def q_inclusive_employers(spark, root):
 
 def q_disability_report(spark, root):
     """(age band, sex) x disability for placed people of the month."""
-    return PL.disability_pivot(placement_rows(spark, root), PL.placed_in(PLACE_MONTH_NAME), PLACE_LABELS)
+    return PL.disability_pivot(placement_rows(spark, root), PL.placed_in(PLACE_MONTH_NAME), PLACE_RULES)
 
 
 def q_disability_report_sent(spark, root):
     """(age band, sex) x disability for CVs sent in the month (any year)."""
-    return PL.disability_pivot(placement_rows(spark, root), PL.sent(PLACE_MONTH), PLACE_LABELS)
+    return PL.disability_pivot(placement_rows(spark, root), PL.sent(PLACE_MONTH), PLACE_RULES)
 
 
 def q_disability_placements(spark, root):
@@ -602,4 +648,9 @@ QUERIES = {
     "disability_report_sent": q_disability_report_sent,
     "event_value_sums": q_event_value_sums,
     "guided_listing": q_guided_listing,
+    "id_sets": q_id_sets,
+    "unparsed_dates": q_unparsed_dates,
+    "sorted_types": q_sorted_types,
+    "person_keys": q_person_keys,
+    "text_posts": q_text_posts,
 }

@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from civic_indicators.functions.cols import as_col, quote, sql_string
+from civic_indicators.functions.cols import as_col
 from civic_indicators.functions.patterns import EXCEL_MAX_SERIAL, EXCEL_ORIGIN
 from civic_indicators.functions.text import strip
 
@@ -23,15 +23,45 @@ from civic_indicators.functions.text import strip
 # The month-first form only catches what cannot be day-first (03/25/2025).
 _TIME = "[ H:mm[:ss]]"
 _TIME_RE = "( [0-9]{1,2}:[0-9]{2}(:[0-9]{2})?)?$"
+_NOON_RE = " [0-9]{1,2}:[0-9]{2}(:[0-9]{2})? [AP]M$"
 _DMY_RE = "^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}"
+_DMYY_RE = "^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}"
 _YMD_RE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 DAYFIRST_FORMATS = (
     (_DMY_RE + _TIME_RE, "d-M-yyyy" + _TIME),
     (_YMD_RE + _TIME_RE, "yyyy-M-d" + _TIME),
     (_YMD_RE + "T[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?$", "yyyy-M-d'T'H:mm[:ss]"),
     (_DMY_RE + _TIME_RE, "M-d-yyyy" + _TIME),
+    (_DMYY_RE + _TIME_RE, "d-M-yy" + _TIME),
+    (_DMYY_RE + _TIME_RE, "M-d-yy" + _TIME),
+    (_DMY_RE + _NOON_RE, "d-M-yyyy h:mm[:ss] a"),
+    (_DMY_RE + _NOON_RE, "M-d-yyyy h:mm[:ss] a"),
+    (_YMD_RE + _NOON_RE, "yyyy-M-d h:mm[:ss] a"),
 )
-ISO_DAYFIRST_FORMATS = ((_YMD_RE + _TIME_RE, "yyyy-d-M" + _TIME),)
+ISO_DAYFIRST_FORMATS = ((_YMD_RE + _TIME_RE, "yyyy-d-M" + _TIME), (_YMD_RE + _NOON_RE, "yyyy-d-M h:mm[:ss] a"))
+# Written out: 03-feb-2025, 3 de febrero de 2025, 3 Jan 2025 (first three letters, Spanish or English).
+_NAMED_RE = "^([0-9]{1,2})[- /.]+(?:de )?([a-z]{3})[a-z]*[- /.]+(?:del? )?([0-9]{4})(.*)$"
+_MONTHS_ES = "ene feb mar abr may jun jul ago sep oct nov dic"
+_MONTHS_EN = "jan feb mar apr may jun jul aug sep oct nov dec"
+
+
+def _century(ts: Column, fmt: str) -> Column:
+    """Two-digit years 69 to 99 are those of the 1900s."""
+    if "yyyy" in fmt:
+        return ts
+    return F.when(F.year(ts) >= 2069, ts - F.expr("INTERVAL 100 YEARS")).otherwise(ts)
+
+
+def _canonical(s: Column) -> Column:
+    """The text with month names as numbers, AM/PM marks as ' AM'/' PM' and without fractions of a second."""
+    low = F.lower(s)
+    three = F.regexp_extract(low, _NAMED_RE, 2)
+    at = F.greatest(F.instr(F.lit(_MONTHS_ES), three), F.instr(F.lit(_MONTHS_EN), three))
+    named = F.concat(F.regexp_extract(low, _NAMED_RE, 1), F.lit("-"), F.floor((at + 3) / 4).cast("string"), F.lit("-"),
+                     F.regexp_extract(low, _NAMED_RE, 3), F.regexp_extract(low, _NAMED_RE, 4))
+    s = F.when(low.rlike(_NAMED_RE) & (at > 0), named).otherwise(s)
+    s = F.when(s.rlike(":[0-9]{2}[.][0-9]+"), F.regexp_replace(s, "(:[0-9]{2})[.][0-9]+", "$1")).otherwise(s)
+    return F.when(s.rlike("(?i)[ap][.]? ?m[.]?$"), F.regexp_replace(F.upper(s), " *([AP])[.]? ?M[.]?$", " $1M")).otherwise(s)
 
 
 def to_ts(c, fmt: str | None = None) -> Column:
@@ -76,24 +106,27 @@ def parse_mixed_date(c, iso_dayfirst: bool = False, trimmed: bool = False) -> Co
     if iso_dayfirst:
         formats = [f for f in formats if not f[1].startswith("yyyy")]
         formats = list(ISO_DAYFIRST_FORMATS) + formats
-    if isinstance(c, str) and trimmed:  # one SQL expression, built in one JVM call
-        s, d = f"CAST({quote(c)} AS STRING)", f"translate(CAST({quote(c)} AS STRING), '/.', '--')"
-        guesses = ", ".join([f"CASE WHEN {s} RLIKE '{_DMY_RE}$' THEN try_to_timestamp({s}, 'd-M-yyyy') END"]
-                            + [f"CASE WHEN {d} RLIKE '{shape}' THEN try_to_timestamp({d}, {sql_string(f)}) END"
-                               for shape, f in formats])
-        return F.expr(f"CASE WHEN {s} IS NULL OR {s} = '' THEN CAST(NULL AS TIMESTAMP) "
-                      f"WHEN {s} RLIKE '^[0-9]+$' THEN CASE WHEN try_cast({s} AS INT) BETWEEN 0 AND {EXCEL_MAX_SERIAL} "
-                      f"THEN CAST(date_add(DATE'{EXCEL_ORIGIN}', try_cast({s} AS INT)) AS TIMESTAMP) END "
-                      f"ELSE coalesce({guesses}) END")
     s = as_col(c).cast("string")
     if not trimmed:
         s = strip(s)
     strict = F.when(s.rlike(_DMY_RE + "$"), F.try_to_timestamp(s, F.lit("d-M-yyyy")))
-    dashed = F.translate(s, "/.", "--")
-    guesses = [F.when(dashed.rlike(shape), F.try_to_timestamp(dashed, F.lit(f))) for shape, f in formats]
+
+    def guesses(text: Column) -> list[Column]:
+        dashed = F.translate(text, "/.", "--")
+        return [F.when(dashed.rlike(shape), _century(F.try_to_timestamp(dashed, F.lit(f)), f)) for shape, f in formats]
+
+    # Letters or a fraction of a second: rewritten first (a lambda, so the text is rewritten once).
+    written = F.element_at(F.transform(F.array(_canonical(s)), lambda t: F.coalesce(*guesses(t))), 1)
     return (F.when(s.isNull() | (s == ""), F.lit(None).cast("timestamp"))
             .when(s.rlike("^[0-9]+$"), excel_serial(s))
-            .otherwise(F.coalesce(strict, *guesses)))
+            .when(s.rlike("[A-SU-Za-z]|:[0-9]{2}[.]"), written)
+            .otherwise(F.coalesce(strict, *guesses(s))))
+
+
+def unparsed(c, iso_dayfirst: bool = False) -> Column:
+    """Whether a cell holds text that ``parse_mixed_date`` does not read (to be counted and looked at)."""
+    s = strip(as_col(c).cast("string"))
+    return F.coalesce(s != "", F.lit(False)) & parse_mixed_date(s, iso_dayfirst, trimmed=True).isNull()
 
 
 def latest(*cols) -> Column:

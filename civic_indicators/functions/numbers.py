@@ -18,8 +18,8 @@ def to_number(c) -> Column:
 
 
 def round_half_even(c) -> Column:
-    """P10: banker's rounding to a nullable int (2.5 -> 2, 3.5 -> 4)."""
-    return F.bround(to_number(c), 0).cast("int")
+    """P10: banker's rounding to a nullable int (2.5 -> 2, 3.5 -> 4); no int, no value."""
+    return F.bround(to_number(c), 0).try_cast("int")
 
 
 def digits_or_null(c, fill: int | None = 0) -> Column:

@@ -4,7 +4,7 @@ from civic_indicators.operators import aggregate, clean, cohorts, integrate  # n
 from civic_indicators.operators.aggregate import (
     PanelSpec, column_frequencies, count_age_group, count_flag, count_where, daily_counts,
     distinct_values, distinct_with_null, indicator_panel, monthly_panels, panels, pivot_counts,
-    preview, profile, sum_by, sum_where, union_ids, value_counts,
+    preview, profile, sum_by, sum_where, sums, union_ids, value_counts,
 )
 from civic_indicators.operators.clean import (
     assign_where, clean_text, drop_empty, empty_to_null, fill, lower_strings, missing_any,
@@ -18,7 +18,7 @@ from civic_indicators.operators.integrate import (
 __all__ = [
     "PanelSpec", "column_frequencies", "count_age_group", "count_flag", "count_where",
     "daily_counts", "distinct_values", "distinct_with_null", "indicator_panel", "monthly_panels",
-    "panels", "pivot_counts", "preview", "profile", "sum_by", "sum_where", "union_ids",
+    "panels", "pivot_counts", "preview", "profile", "sum_by", "sum_where", "sums", "union_ids",
     "value_counts", "assign_where", "clean_text", "drop_empty", "empty_to_null", "fill",
     "lower_strings", "missing_any", "null_sentinels", "null_values", "project", "recode",
     "replace_columns", "sort_by", "split_valid", "where_equals", "distinct_concat", "drop_ids", "enrich",

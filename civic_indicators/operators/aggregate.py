@@ -9,6 +9,7 @@ phase, so hot groups are combined before the shuffle.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -160,6 +161,16 @@ def sum_by(df: DataFrame, key: str, c: str, cohort: Column | None = None, name:
               .agg(F.coalesce(F.sum(col(c)), F.lit(0)).alias(name)))
 
 
+def sums(df: DataFrame, key: str, c: str, cohort: Column | None = None, name: str = "total", total: str = "TOTAL") -> DataFrame:
+    """A9 + A10 in one pass: per key (null keys dropped) the sum of a column within the
+    cohort, and the sum over all of its rows under the key ``total``."""
+    if cohort is not None:
+        df = df.filter(cohort)
+    out = df.rollup(col(key).alias(key)).agg(F.coalesce(F.sum(col(c)), F.lit(0)).alias(name), F.grouping_id().alias("__all"))
+    return (out.filter((F.col("__all") == 1) | col(key).isNotNull())
+            .select(F.when(F.col("__all") == 1, F.lit(total)).otherwise(col(key)).alias(key), col(name)))
+
+
 def value_counts(df: DataFrame, column: str, cohort: Column | None = None, name: str = "count",
                  sort: bool = True) -> DataFrame:
     """Frequency of each non-null value, most frequent first (ties by value)."""
@@ -180,15 +191,26 @@ def column_frequencies(df: DataFrame, cols: Sequence[str] | None = None) -> Data
 
 
 def pivot_counts(df: DataFrame, rows: Sequence[str], column: str, labels: Sequence[str],
-                 cohort: Column | None = None) -> DataFrame:
+                 cohort: Column | None = None, other: str | None = None) -> DataFrame:
     """Counts of (rows...) x column, with a given label list (no extra job
-    to discover labels); rows null in any key are dropped, empty cells are 0."""
+    to discover labels); rows null in any key are dropped, empty cells are 0.
+
+    One aggregate of conditional counts. Values outside ``labels`` are counted
+    in the column named ``other``; without it, such a value is an error."""
     if cohort is not None:
         df = df.filter(cohort)  # null -> dropped; stays pushable
     keys = [*rows, column]
     df = df.filter(_not_null_all(keys))
-    out = df.groupBy(*[col(r).alias(r) for r in rows]).pivot(column, list(labels)).count()
-    return out.na.fill(0, subset=list(labels))
+    c = col(column)
+    counts = [F.count(F.when(c == F.lit(v), F.lit(1))).alias(str(v)) for v in labels]
+    unlisted = F.when(~c.isin(*labels), F.lit(1)) if labels else F.lit(1)
+    if other is not None:
+        counts.append(F.count(unlisted).alias(other))
+    elif labels:
+        seen = F.when(c == F.lit(labels[0]), F.lit(1)).when(
+            ~c.isin(*labels), F.raise_error(F.concat(F.lit(f"{column}: not among the labels: "), c)).cast("int"))
+        counts[0] = F.count(seen).alias(str(labels[0]))
+    return df.groupBy(*[col(r).alias(r) for r in rows]).agg(*counts)
 
 
 def _not_null_all(cols: Sequence[str]) -> Column:
@@ -198,9 +220,16 @@ def _not_null_all(cols: Sequence[str]) -> Column:
     return cond
 
 
-def daily_counts(df: DataFrame, day_col: str, cutoff=None, name: str = "count") -> DataFrame:
-    """A14 + T1: rows per day at or before ``cutoff``, in date order."""
-    if cutoff is not None:
+def daily_counts(df: DataFrame, day_col: str, cutoff=None, name: str = "count", ts: str | None = None) -> DataFrame:
+    """A14 + T1: rows per day at or before ``cutoff``, in date order.
+
+    ``ts`` names the time stamp to take the day text ``day_col`` from; the
+    cutoff is then a comparison on it and reaches the scan."""
+    if ts is not None:
+        if cutoff is not None:
+            df = df.filter(col(ts) < F.lit(str(_dt.date.fromisoformat(str(cutoff)) + _dt.timedelta(days=1))).cast(dict(df.dtypes)[ts]))
+        df = df.select(F.date_format(col(ts), "yyyy-MM-dd").alias(day_col))
+    elif cutoff is not None:
         df = df.filter(col(day_col) <= F.lit(cutoff))
     return (df.filter(col(day_col).isNotNull()).groupBy(col(day_col).alias(day_col))
               .agg(F.count(F.lit(1)).alias(name)).orderBy(day_col))

@@ -13,10 +13,11 @@ Scale notes
   the distinct values of a key (what the output string holds anyway) meet in
   one group.
 * ``per_key`` does both in one scan and one two-level aggregation.
-* ``outer_merge`` runs the full outer join as one left join (stub rows for
-  the right-only keys are added to the left side): a full outer join cannot
-  be split by the adaptive skew handling, a left outer join can, and the
-  right side is read once.
+* ``outer_merge`` is a full outer join that reuses the partitioning its
+  per-person side was aggregated by. For a key known to be hot,
+  ``hot_keys=True`` runs it as one left join (stub rows for the right-only
+  keys are added to the left side), which adaptive execution can split and a
+  full outer join it cannot; it scans the two key columns once more.
 * ``enrich`` compares keys null-safely so the per-key side is shuffled by the
   join key, which is what lets adaptive execution split a hot key.
 """
@@ -29,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civic_indicators.functions.cols import col, quote, sql_string
+from civic_indicators.functions.patterns import SENTINELS
 from civic_indicators.functions.text import strip
 
 _ORD = "__ord"
@@ -43,9 +45,11 @@ def order_key(order: Sequence[str] | str) -> Column:
     return col(order[0]) if len(order) == 1 else F.struct(*[col(c).alias(f"o{i}") for i, c in enumerate(order)])
 
 
-def person_key(c) -> Column:
-    """Q18: join keys as trimmed text, so '123', 123 and ' 123 ' meet."""
-    return strip(c if isinstance(c, Column) else col(c)).cast("string")
+def person_key(c, missing: Sequence[str] = ("", *SENTINELS)) -> Column:
+    """Q18: join keys as trimmed text, so '123', 123 and ' 123 ' meet; blank and
+    sentinel numbers are nobody's (null)."""
+    k = strip(c if isinstance(c, Column) else col(c)).cast("string")
+    return F.when(~k.isin(*missing), k)
 
 
 def _order_sql(order: Sequence[str] | str) -> str:
@@ -145,18 +149,17 @@ def per_key(df: DataFrame, key: str, order: Sequence[str] | str, first: Sequence
 
 
 def outer_merge(left: DataFrame, right: DataFrame, on: str,
-                overlap: Sequence[str] | None = None) -> DataFrame:
+                overlap: Sequence[str] | None = None, hot_keys: bool = False) -> DataFrame:
     """J1 + J2: full outer join on ``on``; for overlapping columns the left
-    value wins unless it is null. Columns that exist on one side only pass.
-
-    Run as *one* left join that reads ``right`` once: the left side gets a
-    key-only stub row for every right key it lacks (from key projections,
-    which Catalyst prunes to cheap distinct-key aggregates), so the stubs pick
-    up the right-only rows. A left outer join, unlike a full outer join, can
-    have a skewed left side split by adaptive execution. Right rows with a
-    null key match nothing, as in SQL: they carry tag 1 and are picked up by a
-    single (null, 1) stub through a null-safe key comparison, while real left
-    rows carry tag 0.
+    value wins unless it is null. Columns that exist on one side only pass;
+    null keys match nothing.
+
+    ``hot_keys=True`` gives the same rows by one left join that adaptive
+    execution can split at a hot key of ``left``: the left side gets a key-only
+    stub row for every right key it lacks (from a second scan of both key
+    columns), so the stubs pick up the right-only rows. Right rows with a null
+    key carry tag 1 and are picked up by a single (null, 1) stub through a
+    null-safe comparison, while real left rows carry tag 0.
     """
     if overlap is None:
         overlap = [c for c in left.columns if c in set(right.columns) and c != on]
@@ -164,6 +167,12 @@ def outer_merge(left: DataFrame, right: DataFrame, on: str,
     r_only = [c for c in right.columns if c != on and c not in set(left.columns)]
     rname = {c: f"{c}__r" for c in overlap}
     k = quote(on)
+    if not hot_keys:
+        r = right.selectExpr(f"{k} AS __rk", *[f"{quote(c)} AS {quote(rname[c])}" for c in overlap], *[quote(c) for c in r_only])
+        both = left.join(r, col(on) == F.col("__rk"), "full_outer")
+        out = [f"coalesce({k}, __rk) AS {k}" if c == on else f"coalesce({quote(c)}, {quote(rname[c])}) AS {quote(c)}"
+               if c in rname else quote(c) for c in left.columns]
+        return both.selectExpr(*out, *[quote(c) for c in r_only])
     r = right.selectExpr(f"{k} AS __rk", f"CAST({k} IS NULL AS INT) AS __rt",
                          *[f"{quote(c)} AS {quote(rname[c])}" for c in overlap], *[quote(c) for c in r_only])
     left_keys = left.select(col(on)).filter(col(on).isNotNull()).distinct()

@@ -96,6 +96,11 @@ def _placement(raw: DataFrame, rules: PlacementRules, text_columns: Sequence[str
     age = digits_or_null("edad") if age_type == "string" else integral_or_null("edad")
     df = replace_columns(df, {"edad": age})
     df = null_values(df, CONDITION, rules.none_condition)
+    types = dict(df.dtypes)
+    if types.get(POSTS) == "string":  # a sheet landed as text; junk counts as missing
+        df = replace_columns(df, {POSTS: to_number(POSTS)})
+    if types.get(PUBLISHED) == "string":
+        df = replace_columns(df, {PUBLISHED: to_ts_or_null(PUBLISHED)})
     pub = col(PUBLISHED)
     df = replace_columns(df, {
         "rango_de_edad": band("edad", rules.age_bands),
@@ -153,15 +158,15 @@ def vacancy_summary(rows: DataFrame, month_name: str, dedupe_key: str | None = N
     if dedupe_key is None:
         return sub.agg(distinct_with_null(EMPLOYER).alias("employers"),
                        distinct_with_null(PROCESS).alias("processes"), posts.alias("posts"))
-    # One small aggregate per metric, stacked and pivoted back to one row
-    # (no keyless join between the two aggregates).
-    counts = sub.agg(distinct_with_null(EMPLOYER).alias("employers"),
-                     distinct_with_null(PROCESS).alias("processes"))
-    per = sub.groupBy(col(dedupe_key).alias("__k")).agg(F.max(col(POSTS)).alias(POSTS))
-    long = (counts.select(F.inline(F.array(F.struct(F.lit("employers").alias("m"), F.col("employers").alias("v")),
-                                           F.struct(F.lit("processes").alias("m"), F.col("processes").alias("v")))))
-            .unionByName(per.agg(F.lit("posts").alias("m"), posts.alias("v"))))
-    return long.groupBy().pivot("m", ["employers", "processes", "posts"]).agg(F.first("v"))
+    # One pass over the rows: a row per (dedupe key, employer, process), whose shuffle both
+    # results reuse; they are stacked and turned back to one row.
+    per = (sub.groupBy(col(dedupe_key).alias("__k"), col(EMPLOYER).alias(EMPLOYER), col(PROCESS).alias("__p"))
+           .agg(F.max(col(POSTS)).alias(POSTS)))
+    counts = per.agg(distinct_with_null(EMPLOYER).alias("employers"), distinct_with_null("__p").alias("processes"))
+    total = per.groupBy("__k").agg(F.max(col(POSTS)).alias(POSTS)).agg(posts.alias("posts"))
+    both = counts.select("employers", "processes", F.lit(None).cast("long").alias("posts")).unionByName(
+        total.select(F.lit(None).cast("long").alias("employers"), F.lit(None).cast("long").alias("processes"), "posts"))
+    return both.agg(*[F.max(c).alias(c) for c in ("employers", "processes", "posts")])
 
 
 def monthly_report(rows: DataFrame, month: int, month_name: str, year: int | None = None,
@@ -181,9 +186,10 @@ def inclusive_employer_count(rows: DataFrame, month_name: str) -> DataFrame:
     return rows.filter(f).agg(distinct_with_null(EMPLOYER).alias("employers"))
 
 
-def disability_pivot(rows: DataFrame, cohort: Column,
-                     labels: Sequence[str] = tuple(l for _, l in P.DISABILITY_PLACEMENT)) -> DataFrame:
-    """(age band, sex) x disability label counts within a cohort."""
+def disability_pivot(rows: DataFrame, cohort: Column, rules: PlacementRules = PlacementRules()) -> DataFrame:
+    """(age band, sex) x disability label counts within a cohort, a column per
+    label of the rules the rows were classified with."""
+    labels = list(dict.fromkeys(label for _, label in rules.disability))
     return pivot_counts(rows, ["rango_de_edad", "sexo"], "discapacidad", labels, cohort)
 
 
@@ -198,15 +204,15 @@ def disability_placements(rows: DataFrame, month_name: str, by: str = EMPLOYER)
 
 
 def disability_report(rows: DataFrame, month: int, month_name: str, year: int | None = None,
-                      labels: Sequence[str] = tuple(l for _, l in P.DISABILITY_PLACEMENT)) -> dict[str, DataFrame]:
+                      rules: PlacementRules = PlacementRules()) -> dict[str, DataFrame]:
     """The disability report of a month, as named tables: CVs sent with a
     disability label, the sent and placed pivots, posts per employer and
     placements per employer and per vacancy."""
     from civic_indicators.operators.aggregate import count_flag
     return {
         "sent_with_disability": rows.agg(count_flag("discapacidad", sent(month, year)).alias("count")),
-        "sent_pivot": disability_pivot(rows, sent(month, year), labels),
-        "placed_pivot": disability_pivot(rows, placed_in(month_name), labels),
+        "sent_pivot": disability_pivot(rows, sent(month, year), rules),
+        "placed_pivot": disability_pivot(rows, placed_in(month_name), rules),
         "posts_per_employer": disability_posts(rows, month_name),
         "placed_per_employer": disability_placements(rows, month_name),
         "placed_per_vacancy": disability_placements(rows, month_name, VACANCY),

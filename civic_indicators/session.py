@@ -45,19 +45,16 @@ def get_spark(master: str | None = None, app: str = "civic_indicators",
     return spark
 
 
-def cluster_conf(input_bytes: int, executor_cores: int, target_partition_bytes: int = 256 << 20,
-                 max_partitions: int = 100_000) -> dict[str, str]:
+def cluster_conf(input_bytes: int, executor_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized from the input volume, for a cluster run.
 
     Shuffle partitions are chosen so that a partition of the widest shuffle
     (at most about the input size) holds ~``target_partition_bytes`` and fits
     an executor task's memory without spilling; adaptive execution then
     coalesces the small ones and splits skewed ones. Scan splits use the same
-    target. At 100 TB and 256 MB this gives ~400k shuffle partitions, capped
-    at ``max_partitions`` (then ~1 GB per partition before coalescing, which
-    sort-based shuffles and aggregates spill gracefully).
+    target. At 100 TB and 256 MB this gives ~400k shuffle partitions.
     """
-    parts = max(executor_cores * 2, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    parts = max(executor_cores * 2, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
@@ -72,6 +69,21 @@ def cluster_conf(input_bytes: int, executor_cores: int, target_partition_bytes:
     }
 
 
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the files under some paths, in any file system Spark reads."""
+    total = 0
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        total += p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return total
+
+
+def size_session(spark: SparkSession, *paths: str) -> None:
+    """Apply ``cluster_conf`` for the volume of some input paths to a session."""
+    for k, v in cluster_conf(input_bytes(spark, *paths), spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -14,83 +14,34 @@ from pyspark.sql.types import StructType
 from civic_indicators.sources.headers import unique_names, with_unique_headers
 
 
-SPREAD_MIN_BYTES = 1 << 20  # on-disk (compressed) bytes
-_SPREAD_DECISIONS: dict[tuple, bool] = {}
-
-
-def _bytes_conf(spark, key: str, default: int) -> int:
-    try:
-        raw = str(spark.conf.get(key)).strip().lower()     # Spark's own default when unset
-    except Exception:  # noqa: BLE001 - unknown key
-        raw = str(default)
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    raw = raw[:-1] if raw.endswith("b") else raw
-    return int(float(raw[:-1]) * units[raw[-1]]) if raw and raw[-1] in units else int(raw)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = SPREAD_MIN_BYTES,
-           memo_key: str | None = None) -> DataFrame:
-    """Round-robin a scan over the cluster when its files give fewer splits
-    than there are cores (one landed sheet, one unsplittable file, one row
-    group) and it holds enough bytes for the per-row work to matter.
-
-    Decided from the scan's size statistics first: an input of at least
-    ``cores x maxPartitionBytes`` has enough splits, so at scale nothing is
-    planned or listed on the driver and no shuffle is added. Only small
-    inputs have their split count checked.
-
-    Rows are hash-partitioned on their scan position (``monotonically_increasing_id``,
-    fixed for a given file split) rather than round-robin: round-robin sorts
-    each input partition first to stay repeatable on retries, which here
-    would mean sorting the whole file in one task. Spark marks this shuffle
-    indeterminate and re-runs the whole map stage if a retry is needed.
-    Column pruning and filters still pass below it.
-    """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    key = (memo_key, want, min_bytes) if memo_key else None
-    if key is None or key not in _SPREAD_DECISIONS:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        split = _bytes_conf(spark, "spark.sql.files.maxPartitionBytes", 128 << 20)
-        if size < min_bytes or size >= want * split:
-            decision = False
-        else:
-            decision = df._jdf.rdd().getNumPartitions() < want
-        if key is None:
-            return _spread(df, want) if decision else df
-        _SPREAD_DECISIONS[key] = decision
-    return _spread(df, want) if _SPREAD_DECISIONS[key] else df
-
-
-def _spread(df: DataFrame, want: int) -> DataFrame:
-    return df.repartition(want, F.monotonically_increasing_id())
-
-
 def scan(spark: SparkSession, path: str, fmt: str = "parquet",
-         schema: StructType | str | None = None, spread_rows: bool = True,
+         schema: StructType | str | None = None,
          row_order: str | None = None, **options) -> DataFrame:
     """Read one landed sheet. CSV defaults to a header row; repeated headers
     get ``.1`` suffixes like a sheet reader gives them.
 
-    ``row_order`` adds a column with the rows' file order (sheet row order,
-    what "first value per person" means), taken right at the scan, before
-    anything moves rows between partitions: Spark numbers each split's rows
-    in file order and orders splits by file and offset.
+    A CSV file is split among tasks; a sheet whose cells hold line breaks needs
+    ``multiLine="true"``, which reads each file in one task.
+
+    ``row_order`` adds a column that sorts rows as the sheet has them (what
+    "first value per person" means): file path, offset of the split in the
+    file, position in the split. Parts of one sheet are ordered by their names.
     """
     reader = spark.read.format(fmt)
     if fmt == "csv":
         options.setdefault("header", "true")
-        options.setdefault("multiLine", "true")
         options.setdefault("encoding", "UTF-8")
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.options(**options).load(path)
+    names = df.columns
     if fmt == "csv" and str(options.get("header")).lower() == "true" and schema is None:
-        df = df.toDF(*sheet_headers(spark, path, options))
-    df = with_unique_headers(df)
+        names = sheet_headers(spark, path, options)
     if row_order:
-        df = df.withColumn(row_order, F.monotonically_increasing_id())
-    return spread(df, memo_key=f"{fmt}:{path}") if spread_rows else df
+        at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                      F.monotonically_increasing_id().alias("row"))
+        return with_unique_headers(df.select("*", at.alias("__row_order")).toDF(*names, row_order))
+    return with_unique_headers(df.toDF(*names))
 
 
 def sheet_headers(spark: SparkSession, path: str, options: dict) -> list[str]:
@@ -103,10 +54,10 @@ def sheet_headers(spark: SparkSession, path: str, options: dict) -> list[str]:
     return unique_names([v if v not in (None, "") else f"Unnamed: {i}" for i, v in enumerate(raw)])
 
 
-def table(spark: SparkSession, root: str, name: str, spread_rows: bool = True,
+def table(spark: SparkSession, root: str, name: str,
           schema: StructType | str | None = None) -> DataFrame:
     """A table ``<root>/<name>.parquet``; a declared schema skips footer-based inference."""
     path = f"{root.rstrip('/')}/{name}.parquet"
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(path)
-    return spread(df, memo_key=f"parquet:{path}") if spread_rows else df
+    return df

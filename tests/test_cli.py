@@ -20,7 +20,7 @@ def test_scan_row_order_is_file_order(spark, tmp_path):
     from civic_indicators.sources import scan
     path = tmp_path / "sheet.csv"
     path.write_text("k,v\n" + "".join(f"{i % 3},{i}\n" for i in range(200)), encoding="utf-8")
-    df = scan(spark, str(path), "csv", row_order="_fila", spread_rows=False)
+    df = scan(spark, str(path), "csv", row_order="_fila")
     got = [int(r["v"]) for r in df.orderBy("_fila").collect()]
     assert got == list(range(200))
 
@@ -56,3 +56,16 @@ def test_guidance_command(spark, tmp_path, capsys):
     assert set(people) == {"1", "2", "3"}
     assert people["1"]["discapacidad"] == "Visual" and people["1"]["vca"] == "VCA" and people["1"]["edad"] == 28
     assert people["3"]["tallerista"] == "luis" and people["3"]["edad"] == 30
+
+
+def test_reports_are_whole(spark, tmp_path, capsys):
+    head = "mes_registro,sexo,edad,condicion,colocado,mes_de_colocación_en_plataforma,nombre_de_la_empresa,código_proceso,población,gestión_vacante_,puestos_de_trabajo_en_plataforma,fecha_de_publicacion_de_la_vacante,fecha_envío_hojas_de_vida_a_la_empresa,nombre_de_la_vacante,convenio,nivel_educativo\n"
+    rows = "".join(f"abril,m,30,discapacidad visual,1,abril,empresa {i},p{i},x,y,{'9' if i % 2 else '10'},03/04/2025,2025-04-03,v,c,n\n" for i in range(1200))
+    (tmp_path / "s.csv").write_text(head + rows, encoding="utf-8")
+    args = ["placement", "--input", str(tmp_path / "s.csv"), "--month", "4", "--month-name", "abril", "--dedupe-key", "código_proceso"]
+    main(args)
+    out = capsys.readouterr().out
+    assert all(f"empresa {i}\t" in out for i in (0, 1100, 1199))
+    main([*args, "--reports", str(tmp_path / "r")])
+    assert spark.read.parquet(str(tmp_path / "r" / "posts_per_employer_disability")).count() == 1200
+    assert spark.read.parquet(str(tmp_path / "r" / "vacancies_registered_in_abril")).first().posts == 600 * 9 + 600 * 10

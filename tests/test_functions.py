@@ -125,3 +125,21 @@ def test_case_insensitive_match_folds_accents(spark):
     assert [r[0] for r in rows(df.select(matches("v", "[ií]sic", ignore_case=True)))] == [True, True, False]
     assert [r[0] for r in rows(df.select(matches("v", "[ií]sic")))] == [False, True, False]
     assert df.select(F.lit(1)).count() == 3
+
+
+def test_more_date_shapes_and_unparsed(spark):
+    from civic_indicators.functions import day_text, parse_mixed_date, unparsed
+    cells = {"2025-02-03 10:20:30.5": "2025-02-03", "3/4/25": "2025-04-03", "03-feb-2025": "2025-02-03", "03/02/2025 10:20:00 PM": "2025-02-03",
+             "3 de febrero de 2025": "2025-02-03", "3 Jan 2025": "2025-01-03", "03/02/2025 10:20 a. m.": "2025-02-03", "pendiente": None, " ": None,
+             "2025-02-03T10:20:30": "2025-02-03"}
+    df = spark.createDataFrame([(k,) for k in cells], "v string")
+    got = {r.v: (r.d, r.u) for r in df.select("v", day_text(parse_mixed_date("v")).alias("d"), unparsed("v").alias("u")).collect()}
+    assert {k: v[0] for k, v in got.items()} == cells
+    assert [k for k, v in got.items() if v[1]] == ["pendiente"]
+
+
+def test_ages_and_person_numbers_that_are_none(spark):
+    from civic_indicators.functions import round_half_even
+    from civic_indicators.operators import person_key
+    df = spark.createDataFrame([("3001234567", " "), ("2.5", "nan"), ("x", " 7 ")], "a string, k string")
+    assert [tuple(r) for r in df.select(round_half_even("a"), person_key("k")).collect()] == [(None, None), (2, None), (None, "7")]

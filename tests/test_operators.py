@@ -134,7 +134,7 @@ def test_csv_scan_keeps_sheet_style_headers(spark, tmp_path):
     path = tmp_path / "log.csv"
     path.write_text('MES,NUMERO,"Programa / Aliado\n(Si aplica)",NUMERO,\n'
                     'abril,1,x,100,\nmayo,2,"y, z",200,\n', encoding="utf-8")
-    df = scan(spark, str(path), "csv")
+    df = scan(spark, str(path), "csv", multiLine="true")
     assert df.columns == ["MES", "NUMERO", "Programa / Aliado\n(Si aplica)", "NUMERO.1", "Unnamed: 4"]
     assert sorted(rows(df, "NUMERO.1", "Programa / Aliado\n(Si aplica)")) == [("100", "x"), ("200", "y, z")]
 

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-import __spark_entry__ as E
+from civic_indicators.driver.queries import QUERIES
 from civic_indicators.operators import distinct_concat, first_values, outer_merge, per_key
 
 SF = "/root/testdata/sf0.001"
@@ -19,9 +19,9 @@ TOP_K = {"preview"}          # a limit is the feature there
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_cross_join_udf_or_row_cap(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for op in FORBIDDEN:
         assert op not in plan, f"{name} uses {op}"
@@ -31,7 +31,7 @@ def test_plan_has_no_cross_join_udf_or_row_cap(spark, name):
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 def test_filters_reach_the_scan(spark):
-    df = E.queries()["cohort_filter"](spark, SF)
+    df = QUERIES["cohort_filter"](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderstatus), IsNotNull(o_orderdate), EqualTo(o_orderstatus,F)" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string" in plan

@@ -1,28 +1,47 @@
-"""Input parallelism guard and cluster sizing."""
+"""Scans, row order and cluster sizing."""
 
 import os
 
 import pytest
 
 from civic_indicators import cluster_conf
-from civic_indicators.sources import table
+from civic_indicators.driver.queries import QUERIES
+from civic_indicators.session import input_bytes
+from civic_indicators.sources import scan
 
 SF = "/root/testdata/sf0.1"
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
-def test_single_split_input_is_spread_only_when_big_enough(spark):
-    want = spark.sparkContext.defaultParallelism
-    assert spark.read.parquet(f"{SF}/lineitem.parquet").rdd.getNumPartitions() < want
-    assert table(spark, SF, "lineitem").rdd.getNumPartitions() == want      # ~10 MB, one row group
-    assert table(spark, SF, "nation").rdd.getNumPartitions() == 1           # tiny: left alone
-    plan = table(spark, SF, "nation")._jdf.queryExecution().executedPlan().toString()
-    assert "RoundRobinPartitioning" not in plan
+def test_filters_reach_the_scan_at_any_size(spark):
+    plan = QUERIES["cohort_filter"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderstatus), IsNotNull(o_orderdate), EqualTo(o_orderstatus,F)" in plan
+    assert "Exchange" not in plan
+    plan = QUERIES["daily_counts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(ts," in plan
+
+
+def test_row_order_of_a_folder_of_parts(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\nx,0\n", encoding="utf-8")        # small, but first
+    (tmp_path / "b.csv").write_text("k,v\n" + "".join(f"x,{i}\n" for i in range(1, 3000)), encoding="utf-8")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")            # several splits a file
+    try:
+        df = scan(spark, str(tmp_path), "csv", row_order="_fila")
+        assert df.rdd.getNumPartitions() > 2
+        assert [int(r.v) for r in df.orderBy("_fila").collect()] == list(range(3000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_input_bytes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x" * 100, encoding="utf-8")
+    assert input_bytes(spark, str(tmp_path)) == 100
 
 
 def test_cluster_conf_sizes_from_input():
     big = cluster_conf(100 * 2**40, executor_cores=8)
-    assert int(big["spark.sql.shuffle.partitions"]) == 100_000            # capped
+    assert int(big["spark.sql.shuffle.partitions"]) == 409_600            # 100 TB / 256 MB, no cap
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
     mid = cluster_conf(64 * 2**30, executor_cores=8)
     assert int(mid["spark.sql.shuffle.partitions"]) == 256                # 64 GB / 256 MB

@@ -44,7 +44,7 @@ def test_hot_key_join_is_split_and_whole(spark):
         workshops = workshops.unionByName(spark.range(50).select(F.lit("hot").alias("k"), F.col("id").alias("o"),
                                                                   F.lit("x").alias("v")))
         per_person = per_key(workshops, "k", "o", first=["v"])
-        merged = outer_merge(sessions, per_person, "k")
+        merged = outer_merge(sessions, per_person, "k", hot_keys=True)
         merged_rows = merged.collect()          # runs this Dataset's own adaptive plan
         plan = merged._jdf.queryExecution().executedPlan().toString()
         assert "skew=true" in plan, plan[:plan.find("Initial Plan")]
