@@ -151,35 +151,6 @@ def maybe_in(df: DataFrame, column: str, keys: DataFrame, key: str, log2_bits: i
     return has(q(column).cast("bigint"))
 
 
-def slot_counts(sets: DataFrame, log2_slots: int) -> np.ndarray:
-    """How often the low bits of 64-bit hashes (packed, one binary column) occur: a table of fixed size."""
-    n, rows = 1 << log2_slots, 1 << 14
-
-    def count(batches):
-        own = np.zeros(n, np.int64)
-        for b in batches:
-            for s in b.column(0).drop_null().to_pylist():
-                np.add.at(own, (np.frombuffer(s, np.uint64) & np.uint64(n - 1)).astype(np.int64), 1)
-        for i in range(0, n, rows):
-            if own[i:i + rows].any():
-                yield pa.record_batch({"part": pa.array([i], pa.int64()), "c": pa.array([own[i:i + rows].tobytes()], pa.binary())})
-
-    def merge(batches):
-        have: dict[int, np.ndarray] = {}
-        for b in batches:
-            for i, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                x = np.frombuffer(c, np.int64)
-                have[i] = have[i] + x if i in have else x
-        for i, x in have.items():
-            yield pa.record_batch({"part": pa.array([i], pa.int64()), "c": pa.array([x.tobytes()], pa.binary())})
-
-    parts = sets.mapInArrow(count, "part bigint, c binary").repartition("part").mapInArrow(merge, "part bigint, c binary")
-    out = np.zeros(n, np.int64)
-    for r in parts.toLocalIterator():  # 8 * n bytes in all
-        out[r.part:r.part + rows] = np.frombuffer(bytes(r.c), np.int64)
-    return out
-
-
 # ------------------------------------------------------------------ hashing
 
 def mix(x: np.ndarray) -> np.ndarray:

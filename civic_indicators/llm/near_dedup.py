@@ -14,16 +14,17 @@ probability 1.2e-5, less above.
 
 Verification is exact, on the full shingle sets: 100 * |A and B| >= pct * |A or B|.
 
-No bucket is expanded into all its pairs at once. Texts with equal sets are one
-class from the start. Then, in rounds, each class is checked against the smallest
-class of each component it meets in a bucket and does not belong to yet, and
-verified links merge components; a group of near copies collapses to one component
-in the first round. What remains in buckets are classes of different components. They
-are joined exactly by prefix filtering: shingles are ordered from rare to common (by
-counts in a fixed number of slots, so ties and collisions only change the order), sets
-that reach the similarity share one of their first n - ceil(pct * n / 100) + 1 shingles,
-and every pair of different components that shares one is verified. A passage or line
-that many texts have in common is not among their rare shingles and makes no pairs.
+No bucket is expanded into all its pairs. Texts with equal sets are one class from the
+start. Then come rounds: every bucket names a leader, picked by a hash of the round among
+the classes of its smallest component, and each class of another component is checked
+against a few of the leaders of its buckets, whom it has not met yet; verified links
+merge components. So a group of near copies becomes one component after few rounds,
+each with a number of pairs proportional to the classes. What is left in a bucket are
+classes of different components that are not linked to the leaders they met; only their
+pairs, one from either component, are all checked in the end, so no link is lost. In
+buckets of up to ``block`` such classes the pairs are rows of a join; larger buckets are
+cut into blocks of about that many, and blocks are compared with blocks inside a task,
+each pair in the first bucket it shares, so only links become rows.
 
 Results: a null or blank text has an empty set and no link; a null id is linked
 with nothing and kept; rows of one id are one document; an empty table gives an
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civic_indicators.llm.common import (LOW32, MASK, WordHashes, components, fresh, hash_words, maybe_in, mix, q,
-                                         shingle_hashes, slot_counts, stage, without, words)
+                                         shingle_hashes, stage, without, words)
 
 
 @dataclass(frozen=True)
@@ -51,7 +52,9 @@ class NearDedup:
     pct: int = 80
     bands: int = 48
     rows: int = 7
-    star_rounds: int = 2
+    star_rounds: int = 3
+    leaders: int = 4
+    block: int = 64
 
     @property
     def coords(self) -> int:
@@ -173,21 +176,61 @@ def verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     return two.select("a", "b", "s", "s2").mapInArrow(run, "a bigint, b bigint")
 
 
-def rare_prefixes(sets: DataFrame, pct: int, log2_slots: int = 20) -> DataFrame:
-    """(rep, n, component_id, w): the shingles of each set, from the rarest, that a set of the similarity must share one of."""
-    shared = sets.sparkSession.sparkContext.broadcast(slot_counts(sets.select("s"), log2_slots))
-    low = np.uint64((1 << log2_slots) - 1)
+def _block_links(rows: list[tuple], lo: int, hi: int, bucket: int, pct: int) -> list[tuple[int, int]]:
+    """Links between the classes of two blocks (or of one) of a bucket; rows: (block, rep, component, set, bands)."""
+    one, two = [r for r in rows if r[0] == lo], [r for r in rows if r[0] == hi]
+    if not one or not two:
+        return []
+    rep, comp = (np.array([r[k] for r in two], np.int64) for k in (1, 2))
+    size = np.array([len(r[3]) for r in two])
+    flat, owner = np.concatenate([r[3] for r in two]), np.repeat(np.arange(len(two)), size)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    bands = np.stack([r[4] for r in two])
+    out = []
+    for _, a, c, s, b in one:
+        same = bands == b[None]
+        first = same.argmax(axis=1)
+        todo = (comp != c) & (b[first] == bucket) & same.any(axis=1) & (100 * np.minimum(size, len(s)) >= pct * np.maximum(size, len(s)))
+        if lo == hi:
+            todo &= rep < a
+        if not todo.any():
+            continue
+        left, n = np.searchsorted(flat, s), np.searchsorted(flat, s, "right")
+        n = n - left
+        at = np.repeat(left - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        inter = np.bincount(owner[at], minlength=len(two))
+        hit = todo & (100 * inter >= pct * (size + len(s) - inter))
+        out += [(a, int(x)) for x in rep[hit]]
+    return out
+
+
+def blockwise(placed: DataFrame, big: DataFrame, sets: DataFrame, classes: DataFrame, p: NearDedup) -> DataFrame:
+    """Links (a, b) between classes of different components in large buckets; ``big``: (bucket, m)."""
+    rows = placed.join(big, "bucket").withColumn("blocks", F.ceil(F.col("m") / p.block))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    rows = rows.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "component_id")
+    rows = rows.join(sets, F.col("rep") == F.col("id")).join(classes.select(F.col("rep").alias("_rep"), "bands"), F.col("rep") == F.col("_rep"))
+    rows = rows.select("bucket", "lo", "hi", "own", "rep", "component_id", "s", "bands").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
 
     def run(batches):
+        key, held = None, []
         for batch in batches:
+            cols = [batch.column(c) for c in ("bucket", "lo", "hi", "own", "rep", "component_id", "s", "bands")]
             for i in range(len(batch)):
-                x = np.frombuffer(batch.column("s")[i].as_py(), np.uint64)
-                n = len(x)
-                order = np.lexsort((x, shared.value[(x & low).astype(np.int64)]))[:n + (-pct * n) // 100 + 1]
-                w = x[order].view(np.int64)
-                yield pa.record_batch({c: pa.array(np.full(len(w), batch.column(c)[i].as_py(), np.int64)) for c in ("rep", "n", "component_id")} | {"w": pa.array(w)})
+                now = tuple(c[i].as_py() for c in cols[:3])
+                if now != key:
+                    yield from done(key, held)
+                    key, held = now, []
+                held.append((*(c[i].as_py() for c in cols[3:6]), np.frombuffer(cols[6][i].as_py(), np.uint64), cols[7][i].values.to_numpy()))
+        yield from done(key, held)
+
+    def done(key, held):
+        links = _block_links(held, key[1], key[2], key[0], p.pct) if held else []
+        if links:
+            yield pa.record_batch({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
-    return sets.select("rep", "n", "component_id", "s").mapInArrow(run, "rep bigint, n bigint, component_id bigint, w bigint")
+    return rows.mapInArrow(run, "a bigint, b bigint")
 
 
 def near_groups(docs: DataFrame, p: NearDedup = NearDedup(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -206,37 +249,43 @@ def near_groups(docs: DataFrame, p: NearDedup = NearDedup(), text: str = "text",
                               p.k, text, doc_id), "sets")
     links = checked = None
     comp = member.select("rep", F.col("rep").alias("component_id")).distinct()
-    for _ in range(p.star_rounds):
-        placed = member.join(comp, "rep")
-        lead = placed.groupBy("bucket").agg(F.min_by(F.struct("rep", "n", "component_id"), F.struct("component_id", "rep")).alias("lead"))
+
+    def mixed(placed: DataFrame) -> DataFrame:
+        """The members of buckets that hold more than one component."""
+        two = placed.groupBy("bucket").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo <> hi")
+        return placed.join(two.select("bucket"), "bucket", "left_semi")
+
+    for turn in range(p.star_rounds):
+        placed = stage(mixed(member.join(comp, "rep")), "placed")
+        lead = placed.groupBy("bucket").agg(F.min_by(F.struct("rep", "n", "component_id"), F.struct("component_id", F.xxhash64("rep", F.lit(turn)))).alias("lead"))
         cand = (placed.join(lead, "bucket").where("component_id <> lead.component_id")
                 .where(F.expr(f"100 * least(n, lead.n) >= {p.pct} * greatest(n, lead.n)"))
-                # Per class and round one leader: its smallest; the others come later, if still apart.
-                .groupBy("rep").agg(F.min("lead.rep").alias("b")).select(F.col("rep").alias("a"), "b"))
+                .select(F.col("rep").alias("a"), F.col("lead.rep").alias("b")).distinct())
         if checked is not None:
             cand = cand.join(checked, ["a", "b"], "left_anti")
-        cand = stage(cand, "pairs")
+        # A few leaders a class and turn; the others come later, if still apart.
+        some = F.slice(F.array_sort(F.collect_set(F.struct(F.xxhash64("a", "b", F.lit(turn)).alias("o"), "b"))), 1, p.leaders)
+        cand = stage(cand.groupBy("a").agg(some.alias("s")).select("a", F.explode("s.b").alias("b")), "pairs")
         checked = cand if checked is None else checked.union(cand)
         new = stage(verified(cand, sets, p.pct), "links")
+        if new.isEmpty():
+            break
         links = new if links is None else links.union(new)
-        grown = components(links)
-        comp = stage(member.select("rep").distinct().join(grown, member.rep == grown.id, "left")
+        comp = stage(member.select("rep").distinct().join(components(links), F.col("rep") == F.col("id"), "left")
                      .select("rep", F.coalesce("component_id", "rep").alias("component_id")), "comp")
-    # The rest: classes that share a bucket with another component, joined by their rare shingles.
-    placed = member.join(comp, "rep")
-    mixed = placed.groupBy("bucket").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo <> hi")
-    apart = placed.join(mixed.select("bucket"), "bucket", "left_semi").select("rep", "n", "component_id").distinct()
-    apart = stage(apart.join(sets, F.col("rep") == F.col("id")).select("rep", "n", "component_id", "s"), "apart")
-    word = stage(rare_prefixes(apart, p.pct), "prefixes")
-    shared = word.groupBy("w").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo <> hi")
-    word = word.join(shared.select("w"), "w", "left_semi")
-    x, y = word.alias("x"), word.alias("y")
-    rest = (x.join(y, F.expr("x.w = y.w and x.component_id > y.component_id and "
+    # The rest: pairs of a bucket that lie in different components, each once.
+    placed = stage(mixed(member.join(comp, "rep")), "mixed")
+    big = stage(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where(f"m > {p.block}"), "big")
+    small = placed.join(big.select("bucket"), "bucket", "left_anti")
+    x, y = small.alias("x"), small.alias("y")
+    rest = (x.join(y, F.expr("x.bucket = y.bucket and x.component_id > y.component_id and "
                              f"100 * least(x.n, y.n) >= {p.pct} * greatest(x.n, y.n)"))
             .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
-    seen = checked.select("a", "b").union(checked.select("b", "a"))
-    rest = stage(rest.join(seen, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(stage(verified(rest, sets, p.pct), "links"))
+    if checked is not None:
+        rest = rest.join(checked.select("a", "b").union(checked.select("b", "a")), ["a", "b"], "left_anti")
+    rest = stage(rest, "pairs")
+    new = stage(verified(rest, sets, p.pct).union(blockwise(placed, big, sets, classes, p)), "links")
+    links = new if links is None else links.union(new)
     comp = components(links)
     by_class = classes.select("d1", "d2", "n", "rep").join(comp, classes.rep == comp.id, "left").select(
         "d1", "d2", "n", F.col("rep").alias("class_id"), F.coalesce("component_id", "rep").alias("component_id"))
