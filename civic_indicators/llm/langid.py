@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from civic_indicators.llm.common import fold, mix, q
 
-EDGE = "\x02"
+EDGE, STOP = "\x02", "\x03"  # before and after a word
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -68,7 +68,7 @@ def build(counts: pd.DataFrame, p: LangParams):
     """(languages, gram hashes, log-probabilities, context hashes, log back-off, floor) from (lang, gram, n)
     rows: the grams of ``order`` letters and the shorter ones at a word's start."""
     langs = sorted(counts.lang.unique())
-    letters = {g[-1] for g in counts.gram} - {EDGE} | {EDGE}
+    letters = {g[-1] for g in counts.gram}
     floor = -np.log(len(letters) + 1)
     per = []
     for lang in langs:
@@ -77,7 +77,7 @@ def build(counts: pd.DataFrame, p: LangParams):
         for k in range(p.order, 1, -1):  # continuation counts of the next lower order
             for g in [g for g in c if len(g) == k]:
                 low = g[1:]
-                if not low.startswith(EDGE) and len(low) >= 1:
+                if not low.startswith(EDGE):
                     c[low] = c.get(low, 0.0) + 1.0
         ctx: dict[str, list[float]] = {}
         for g, n in c.items():
@@ -117,7 +117,7 @@ def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 def word_scores(ws: list[str], model, order: int) -> np.ndarray:
     """Log-probability of each word and its end, per language."""
     langs, gh, lp, ch, back, floor = model
-    text = "".join(EDGE + w + EDGE for w in ws)
+    text = "".join(EDGE + w + STOP for w in ws)
     chars = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
     lens = np.fromiter((len(w) + 2 for w in ws), np.int64, len(ws))
     owner = np.repeat(np.arange(len(ws)), lens)
@@ -225,7 +225,7 @@ def train(docs: DataFrame, p: LangParams = LangParams(), text: str = "text", lan
                 for tok, n in Counter(t.lower().split()).items():
                     w = clean(tok)
                     if w:
-                        w = EDGE + w + EDGE
+                        w = EDGE + w + STOP
                         for k in range(2, p.order):  # at the start of the word
                             if k <= len(w):
                                 total[lg, w[:k]] += n
