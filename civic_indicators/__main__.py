@@ -25,7 +25,8 @@ from civic_indicators.plans import guidance as G
 from civic_indicators.plans import placement as PL
 from civic_indicators.plans import registration as R
 from civic_indicators.session import checkpoint_dir, get_spark, size_session
-from civic_indicators.sources import scan, write_curated, write_quarantine
+from civic_indicators.sources import scan, sheets, write_curated, write_quarantine
+from civic_indicators.sources.sheets import conform
 
 ROW = "_fila"
 
@@ -43,7 +44,7 @@ def _show(title: str, df: DataFrame, reports: str | None = None) -> None:
 
 
 def run_registration(spark, a) -> None:
-    raw = scan(spark, a.input, a.format)
+    raw = conform(scan(spark, a.input, a.format), sheets.REGISTRATIONS)
     valid, rejected = R.registration(raw, year=a.year, iso_dayfirst=a.iso_dayfirst)
     if a.quarantine:
         write_quarantine(rejected, a.quarantine, a.run_date)
@@ -60,10 +61,10 @@ def run_registration(spark, a) -> None:
 
 
 def run_guidance(spark, a) -> None:
-    sessions = scan(spark, a.sessions, a.format)
-    workshops = scan(spark, a.workshops, a.format, row_order=ROW)
-    registrations = scan(spark, a.registrations, a.format, row_order=ROW)
-    counsellors = scan(spark, a.counsellors, a.format, row_order=ROW)
+    sessions = conform(scan(spark, a.sessions, a.format), sheets.SESSIONS)
+    workshops = conform(scan(spark, a.workshops, a.format, row_order=ROW), sheets.WORKSHOPS)
+    registrations = conform(scan(spark, a.registrations, a.format, row_order=ROW), sheets.PERSON_REGISTER, spaces=False)
+    counsellors = conform(scan(spark, a.counsellors, a.format, row_order=ROW), sheets.COUNSELLOR_LOG, spaces=False)
     people = G.guidance(sessions, workshops, registrations, counsellors, workshop_order=[ROW],
                         registration_order=[ROW], counsellor_order=[ROW]).drop(ROW)
     if a.out:
@@ -75,7 +76,7 @@ def run_guidance(spark, a) -> None:
 
 
 def run_placement(spark, a) -> None:
-    rows = PL.placement(scan(spark, a.input, a.format), checkpoint=checkpoint_dir(spark) is not None)
+    rows = PL.placement(conform(scan(spark, a.input, a.format), sheets.PLACEMENTS), checkpoint=checkpoint_dir(spark) is not None)
     if a.out:
         write_curated(rows, a.out)
         rows = spark.read.parquet(a.out)               # reports read the written table

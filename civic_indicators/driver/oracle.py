@@ -525,6 +525,29 @@ def sql_disability_vacancies() -> str:
             f"AND discapacidad IS NOT NULL AND nombre_de_la_vacante IS NOT NULL GROUP BY 1")
 
 
+# Labels of the lines of Q.PHRASES by position, written out (registration, guidance, placement).
+FIXED_LABELS = {
+    "reg_grupos_etnicos": {0: "Afrodescendiente", 1: "Afrodescendiente", 2: "Raizal y/o Isleño", 3: "Indígenas", 4: "Afrodescendiente|Gitano"},
+    "gui_grupos_etnicos": {0: "Afrodescendiente", 1: "Afrodescendiente", 2: "Raizal y/o Isleño", 3: "Indígenas", 4: "Afrodescendiente|Gitano"},
+    "pla_etnias": {0: "grupo_etnico", 1: "grupo_etnico", 2: "grupo_etnico", 3: "grupo_etnico", 4: "grupo_etnico"},
+    "reg_discapacidad": {5: "Discapacidad", 6: "Discapacidad", 7: "Visual", 8: "Auditiva", 9: "Múltiple", 10: "Sordoceguera", 11: "Psicosocial"},
+    "gui_discapacidad": {5: "Cognitiva o Intelectual", 6: "Física", 7: "Visual", 8: "Auditiva", 9: "Múltiple", 10: "Sordoceguera", 11: "Psicosocial"},
+    "pla_discapacidad": {5: "Cognitiva o Intelectual", 6: "Física", 7: "Visual", 8: "Auditiva", 9: "Múltiple", 10: "Sordoceguera", 11: "Psicosocial"},
+    "reg_vca": {12: "VCA", 20: "VCA"}, "gui_vca": {12: "VCA", 20: "VCA"}, "pla_vca": {12: "vca", 13: "vca"},
+    "reg_vvg": {14: "vvg"}, "gui_vvg": {14: "vvg"}, "pla_vvg": {14: "vvg", 15: "vvg"},
+    "reg_migrante": {16: "Migrante o Retornado", 17: "Migrante o Retornado", 21: "Migrante o Retornado"},
+    "gui_migrante": {16: "Migrante o Retornado", 17: "Migrante o Retornado", 22: "Migrante o Retornado"},
+    "pla_migrante": {16: "Migrante y/o retronado", 17: "Migrante y/o retronado"},
+    "reg_reincorporados": {18: "reincorporados"}, "gui_reincorporados": {18: "reincorporados"}, "pla_reincorporados": {18: "reincorporados"},
+}
+
+
+def sql_fixed_rules() -> str:
+    cols = ", ".join("CASE o_orderkey % 23 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in labels.items()) + f" END AS {c}"
+                     for c, labels in FIXED_LABELS.items())
+    return f"SELECT o_orderkey, {cols} FROM orders"
+
+
 def sql_text_posts() -> str:
     posts = "CASE WHEN puestos_de_trabajo_en_plataforma = 13 THEN NULL ELSE puestos_de_trabajo_en_plataforma END"
     month = f"mes_registro = '{Q.PLACE_MONTH_NAME}'"
@@ -627,6 +650,8 @@ def oracle() -> dict[str, str]:
         "disability_report_sent": sql_disability_report_sent(),
         "guided_listing": sql_guided_listing(),
         "text_posts": sql_text_posts(),
+        "fixed_rules": sql_fixed_rules(),
+        "quarantine_rows": f"SELECT row_id, '2025-01-31' AS run_date FROM ({sql_quarantine_split()}) WHERE status = 'rejected'",
         "event_value_sums": """SELECT event_type, CAST(coalesce(sum(CAST(value AS DECIMAL(18, 2))), 0) AS DOUBLE) AS total
             FROM events WHERE ts < TIMESTAMP '2024-01-16' AND event_type IS NOT NULL GROUP BY 1
             UNION ALL SELECT 'ALL', CAST(coalesce(sum(CAST(value AS DECIMAL(18, 2))) FILTER (WHERE ts < TIMESTAMP '2024-01-16'), 0)

@@ -31,7 +31,7 @@ from civic_indicators.plans import registration as R
 from civic_indicators.session import checkpoint_dir
 from civic_indicators.sources import (
     drop_columns, normalize_headers, rename, rename_by_pattern, scan, with_unique_headers,
-    write_curated, write_split,
+    write_curated, write_quarantine, write_split,
 )
 
 # ------------------------------------------------------------------ rule sets
@@ -59,7 +59,7 @@ GUIDE_RULES = G.GuidanceRules(
 GUIDE_MONTH, GUIDE_YEAR = 3, 1996
 
 PLACE_RULES = PL.PlacementRules(
-    disability=(("f", "Final"), ("o", "Abierto"), ("tipo [0-2]", "Bajo")),
+    disability=(("o", "Abierto"), ("f", "Final"), ("tipo [0-2]", "Bajo")),
     vca_condition="r.f", vvg_condition="n[fo]", migrant_condition="tipo 3|tipo 4",
     ethnic=(("^a", "A"), ("5", "Cinco")), reintegrated_condition="tipo 6",
     education={"af": "a final", "ro": "r abierto", "nf": "n final"},
@@ -133,6 +133,41 @@ def q_quarantine_split(spark, root):
     return df.select(F.col("`no._`").alias("row_id"), F.when(reject, F.lit("rejected")).otherwise(F.lit("valid")).alias("status"))
 
 
+def q_quarantine_rows(spark, root):
+    """S7 + D9 + P13: the rejected rows as the quarantine sink holds them after a rerun of the same day."""
+    base = checkpoint_dir(spark, fallback=f"/tmp/civic-ckpt-{uuid.uuid4().hex}")
+    out = f"{base.rstrip('/')}/quarantine-{uuid.uuid4().hex}"
+    _, rejected = R.registration(S.register(spark, root), rules=REG_RULES)
+    for _ in range(2):
+        write_quarantine(rejected, out, "2025-01-31")
+    return spark.read.parquet(out).select(F.col("`no._`").alias("row_id"), F.col("run_date").cast("string").alias("run_date"))
+
+
+# Register vocabulary, one line per order: condition, programme, document type.
+PHRASES = (
+    ("afrodescendiente", "Jóvenes", "cc"), ("palenquero", "Jóvenes", "cc"), ("raizal", "Jóvenes", "cc"), ("indígena", "Jóvenes", "cc"),
+    ("gitano y mulato", "Jóvenes", "cc"), ("discapacidad cognitiva", "Jóvenes", "cc"), ("discapacidad física", "Jóvenes", "cc"),
+    ("limitación visual", "Jóvenes", "cc"), ("limitación auditiva", "Jóvenes", "cc"), ("múltiple", "Jóvenes", "cc"),
+    ("sordoceguera", "Jóvenes", "cc"), ("psicosocial", "Jóvenes", "cc"), ("vca", "Jóvenes", "cc"), ("víctima", "Jóvenes", "cc"),
+    ("violencia de género", "Jóvenes", "cc"), ("mch", "Jóvenes", "cc"), ("migrante", "Jóvenes", "cc"), ("retornado", "Jóvenes", "cc"),
+    ("reincorporado", "Jóvenes", "cc"), ("ninguna", "Jóvenes", "cc"), (None, "Conflicto armado", "cc"),
+    ("ninguna", "Jóvenes", "Permiso por protección"), ("ninguna", "Jóvenes", "ppt"),
+)
+
+
+def q_fixed_rules(spark, root):
+    """The three flows' fixed rules over register vocabulary, a line of it per order."""
+    at = (F.col("o_orderkey") % len(PHRASES) + 1).cast("int")
+    pick = lambda j: F.element_at(F.array(*[F.lit(p[j]) for p in PHRASES]), at)
+    d = _t(spark, root, "orders").select("o_orderkey", pick(0).alias("cond"), pick(1).alias("prog"), pick(2).alias("doc"))
+    out = d.select("o_orderkey", *[e.alias(f"{n}_{k}") for n, labels in (
+        ("reg", R.population_labels("cond", "prog", "doc")), ("gui", G.population_labels("cond", "prog", "doc")),
+        ("pla", PL.population_labels("cond"))) for k, e in labels.items()])
+    for c in ("reg_grupos_etnicos", "gui_grupos_etnicos"):
+        out = _joined(out, c)
+    return out
+
+
 def q_id_sets(spark, root):
     """U1 + J5: orders of customers in either of two id sets, of the others, and all of them marked."""
     c = _t(spark, root, "customer")
@@ -653,4 +688,6 @@ QUERIES = {
     "sorted_types": q_sorted_types,
     "person_keys": q_person_keys,
     "text_posts": q_text_posts,
+    "fixed_rules": q_fixed_rules,
+    "quarantine_rows": q_quarantine_rows,
 }
