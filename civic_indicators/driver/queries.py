@@ -60,7 +60,7 @@ GUIDE_MONTH, GUIDE_YEAR = 3, 1996
 
 PLACE_RULES = PL.PlacementRules(
     disability=(("o", "Abierto"), ("f", "Final"), ("tipo [0-2]", "Bajo")),
-    vca_condition="r.f", vvg_condition="n[fo]", migrant_condition="tipo 3|tipo 4",
+    vca_condition="r. t", vvg_condition="n[fo]", migrant_condition="tipo 3|tipo 4",
     ethnic=(("^a", "A"), ("5", "Cinco")), reintegrated_condition="tipo 6",
     education={"af": "a final", "ro": "r abierto", "nf": "n final"},
 )
