@@ -29,6 +29,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import nlargest
 
 import numpy as np
 import pandas as pd
@@ -236,14 +237,17 @@ class UnitScores(dict):
         super().__init__()
         self.g, self.offset = g, offset
 
-    def best(self, text: str | None) -> float:
-        raw = raw_units(text)
+    def best(self, texts: list[str | None]) -> list[float]:
+        """Each text's decision; the units new to the task are scored together."""
+        raw = [raw_units(t) for t in texts]
         if len(self) > self.LIMIT:
             self.clear()
-        new = [r for r in raw if r not in self]
+        new = [r for r in set().union(*raw) if r not in self]
         if new:
             self.update(zip(new, unit_scores([unit(r) for r in new], self.g, self.offset).tolist()))
-        top = sorted(map(self.__getitem__, raw), reverse=True)[:3]
+        return [self._of(nlargest(3, map(self.__getitem__, x))) for x in raw]
+
+    def _of(self, top: list[float]) -> float:
         return (top[0] + sum(top) / len(top)) / 2 if top else self.offset
 
 
@@ -256,7 +260,14 @@ def decision(docs: DataFrame, model, text: str) -> Column:
         for t in batches:
             if known is None:
                 known = UnitScores(*shared.value)
-            yield pd.Series([known.best(x) for x in t], dtype="float64")
+            out, part, size = [], [], 0
+            for x in t:  # so many characters at a time, one text at least
+                part.append(x)
+                size += len(x or "")
+                if size > 400_000:
+                    out += known.best(part)
+                    part, size = [], 0
+            yield pd.Series(out + (known.best(part) if part else []), dtype="float64")
 
     return best(q(text))
 
