@@ -59,6 +59,8 @@ class DigestIndex:
         if not batch.replace("-", "").replace("_", "").isalnum():
             raise ValueError(f"batch name {batch!r}: letters, digits, - and _ only")
         self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION (batch = '{batch}')")
+        left = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch={batch}")  # the table's files are its own
+        left.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(left, True)
         new = (docs.select(text_digest(q(text)).alias("digest"), q(doc_id).cast("bigint").alias("id"))
                .groupBy("digest").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
         new = new.repartition(self.buckets, "digest").hint("merge").join(self.entries().select("digest"), "digest", "left_anti")
