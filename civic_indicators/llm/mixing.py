@@ -88,7 +88,8 @@ def allocate(leaves: DataFrame, p: MixParams) -> DataFrame:
 
 
 def mix(docs: DataFrame, p: MixParams, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The columns of ``docs`` plus mix_tokens, mix_epoch and one mix_level_i per level, a row per epoch a document is in."""
+    """The columns of ``docs`` plus mix_tokens, mix_epoch and one mix_level_i per level, a row per
+    epoch a document is in; a name that ``docs`` has already gets underscores in front."""
     cols = [f"_l{i}" for i in range(len(p.levels))]
     path = [F.coalesce(F.expr(e).cast("string"), F.lit("(none)")).alias(c) for c, e in zip(cols, p.levels)]
     ident = F.coalesce(q(doc_id).cast("string"), F.lit("null"))
@@ -122,5 +123,6 @@ def mix(docs: DataFrame, p: MixParams, text: str = "text", doc_id: str = "doc_id
                                   | F.coalesce(F.struct(F.col(h).alias("h"), F.col(x).alias("x")) <= F.col(last_), F.lit(False)))
     times = F.col(full) + F.when(inside, 1).otherwise(0)
     own = own.where(times > 0)
-    return own.select(*[q(c) for c in docs.columns], *[F.col(n).alias(f"mix_level_{i}") for i, n in enumerate(lv)],
-                      n_tokens(q(text)).alias("mix_tokens"), F.explode(F.sequence(F.lit(0).cast("bigint"), times - 1)).alias("mix_epoch"))
+    out = fresh(docs, *[f"mix_level_{i}" for i in range(len(cols))], "mix_tokens", "mix_epoch")
+    return own.select(*[q(c) for c in docs.columns], *[F.col(n).alias(o) for n, o in zip(lv, out)], n_tokens(q(text)).alias(out[-2]),
+                      F.explode(F.sequence(F.lit(0).cast("bigint"), times - 1)).alias(out[-1]))
