@@ -22,9 +22,9 @@ merge components. So a group of near copies becomes one component after few roun
 each with a number of pairs proportional to the classes. What is left in a bucket are
 classes of different components that are not linked to the leaders they met; only their
 pairs, one from either component, are all checked in the end, so no link is lost. In
-buckets of up to ``block`` such classes the pairs are rows of a join; larger buckets are
-cut into blocks of about that many, and blocks are compared with blocks inside a task,
-each pair in the first bucket it shares, so only links become rows.
+buckets of up to ``pairwise`` such classes the pairs are rows of a join; larger buckets
+are cut into blocks of about ``block`` shingles, and blocks are compared with blocks inside
+a task, each pair in the first bucket it shares, so only links become rows.
 
 Results: a null or blank text has an empty set and no link; a null id is linked
 with nothing and kept; rows of one id are one document; an empty table gives an
@@ -54,7 +54,8 @@ class NearDedup:
     rows: int = 7
     star_rounds: int = 3
     leaders: int = 4
-    block: int = 64
+    pairwise: int = 64
+    block: int = 200_000
 
     @property
     def coords(self) -> int:
@@ -206,7 +207,7 @@ def _block_links(rows: list[tuple], lo: int, hi: int, bucket: int, pct: int) ->
 
 
 def blockwise(placed: DataFrame, big: DataFrame, sets: DataFrame, classes: DataFrame, p: NearDedup) -> DataFrame:
-    """Links (a, b) between classes of different components in large buckets; ``big``: (bucket, m)."""
+    """Links (a, b) between classes of different components in large buckets; ``big``: (bucket, m), m its shingles."""
     rows = placed.join(big, "bucket").withColumn("blocks", F.ceil(F.col("m") / p.block))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     rows = rows.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "component_id")
@@ -275,7 +276,8 @@ def near_groups(docs: DataFrame, p: NearDedup = NearDedup(), text: str = "text",
                      .select("rep", F.coalesce("component_id", "rep").alias("component_id")), "comp")
     # The rest: pairs of a bucket that lie in different components, each once.
     placed = stage(mixed(member.join(comp, "rep")), "mixed")
-    big = stage(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where(f"m > {p.block}"), "big")
+    big = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("m"))
+    big = stage(big.where(f"classes > {p.pairwise}").select("bucket", "m"), "big")
     small = placed.join(big.select("bucket"), "bucket", "left_anti")
     x, y = small.alias("x"), small.alias("y")
     rest = (x.join(y, F.expr("x.bucket = y.bucket and x.component_id > y.component_id and "

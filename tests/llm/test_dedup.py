@@ -142,3 +142,10 @@ def test_without_is_an_anti_join(spark, make_docs):
     ids = spark.createDataFrame([(i,) for i in range(0, 200, 3)] + [(None,)], "x bigint")
     got = without(docs, ids, "doc_id", log2_bits=10)      # a crowded filter must not lose or drop rows
     assert sorted(r.doc_id if r.doc_id is not None else -1 for r in got.collect()) == [-1, *[i for i in range(200) if i % 3]]
+
+
+def test_block_compare_finds_what_pairs_do(make_docs):
+    rows = corpus(6)
+    p = N.NearDedup(k=4, star_rounds=1, leaders=1, pairwise=1, block=300)      # every bucket in several blocks
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.near_groups(make_docs(*rows), p).collect()}
+    assert got == brute(rows, 4, 80)
