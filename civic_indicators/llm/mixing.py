@@ -78,11 +78,12 @@ def allocate(leaves: DataFrame, p: MixParams) -> DataFrame:
     """(level columns, t, alloc) for each leaf, from its tokens ``t``."""
     cols = [f"_l{i}" for i in range(len(p.levels))]
     leaves = leaves.withColumn("cap", F.col("t") * p.max_epochs)
-    total = F.lit(float(p.budget)) if p.budget is not None else F.col("sum_t") * p.share[0] / p.share[1]
-    offers = leaves.groupBy().agg(F.sum("t").alias("sum_t")).select(total.cast("double").alias("offer"))
+    tokens = leaves.agg(F.sum("t")).first()[0] or 0
+    total = float(p.budget) if p.budget is not None else tokens * p.share[0] / p.share[1]
+    offers = None
     for i in range(len(cols)):
         nodes = leaves.groupBy(*cols[:i + 1]).agg(F.sum("cap").alias("cap")).withColumn("w", _weight(p, cols[:i + 1]))
-        nodes = nodes.join(offers, cols[:i]) if i else nodes.join(offers.withColumn("_one", F.lit(1)), F.col("_one") == 1).drop("_one")
+        nodes = nodes.join(offers, cols[:i]) if i else nodes.withColumn("offer", F.lit(total))
         offers = stage(_share(nodes, cols[:i]).select(*cols[:i + 1], F.col("give").alias("offer")), "offers")
     return leaves.select(*cols, "t").join(offers, cols, "left").select(*cols, "t", F.floor(F.coalesce("offer", F.lit(0.0))).cast("bigint").alias("alloc"))
 
