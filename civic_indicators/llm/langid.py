@@ -171,17 +171,20 @@ class WordTable:
         self.n[first:end] = [len(w) + 1 if w else 0 for w in ws]
         self.at.update(zip(tokens, range(first, end)))
 
-    def text(self, text: str | None) -> tuple[np.ndarray, int]:
-        """Log-probabilities per language and characters of a whole text."""
-        count = Counter((text or "").lower().split())
+    def texts(self, texts: list[str | None]) -> list[tuple[np.ndarray, int]]:
+        """Log-probabilities per language and characters of whole texts; tokens new to the task are scored together."""
+        counts = [Counter((t or "").lower().split()) for t in texts]
         if len(self.at) > self.LIMIT:
             self.reset()
-        new = [t for t in count if t not in self.at]
+        new = [t for t in set().union(*counts) if t not in self.at]
         if new:
             self.add(new)
-        i = np.fromiter(map(self.at.__getitem__, count), np.int64, len(count))
-        c = np.fromiter(count.values(), np.int64, len(count))
-        return c @ self.lp[i] if len(i) else np.zeros(len(self.model[0])), int(c @ self.n[i]) if len(i) else 0
+        out = []
+        for count in counts:
+            i = np.fromiter(map(self.at.__getitem__, count), np.int64, len(count))
+            c = np.fromiter(count.values(), np.int64, len(count))
+            out.append((c @ self.lp[i], int(c @ self.n[i])) if len(i) else (np.zeros(len(self.model[0])), 0))
+        return out
 
 
 def score_texts(docs: DataFrame, model, p: LangParams, text: str, *keep):
@@ -194,9 +197,14 @@ def score_texts(docs: DataFrame, model, p: LangParams, text: str, *keep):
         table = WordTable(shared.value, p.order)
         langs = shared.value[0]
         for t in batches:
-            rows = []
-            for x in t:
-                lp, n = table.text(x)
+            rows, got, part, size = [], [], [], 0
+            for x in t:  # so many characters at a time, one text at least
+                part.append(x)
+                size += len(x or "")
+                if size > 400_000:
+                    got += table.texts(part)
+                    part, size = [], 0
+            for lp, n in got + (table.texts(part) if part else []):
                 if n == 0:
                     rows.append(("und", 0.0, None))
                     continue
