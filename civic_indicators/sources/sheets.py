@@ -40,11 +40,12 @@ def conform(df: DataFrame, sheet: dict[str, str], spaces: bool = True) -> DataFr
     A declared column that is missing is an error that names it. ``spaces``: whether the
     declared names have their spaces as underscores.
     """
-    def norm(c: str) -> str:
-        c = c.strip(" ").lower() if not spaces else c.lower().replace(" ", "_")
-        return c
+    def norm(c: str) -> str:  # a header's trailing space may have been trimmed on landing
+        c = c.lower().replace(" ", "_") if spaces else c.lower()
+        return c.rstrip("_ ")
 
-    have = {norm(c): c for c in df.columns}
+    sheet = {norm(c): kind for c, kind in sheet.items()}
+    have = {norm(c) for c in df.columns}
     missing = [c for c in sheet if c not in have]
     if missing:
         raise ValueError(f"sheet lacks the columns {missing}")

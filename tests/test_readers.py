@@ -47,3 +47,12 @@ def test_cluster_conf_sizes_from_input():
     assert int(mid["spark.sql.shuffle.partitions"]) == 256                # 64 GB / 256 MB
     small = cluster_conf(10 << 20, executor_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16               # at least 2 per core
+
+
+def test_conform_types_declared_columns_and_names_missing_ones(spark):
+    from civic_indicators.sources.sheets import conform
+    df = spark.createDataFrame([("2025", "x", "1"), ("dos mil", "y", "2")], "`Año` string, `Gestión Vacante` string, extra string")
+    out = conform(df, {"año": "int", "gestión_vacante_": "string"})
+    assert [tuple(r) for r in out.collect()] == [(2025, "x", "1"), (None, "y", "2")]
+    with pytest.raises(ValueError, match="edad"):
+        conform(df, {"edad": "int"})
