@@ -167,6 +167,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, p: TilingParams = Tiling
 
     both = (pairs.join(found.select("doc_id", "part", "d"), ["doc_id", "part"])
             .join(items.where("x is not null").select("item_id", "x"), "item_id"))
+    # Few bytes a pair but much work: spread by number, which adaptive execution does not merge again.
+    both = both.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id", "item_id")
     out = both.select("doc_id", "item_id", "d", "x").mapInArrow(
         run, "doc_id bigint, item_id bigint, item_tokens bigint, matched_tokens bigint, coverage double, tiles bigint, longest bigint")
     return out.groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("item_tokens", "matched_tokens", "coverage", "tiles", "longest")])
