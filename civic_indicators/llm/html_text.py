@@ -4,7 +4,10 @@ A page is parsed into a tree (implied end tags, unclosed and misnested tags as b
 recover them; an unfinished tag, comment or script at the end is dropped). Elements that
 never hold article text are cut off: scripts, styles, forms, menus, asides, footers,
 headers outside an article, hidden elements, and elements whose class, id or role names
-such a part (adverts, notices, sidebars, reader comments, ...).
+such a part (adverts, notices, sidebars, reader comments, ...; not ``with-sidebar`` and the
+like). If that leaves no ``article`` or ``main`` with text besides its titles, an element so
+named stays that holds one, or more than half of the characters (links and reader comments
+aside) of the page, or of the article it is in; the named elements inside it are tested alike.
 
 Every node gets its composite density: characters per tag, scaled by how few of the
 characters and tags are links, with the page's own share of link characters in the
@@ -32,6 +35,7 @@ from civic_indicators.llm.common import q
 _TOKEN = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>")
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[a-z]+|\d+")
+_BESIDE = re.compile(r"(?<![^\s_-])(?:has|with|no|without)[-_]\S*")  # says what an element goes with, not what it is
 _RAW = frozenset(("script", "style", "textarea", "title", "noscript", "iframe", "noembed", "noframes", "xmp", "template"))
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in _RAW}
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -48,6 +52,8 @@ _PARTS = frozenset(("ad ads adv advert adverts advertisement advertising sponsor
                     "breadcrumb breadcrumbs sidebar aside widget related recommended share sharing social comment comments "
                     "disqus reply replies discussion footer header masthead pagination pager toolbar login search complementary contentinfo "
                     "disclaimer copyright").split())
+_TITLES = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
+_TALK = frozenset("comment comments disqus reply replies discussion".split())
 # Implied ends: a start tag of the key closes an open element of the set, up to the barrier.
 _IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
             "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -57,31 +63,88 @@ _SCOPE = frozenset(("table", "td", "th", "caption", "button", "object", "html"))
 
 
 class Node:
-    __slots__ = ("tag", "up", "cut", "parts", "chars", "links", "tags", "link_tags", "kids", "density", "total", "in_link", "in_article")
+    __slots__ = ("tag", "up", "cut", "parts", "chars", "links", "tags", "link_tags", "kids", "density", "total", "in_link", "in_article", "named")
 
     def __init__(self, tag: str, up: "Node | None", cut: bool):
         self.tag, self.up, self.cut = tag, up, cut
+        self.named: set = set()  # words of its class, id and role that name a part outside the article
         self.parts: list = []  # text and child nodes, in order
         self.in_link = tag == "a" or (up is not None and up.in_link)
         self.in_article = tag == "article" or (up is not None and up.in_article)
 
 
-def _is_cut(tag: str, attrs: str, up: Node) -> bool:
+def _is_cut(tag: str, attrs: str, up: Node) -> tuple[bool, set]:
+    """Whether an element is cut for what it is; else the words by which it is named as a part to cut."""
+    named: set = set()
     if up.cut or tag in _CUT or (tag == "header" and not up.in_article):
-        return True
+        return True, named
     if not attrs.strip():
-        return False
+        return False, named
     for name, a, b, c in _ATTR.findall(attrs):
         name, value = name.lower(), (a or b or c).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return True, named
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return True, named
         if name in ("class", "id", "role") and tag not in _WHOLE:
-            own = _NAME.findall(html.unescape(value))
+            own = _NAME.findall(_BESIDE.sub(" ", html.unescape(value)))
             if _PARTS.intersection(own) and not (tag == "header" or ("header" in own and up.in_article and not _PARTS.difference({"header"}).intersection(own))):
-                return True
-    return False
+                named |= _PARTS.intersection(own)
+    return False, named
+
+
+def _settle(root: Node) -> None:
+    """Cut the elements named as parts, but none that holds the article."""
+    nodes = _order(root)
+    marked = {n for n in nodes if n.named}
+    if not marked:
+        return
+    heads = {up for n in nodes if n.tag in ("main", "h1") for up in _line(n)}
+
+    def sizes(skip: set) -> dict:
+        """Characters outside links, below each node, without those of the nodes to skip."""
+        out: dict = {}
+        for n in reversed(nodes):
+            own = 0 if n.in_link else sum(len("".join(html.unescape(t).split())) for t in n.parts if isinstance(t, str))
+            out[n] = 0 if n in skip else own + sum(out[k] for k in n.kids)
+        return out
+
+    size = sizes({n for n in marked if n.named <= _TALK and n not in heads})
+    if not size[root]:
+        size = sizes(set())
+    wholes = [n for n in nodes if n.tag in ("article", "main") and size[n]]
+    titles = {n for n in nodes if n.tag in _TITLES}
+    while marked:
+        own = [w for w in wholes if _outermost(w, marked) is None]
+        if own:
+            bare = sizes(marked | titles)
+            if any(bare[w] for w in own):
+                break
+        keep = set() if own else {_outermost(w, marked) for w in wholes}
+        for n in marked:
+            around = [w for w in own if w in set(_line(n))] if own else [root]
+            if _outermost(n, marked) is n and any(2 * size[n] > size[w] for w in around):
+                keep.add(n)
+        if not keep:
+            break
+        marked -= keep
+    for n in marked:
+        n.cut = True
+
+
+def _outermost(n: Node, marked: set) -> Node | None:
+    found = None
+    for up in _line(n):
+        if up in marked:
+            found = up
+    return found
+
+
+def _line(n: Node | None):
+    """A node and all above it."""
+    while n is not None:
+        yield n
+        n = n.up
 
 
 def parse(page: str) -> Node:
@@ -138,7 +201,9 @@ def parse(page: str) -> Node:
                 at = last.up
         if at.tag == "head" and tag == "body":
             at = at.up
-        node = Node(tag, at, _is_cut(tag, m.group(3), at))
+        cut, named = _is_cut(tag, m.group(3), at)
+        node = Node(tag, at, cut)
+        node.named = named
         at.parts.append(node)
         if tag in _RAW:
             stop = _RAW_END[tag].search(page, pos)
@@ -219,6 +284,7 @@ def blocks(top: Node) -> list[str]:
 
 def main_text(page: str | None) -> str:
     root = parse(page or "")
+    _settle(root)
     nodes = _measure(root)
     body = next((n for n in nodes if n.tag == "body"), root)
     inside = [n for n in nodes if n.chars]

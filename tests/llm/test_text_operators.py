@@ -181,6 +181,19 @@ def test_main_text():
     assert main_text("<article><p>5 < 6 and &unknown; &am") == "5 < 6 and &unknown; &am"
 
 
+def test_parts_named_by_class_do_not_take_the_article():
+    text = "Long text of words, " * 30
+    want = text.strip()
+    for open_ in ("<div class='content with-sidebar'>", "<div id='page' class='has-header no-comments'>", "<section class='share-price'>", "<div class='two-col without_menu'>"):
+        for tag in ("article", "div"):
+            page = f"<body>{open_}<{tag}><p>{text}</p></{tag}><div class='related'><a href=x>More</a></div></{open_[1:].split()[0]}></body>"
+            assert main_text(page) == want, page
+    assert main_text(f"<body><article><h1>Head</h1><div class='share-price'><p>{text}</p></div><div class=ad>Buy</div></article></body>") == "Head\n\n" + want
+    talk = "<div id=comments>" + "<article class=comment-body><p>A reader's view of it all.</p></article>" * 60 + "</div>"
+    assert main_text(f"<body><article><p>{text}</p>{talk}</article></body>") == main_text(f"<body><article><p>{text}</p></article>{talk}</body>") == want
+    assert main_text(f"<body><div class='share-price'><article><p>{text}</p>{talk}</article></div></body>") == want
+
+
 def test_extract_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>é x</p>", 5), (2, None, None, 5), (1, "u", "<p>é x</p>", 5), (None, "v", "plain", 6), (4, "w", "<p>" + "word " * 40_000, 7)],
                                   "page_id bigint, url string, html string, text int")
