@@ -158,6 +158,30 @@ def test_pseudonyms(make_docs):
     assert {r.doc_id: r.text for r in pii.pseudonymise(make_docs(*enumerate(texts)), key="k").collect()} == {i: r.text for i, r in got.items()}
 
 
+def test_cards_beside_numbers_and_all_date_orders(spark, make_docs):
+    card, other = "4111 1111 1111 1111", "4556-7375-8689-9855"
+    texts = [f"{card} 12/25", "4111111111111111 123 x", f"12 {card}", f"1234 {card} 99", f"{card} {other}", f"{card} 988-555-2485", f"{card} 123-45-6789",
+             f"{card} 10.1.2.3", "born 12/25/2020", "5/3/1999, 05/03/1999 and 12-25-2020", "13/13/2020 0/1/2020", "4111111111111112 123", "12/25/1999 12/26/1999",
+             "4111111111111111@example.com", "1 2 3 4 " * 100]
+    got = {r.doc_id: r for r in pii.pseudonymise(make_docs(*enumerate(texts)), key="k").collect()}
+    for i, tail in ((0, " 12/25"), (1, " 123 x")):
+        assert got[i].kinds == ["card"] and got[i].text.endswith(tail) and luhn(re.sub(r"\D", "", got[i].text[:-len(tail)])) and "1111" not in got[i].text
+    assert got[2].kinds == ["card"] and got[2].text == "12 " + got[0].text[:19]
+    assert got[3].kinds == ["card"] and got[3].text == "1234 " + got[0].text[:19] + " 99"
+    assert got[4].kinds == ["card", "card"] and got[4].text.startswith(got[0].text[:19] + " ") and luhn(got[4].text[20:].replace("-", "")) and other not in got[4].text
+    assert [got[i].kinds for i in (5, 6, 7)] == [["card", "phone"], ["card", "ssn"], ["card", "ip"]]
+    assert got[8].kinds == ["date"] and dt.datetime.strptime(got[8].text[5:], "%m/%d/%Y").day > 12 and got[8].text != texts[8]
+    assert got[9].kinds == ["date"] * 3
+    a, b = (dt.datetime.strptime(x, "%d/%m/%Y") for x in re.findall(r"\d+/\d+/\d+", got[9].text))
+    assert a == b != dt.datetime(1999, 3, 5) and dt.datetime.strptime(got[9].text[-10:], "%m-%d-%Y").day > 12
+    assert got[10].text == texts[10] and got[11].text == texts[11] and got[11].n_found == 0
+    assert got[12].kinds == ["date", "date"] and len(set(got[12].text.split())) == 2
+    assert got[13].kinds == ["email"] and len(got[14].text) == len(texts[14])
+    late = sorted(str(r.d) for r in spark.range(88497).select(pii._late_day(F.col("id")).alias("d")).collect())
+    days = (dt.date(1800, 1, 1) + dt.timedelta(i) for i in range(146097))
+    assert late == [str(d) for d in days if d.day > 12]
+
+
 def test_feistel_is_a_permutation(spark):
     lit = F.lit
     out = spark.range(189 * 7).select(pii.feistel(F.floor(F.col("id") / 7), F.col("id") % 7, lit(189).cast("bigint"), lit(7).cast("bigint"), "k", "t").alias("p"))
