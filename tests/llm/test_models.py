@@ -185,3 +185,19 @@ def test_coding_tree_is_a_distribution():
         p = 1 / (1 + np.exp(-odds))
         total = [math.exp(deep[i]) * math.prod(p[n] if b else 1 - p[n] for n, b in zip(nodes[i], bits[i]) if n >= 0) for i in range(len(counts))]
         assert np.allclose(total, counts / counts.sum(), atol=1e-5)
+
+
+def test_every_bit_of_a_code_is_mixed(make_docs):
+    counts = np.array([2.0 ** i for i in range(12)])
+    nodes, _, deep, _ = M.tree(counts, M.LmParams().depth)
+    assert nodes.shape[1] == 11 and (nodes >= 0).sum(1).max() == 11 and not deep.any()
+    # 600 words equally frequent, so of codes of 9 bits and more, each followed by its own successor.
+    rng = random.Random(3)
+    docs = []
+    for i in range(400):
+        at = rng.randrange(600)
+        docs.append((i, " ".join(f"w{(at + k) % 600}" for k in range(40))))
+    every, some = ({r.doc_id: r for r in M.score(make_docs(*docs), p=M.LmParams(**d)).collect()} for d in ({}, {"depth": 6}))
+    held = [i for i, r in every.items() if r.held_out]
+    mean = [sum(g[i].score for i in held) / sum(g[i].n_tokens for i in held) for g in (every, some)]
+    assert mean[0] > mean[1] + 0.3
