@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civic_indicators.llm.align import alignment
 from civic_indicators.llm.decontaminate import contaminated
 from civic_indicators.llm.exact_dedup import exact_groups
+from civic_indicators.llm.fingerprint import edit_likeness
 from civic_indicators.llm.html_text import extract
 from civic_indicators.llm.langid import identify
 from civic_indicators.llm.lm_score import score
@@ -16,6 +18,7 @@ from civic_indicators.llm.near_dedup import NearDedup, near_groups
 from civic_indicators.llm.pii import pseudonymise
 from civic_indicators.llm.quality import quality
 from civic_indicators.llm.toxicity import toxicity
+from civic_indicators.llm.variants import spelling_variants, variants_sql
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,13 +77,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"))
+
+
+def op13_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_likeness(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_mixing, op3_quality, op4_langid, op5_exact_dedup,
-                                   op6_pii, op7_decontamination, op8_html_text, op9_lm_score, op10_toxicity, pipeline)}
+                                   op6_pii, op7_decontamination, op8_html_text, op9_lm_score, op10_toxicity,
+                                   op11_spelling_variants, op12_token_alignment, op13_order_minhash, pipeline)}
 
 def mix_sql(p: MixParams) -> str:
     """``mix`` in DuckDB SQL: the shares level by level, then each leaf's prefix by a running sum."""
@@ -111,6 +127,7 @@ def mix_sql(p: MixParams) -> str:
 
 ORACLE = {
     "op2_mixing": mix_sql(MIXTURE),
+    "op11_spelling_variants": variants_sql(),
     "op5_exact_dedup": """
         WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                                    'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
