@@ -82,14 +82,14 @@ def run_placement(spark, a) -> None:
         rows = spark.read.parquet(a.out)               # reports read the written table
     name, month = a.month_name, a.month
     _show(f"vacancies registered in {name}", PL.vacancy_summary(rows, name, dedupe_key=a.dedupe_key), a.reports)
-    _show(f"sent in month {month} and placed in {name}", PL.monthly_report(rows, month, name, a.year))
+    _show(f"sent in month {month} and placed in {name}", PL.monthly_report(rows, month, name, a.year), a.reports)
     _show("employers that placed population groups", PL.inclusive_employer_count(rows, name), a.reports)
-    _show("their names", PL.inclusive_employers(rows, name))
+    _show("their names", PL.inclusive_employers(rows, name), a.reports)
     _show("sent with a disability", PL.disability_report(rows, month, name, a.year)["sent_with_disability"], a.reports)
     _show("sent, by age band and sex x disability", PL.disability_pivot(rows, PL.sent(month, a.year)), a.reports)
-    _show("placed, by age band and sex x disability", PL.disability_pivot(rows, PL.placed_in(name)))
+    _show("placed, by age band and sex x disability", PL.disability_pivot(rows, PL.placed_in(name)), a.reports)
     _show("posts per employer (disability)", PL.disability_posts(rows, name), a.reports)
-    _show("placements per employer (disability)", PL.disability_placements(rows, name))
+    _show("placements per employer (disability)", PL.disability_placements(rows, name), a.reports)
     _show("placements per vacancy (disability)", PL.disability_placements(rows, name, PL.VACANCY), a.reports)
 
 

@@ -525,27 +525,13 @@ def sql_disability_vacancies() -> str:
             f"AND discapacidad IS NOT NULL AND nombre_de_la_vacante IS NOT NULL GROUP BY 1")
 
 
-# Labels of the lines of Q.PHRASES by position, written out (registration, guidance, placement).
-FIXED_LABELS = {
-    "reg_grupos_etnicos": {0: "Afrodescendiente", 1: "Afrodescendiente", 2: "Raizal y/o Isleño", 3: "Indígenas", 4: "Afrodescendiente|Gitano"},
-    "gui_grupos_etnicos": {0: "Afrodescendiente", 1: "Afrodescendiente", 2: "Raizal y/o Isleño", 3: "Indígenas", 4: "Afrodescendiente|Gitano"},
-    "pla_etnias": {0: "grupo_etnico", 1: "grupo_etnico", 2: "grupo_etnico", 3: "grupo_etnico", 4: "grupo_etnico"},
-    "reg_discapacidad": {5: "Discapacidad", 6: "Discapacidad", 7: "Visual", 8: "Auditiva", 9: "Múltiple", 10: "Sordoceguera", 11: "Psicosocial"},
-    "gui_discapacidad": {5: "Cognitiva o Intelectual", 6: "Física", 7: "Visual", 8: "Auditiva", 9: "Múltiple", 10: "Sordoceguera", 11: "Psicosocial"},
-    "pla_discapacidad": {5: "Cognitiva o Intelectual", 6: "Física", 7: "Visual", 8: "Auditiva", 9: "Múltiple", 10: "Sordoceguera", 11: "Psicosocial"},
-    "reg_vca": {12: "VCA", 20: "VCA"}, "gui_vca": {12: "VCA", 20: "VCA"}, "pla_vca": {12: "vca", 13: "vca"},
-    "reg_vvg": {14: "vvg"}, "gui_vvg": {14: "vvg"}, "pla_vvg": {14: "vvg", 15: "vvg"},
-    "reg_migrante": {16: "Migrante o Retornado", 17: "Migrante o Retornado", 21: "Migrante o Retornado"},
-    "gui_migrante": {16: "Migrante o Retornado", 17: "Migrante o Retornado", 22: "Migrante o Retornado"},
-    "pla_migrante": {16: "Migrante y/o retronado", 17: "Migrante y/o retronado"},
-    "reg_reincorporados": {18: "reincorporados"}, "gui_reincorporados": {18: "reincorporados"}, "pla_reincorporados": {18: "reincorporados"},
-}
-
-
 def sql_fixed_rules() -> str:
-    cols = ", ".join("CASE o_orderkey % 23 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in labels.items()) + f" END AS {c}"
-                     for c, labels in FIXED_LABELS.items())
-    return f"SELECT o_orderkey, {cols} FROM orders"
+    def pick(j: int) -> str:
+        return "CASE doc_id % 23 " + " ".join(f"WHEN {i} THEN '{p[j]}'" for i, p in enumerate(Q.PHRASES) if p[j] is not None) + " END"
+
+    labels = sql_population_labels().split("FROM documents")[0]
+    return (f"SELECT * EXCLUDE (any_population) FROM ({labels} FROM (SELECT doc_id, concat_ws(' ', text, {pick(0)}) AS text, "
+            f"{pick(1)} AS source, {pick(2)} AS lang FROM documents))")
 
 
 def sql_text_posts() -> str:
@@ -651,6 +637,15 @@ def oracle() -> dict[str, str]:
         "guided_listing": sql_guided_listing(),
         "text_posts": sql_text_posts(),
         "fixed_rules": sql_fixed_rules(),
+        "sheet_folder": "SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 <> 2 THEN o_orderstatus END AS o_orderstatus, o_orderpriority FROM orders",
+        "malformed_rows": """SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'too_many_cells' WHEN o_orderkey % 17 = 0 THEN 'too_few_cells'
+            WHEN o_orderkey % 19 = 0 THEN 'rejected' ELSE 'valid' END AS kind, o_orderkey,
+            CASE WHEN o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0 THEN o_orderpriority || ', "x"' END AS note FROM orders""",
+        "published_table": f'WITH {REG_ROWS} SELECT "número_documento", "año", fecha_accion FROM reg_valid WHERE "año" <> {Q.REG_YEAR}',
+        "coalesce_joins": """WITH l AS (SELECT c_custkey AS person, CASE WHEN c_nationkey % 3 <> 0 THEN c_mktsegment END AS segment, c_name FROM customer WHERE c_custkey % 5 <> 0),
+            r AS (SELECT c_custkey AS person, lower(c_mktsegment) AS segment, c_acctbal AS balance FROM customer WHERE c_custkey % 2 = 0)
+            """ + " UNION ALL ".join(f"SELECT '{how}' AS how, {'r' if how == 'right' else 'l'}.person AS person, coalesce(l.segment, r.segment) AS segment, c_name, balance "
+                                     f"FROM l {how} JOIN r ON l.person = r.person" for how in ("left", "inner", "right")),
         "quarantine_rows": f"SELECT row_id, '2025-01-31' AS run_date FROM ({sql_quarantine_split()}) WHERE status = 'rejected'",
         "event_value_sums": """SELECT event_type, CAST(coalesce(sum(CAST(value AS DECIMAL(18, 2))), 0) AS DOUBLE) AS total
             FROM events WHERE ts < TIMESTAMP '2024-01-16' AND event_type IS NOT NULL GROUP BY 1

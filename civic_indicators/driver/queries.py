@@ -24,13 +24,14 @@ from civic_indicators.operators import (
 )
 from civic_indicators.operators.aggregate import age_predicate
 from civic_indicators.operators.cohorts import until
-from civic_indicators.operators.integrate import drop_ids, keep_ids, mark_ids
+from civic_indicators.operators.clean import missing_any, split_valid
+from civic_indicators.operators.integrate import coalesce_join, drop_ids, keep_ids, mark_ids
 from civic_indicators.plans import guidance as G
 from civic_indicators.plans import placement as PL
 from civic_indicators.plans import registration as R
 from civic_indicators.session import checkpoint_dir
 from civic_indicators.sources import (
-    drop_columns, normalize_headers, rename, rename_by_pattern, scan, with_unique_headers,
+    drop_columns, normalize_headers, publish, published, rename, rename_by_pattern, scan, split_malformed, with_unique_headers,
     write_curated, write_quarantine, write_split,
 )
 
@@ -143,7 +144,7 @@ def q_quarantine_rows(spark, root):
     return spark.read.parquet(out).select(F.col("`no._`").alias("row_id"), F.col("run_date").cast("string").alias("run_date"))
 
 
-# Register vocabulary, one line per order: condition, programme, document type.
+# Register vocabulary, one line per document: condition, programme, document type.
 PHRASES = (
     ("afrodescendiente", "Jóvenes", "cc"), ("palenquero", "Jóvenes", "cc"), ("raizal", "Jóvenes", "cc"), ("indígena", "Jóvenes", "cc"),
     ("gitano y mulato", "Jóvenes", "cc"), ("discapacidad cognitiva", "Jóvenes", "cc"), ("discapacidad física", "Jóvenes", "cc"),
@@ -156,11 +157,11 @@ PHRASES = (
 
 
 def q_fixed_rules(spark, root):
-    """The three flows' fixed rules over register vocabulary, a line of it per order."""
-    at = (F.col("o_orderkey") % len(PHRASES) + 1).cast("int")
+    """The three flows' fixed rules over whole documents, each with a line of register vocabulary at its end."""
+    at = (F.col("doc_id") % len(PHRASES) + 1).cast("int")
     pick = lambda j: F.element_at(F.array(*[F.lit(p[j]) for p in PHRASES]), at)
-    d = _t(spark, root, "orders").select("o_orderkey", pick(0).alias("cond"), pick(1).alias("prog"), pick(2).alias("doc"))
-    out = d.select("o_orderkey", *[e.alias(f"{n}_{k}") for n, labels in (
+    d = _t(spark, root, "documents").select("doc_id", F.lower(F.concat_ws(" ", "text", pick(0))).alias("cond"), pick(1).alias("prog"), pick(2).alias("doc"))
+    out = d.select("doc_id", *[e.alias(f"{n}_{k}") for n, labels in (
         ("reg", R.population_labels("cond", "prog", "doc")), ("gui", G.population_labels("cond", "prog", "doc")),
         ("pla", PL.population_labels("cond"))) for k, e in labels.items()])
     for c in ("reg_grupos_etnicos", "gui_grupos_etnicos"):
@@ -168,6 +169,59 @@ def q_fixed_rules(spark, root):
     return out
 
 
+def _folder(spark, name):
+    """A new folder in the cluster's shared folder."""
+    base = checkpoint_dir(spark, fallback=f"/tmp/civic-ckpt-{uuid.uuid4().hex}")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_sheet_folder(spark, root):
+    """A folder of CSV exports whose columns stand in another order, or are missing, from file to file."""
+    out, o = _folder(spark, "sheets"), _t(spark, root, "orders")
+    key = F.col("o_orderkey") % 3
+    for part, cols in ((0, ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]), (1, ["o_orderpriority", "o_orderstatus", "o_orderkey", "o_custkey"]),
+                       (2, ["o_custkey", "o_orderkey", "o_orderpriority"])):
+        o.where(key == part).select(*cols).write.mode("append").option("header", True).csv(out)
+    df = scan(spark, out, "csv")
+    return df.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), F.col("o_custkey").cast("long").alias("o_custkey"), "o_orderstatus", "o_orderpriority")
+
+
+def q_malformed_rows(spark, root):
+    """S1 + P13: CSV lines with too many or too few cells, rows without a customer, and the valid rest: every line once."""
+    out, o = _folder(spark, "lines"), _t(spark, root, "orders")
+    k = F.col("o_orderkey")
+    whole = F.concat(k.cast("string"), F.lit(","), F.when(k % 19 == 0, "").otherwise(F.col("o_custkey").cast("string")), F.lit(',"'), F.col("o_orderpriority"), F.lit(', ""x"""'))
+    line = F.when(k % 13 == 0, F.concat(whole, F.lit(",extra,"))).when(k % 17 == 0, F.concat(k.cast("string"), F.lit(",7"))).otherwise(whole)
+    (o.select(line.alias("key,customer,note")).write.option("header", True).option("sep", "\x01").option("quote", "\x02")
+     .option("escape", "\x02").csv(out))
+    good, bad = split_malformed(scan(spark, out, "csv", malformed="_malformed", escape='"'), "_malformed")
+    valid, rejected = split_valid(good, missing_any("customer"))
+    row = lambda df, kind, key, note: df.select(kind.alias("kind"), key.cast("long").alias("o_orderkey"), note.cast("string").alias("note"))
+    return (row(valid, F.lit("valid"), F.col("key"), F.col("note")).unionByName(row(rejected, F.lit("rejected"), F.col("key"), F.col("note")))
+            .unionByName(row(bad, F.col("reason"), F.regexp_extract("line", "^[0-9]+", 0), F.lit(None))))
+
+
+def q_published_table(spark, root):
+    """The curated table published twice, the second time without a year: only the second version is read."""
+    out = _folder(spark, "published")
+    rows = registration_valid(spark, root).select("número_documento", "año", "fecha_accion")
+    publish(rows, out, ["año"])
+    publish(rows.where(F.col("año") != REG_YEAR), out, ["año"])
+    return published(spark, out).select("número_documento", F.col("año").cast("int").alias("año"), "fecha_accion")
+
+
+def q_coalesce_joins(spark, root):
+    """Overlapping columns merged (left value unless null) under left, inner and right joins."""
+    c = _t(spark, root, "customer")
+    left = c.where(F.col("c_custkey") % 5 != 0).select(F.col("c_custkey").alias("person"), F.when(F.col("c_nationkey") % 3 != 0, F.col("c_mktsegment")).alias("segment"), "c_name")
+    right = c.where(F.col("c_custkey") % 2 == 0).select(F.col("c_custkey").alias("person"), F.lower("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
+    out = None
+    for how in ("left", "inner", "right"):
+        one = coalesce_join(left, right, "person", how).select(F.lit(how).alias("how"), "person", "segment", "c_name", "balance")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_id_sets(spark, root):
     """U1 + J5: orders of customers in either of two id sets, of the others, and all of them marked."""
     c = _t(spark, root, "customer")
@@ -638,6 +692,10 @@ QUERIES = {
     "quarantine_split": q_quarantine_split,
     "sink_roundtrip": q_sink_roundtrip,
     "scan_headers": q_scan_headers,
+    "sheet_folder": q_sheet_folder,
+    "malformed_rows": q_malformed_rows,
+    "published_table": q_published_table,
+    "coalesce_joins": q_coalesce_joins,
     "clean_text": q_clean_text,
     "null_sentinels": q_null_sentinels,
     "recode_fill": q_recode_fill,

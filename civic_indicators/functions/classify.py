@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from civic_indicators.functions.cols import as_col, quote, sql_string
-from civic_indicators.functions.text import is_plain, matches, regex
+from civic_indicators.functions.text import CASELESS, folds_plainly, literals, matches, regex
 
 
 def _sql_ok(c, rules) -> bool:
@@ -18,9 +18,17 @@ def _sql_ok(c, rules) -> bool:
     return isinstance(c, str) and not any("\\" in p or "\\" in label for p, label in rules)
 
 
-def _match_sql(name: str, pattern: str, ignore_case: bool) -> str:
-    if not ignore_case and is_plain(pattern):
-        return f"coalesce(contains({quote(name)}, {sql_string(pattern)}), false)"
+def _contains_sql(text: str, words: Sequence[str]) -> str:
+    return " OR ".join(f"contains({text}, {sql_string(w)})" for w in words)
+
+
+def _match_sql(name: str, pattern: str, ignore_case: bool, lowered: bool = False) -> str:
+    """Whether the pattern occurs; plain words are looked for as such, in the text lowered once if ``lowered``."""
+    words = literals(pattern)
+    if words and not ignore_case:
+        return f"coalesce({_contains_sql(quote(name), words)}, false)"
+    if words and lowered and all(folds_plainly(w) for w in words):
+        return f"coalesce({_contains_sql(f'lower({quote(name)})', [w.lower() for w in words])}, false)"
     return f"coalesce({quote(name)} RLIKE {sql_string(regex(pattern, ignore_case))}, false)"
 
 
@@ -28,14 +36,20 @@ def label_last_match(c, rules: Sequence[tuple[str, str]], ignore_case: bool = Tr
     """The label of the *last* rule whose pattern occurs; null if none or null text.
 
     Built as one CASE over the reversed rule list, so the whole rule set is a
-    single projected expression.
+    single projected expression: the text is lowered once and rules of plain words are
+    substring tests of it; rules with pattern syntax stay case-insensitive patterns, as do all
+    rules for a text with a letter that lower-casing does not fold.
     """
     if not rules:
         return F.lit(None).cast("string")
     if _sql_ok(c, rules):  # one SQL expression: the same CASE, built in one JVM call
-        whens = " ".join(f"WHEN {_match_sql(c, p, ignore_case)} THEN {sql_string(label)}"
-                         for p, label in reversed(list(rules)))
-        return F.expr(f"CASE {whens} END")
+        def case(lowered: bool) -> str:
+            return "CASE " + " ".join(f"WHEN {_match_sql(c, p, ignore_case, lowered)} THEN {sql_string(label)}" for p, label in reversed(list(rules))) + " END"
+
+        by_pattern, by_words = case(False), case(True)
+        if by_pattern == by_words:
+            return F.expr(by_pattern)
+        return F.expr(f"CASE WHEN {_contains_sql(quote(c), CASELESS)} THEN {by_pattern} ELSE {by_words} END")
     c = as_col(c)
     out = None
     for pattern, label in reversed(list(rules)):

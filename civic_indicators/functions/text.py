@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -64,6 +65,23 @@ def is_plain(pattern: str) -> bool:
     return bool(pattern) and not (set(pattern) & _REGEX_META)
 
 
+def literals(pattern: str) -> list[str] | None:
+    """The alternatives of a pattern that is plain words between ``|``; None for other patterns."""
+    parts = pattern.split("|")
+    return parts if all(is_plain(p) for p in parts) else None
+
+
+# Letters that a case-insensitive pattern takes for i, s, k or å although lower-casing a text leaves them
+# or makes two letters of them; a text that has one is matched by the pattern itself.
+CASELESS = ("ı", "İ", "ſ", "\u212a", "\u212b")
+
+
+def folds_plainly(word: str) -> bool:
+    """Whether looking for ``word.lower()`` in a lower-cased text without ``CASELESS`` letters is the
+    case-insensitive search for ``word``: Latin-1 letters but for the few without a counterpart there."""
+    return all(ch <= "\xff" and ch not in "\xb5\xdf\xff" for ch in word)
+
+
 def matches(c, pattern, ignore_case: bool = False) -> Column:
     """True when the pattern (or any of a tuple of patterns) occurs anywhere in
     the text; null text gives false."""
@@ -73,8 +91,9 @@ def matches(c, pattern, ignore_case: bool = False) -> Column:
             m = matches(c, p, ignore_case)
             out = m if out is None else (out | m)
         return out if out is not None else F.lit(False)
-    if not ignore_case and is_plain(pattern):
-        return F.coalesce(as_col(c).contains(pattern), F.lit(False))
+    words = literals(pattern)
+    if not ignore_case and words:
+        return F.coalesce(reduce(lambda a, b: a | b, [as_col(c).contains(w) for w in words]), F.lit(False))
     return F.coalesce(as_col(c).rlike(regex(pattern, ignore_case)), F.lit(False))
 
 

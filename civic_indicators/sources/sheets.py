@@ -30,25 +30,26 @@ PLACEMENTS = {
     "nombre_de_la_empresa": "string", "nombre_de_la_vacante": "string", "sexo": "string", "edad": "string",
     "condicion": "string", "convenio": "string", "nivel_educativo": "string", "colocado": "string",
     "mes_de_colocación_en_plataforma": "string", "fecha_envío_hojas_de_vida_a_la_empresa": "string",
-    "fecha_de_publicacion_de_la_vacante": "string",
+    "fecha_de_publicacion_de_la_vacante": "string", "vacantes_solicitadas/puestos_de_trabajo_en_plataforma|puestos_de_trabajo_en_plataforma": "string",
 }
 
 
 def conform(df: DataFrame, sheet: dict[str, str], spaces: bool = True) -> DataFrame:
     """``df`` with the declared columns typed (a cell that does not fit becomes null).
 
-    A declared column that is missing is an error that names it. ``spaces``: whether the
+    A declared column that is missing is an error that names it; ``a|b`` declares a column that
+    has either name. ``spaces``: whether the
     declared names have their spaces as underscores.
     """
     def norm(c: str) -> str:  # a header's trailing space may have been trimmed on landing
         c = c.lower().replace(" ", "_") if spaces else c.lower()
         return c.rstrip("_ ")
 
-    sheet = {norm(c): kind for c, kind in sheet.items()}
     have = {norm(c) for c in df.columns}
-    missing = [c for c in sheet if c not in have]
+    missing = [c for c in sheet if not have & {norm(n) for n in c.split("|")}]
     if missing:
         raise ValueError(f"sheet lacks the columns {missing}")
+    sheet = {norm(n): kind for c, kind in sheet.items() for n in c.split("|")}
     types = dict(df.dtypes)
     out = []
     for c in df.columns:

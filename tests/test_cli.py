@@ -67,5 +67,9 @@ def test_reports_are_whole(spark, tmp_path, capsys):
     out = capsys.readouterr().out
     assert all(f"empresa {i}\t" in out for i in (0, 1100, 1199))
     main([*args, "--reports", str(tmp_path / "r")])
+    assert sorted(x.name for x in (tmp_path / "r").iterdir()) == sorted((
+        "vacancies_registered_in_abril", "sent_in_month_4_and_placed_in_abril", "employers_that_placed_population_groups", "their_names",
+        "sent_with_a_disability", "sent_by_age_band_and_sex_x_disability", "placed_by_age_band_and_sex_x_disability",
+        "posts_per_employer_disability", "placements_per_employer_disability", "placements_per_vacancy_disability"))
     assert spark.read.parquet(str(tmp_path / "r" / "posts_per_employer_disability")).count() == 1200
     assert spark.read.parquet(str(tmp_path / "r" / "vacancies_registered_in_abril")).first().posts == 600 * 9 + 600 * 10

@@ -1,5 +1,6 @@
 """Scans, row order and cluster sizing."""
 
+import gzip
 import os
 
 import pytest
@@ -56,3 +57,72 @@ def test_conform_types_declared_columns_and_names_missing_ones(spark):
     assert [tuple(r) for r in out.collect()] == [(2025, "x", "1"), (None, "y", "2")]
     with pytest.raises(ValueError, match="edad"):
         conform(df, {"edad": "int"})
+
+
+def test_columns_follow_each_files_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("y,x\n20,10\n", encoding="utf-8")
+    (tmp_path / "c.csv").write_text('"y","z, ""q""",y\n200,7,300\n', encoding="utf-8")
+    (tmp_path / "d.csv").write_text("", encoding="utf-8")
+    with gzip.open(tmp_path / "e.csv.gz", "wt", encoding="utf-8") as f:
+        f.write("y,x\n21,11\n")
+    df = scan(spark, str(tmp_path), "csv", row_order="_fila", escape='"')
+    assert df.columns == ["x", "y", 'z, "q"', "y.1", "_fila"]
+    got = [tuple(r)[:4] for r in df.orderBy("_fila").collect()]
+    assert got == [("1", "2", None, None), ("10", "20", None, None), (None, "200", "7", "300"), ("11", "21", None, None)]
+    typed = scan(spark, str(tmp_path), "csv", schema="y int, x int, w string")
+    assert sorted(map(tuple, typed.collect()), key=str) == sorted([(2, 1, None), (20, 10, None), (200, None, None), (21, 11, None)], key=str)
+
+
+def test_one_header_keeps_the_plain_scan(spark, tmp_path):
+    for n in "ab":
+        (tmp_path / f"{n}.csv").write_text("x,y\n1,2\n", encoding="utf-8")
+    plan = scan(spark, str(tmp_path), "csv").select("x")._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and plan.count("Scan csv") == 1
+    assert "Location: InMemoryFileIndex(1 paths)" in plan
+    assert scan(spark, str(tmp_path), "csv").count() == 2
+
+
+def test_headers_with_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"x\n1",y\n1,2\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text('y,"x\n1"\n2,1\n', encoding="utf-8")
+    df = scan(spark, str(tmp_path), "csv", multiLine="true")
+    assert df.columns == ["x\n1", "y"] and [tuple(r) for r in df.collect()] == [("1", "2")] * 2
+
+
+def test_malformed_records_go_to_the_quarantine(spark, tmp_path):
+    from civic_indicators.sources import split_malformed
+    (tmp_path / "a.csv").write_text('k,v\n1,a\n2\n3,"b,c"\n4,d,e\n5,\n6,"x,y",z\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text("v,k,w\na,7,w\nb,8\n", encoding="utf-8")
+    df = scan(spark, str(tmp_path), "csv", malformed="_bad", row_order="_fila")
+    good, bad = split_malformed(df, "_bad")
+    assert sorted((r.k, r.v, r.w) for r in good.fillna("-").collect()) == [("1", "a", "-"), ("3", "b,c", "-"), ("5", "-", "-"), ("7", "a", "w")]
+    assert sorted((r.reason, r.line) for r in bad.collect()) == [
+        ("too_few_cells", "2"), ("too_few_cells", "b,8"), ("too_many_cells", "4,d,e"), ("too_many_cells", '6,"x,y",z')]
+    assert good.count() + bad.count() == 8
+    with pytest.raises(ValueError, match="header"):
+        scan(spark, str(tmp_path), "csv", header="false", malformed="_bad")
+
+
+def test_publish_replaces_the_whole_table_at_once(spark, tmp_path):
+    from civic_indicators.sources import publish, published
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, 2024), (2, 2025)], "k int, y int")
+    first = publish(df, path, ["y"])
+    reader = published(spark, path)
+    publish(df.where("y = 2025"), path, ["y"])
+    assert [tuple(r) for r in published(spark, path).collect()] == [(2, 2025)]
+    assert reader.count() == 2 and os.path.isdir(first)          # a reader that had begun goes on
+    with pytest.raises(Exception):
+        publish(df.selectExpr("k", "y", "raise_error('no') AS z"), path, ["y"])
+    assert [tuple(r) for r in published(spark, path).collect()] == [(2, 2025)]
+    publish(df, path)
+    assert published(spark, path).count() == 2 and not os.path.isdir(first)
+
+
+def test_conform_takes_either_name(spark):
+    from civic_indicators.sources.sheets import conform
+    for name in ("a_long", "a"):
+        assert conform(spark.createDataFrame([("3",)], f"{name} string"), {"a_long|a": "int"}).first()[0] == 3
+    with pytest.raises(ValueError, match="a_long"):
+        conform(spark.createDataFrame([("3",)], "b string"), {"a_long|a": "int"})
