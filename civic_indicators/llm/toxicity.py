@@ -17,9 +17,11 @@ tell units that lean clearly to toxic sentences from units that do not; those of
 former that it places among the latter are dropped and it is fitted again. The decision is linear in the
 kernel, so it folds into one weight per letter run, and scoring needs no landmark.
 
-A document scores by its most toxic units (the mean of the largest decision and of
-the mean of the three largest), over its whole text, mapped to a
-probability by a logistic fit on the training documents. Null and empty texts have
+A document scores by the decisions of its most toxic units over its whole text, a unit as
+often as it occurs: by the largest and a quarter of the second, or by the second and a quarter
+of the third, whichever a logistic fit explains the training documents better with. The
+latter wins where clean documents hold single words that look like insults: one is not
+believed, the same insult twice is. The fit maps the decision to a probability. Null and empty texts have
 no unit and get the score of the least toxic unit; without both labels all scores are 0.
 Several labels of one document: the largest counts; null labels do not count.
 """
@@ -27,6 +29,7 @@ Several labels of one document: the largest counts; null labels do not count.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import nlargest
@@ -50,10 +53,22 @@ _SENTENCE = re.compile(r"[.!?\n]+")
 _FOLD = str.maketrans(LOOKALIKES)
 
 
-def raw_units(text: str | None) -> set[str]:
-    """The distinct words of a text and its joined runs of single letters, lower case."""
+def raw_units(text: str | None) -> Counter[str]:
+    """The words of a text and its joined runs of single letters, lower case, with how often they occur."""
     t = (text or "").lower()
-    return set(t.split()).union(_SPACED.findall(t))
+    found = Counter(t.split())
+    found.update(_SPACED.findall(t))
+    return found
+
+
+def in_context(text: str | None) -> Iterator[tuple[str, str]]:
+    """Each word, and each joined run, of a text with the words next to it."""
+    t = (text or "").lower()
+    w = t.split()
+    for before, x, after in zip(["", *w], w, [*w[1:], ""]):
+        yield x, f"{before} {after}"
+    for x in _SPACED.findall(t):
+        yield x, t
 
 
 def unit(raw: str) -> str:
@@ -237,24 +252,32 @@ class UnitScores(dict):
         super().__init__()
         self.g, self.offset = g, offset
 
-    def best(self, texts: list[str | None]) -> list[float]:
-        """Each text's decision; the units new to the task are scored together."""
+    def best(self, texts: list[str | None]) -> list[tuple[float, float]]:
+        """Each text's decisions; the units new to the task are scored together."""
         raw = [raw_units(t) for t in texts]
         if len(self) > self.LIMIT:
             self.clear()
         new = [r for r in set().union(*raw) if r not in self]
         if new:
             self.update(zip(new, unit_scores([unit(r) for r in new], self.g, self.offset).tolist()))
-        return [self._of(nlargest(3, map(self.__getitem__, x))) for x in raw]
+        return [self._of(x) for x in raw]
+
+    def _of(self, found: Counter[str]) -> tuple[float, float]:
+        return document_scores([s for s, n in nlargest(3, ((self[r], n) for r, n in found.items())) for _ in range(min(n, 3))], self.offset)
+
 
-    def _of(self, top: list[float]) -> float:
-        return (top[0] + sum(top) / len(top)) / 2 if top else self.offset
+def document_scores(top: list[float], offset: float) -> tuple[float, float]:
+    """From the largest decisions of a document's unit occurrences, in falling order: by the largest, by the second."""
+    one, two, three = [min(max(x, 0.0), 1.0) for x in [*top, offset, offset, offset][:3]]
+    order = min(max(top[0] if top else offset, -2.0), 2.0) / 100
+    return one + two / 4 + order, two + three / 4 + order
 
 
-def decision(docs: DataFrame, model, text: str) -> Column:
+def decisions(docs: DataFrame, model, text: str) -> Column:
+    """An array: a document's score by its largest unit, and by its second."""
     shared = docs.sparkSession.sparkContext.broadcast(model[:2])
 
-    @F.pandas_udf("double")
+    @F.pandas_udf("array<double>")
     def best(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = None
         for t in batches:
@@ -267,13 +290,13 @@ def decision(docs: DataFrame, model, text: str) -> Column:
                 if size > 400_000:
                     out += known.best(part)
                     part, size = [], 0
-            yield pd.Series(out + (known.best(part) if part else []), dtype="float64")
+            yield pd.Series(out + (known.best(part) if part else []), dtype="object")
 
     return best(q(text))
 
 
 def train(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams(), text: str = "text"):
-    """(triple weights, offset, slope, shift), or None without documents of both labels."""
+    """(run weights, offset, slope, shift, 0 or 1: by the largest or by the second unit), or None without documents of both labels."""
     labelled = labels.where("y in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("y").cast("int").alias("y"))
     share = {r.y: r["count"] for r in labelled.groupBy("y").count().collect()}
     if len(share) < 2:
@@ -287,7 +310,7 @@ def train(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams
             for i in range(0, len(b), 200):
                 part = b.slice(i, 200)
                 s, y = [], []
-                for t, lab in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                for t, lab in zip(*(part.column(k).to_pylist() for k in range(2))):
                     own_s = {x for x in _SENTENCE.split((t or "").lower()) if x.strip()}
                     s += own_s
                     y += [lab] * len(own_s)
@@ -295,26 +318,32 @@ def train(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams
 
     def units(batches):
         for b in batches:
-            u, y = [], []
-            for s, lab in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                mine = {x for x in map(unit, raw_units(s)) if 3 <= len(x) <= WIDTH}
-                u += mine
+            u, at, y = [], [], []
+            for s, lab in zip(*(b.column(k).to_pylist() for k in range(2))):
+                mine = {(unit(x), where) for x, where in in_context(s)}
+                mine = [x for x in mine if 3 <= len(x[0]) <= WIDTH]
+                u += [x for x, _ in mine]
+                at += [where for _, where in mine]
                 y += [lab] * len(mine)
-            yield pa.record_batch({"unit": pa.array(u, pa.string()), "y": pa.array(y, pa.int32())})
+            yield pa.record_batch({"unit": pa.array(u, pa.string()), "at": pa.array(at, pa.string()), "y": pa.array(y, pa.int32())})
 
+    # A context counts once, so that copies of a passage, edited or not, don't make its words lean.
     each = own.mapInArrow(sentences, "s string, y int").groupBy("s").agg(F.min("y").alias("y"))
-    stats = (each.mapInArrow(units, "unit string, y int").groupBy("unit")
+    stats = (each.mapInArrow(units, "unit string, at string, y int").groupBy("unit", "at").agg(F.min("y").alias("y")).groupBy("unit")
              .agg(F.sum("y").alias("toxic"), F.sum(F.lit(1) - F.col("y")).alias("clean")))
     few = (stats.where("toxic > 0").orderBy(F.desc("toxic"), "unit").limit(p.max_units)
            .union(stats.where("clean > 0").orderBy(F.desc("clean"), "unit").limit(p.max_units // 6))
            .union(stats.where("clean > 0").orderBy(F.xxhash64("unit"), "unit").limit(p.max_units))).toPandas()
     g, offset = fit_units(few, p)
-    got = own.select(decision(own, (g, offset), "text").alias("f"), "y").toPandas()
-    y = got.y.to_numpy(float)
+    got = own.select(decisions(own, (g, offset), "text").alias("f"), "y").toPandas()
+    y, f = got.y.to_numpy(float), np.array(got.f.tolist(), float).reshape(-1, 2)
     n1, n0 = max(1, y.sum()), max(1, (1 - y).sum())
     weight = np.where(y > 0, share[1] / n1, share[0] / n0)
-    a, b = fit_logistic(got.f.to_numpy(), y, weight * len(y) / weight.sum())
-    return g, offset, a, b
+    weight *= len(y) / max(weight.sum(), 1e-9)
+    fits = [fit_logistic(f[:, k], y, weight) for k in (0, 1)]
+    loss = [(weight * np.logaddexp(0, np.where(y > 0, -1, 1) * (f[:, k] * a + b))).sum() for k, (a, b) in enumerate(fits)]
+    by = int(loss[1] < 0.9 * loss[0])
+    return g, offset, *fits[by], by
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, out: int = 1, threshold: float = 0.7,
@@ -326,8 +355,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, out: int = 1, t
     if model is None:
         score = F.lit(0.0)
     else:
-        g, offset, a, b = model
-        score = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), decision(docs, model, text) * a + F.lit(b)))))
+        *_, a, b, by = model
+        score = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), decisions(docs, model, text)[by] * a + F.lit(b)))))
     scored = docs.select(q("doc_id").cast("bigint").alias("doc_id"), score.alias("score"))
     return scored.select("doc_id", (fold(F.col("doc_id"), folds) == out).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))

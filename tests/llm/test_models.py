@@ -78,6 +78,42 @@ def test_toxicity_held_out_and_gapped(spark, make_docs):
     assert toxicity(d.limit(0), labelled(spark, labels)).count() == 0
 
 
+def test_toxicity_of_a_document_counts_occurrences():
+    """The document's scores against a plain count of every word's decision."""
+    rng = random.Random(8)
+    model = X.UnitScores(np.zeros(X.A ** 4, np.float32), -1.5)
+    words = {f"w{i}": rng.uniform(-2, 1.3) for i in range(30)}
+    model.update(words)
+    for n in (0, 1, 2, 3, 40):
+        text = [rng.choice(list(words)) for _ in range(n)]
+        top = (sorted((words[w] for w in text), reverse=True) + [-1.5] * 3)[:3]
+        a, b, c = (min(max(x, 0), 1) for x in top)
+        order = min(max(top[0], -2), 2) / 100
+        assert np.allclose(model.best([" ".join(text)])[0], (a + b / 4 + order, b + c / 4 + order))
+    words.update(idiot=0.97)
+    model.update(words)
+    once, twice = model.best(["w1 idiot", "idiot w1 idiot"])
+    assert once[0] >= 0.97 and twice[1] >= 0.97
+
+
+def test_lone_words_that_look_like_insults_are_not_believed(spark, make_docs):
+    """Clean documents hold one insult each, toxic ones two or more, or the same one twice."""
+    rng = random.Random(12)
+    insults, docs, labels = ["blorgface", "snarkwit", "dunderklot"], [], []
+    for i in range(500):
+        w = prose(rng, SYL["en"], rng.randint(20, 60)).split()
+        bad = rng.random() < 0.3
+        for _ in range(rng.choice([2, 3]) if bad else rng.random() < 0.15):
+            w.insert(rng.randrange(len(w)), rng.choice(insults))
+        docs.append((i, " ".join(w)))
+        labels.append((i, 1, int(bad)))
+    docs += [(1000, "the ing blorgface er"), (1001, "the blorgface er blorgface"), (1002, "the snarkwit er blorgface " + "the ing er " * 20_000), (1003, "the er"), (1001, "the blorgface er blorgface")]
+    got = {r.doc_id: r for r in toxicity(make_docs(*docs), labelled(spark, labels)).collect()}
+    held = [(i, t) for i, _, t in labels if fold(i, 3) == 1]
+    assert np.mean([got[i].predicted == t for i, t in held]) > 0.97
+    assert [got[i].predicted for i in range(1000, 1004)] == [0, 1, 1, 0]
+
+
 def test_subsequence_kernel_matches_brute_force():
     def brute(a, b):
         def feats(s):
