@@ -9,15 +9,17 @@ can give, so shortages move sideways before they move up.
 
 A leaf with an allocation of a tokens out of t takes a // t full epochs and, of one
 more epoch, the prefix of a % t tokens: documents in the order of a seeded hash of
-(seed, epoch, id), up to the last that fits.
+(seed, epoch, id), up to the last that fits; of rows equal in id and text, as many as fit.
 
 Tokens are words ``[^\\x20\\x09-\\x0D]+``. Null text: no tokens; null level: the name
 ``(none)``; null id: the text "null" in the hash. A weight of 0 takes nothing, unnamed
-children weigh ``default_weight``. Rows equal in id are ordered by text hash. An empty
-table gives an empty result. The extra columns of ``docs`` are carried along.
+children weigh ``default_weight``. Rows equal in id are ordered by the MD5 of the text;
+which of the rows equal in both are taken is open. An empty table gives an empty result.
+The extra columns of ``docs`` are carried along.
 
 No leaf is ordered in one task: tokens are summed per leaf and hash bucket, running sums
-go over the buckets, and only the one bucket that holds a leaf's cut is ordered.
+go over the buckets, and only the one bucket that holds a leaf's cut is ordered, copies
+counted first; the copies at the cut are numbered partition by partition.
 """
 
 from __future__ import annotations
@@ -51,6 +53,10 @@ def n_tokens(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[^\\x20\\x09-\\x0D]+")).cast("bigint")
 
 
+def _digest(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(q(text), F.lit(""))))
+
+
 def _weight(p: MixParams, cols: list[str]) -> Column:
     own = {k: w for k, w in p.weights.items() if len(k) == len(cols)}
     out = F.lit(p.default_weight)
@@ -94,7 +100,7 @@ def mix(docs: DataFrame, p: MixParams, text: str = "text", doc_id: str = "doc_id
     cols = [f"_l{i}" for i in range(len(p.levels))]
     path = [F.coalesce(F.expr(e).cast("string"), F.lit("(none)")).alias(c) for c, e in zip(cols, p.levels)]
     ident = F.coalesce(q(doc_id).cast("string"), F.lit("null"))
-    items = stage(docs.select(*path, ident.alias("id"), n_tokens(q(text)).alias("n"), F.xxhash64(q(text)).alias("x")), "items")
+    items = stage(docs.select(*path, ident.alias("id"), n_tokens(q(text)).alias("n"), _digest(text).alias("x")), "items")
     leaves = stage(items.groupBy(*cols).agg(F.sum("n").alias("t")), "leaves")
     plan = allocate(leaves, p).withColumn("full", F.when(F.col("t") > 0, F.floor(F.col("alloc") / F.col("t"))).otherwise(0).cast("bigint"))
     plan = stage(plan.select(*cols, "full", (F.col("alloc") - F.col("full") * F.col("t")).alias("rest")), "plan")
@@ -109,21 +115,36 @@ def mix(docs: DataFrame, p: MixParams, text: str = "text", doc_id: str = "doc_id
     buckets = stage(buckets.withColumn("after", F.sum("n").over(upto)).withColumn("before", F.col("after") - F.col("n")), "buckets")
     # The cut's bucket: the first whose end is beyond the rest.
     cut = buckets.where("after > rest").groupBy(*cols).agg(F.min(F.struct("bucket", "before")).alias("c")).select(*cols, "c.bucket", "c.before")
-    fine = Window.partitionBy(*cols, "bucket").orderBy("h", "x").rowsBetween(Window.unboundedPreceding, 0)
-    last = (some.join(cut, [*cols, "bucket"]).withColumn("upto", F.col("before") + F.sum("n").over(fine)).where("upto <= rest")
-            .groupBy(*cols).agg(F.max(F.struct("h", "x")).alias("last")))
-    plan = stage(plan.join(cut.select(*cols, "bucket"), cols, "left").join(last, cols, "left"), "cuts")
-
-    names = fresh(docs, *[f"_m{i}" for i in range(len(cols))], "_full", "_rest", "_bucket", "_last", "_h", "_x")
-    lv, (full, rest, bucket, last_, h, x) = names[:len(cols)], names[len(cols):]
-    cuts = plan.select(*[F.col(c).alias(n) for c, n in zip(cols, lv)], *[F.col(c).alias(n) for c, n in zip(("full", "rest", "bucket", "last"), names[len(cols):])])
+    # Rows equal in id and text are one entry of c copies: those before the cut fit whole, the one at it k times.
+    same = some.join(cut, [*cols, "bucket"]).groupBy(*cols, "before", "rest", "h", "x").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
+    same = same.withColumn("after", F.col("before") + F.sum(F.col("c") * F.col("n")).over(Window.partitionBy(*cols).orderBy("h", "x")))
+    fits = F.expr("(rest - after + c * n) div nullif(n, 0)")
+    ends = same.groupBy(*cols).agg(F.max(F.when(F.expr("after <= rest"), F.struct("h", "x"))).alias("last"),
+                                   F.min(F.when(F.expr("after > rest"), F.struct("h", "x", fits.alias("k")))).alias("part"))
+    plan = stage(plan.join(cut.select(*cols, "bucket"), cols, "left").join(ends, cols, "left"), "cuts")
+
+    names = fresh(docs, *[f"_m{i}" for i in range(len(cols))], "_full", "_rest", "_bucket", "_last", "_part", "_h", "_x", "_slice", "_before")
+    lv, (full, rest, bucket, last_, part, h, x, slice_, before) = names[:len(cols)], names[len(cols):]
+    cuts = plan.select(*[F.col(c).alias(n) for c, n in zip([*cols, "full", "rest", "bucket", "last", "part"], names)])
     own = docs.select("*", *[e.alias(n) for e, n in zip(path, lv)]).join(cuts, lv)
-    own = own.withColumn(h, key(F.col(full), ident)).withColumn(x, F.xxhash64(q(text)))
+    own = own.withColumn(h, key(F.col(full), ident)).withColumn(x, _digest(text))
     # In the prefix: below the cut's bucket, or in it and not after the last that fits.
+    place = F.struct(F.col(h).alias("h"), F.col(x).alias("x"))
     inside = (F.col(rest) > 0) & (F.col(bucket).isNull() | (F.substring(h, 1, p.bucket_digits) < F.col(bucket))
-                                  | F.coalesce(F.struct(F.col(h).alias("h"), F.col(x).alias("x")) <= F.col(last_), F.lit(False)))
+                                  | F.coalesce(place <= F.col(last_), F.lit(False)))
+    n = fresh(own, "_times")[0]
     times = F.col(full) + F.when(inside, 1).otherwise(0)
-    own = own.where(times > 0)
+    if plan.where("part.k > 0").isEmpty():
+        own = own.withColumn(n, times)
+    else:
+        at = F.coalesce((F.col(f"{part}.k") > 0) & (F.col(f"{part}.h") == F.col(h)) & (F.col(f"{part}.x") == F.col(x)), F.lit(False))
+        copies = stage(own.where(at).withColumn(slice_, F.spark_partition_id()), "copies")
+        slices = copies.groupBy(*lv, slice_).agg(F.count(F.lit(1)).alias(before))
+        slices = slices.withColumn(before, F.sum(before).over(Window.partitionBy(*lv).orderBy(slice_)) - F.col(before))
+        rank = F.col(before) + F.row_number().over(Window.partitionBy(*lv, slice_).orderBy(F.lit(0)))
+        copies = copies.join(slices, [*lv, slice_]).withColumn(n, F.col(full) + F.when(rank <= F.col(f"{part}.k"), 1).otherwise(0))
+        own = own.where(~at).withColumn(n, times).unionByName(copies.drop(slice_, before))
+    own = own.where(F.col(n) > 0)
     out = fresh(docs, *[f"mix_level_{i}" for i in range(len(cols))], "mix_tokens", "mix_epoch")
-    return own.select(*[q(c) for c in docs.columns], *[F.col(n).alias(o) for n, o in zip(lv, out)], n_tokens(q(text)).alias(out[-2]),
-                      F.explode(F.sequence(F.lit(0).cast("bigint"), times - 1)).alias(out[-1]))
+    return own.select(*[q(c) for c in docs.columns], *[F.col(c).alias(o) for c, o in zip(lv, out)], n_tokens(q(text)).alias(out[-2]),
+                      F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)).alias(out[-1]))

@@ -103,12 +103,12 @@ def mix_sql(p: MixParams) -> str:
     cols = [f"l{i}" for i in range(len(p.levels))]
     share = f"{p.budget}" if p.budget is not None else f"(SELECT sum(t) FROM leaves) * {p.share[0]} / {p.share[1]}.0"
     out = [f"""d AS (SELECT doc_id, {', '.join(f"coalesce(CAST({e} AS VARCHAR), '(none)') AS {c}" for e, c in zip(p.levels, cols))},
-            len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n, coalesce(CAST(doc_id AS VARCHAR), 'null') AS id FROM documents)""",
+            len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n, coalesce(CAST(doc_id AS VARCHAR), 'null') AS id, md5(coalesce(text, '')) AS x FROM documents)""",
            f"leaves AS (SELECT {', '.join(cols)}, CAST(sum(n) AS BIGINT) AS t FROM d GROUP BY {', '.join(cols)})"]
     for i in range(len(cols)):
         own, up = cols[:i + 1], cols[:i]
-        weight = "CASE " + " ".join(f"WHEN {' AND '.join(f"{c} = '{v}'" for c, v in zip(own, k))} THEN {w}" for k, w in p.weights.items()
-                                    if len(k) == len(own)) + f" ELSE {p.default_weight} END"
+        named = " ".join(f"WHEN {' AND '.join(f"{c} = '{v}'" for c, v in zip(own, k))} THEN {w}" for k, w in p.weights.items() if len(k) == len(own))
+        weight = f"CASE {named} ELSE {p.default_weight} END" if named else str(p.default_weight)
         part = f"PARTITION BY {', '.join(up)}" if up else ""
         offer = f"(SELECT give FROM g{i - 1} WHERE {' AND '.join(f'g{i - 1}.{c} = n{i}.{c}' for c in up)})" if up else share
         out.append(f"n{i} AS (SELECT * FROM (SELECT {', '.join(own)}, CAST(sum(t) * {p.max_epochs} AS BIGINT) AS cap, {weight} AS w FROM leaves GROUP BY {', '.join(own)}) WHERE w > 0)")
@@ -120,7 +120,7 @@ def mix_sql(p: MixParams) -> str:
     on = " AND ".join(f"x.{c} = y.{c}" for c in cols)
     out.append(f"plan AS (SELECT {', '.join(f'x.{c}' for c in cols)}, CAST(floor(floor(give) / t) AS BIGINT) AS f, CAST(floor(give) AS BIGINT) - CAST(floor(floor(give) / t) AS BIGINT) * t AS rest "
                f"FROM leaves x JOIN {last} y ON {on} WHERE t > 0)")
-    out.append(f"run AS (SELECT x.*, f, rest, sum(n) OVER (PARTITION BY {', '.join(f'x.{c}' for c in cols)} ORDER BY md5('{p.seed}|' || f || '|' || id)) AS upto FROM d x JOIN plan y ON {on})")
+    out.append(f"run AS (SELECT x.*, f, rest, sum(n) OVER (PARTITION BY {', '.join(f'x.{c}' for c in cols)} ORDER BY md5('{p.seed}|' || f || '|' || id), x ROWS UNBOUNDED PRECEDING) AS upto FROM d x JOIN plan y ON {on})")
     return (f"WITH {', '.join(out)} SELECT doc_id, l0 AS domain, l1 AS lang, l2 AS source, CAST(n AS BIGINT) AS n_tokens, epoch FROM ("
             f"SELECT *, unnest(range(0, f + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)) AS epoch FROM run)")
 

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from civic_indicators.llm import pii
 from civic_indicators.llm.decontaminate import TilingParams, contaminated, drop_contaminated, tile
 from civic_indicators.llm.html_text import extract, main_text
 from civic_indicators.llm.mixing import MixParams, allocate, mix
+from civic_indicators.llm.queries import mix_sql
 
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon"
 
@@ -65,8 +67,8 @@ def test_contaminated_pairs(spark, make_docs):
 def brute_mix(rows, p, domain):
     leaves = {}
     for i, t, lang, src in rows:
-        leaves.setdefault((domain(src), lang or "(none)", src or "(none)"), []).append((i, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))))
-    tokens = {k: sum(n for _, n in v) for k, v in leaves.items()}
+        leaves.setdefault((domain(src), lang or "(none)", src or "(none)"), []).append((i, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), t or ""))
+    tokens = {k: sum(n for _, n, _ in v) for k, v in leaves.items()}
 
     def cap(path):
         return sum(t for k, t in tokens.items() if k[:len(path)] == path) * p.max_epochs
@@ -100,15 +102,16 @@ def brute_mix(rows, p, domain):
         t = tokens[leaf]
         full = a // t if t else 0
         for e in range(full):
-            out += [(i, e) for i, _ in leaves[leaf]]
+            out += [(i, e) for i, _, _ in leaves[leaf]]
         rest, used = a - full * t, 0
         if rest:
-            for i, n in sorted(leaves[leaf], key=lambda x: hashlib.md5(f"{p.seed}|{full}|{x[0]}".encode()).hexdigest()):
+            order = [(hashlib.md5(f"{p.seed}|{full}|{'null' if i is None else i}".encode()).digest(), hashlib.md5(t.encode()).digest(), i, n) for i, n, t in leaves[leaf]]
+            for _, _, i, n in sorted(order, key=lambda x: x[:2]):
                 if used + n > rest:
                     break
                 used += n
                 out.append((i, full))
-    return sorted(out)
+    return sorted(out, key=str)
 
 
 @pytest.mark.parametrize("share", [(1, 2), (9, 10), (3, 1)])
@@ -120,7 +123,31 @@ def test_mixture_matches_brute_force(make_docs, share):
     docs = make_docs(*rows).withColumn("_full", F.lit("mine"))
     got = mix(docs, p)
     assert got.columns[:len(docs.columns)] == docs.columns
-    assert sorted((r.doc_id, r.mix_epoch) for r in got.collect()) == brute_mix(rows, p, lambda s: "x" if s in ("a", "b") else "y")
+    assert sorted(((r.doc_id, r.mix_epoch) for r in got.collect()), key=str) == brute_mix(rows, p, lambda s: "x" if s in ("a", "b") else "y")
+
+
+def test_copies_at_the_cut_stay_within_the_budget(make_docs):
+    rows = [(1, "a b c")] * 6 + [(2, "d e")] * 3
+    for budget in (5, 12, 23):
+        p = MixParams(levels=("'x'", "lang", "source"), budget=budget, max_epochs=1, bucket_digits=1)
+        got = mix(make_docs(*rows), p).collect()
+        assert sum(r.mix_tokens for r in got) <= budget
+        assert sorted(((r.doc_id, r.mix_epoch) for r in got), key=str) == brute_mix([(i, t, "en", "src0") for i, t in rows], p, lambda s: "x")
+
+
+@pytest.mark.parametrize("weights", [{}, {("web",): 2, ("web", "de"): 3}])
+def test_mixture_sql_gives_the_same_rows(make_docs, weights):
+    rng = random.Random(6)
+    base = [(rng.choice([None, *range(30)]), " ".join(["w"] * rng.choice([0, 1, 3, 7])), rng.choice(["en", "de", None]), rng.choice(["a", "b"])) for _ in range(60)]
+    rows = base + base[:20] * 3
+    p = MixParams(levels=("CASE WHEN source = 'a' THEN 'web' ELSE 'other' END", "lang", "source"), weights=weights, share=(2, 3), max_epochs=2, bucket_digits=1)
+    docs = make_docs(*rows)
+    got = mix(docs, p).selectExpr("doc_id", "mix_level_0", "mix_level_1", "mix_level_2", "mix_tokens", "mix_epoch").collect()
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas().astype({"doc_id": "Int64"}))
+    want = con.execute(mix_sql(p)).fetchall()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert sorted(((r[0], r[5]) for r in got), key=str) == brute_mix(rows, p, lambda s: "web" if s == "a" else "other")
 
 
 def test_mixture_edges(make_docs):
