@@ -608,6 +608,7 @@ def oracle() -> dict[str, str]:
     out.update({
         "indicator_panel": sql_indicator_panel(),
         "monthly_panels": sql_monthly_panels(),
+        "incremental_panels": sql_monthly_panels(),
         "registration": sql_registration(),
         "misdated_audit": sql_misdated_audit(),
         "quarantine_split": sql_quarantine_split(),

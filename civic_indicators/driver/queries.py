@@ -27,6 +27,7 @@ from civic_indicators.operators.cohorts import until
 from civic_indicators.operators.clean import missing_any, split_valid
 from civic_indicators.operators.integrate import coalesce_join, drop_ids, keep_ids, mark_ids
 from civic_indicators.plans import guidance as G
+from civic_indicators.plans import incremental as INC
 from civic_indicators.plans import placement as PL
 from civic_indicators.plans import registration as R
 from civic_indicators.session import checkpoint_dir
@@ -118,6 +119,25 @@ def q_monthly_panels(spark, root):
     return R.monthly(registration_valid(spark, root), cohorts=REG_COHORTS)
 
 
+def q_incremental_panels(spark, root):
+    """The monthly panels by increments: two landed months of files, one of them landed anew, a third later."""
+    landing, store = _folder(spark, "landing"), _folder(spark, "panels")
+    rows, third = S.register(spark, root), F.col("`No. `") % 3
+
+    def counts(paths):
+        valid, _ = R.registration(spark.read.parquet(*paths), rules=REG_RULES)
+        return R.monthly(valid, cohorts=REG_COHORTS)
+
+    rows.where(third == 0).write.parquet(f"{landing}/first")
+    rows.where(third < 2).write.parquet(f"{landing}/second")
+    INC.update(spark, landing, store, counts)
+    rows.where(third == 1).write.mode("overwrite").parquet(f"{landing}/second")
+    INC.update(spark, landing, store, counts)
+    rows.where(third == 2).write.parquet(f"{landing}/third")
+    INC.update(spark, landing, store, counts)
+    return INC.totals(spark, store)
+
+
 def q_registration(spark, root):
     """L1: valid registrations with dates and population labels."""
     return _joined(project(registration_valid(spark, root), REG_OUT), "grupos_etnicos")
@@ -687,6 +707,7 @@ def q_population_labels(spark, root):
 QUERIES = {
     "indicator_panel": q_indicator_panel,
     "monthly_panels": q_monthly_panels,
+    "incremental_panels": q_incremental_panels,
     "registration": q_registration,
     "misdated_audit": q_misdated_audit,
     "quarantine_split": q_quarantine_split,

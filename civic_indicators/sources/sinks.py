@@ -73,6 +73,12 @@ def publish(df: DataFrame, path: str, partition_by: Sequence[str] = (), keep: in
     return f"{path.rstrip('/')}/{name}"
 
 
+def is_published(spark: SparkSession, path: str) -> bool:
+    """Whether ``publish`` has published a table at ``path``."""
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(path, CURRENT)
+    return pointer.getFileSystem(spark._jsc.hadoopConfiguration()).exists(pointer)
+
+
 def published(spark: SparkSession, path: str) -> DataFrame:
     """The table that ``publish`` has published last."""
     jvm = spark._jvm

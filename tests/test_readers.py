@@ -4,6 +4,7 @@ import gzip
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from civic_indicators import cluster_conf
 from civic_indicators.driver.queries import QUERIES
@@ -126,3 +127,41 @@ def test_conform_takes_either_name(spark):
         assert conform(spark.createDataFrame([("3",)], f"{name} string"), {"a_long|a": "int"}).first()[0] == 3
     with pytest.raises(ValueError, match="a_long"):
         conform(spark.createDataFrame([("3",)], "b string"), {"a_long|a": "int"})
+
+
+def test_increments_count_each_file_once(spark, tmp_path):
+    from civic_indicators.plans import incremental as INC
+    landing, store, read = tmp_path / "in", str(tmp_path / "store"), []
+
+    def put(name, *months):
+        landing.mkdir(exist_ok=True)
+        (landing / name).write_text("".join(f"{m}\n" for m in months))
+
+    def partial(paths):
+        read.append(sorted(os.path.basename(p).replace("\\", "") for p in paths))
+        return spark.read.text(paths).groupBy("value").count().select(F.col("value").alias("month"), F.col("count").alias("value"))
+
+    def totals():
+        return {r.month: r.value for r in INC.totals(spark, store, ["month"]).collect()}
+
+    def update():
+        return INC.update(spark, str(landing), store, partial)
+
+    put("a [1].txt", "x", "x", "y")
+    put("b.txt", "y")
+    assert update() == 2 and totals() == {"x": 2, "y": 2}
+    assert update() == 0 and len(read) == 1                      # nothing new: nothing read, nothing written
+    put("c.txt", "x", "z")
+    assert update() == 1 and read[-1] == ["c.txt"] and totals() == {"x": 3, "y": 2, "z": 1}
+    put("b.txt", "z", "z", "z")                                  # landed anew: its batch is counted again
+    assert update() == 2 and read[-1] == ["a [1].txt", "b.txt"] and totals() == {"x": 3, "y": 1, "z": 4}
+    put("d.txt", "q")
+
+    def fails(paths):
+        return partial(paths).withColumn("value", F.raise_error(F.lit("no")).cast("bigint"))
+
+    with pytest.raises(Exception):
+        INC.update(spark, str(landing), store, fails)
+    assert totals() == {"x": 3, "y": 1, "z": 4} and update() == 1 and totals()["q"] == 1
+    (landing / "c.txt").unlink()
+    assert update() == 0 and totals() == {"x": 2, "y": 1, "z": 3, "q": 1}
