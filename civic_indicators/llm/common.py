@@ -125,7 +125,7 @@ class BitFilter:
         parts = keys.select(q(column).cast("bigint")).mapInArrow(fill, "chunk bigint, bits binary")
         merged = parts.repartition("chunk").mapInArrow(merge, "chunk bigint, bits binary")
         bits = np.zeros(n_bits >> 3, np.uint8)
-        for r in merged.toLocalIterator():  # n_bits / 8 bytes in all
+        for r in merged.collect():  # n_bits / 8 bytes in all
             bits[r.chunk:r.chunk + len(r.bits)] |= np.frombuffer(bytes(r.bits), np.uint8)
         return cls(bits, probes)
 
@@ -197,30 +197,25 @@ def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
 
 # --------------------------------------------------------------- components
 
-def _fingerprint(e: DataFrame) -> tuple:
-    return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component_id): the smallest id reachable, for every id of an edge with another id.
 
-    Alternating large and small stars; each round's edges are staged, a hub's
-    minimum is pre-aggregated and its edges meet it in a splittable join.
+    Alternating large and small stars; each round's edges are staged with a mark on those that
+    the round has moved, and the rounds end when none is: every id then hangs on its least one.
+    A hub's minimum is pre-aggregated and its edges meet it in a splittable join.
     """
     x, y = q(a).cast("bigint"), q(b).cast("bigint")
-    e = stage(edges.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).where("a <> b").distinct(), "edges")
-    was = _fingerprint(e)
-    while was[0]:
+    e = stage(edges.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).where("a <> b"), "edges")
+    while True:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b"), F.col("a")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = stage(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
-        now = _fingerprint(e)
-        if now == was:
+        large = (both.where("v > u").join(least, "u").groupBy(F.col("v").alias("a"), F.col("m").alias("b"))
+                 .agg(F.max(F.expr("m < u")).alias("moved")))
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.max("moved").alias("moved"))
+        small = large.drop("moved").join(low.select("a", "m"), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"), F.lit(True).alias("moved"))
+        e = stage(small.union(low.select("a", F.col("m").alias("b"), "moved")).groupBy("a", "b").agg(F.max("moved").alias("moved")), "edges")
+        if e.where("moved").isEmpty():
             break
-        was = now
     return e.select(F.col("a").alias("id"), F.col("b").alias("component_id")).union(
         e.select(F.col("b"), F.col("b")).distinct())
 

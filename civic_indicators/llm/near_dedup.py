@@ -158,7 +158,9 @@ def shingle_sets(docs: DataFrame, k: int, text: str, doc_id: str) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
+    """The pairs (a, b, any more columns) whose full sets reach the similarity."""
+    cols = pairs.columns
+
     def run(batches):
         for batch in batches:
             keep = []
@@ -170,11 +172,11 @@ def verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
                 both = np.sort(np.concatenate([x, y]), kind="stable")  # two sorted runs: merged
                 inter = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * inter >= pct * (len(x) + len(y) - inter))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(cols).filter(pa.array(keep, pa.bool_()))
 
     one = pairs.join(sets.select(F.col("id").alias("a"), "s"), "a")
     two = one.join(sets.select(F.col("id").alias("b"), F.col("s").alias("s2")), "b")
-    return two.select("a", "b", "s", "s2").mapInArrow(run, "a bigint, b bigint")
+    return two.select(*cols, "s", "s2").mapInArrow(run, pairs.schema)
 
 
 def _block_links(rows: list[tuple], lo: int, hi: int, bucket: int, pct: int) -> list[tuple[int, int]]:
@@ -248,47 +250,56 @@ def near_groups(docs: DataFrame, p: NearDedup = NearDedup(), text: str = "text",
     sets = stage(shingle_sets(found.join(ids.select(F.col("rep").alias(fresh(docs, "_rep")[0])),
                                          q(doc_id).cast("bigint") == F.col(fresh(docs, "_rep")[0]), "left_semi"),
                               p.k, text, doc_id), "sets")
-    links = checked = None
-    comp = member.select("rep", F.col("rep").alias("component_id")).distinct()
+    # The components of the rows that are still in mixed buckets; which component went into which, turn by turn.
+    placed, moves, checked = member.withColumn("component_id", F.col("rep")), [], None
 
-    def mixed(placed: DataFrame) -> DataFrame:
-        """The members of buckets that hold more than one component."""
-        two = placed.groupBy("bucket").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo <> hi")
-        return placed.join(two.select("bucket"), "bucket", "left_semi")
+    def merged(links: DataFrame) -> DataFrame:
+        """(id, into) for the components that the links (ca, cb) join to smaller ones."""
+        return stage(components(links, "ca", "cb").where("id <> component_id").select("id", F.col("component_id").alias("into")), "moves")
+
+    def moved(rows: DataFrame, move: DataFrame, column: str) -> DataFrame:
+        return rows.join(move, F.col(column) == F.col("id"), "left").withColumn(column, F.coalesce("into", column)).drop("id", "into")
 
     for turn in range(p.star_rounds):
-        placed = stage(mixed(member.join(comp, "rep")), "placed")
         lead = placed.groupBy("bucket").agg(F.min_by(F.struct("rep", "n", "component_id"), F.struct("component_id", F.xxhash64("rep", F.lit(turn)))).alias("lead"))
         cand = (placed.join(lead, "bucket").where("component_id <> lead.component_id")
                 .where(F.expr(f"100 * least(n, lead.n) >= {p.pct} * greatest(n, lead.n)"))
-                .select(F.col("rep").alias("a"), F.col("lead.rep").alias("b")).distinct())
+                .select(F.col("rep").alias("a"), F.col("lead.rep").alias("b"), F.col("component_id").alias("ca"), F.col("lead.component_id").alias("cb")))
         if checked is not None:
             cand = cand.join(checked, ["a", "b"], "left_anti")
         # A few leaders a class and turn; the others come later, if still apart.
-        some = F.slice(F.array_sort(F.collect_set(F.struct(F.xxhash64("a", "b", F.lit(turn)).alias("o"), "b"))), 1, p.leaders)
-        cand = stage(cand.groupBy("a").agg(some.alias("s")).select("a", F.explode("s.b").alias("b")), "pairs")
-        checked = cand if checked is None else checked.union(cand)
+        some = F.slice(F.array_sort(F.collect_set(F.struct(F.xxhash64("a", "b", F.lit(turn)).alias("o"), "b", "cb"))), 1, p.leaders)
+        cand = stage(cand.groupBy("a", "ca").agg(some.alias("s")).select("a", "ca", F.inline("s")).select("a", "b", "ca", "cb"), "pairs")
+        checked = cand.select("a", "b") if checked is None else checked.union(cand.select("a", "b"))
         new = stage(verified(cand, sets, p.pct), "links")
         if new.isEmpty():
             break
-        links = new if links is None else links.union(new)
-        comp = stage(member.select("rep").distinct().join(components(links), F.col("rep") == F.col("id"), "left")
-                     .select("rep", F.coalesce("component_id", "rep").alias("component_id")), "comp")
+        moves.append(merged(new))
+        # Only buckets that hold more than one component go on.
+        placed = moved(placed, moves[-1], "component_id")
+        two = placed.groupBy("bucket").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo <> hi")
+        placed = stage(placed.join(two.select("bucket"), "bucket", "left_semi"), "placed")
     # The rest: pairs of a bucket that lie in different components, each once.
-    placed = stage(mixed(member.join(comp, "rep")), "mixed")
     big = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("m"))
     big = stage(big.where(f"classes > {p.pairwise}").select("bucket", "m"), "big")
     small = placed.join(big.select("bucket"), "bucket", "left_anti")
     x, y = small.alias("x"), small.alias("y")
     rest = (x.join(y, F.expr("x.bucket = y.bucket and x.component_id > y.component_id and "
                              f"100 * least(x.n, y.n) >= {p.pct} * greatest(x.n, y.n)"))
-            .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
+            .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.component_id").alias("ca"), F.col("y.component_id").alias("cb")).distinct())
     if checked is not None:
-        rest = rest.join(checked.select("a", "b").union(checked.select("b", "a")), ["a", "b"], "left_anti")
-    rest = stage(rest, "pairs")
-    new = stage(verified(rest, sets, p.pct).union(blockwise(placed, big, sets, classes, p)), "links")
-    links = new if links is None else links.union(new)
-    comp = components(links)
+        rest = rest.join(checked.union(checked.select("b", "a")), ["a", "b"], "left_anti")
+    own = placed.select("rep", "component_id").distinct()
+    blocks = blockwise(placed, big, sets, classes, p)
+    blocks = blocks.join(own.select(F.col("rep").alias("a"), F.col("component_id").alias("ca")), "a").join(
+        own.select(F.col("rep").alias("b"), F.col("component_id").alias("cb")), "b")
+    moves.append(merged(stage(verified(stage(rest, "pairs"), sets, p.pct).select("ca", "cb").union(blocks.select("ca", "cb")), "links")))
+    # A component that went into another did so once; where that went to, the later turns tell.
+    comp = moves[0]
+    for move in moves[1:]:
+        comp = moved(comp.select(F.col("id").alias("rep"), "into").withColumnRenamed("into", "component_id"), move, "component_id").select(
+            F.col("rep").alias("id"), F.col("component_id").alias("into")).union(move)
+    comp = comp.withColumnRenamed("into", "component_id")
     by_class = classes.select("d1", "d2", "n", "rep").join(comp, classes.rep == comp.id, "left").select(
         "d1", "d2", "n", F.col("rep").alias("class_id"), F.coalesce("component_id", "rep").alias("component_id"))
     by_class = stage(by_class, "byclass")
