@@ -115,15 +115,19 @@ def _settle(root: Node) -> None:
     wholes = [n for n in nodes if n.tag in ("article", "main") and size[n]]
     titles = {n for n in nodes if n.tag in _TITLES}
     while marked:
-        own = [w for w in wholes if _outermost(w, marked) is None]
+        top = _outermost(nodes, marked)
+        own = [w for w in wholes if top[w] is None]
         if own:
             bare = sizes(marked | titles)
             if any(bare[w] for w in own):
                 break
-        keep = set() if own else {_outermost(w, marked) for w in wholes}
+        keep = set() if own else {top[w] for w in wholes}
         for n in marked:
-            around = [w for w in own if w in set(_line(n))] if own else [root]
-            if _outermost(n, marked) is n and any(2 * size[n] > size[w] for w in around):
+            if top[n] is not n:
+                continue
+            line = set(_line(n))
+            around = [w for w in own if w in line] if own else [root]
+            if any(2 * size[n] > size[w] for w in around):
                 keep.add(n)
         if not keep:
             break
@@ -132,12 +136,12 @@ def _settle(root: Node) -> None:
         n.cut = True
 
 
-def _outermost(n: Node, marked: set) -> Node | None:
-    found = None
-    for up in _line(n):
-        if up in marked:
-            found = up
-    return found
+def _outermost(nodes: list[Node], marked: set) -> dict:
+    """For each node the outermost marked one among itself and those above it, else None; parents come first."""
+    top: dict = {}
+    for n in nodes:
+        top[n] = top.get(n.up) or (n if n in marked else None)
+    return top
 
 
 def _line(n: Node | None):

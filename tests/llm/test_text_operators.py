@@ -251,3 +251,12 @@ def test_extract_rows(spark):
     got = sorted((str(r.page_id), r.url or "", r.n_chars, r.text[:5]) for r in extract(pages).collect())
     assert got == [("1", "u", 3, "é x"), ("1", "u", 3, "é x"), ("2", "", 0, ""), ("4", "w", 199_999, "word "), ("None", "v", 5, "plain")]
     assert extract(pages.limit(0)).count() == 0
+
+
+def test_deeply_nested_named_parts_are_quick():
+    import time
+    for depth in (3, 600):
+        page = "<body>" + "<div class=ad>" * depth + "<p>some words here</p>" + "</div>" * depth
+        start = time.time()
+        assert main_text(page) == "some words here"
+        assert time.time() - start < 5
