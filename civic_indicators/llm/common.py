@@ -86,7 +86,7 @@ class BitFilter:
     full filter lets more keys through and never loses one.
     """
 
-    CHUNK = 1 << 16
+    CHUNK = 4096  # bytes; what bitmap_or_agg takes
 
     def __init__(self, bits: np.ndarray, probes: int):
         self.bits, self.probes = bits, probes
@@ -109,24 +109,15 @@ class BitFilter:
                 k = b.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
                 s = np.unique(cls._slots(k, n_bits, probes))
                 np.bitwise_or.at(own, (s >> np.uint64(3)).astype(np.int64), np.uint8(1) << (s & np.uint64(7)).astype(np.uint8))
-            for i in range(0, len(own), chunk):
-                if own[i:i + chunk].any():
-                    yield pa.record_batch({"chunk": pa.array([i], pa.int64()), "bits": pa.array([own[i:i + chunk].tobytes()], pa.binary())})
-
-        def merge(batches):
-            have: dict[int, np.ndarray] = {}
-            for b in batches:
-                for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    y = np.frombuffer(x, np.uint8)
-                    have[i] = have[i] | y if i in have else y
-            for i, y in have.items():
-                yield pa.record_batch({"chunk": pa.array([i], pa.int64()), "bits": pa.array([y.tobytes()], pa.binary())})
+            used = [i for i in range(0, len(own), chunk) if own[i:i + chunk].any()]
+            if used:
+                yield pa.record_batch({"chunk": pa.array(used, pa.int64()), "bits": pa.array([own[i:i + chunk].tobytes() for i in used], pa.binary())})
 
         parts = keys.select(q(column).cast("bigint")).mapInArrow(fill, "chunk bigint, bits binary")
-        merged = parts.repartition("chunk").mapInArrow(merge, "chunk bigint, bits binary")
+        merged = parts.groupBy("chunk").agg(F.bitmap_or_agg("bits").alias("bits"))
         bits = np.zeros(n_bits >> 3, np.uint8)
         for r in merged.collect():  # n_bits / 8 bytes in all
-            bits[r.chunk:r.chunk + len(r.bits)] |= np.frombuffer(bytes(r.bits), np.uint8)
+            bits[r.chunk:r.chunk + chunk] |= np.frombuffer(bytes(r.bits), np.uint8)[:len(bits) - r.chunk]
         return cls(bits, probes)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
@@ -212,7 +203,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = (both.where("v > u").join(least, "u").groupBy(F.col("v").alias("a"), F.col("m").alias("b"))
                  .agg(F.max(F.expr("m < u")).alias("moved")))
         low = large.groupBy("a").agg(F.min("b").alias("m"), F.max("moved").alias("moved"))
-        small = large.drop("moved").join(low.select("a", "m"), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"), F.lit(True).alias("moved"))
+        # An edge with b <> m moves whatever large says; reading its mark keeps both uses of large one shuffle.
+        small = large.join(low.select("a", "m"), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"), F.expr("moved or b > m").alias("moved"))
         e = stage(small.union(low.select("a", F.col("m").alias("b"), "moved")).groupBy("a", "b").agg(F.max("moved").alias("moved")), "edges")
         if e.where("moved").isEmpty():
             break

@@ -17,8 +17,9 @@ Verification is exact, on the full shingle sets: 100 * |A and B| >= pct * |A or
 No bucket is expanded into all its pairs. Texts with equal sets are one class from the
 start. Then come rounds: every bucket names a leader, picked by a hash of the round among
 the classes of its smallest component, and each class of another component is checked
-against a few of the leaders of its buckets, whom it has not met yet; verified links
-merge components. So a group of near copies becomes one component after few rounds,
+against a few of the leaders of its buckets, whom it has not met yet; between rounds a
+component goes to the least one it has a verified link with. After the rounds all links
+make components, once. So a group of near copies becomes one component after few rounds,
 each with a number of pairs proportional to the classes. What is left in a bucket are
 classes of different components that are not linked to the leaders they met; only their
 pairs, one from either component, are all checked in the end, so no link is lost. In
@@ -53,6 +54,7 @@ class NearDedup:
     bands: int = 48
     rows: int = 7
     star_rounds: int = 3
+    yield_: int = 10  # a round that links fewer than one candidate in so many is the last
     leaders: int = 4
     pairwise: int = 64
     block: int = 200_000
@@ -236,6 +238,17 @@ def blockwise(placed: DataFrame, big: DataFrame, sets: DataFrame, classes: DataF
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
+def _twice(up: DataFrame) -> DataFrame:
+    """(id, into) followed twice where the first ``into`` goes on itself."""
+    on = up.select(F.col("id").alias("_id"), F.col("into").alias("_into"))
+    return stage(up.join(on, F.col("into") == F.col("_id"), "left").select("id", F.coalesce("_into", "into").alias("into")), "moves")
+
+
+def _roots(links: DataFrame, a: str, b: str) -> DataFrame:
+    """(id, into) for the ids that the links join to a smaller one."""
+    return stage(components(links, a, b).where("id <> component_id").select("id", F.col("component_id").alias("into")), "moves")
+
+
 def near_groups(docs: DataFrame, p: NearDedup = NearDedup(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, class_id."""
     sig = stage(signatures(docs, p, text, doc_id), "sig")
@@ -246,16 +259,16 @@ def near_groups(docs: DataFrame, p: NearDedup = NearDedup(), text: str = "text",
     shared = member.groupBy("bucket").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead <> last")
     member = stage(member.join(shared.select("bucket"), "bucket", "left_semi"), "members")
     ids = member.select("rep").distinct()
-    found = docs.where(q(doc_id).isNotNull() & maybe_in(docs, doc_id, ids, "rep"))
-    sets = stage(shingle_sets(found.join(ids.select(F.col("rep").alias(fresh(docs, "_rep")[0])),
+    texts = docs.where(q(doc_id).isNotNull() & maybe_in(docs, doc_id, ids, "rep"))
+    sets = stage(shingle_sets(texts.join(ids.select(F.col("rep").alias(fresh(docs, "_rep")[0])),
                                          q(doc_id).cast("bigint") == F.col(fresh(docs, "_rep")[0]), "left_semi"),
                               p.k, text, doc_id), "sets")
-    # The components of the rows that are still in mixed buckets; which component went into which, turn by turn.
-    placed, moves, checked = member.withColumn("component_id", F.col("rep")), [], None
+    placed, found, checked = member.withColumn("component_id", F.col("rep")), None, None
 
-    def merged(links: DataFrame) -> DataFrame:
-        """(id, into) for the components that the links (ca, cb) join to smaller ones."""
-        return stage(components(links, "ca", "cb").where("id <> component_id").select("id", F.col("component_id").alias("into")), "moves")
+    def mixed(rows: DataFrame) -> DataFrame:
+        """The rows of buckets that still hold more than one component."""
+        two = rows.groupBy("bucket").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo <> hi")
+        return stage(rows.join(two.select("bucket"), "bucket", "left_semi"), "placed")
 
     def moved(rows: DataFrame, move: DataFrame, column: str) -> DataFrame:
         return rows.join(move, F.col(column) == F.col("id"), "left").withColumn(column, F.coalesce("into", column)).drop("id", "into")
@@ -272,13 +285,19 @@ def near_groups(docs: DataFrame, p: NearDedup = NearDedup(), text: str = "text",
         cand = stage(cand.groupBy("a", "ca").agg(some.alias("s")).select("a", "ca", F.inline("s")).select("a", "b", "ca", "cb"), "pairs")
         checked = cand.select("a", "b") if checked is None else checked.union(cand.select("a", "b"))
         new = stage(verified(cand, sets, p.pct), "links")
-        if new.isEmpty():
+        n_new, n_cand = new.count(), cand.count()
+        if n_new:
+            found = new.select("a", "b") if found is None else found.union(new.select("a", "b"))
+        # Where leaders hardly find links any more, the buckets are for the exact comparison of the rest.
+        if n_new * p.yield_ < n_cand:
             break
-        moves.append(merged(new))
-        # Only buckets that hold more than one component go on.
-        placed = moved(placed, moves[-1], "component_id")
-        two = placed.groupBy("bucket").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo <> hi")
-        placed = stage(placed.join(two.select("bucket"), "bucket", "left_semi"), "placed")
+        if n_new and turn + 1 < p.star_rounds:
+            # Between turns a component goes to the least one it is linked with, and on to where that one goes.
+            up = new.groupBy(F.col("ca").alias("id")).agg(F.min("cb").alias("into"))
+            placed = mixed(moved(placed, _twice(up), "component_id"))
+    # All links so far make components; those of a bucket are now the only ones that may still be apart.
+    comp = None if found is None else _roots(found, "a", "b")
+    placed = mixed(member.withColumn("component_id", F.col("rep")) if comp is None else moved(member.withColumn("component_id", F.col("rep")), comp, "component_id"))
     # The rest: pairs of a bucket that lie in different components, each once.
     big = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("m"))
     big = stage(big.where(f"classes > {p.pairwise}").select("bucket", "m"), "big")
@@ -289,16 +308,21 @@ def near_groups(docs: DataFrame, p: NearDedup = NearDedup(), text: str = "text",
             .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.component_id").alias("ca"), F.col("y.component_id").alias("cb")).distinct())
     if checked is not None:
         rest = rest.join(checked.union(checked.select("b", "a")), ["a", "b"], "left_anti")
-    own = placed.select("rep", "component_id").distinct()
-    blocks = blockwise(placed, big, sets, classes, p)
-    blocks = blocks.join(own.select(F.col("rep").alias("a"), F.col("component_id").alias("ca")), "a").join(
-        own.select(F.col("rep").alias("b"), F.col("component_id").alias("cb")), "b")
-    moves.append(merged(stage(verified(stage(rest, "pairs"), sets, p.pct).select("ca", "cb").union(blocks.select("ca", "cb")), "links")))
-    # A component that went into another did so once; where that went to, the later turns tell.
-    comp = moves[0]
-    for move in moves[1:]:
-        comp = moved(comp.select(F.col("id").alias("rep"), "into").withColumnRenamed("into", "component_id"), move, "component_id").select(
+    late = verified(stage(rest, "pairs"), sets, p.pct).select("ca", "cb")
+    if not big.isEmpty():
+        own = placed.select("rep", "component_id").distinct()
+        blocks = blockwise(placed, big, sets, classes, p)
+        blocks = blocks.join(own.select(F.col("rep").alias("a"), F.col("component_id").alias("ca")), "a").join(
+            own.select(F.col("rep").alias("b"), F.col("component_id").alias("cb")), "b")
+        late = late.union(blocks.select("ca", "cb"))
+    late = stage(late, "links")
+    if not late.isEmpty():
+        # A component that the late links join to a smaller one takes its classes along.
+        move = _roots(late, "ca", "cb")
+        comp = move if comp is None else moved(comp.withColumnRenamed("id", "rep").withColumnRenamed("into", "component_id"), move, "component_id").select(
             F.col("rep").alias("id"), F.col("component_id").alias("into")).union(move)
+    if comp is None:
+        comp = classes.select(F.col("rep").alias("id"), F.col("rep").alias("into")).limit(0)
     comp = comp.withColumnRenamed("into", "component_id")
     by_class = classes.select("d1", "d2", "n", "rep").join(comp, classes.rep == comp.id, "left").select(
         "d1", "d2", "n", F.col("rep").alias("class_id"), F.coalesce("component_id", "rep").alias("component_id"))
