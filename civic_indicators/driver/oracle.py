@@ -356,6 +356,12 @@ def sql_distinct_with_null() -> str:
             f"FROM pl GROUP BY mes_registro")
 
 
+def sql_distinct_counts() -> str:
+    return ("WITH li AS (SELECT *, CASE WHEN l_linenumber > 2 THEN l_suppkey END AS supplier FROM lineitem) "
+            f"SELECT l_returnflag, {dwn('l_partkey')} AS parts, {dwn('supplier')} AS suppliers, {dwn('l_shipdate')} AS days, "
+            "CAST(sum(l_linenumber) AS BIGINT) AS lines FROM li GROUP BY l_returnflag")
+
+
 def sql_distinct_values() -> str:
     return f"WITH {PLACE_ROWS} SELECT DISTINCT nombre_de_la_vacante FROM pl WHERE {SENT}"
 
@@ -617,6 +623,7 @@ def oracle() -> dict[str, str]:
         "distinct_concat": sql_distinct_concat(),
         "outer_merge": sql_outer_merge(),
         "distinct_with_null": sql_distinct_with_null(),
+        "distinct_counts": sql_distinct_counts(),
         "distinct_values": sql_distinct_values(),
         "sums": sql_sums(),
         "guidance": sql_guidance(),

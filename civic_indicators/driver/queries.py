@@ -17,7 +17,7 @@ from civic_indicators.functions import (
     to_number, to_ts, to_ts_or_null, unparsed, year_of,
 )
 from civic_indicators.operators import (
-    assign_where, clean_text, column_frequencies, daily_counts, distinct_values, distinct_with_null,
+    assign_where, clean_text, column_frequencies, daily_counts, distinct_counts, distinct_values, distinct_with_null,
     drop_empty, empty_to_null, enrich, fill, lower_strings, null_sentinels,
     null_values, outer_merge, per_key, person_key, pivot_counts, preview, profile, project, recode, sort_by,
     sums, union_ids, value_counts, where_equals,
@@ -527,6 +527,15 @@ def q_distinct_with_null(spark, root):
         distinct_with_null("nombre_de_la_vacante").alias("vacancies"))
 
 
+def q_distinct_counts(spark, root):
+    """Distinct parts, suppliers (null on over a third of the rows) and ship days per return flag, and the
+    sum of line numbers, in one pass."""
+    li = _t(spark, root, "lineitem").selectExpr("l_returnflag", "l_partkey", "CASE WHEN l_linenumber > 2 THEN l_suppkey END AS supplier",
+                                                "l_shipdate", "l_linenumber")
+    return distinct_counts(li, {"parts": "l_partkey", "suppliers": "supplier", "days": "l_shipdate"}, by=["l_returnflag"],
+                           sums={"lines": "l_linenumber"})
+
+
 def q_distinct_values(spark, root):
     """Distinct vacancy names of CVs sent in the month."""
     return distinct_values(placement_rows(spark, root), "nombre_de_la_vacante", PL.sent(PLACE_MONTH))
@@ -736,6 +745,7 @@ QUERIES = {
     "outer_merge": q_outer_merge,
     "enrich_left": q_enrich_left,
     "distinct_with_null": q_distinct_with_null,
+    "distinct_counts": q_distinct_counts,
     "distinct_values": q_distinct_values,
     "sums": q_sums,
     "value_counts": q_value_counts,

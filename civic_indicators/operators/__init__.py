@@ -3,7 +3,7 @@
 from civic_indicators.operators import aggregate, clean, cohorts, integrate  # noqa: F401
 from civic_indicators.operators.aggregate import (
     PanelSpec, column_frequencies, count_age_group, count_flag, count_where, daily_counts,
-    distinct_values, distinct_with_null, indicator_panel, monthly_panels, panels, pivot_counts,
+    distinct_counts, distinct_values, distinct_with_null, indicator_panel, monthly_panels, panels, pivot_counts,
     preview, profile, sum_by, sum_where, sums, union_ids, value_counts,
 )
 from civic_indicators.operators.clean import (
@@ -17,7 +17,7 @@ from civic_indicators.operators.integrate import (
 
 __all__ = [
     "PanelSpec", "column_frequencies", "count_age_group", "count_flag", "count_where",
-    "daily_counts", "distinct_values", "distinct_with_null", "indicator_panel", "monthly_panels",
+    "daily_counts", "distinct_counts", "distinct_values", "distinct_with_null", "indicator_panel", "monthly_panels",
     "panels", "pivot_counts", "preview", "profile", "sum_by", "sum_where", "sums", "union_ids",
     "value_counts", "assign_where", "clean_text", "drop_empty", "empty_to_null", "fill",
     "lower_strings", "missing_any", "null_sentinels", "null_values", "project", "recode",

@@ -141,6 +141,29 @@ def distinct_with_null(c) -> Column:
     return (F.count_distinct(c) + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))).cast("long")
 
 
+def distinct_counts(df: DataFrame, columns: Mapping[str, str], by: Sequence[str] = (),
+                    sums: Mapping[str, str] | None = None) -> DataFrame:
+    """A7 for several columns at once: per ``by`` group (one row without it) the number of
+    distinct values of each of ``columns`` (name: column), null counted once as a value, and
+    the sums of ``sums`` (name: column; nulls skipped, 0 when nothing is summed).
+
+    One scan, two levels. A row becomes one narrow (column number, value) pair per column, the
+    pairs are made distinct on the map side first, so a value that holds a third of all rows
+    reaches the shuffle once per task, and the second level counts pairs. Several distinct
+    aggregates of one ``agg`` would copy every row once per column and once for the other
+    aggregates, each copy as wide as all columns. No rows: 0 without ``by``, no row with it.
+    """
+    sums = dict(sums or {})
+    pairs = F.array(*[F.struct(F.lit(i).alias("__i"), col(c).cast("string").alias("__v")) for i, c in enumerate(columns.values())])
+    rows = df.select(*[col(b).alias(b) for b in by], *[col(c).alias(f"__s{j}") for j, c in enumerate(sums.values())], F.inline(pairs))
+    parts = [F.sum(F.when(F.col("__i") == 0, F.col(f"__s{j}"))).alias(f"__s{j}") for j in range(len(sums))]
+    keys = [col(b) for b in by]
+    once = rows.groupBy(*keys, "__i", "__v").agg(*parts) if parts else rows.distinct()
+    return once.groupBy(*keys).agg(
+        *[F.count_if(F.col("__i") == i).alias(name) for i, name in enumerate(columns)],
+        *[F.coalesce(F.sum(f"__s{j}"), F.lit(0)).alias(name) for j, name in enumerate(sums)])
+
+
 def distinct_values(df: DataFrame, column: str, cohort: Column | None = None) -> DataFrame:
     """Distinct values (null included as a value) of one column."""
     if cohort is not None:

@@ -17,7 +17,7 @@ from civic_indicators.functions.dates import iso_week, iso_year, month_of, to_ts
 from civic_indicators.functions.numbers import band, digits_or_null, integral_or_null, to_number
 from civic_indicators.functions.text import matches
 from civic_indicators.operators.aggregate import (
-    PanelSpec, distinct_values, distinct_with_null, panels, pivot_counts, sum_by, value_counts,
+    PanelSpec, distinct_counts, distinct_values, distinct_with_null, panels, pivot_counts, sum_by, value_counts,
 )
 from civic_indicators.operators.clean import (
     clean_text, drop_empty, null_sentinels, null_values, recode, replace_columns,
@@ -154,10 +154,10 @@ def vacancy_summary(rows: DataFrame, month_name: str, dedupe_key: str | None = N
     pre-aggregate.
     """
     sub = rows.filter(equals(REG_MONTH, month_name))
-    posts = F.coalesce(F.sum(col(POSTS)), F.lit(0)).cast("long")
     if dedupe_key is None:
-        return sub.agg(distinct_with_null(EMPLOYER).alias("employers"),
-                       distinct_with_null(PROCESS).alias("processes"), posts.alias("posts"))
+        one = distinct_counts(sub, {"employers": EMPLOYER, "processes": PROCESS}, sums={"posts": POSTS})
+        return one.withColumn("posts", F.col("posts").cast("long"))
+    posts = F.coalesce(F.sum(col(POSTS)), F.lit(0)).cast("long")
     # One pass over the rows: a row per (dedupe key, employer, process), whose shuffle both
     # results reuse; they are stacked and turned back to one row.
     per = (sub.groupBy(col(dedupe_key).alias("__k"), col(EMPLOYER).alias(EMPLOYER), col(PROCESS).alias("__p"))

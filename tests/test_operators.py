@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from civic_indicators.operators import (
-    PanelSpec, column_frequencies, daily_counts, distinct_concat, distinct_with_null, drop_empty,
+    PanelSpec, column_frequencies, daily_counts, distinct_concat, distinct_counts, distinct_with_null, drop_empty,
     first_values, indicator_panel, monthly_panels, null_sentinels, outer_merge, per_key, pivot_counts,
     preview, profile, recode, split_valid, sum_by, value_counts,
 )
@@ -103,6 +103,22 @@ def test_distinct_with_null_and_sums(spark):
     assert sorted(rows(sum_by(df, "e", "p"), "e", "total")) == [("a", 3)]
 
 
+def test_distinct_counts_is_exact_without_expand(spark):
+    # A third of all rows hold one value of v; w is null on as many; u has ties and repeats.
+    data = [("g" if i % 5 else None, "hot" if i % 3 == 0 else f"v{i % 40}", None if i % 3 == 1 else i % 7, i % 2, i) for i in range(600)]
+    df = spark.createDataFrame(data, "g string, v string, w int, u int, n bigint").repartition(7)
+    got = distinct_counts(df, {"vs": "v", "ws": "w", "us": "u"}, by=["g"], sums={"total": "n"})
+    plan = got._jdf.queryExecution().toString()
+    assert "Expand" not in plan
+    want = set()
+    for g in ("g", None):
+        own = [r for r in data if r[0] == g]
+        want.add((g, *(len({r[k] for r in own}) for k in (1, 2, 3)), sum(r[4] for r in own)))
+    assert set(map(tuple, got.collect())) == want
+    assert tuple(distinct_counts(df.filter("false"), {"vs": "v", "ws": "w"}, sums={"total": "n"}).first()) == (0, 0, 0)
+    assert tuple(distinct_counts(df, {"ws": "w"}).first()) == (8,)
+
+
 def test_value_counts_and_frequencies(spark):
     df = spark.createDataFrame([("x", "1"), ("y", "1"), ("x", None), (None, "2")], "a string, b string")
     assert rows(value_counts(df, "a"), "a", "count") == [("x", 2), ("y", 1)]
