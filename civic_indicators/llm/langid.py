@@ -13,8 +13,9 @@ score is the posterior share of that language over ``score_chars`` characters at
 rate. ``rejected`` marks texts whose cross-entropy lies above the level that all but
 ``reject_share`` of the language's training documents keep.
 
-Models learn from a bounded sample: about ``per_language`` documents of each of the
-``max_languages`` commonest languages, by a hash of the id; every whole text is scored.
+Models learn from a bounded sample, by a hash of the id: about ``per_language`` documents of
+every language, fewer of each where they would be over ``sample_docs`` in all; no language
+that has documents is left out for being rare. Every whole text is scored.
 A null text or one without a letter is ``und`` with score 0, as is every text if
 there is nothing to learn from; ties go to the first language in alphabetical order.
 """
@@ -41,7 +42,7 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 class LangParams:
     order: int = 5
     per_language: int = 2_000
-    max_languages: int = 200
+    sample_docs: int = 400_000
     discount: float = 0.75
     score_chars: int = 40
     reject_share: float = 0.01
@@ -220,10 +221,11 @@ def train(docs: DataFrame, p: LangParams = LangParams(), text: str = "text", lan
     """(model, reject levels), or None when no document has a language and a letter."""
     own = docs.select(q("doc_id").cast("bigint").alias("doc_id"), q(text).alias("text"), q(lang).cast("string").alias("lang")).where(
         "lang is not null and text is not null")
-    sizes = own.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(p.max_languages).collect()
+    sizes = own.groupBy("lang").count().collect()  # a row per language
     if not sizes:
         return None
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r.lang, min(1.0, p.per_language / r["count"]))])
+    each = min(p.per_language, max(1, p.sample_docs // len(sizes)))
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r.lang, min(1.0, each / r["count"]))])
     some = own.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20)) < F.element_at(share, F.col("lang")) * float(1 << 20))
 
     def grams(batches):

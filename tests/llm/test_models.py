@@ -142,6 +142,17 @@ def test_subsequence_kernel_matches_brute_force():
     assert np.allclose(X.fold_weights(marks.folded(weights), X.codes(ws)), got @ weights, atol=1e-4)
 
 
+def test_many_languages_are_all_learned(make_docs):
+    """More languages than 200, most with one document; each has a word of its own."""
+    from civic_indicators.llm.langid import LangParams, score_texts, train
+    def word(i):
+        return "".join(chr(0x4E00 + 7 * i + j) for j in range(5))
+    docs = make_docs(*[(i, " ".join([word(i)] * 6), f"l{i:03d}") for i in range(230)])
+    model, _ = train(docs, LangParams(sample_docs=230))
+    got = {r.k: r.lang_pred for r in score_texts(docs, model, LangParams(), "text", docs.lang.alias("k")).collect()}
+    assert got == {k: k for k in got} and len(got) == 230
+
+
 def test_languages_held_out(make_docs):
     rng = random.Random(3)
     docs = [(i, prose(rng, SYL[lg], rng.randint(5, 40)), lg) for i, lg in enumerate(rng.choice(["en", "en", "de", "es"]) for _ in range(300))]
