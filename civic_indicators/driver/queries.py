@@ -30,7 +30,7 @@ from civic_indicators.plans import guidance as G
 from civic_indicators.plans import incremental as INC
 from civic_indicators.plans import placement as PL
 from civic_indicators.plans import registration as R
-from civic_indicators.session import checkpoint_dir
+from civic_indicators.session import checkpoint_dir, compiled
 from civic_indicators.sources import (
     drop_columns, normalize_headers, publish, published, rename, rename_by_pattern, scan, split_malformed, with_unique_headers,
     write_curated, write_quarantine, write_split,
@@ -88,13 +88,15 @@ def registration_valid(spark: SparkSession, root: str) -> DataFrame:
 
 
 def guidance_people(spark: SparkSession, root: str) -> DataFrame:
+    spark = compiled(spark)
     return G.guidance(S.sessions(spark, root), S.workshops(spark, root), S.register(spark, root),
                       S.counsellor_log(spark, root), workshop_order=S.WORKSHOP_ORDER,
-                      registration_order=["No. "], counsellor_order=["FILA"], rules=GUIDE_RULES)
+                      registration_order=["No. "], counsellor_order=["FILA"], rules=GUIDE_RULES,
+                      columns=(*GUIDE_OUT, "fechaejecucion_taller"))
 
 
 def placement_rows(spark: SparkSession, root: str) -> DataFrame:
-    return PL.placement(S.placement_sheet(spark, root), rules=PLACE_RULES)
+    return PL.placement(S.placement_sheet(compiled(spark), root), rules=PLACE_RULES)
 
 
 REG_OUT = ("número_documento", "tipo_documento", "año", "fecha_registro", "fecha_actualización",

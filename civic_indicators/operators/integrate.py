@@ -37,6 +37,7 @@ _ORD = "__ord"
 _COL = "__col"
 _VAL = "__val"
 _SEEN = "__seen"
+_HELD = "__held"
 
 
 def order_key(order: Sequence[str] | str) -> Column:
@@ -86,8 +87,8 @@ def _pairs_sql(names: Sequence[str], value_cols: Sequence[str]) -> str:
 
 
 def _joined_sql(name: str, sep: str) -> str:
-    return (f"array_join(transform(filter(__items, x -> x.{_COL} = {sql_string(name)} AND x.{_VAL} IS NOT NULL), "
-            f"x -> x.{_VAL}), {sql_string(sep)}) AS {quote(name)}")
+    return (f"array_join(array_distinct(transform(filter(__items, x -> x.{_COL} = {sql_string(name)} AND x.{_VAL} IS NOT NULL), "
+            f"x -> x.{_VAL})), {sql_string(sep)}) AS {quote(name)}")
 
 
 _ITEMS_SQL = (f"array_sort(collect_list(CASE WHEN {_VAL} IS NOT NULL "
@@ -118,33 +119,51 @@ def per_key(df: DataFrame, key: str, order: Sequence[str] | str, first: Sequence
     a key has no value).
 
     One scan and one two-level aggregation, no self-join. Level 1 groups by
-    (key, column, value): it keeps each value's first-seen order and, for
-    every ``first`` column, the candidate value with its order (``min_by`` is
-    decomposable). Level 2 groups by key: it orders the distinct values and
-    picks each first column's candidate with the smallest order. A hot key
-    is spread over its distinct values at level 1, and reaches level 2 as
-    one row per distinct value.
+    (key, concat values, which first columns are null) and keeps the group's
+    row with the smallest order: within a group a column is null in every row
+    or in none, so that row holds the group's first value of each column, and
+    a row's order travels once, not once per column. Level 2 groups by key:
+    it orders the distinct concat values by the order of their first group and
+    picks each first column's value from the first group that has one. A hot
+    key is spread over its distinct values at level 1, and reaches level 2 as
+    one row per distinct group.
     """
     first, concat = list(first), list(concat)
     if not concat:
         return first_values(df, key, first, order)
     if not first:
         return distinct_concat(df, key, concat, order, sep)
+    types = dict(df.dtypes)
+    if any("map<" in types[c] or "variant" in types[c] for c in first):  # values without an order
+        return first_values(df, key, first, order).join(distinct_concat(df, key, concat, order, sep), key)
     k = quote(key)
     fcols = [f"__f{i}" for i in range(len(first))]
     base = (df.filter(col(key).isNotNull())
               .selectExpr(f"{k} AS {k}", f"{_order_sql(order)} AS {_ORD}",
                           *[f"{quote(c)} AS {f}" for c, f in zip(first, fcols)],
                           *[f"CAST({quote(c)} AS STRING) AS __c{i}" for i, c in enumerate(concat)]))
-    long = base.selectExpr(k, _ORD, *fcols, _pairs_sql(concat, [f"__c{i}" for i in range(len(concat))]))
-    lvl1 = [F.expr(f"min({_ORD}) AS {_SEEN}")]
-    for f in fcols:
-        lvl1 += [F.expr(f"min_by({f}, CASE WHEN {f} IS NOT NULL THEN {_ORD} END) AS {f}"),
-                 F.expr(f"min(CASE WHEN {f} IS NOT NULL THEN {_ORD} END) AS {f}_o")]
-    level1 = long.groupBy(col(key), _COL, _VAL).agg(*lvl1)
-    lvl2 = [F.expr(_ITEMS_SQL)] + [F.expr(f"min_by({f}, {f}_o) AS {f}") for f in fcols]
-    level2 = level1.groupBy(col(key)).agg(*lvl2)
-    return level2.selectExpr(k, *[f"{f} AS {quote(c)}" for c, f in zip(first, fcols)],
+    # The first columns go with the first concat column only; a row without an order has no say in them.
+    known = f"{_ORD} IS NOT NULL"
+    own = [f"CASE WHEN {known} AND {_COL} = {sql_string(concat[0])} THEN {f} END AS {f}" for f in fcols]
+    long = (base.selectExpr(k, _ORD, *fcols, _pairs_sql(concat, [f"__c{i}" for i in range(len(concat))]))
+                .selectExpr(k, _ORD, _COL, _VAL, *own))
+    held = "concat(" + ", ".join(f"CASE WHEN {f} IS NULL THEN '0' ELSE '1' END" for f in fcols) + ")"
+    # A first column that is part of the order is not held twice.
+    names = [order] if isinstance(order, str) else list(order)
+    place = {f: _SEEN if len(names) == 1 else f"{_SEEN}.o{names.index(c)}" for f, c in zip(fcols, first) if c in names}
+    rest = [f for f in fcols if f not in place]
+    row = f"named_struct('{_SEEN}', {_ORD}" + "".join(f", '{f}', {f}" for f in rest) + ")"
+    level1 = (long.selectExpr("*", f"{held} AS {_HELD}").groupBy(col(key), _COL, _VAL, _HELD)
+                  .agg(F.expr(f"min(CASE WHEN {known} THEN {row} END) AS __row")))
+    item = (f"named_struct('{_SEEN}', __row.{_SEEN}, '{_COL}', {_COL}, '{_VAL}', {_VAL}, '{_HELD}', {_HELD}"
+            + "".join(f", '{f}', __row.{f}" for f in rest) + ")")
+    level2 = level1.groupBy(col(key)).agg(F.expr(f"array_sort(collect_list({item})) AS __items"))
+    if len(order) == 1 or isinstance(order, str):  # a value has no order only if none of its rows has one
+        level2 = level2.selectExpr(k, f"filter(__items, x -> x.{_SEEN} IS NOT NULL OR NOT exists(__items, y -> y.{_SEEN} IS NOT NULL "
+                                      f"AND y.{_COL} = x.{_COL} AND y.{_VAL} <=> x.{_VAL})) AS __items")
+    picked = [f"try_element_at(filter(__items, x -> substr(x.{_HELD}, {i + 1}, 1) = '1'), 1).{place.get(f, f)} AS {quote(c)}"
+              for i, (c, f) in enumerate(zip(first, fcols))]
+    return level2.selectExpr(k, *picked,
                              *[_joined_sql(c, sep) for c in concat])
 
 

@@ -83,14 +83,15 @@ def sessions_table(sessions: DataFrame) -> DataFrame:
 
 
 def workshops_per_person(workshops: DataFrame, order: Sequence[str],
-                         lower_cols: Sequence[str] | None = None) -> DataFrame:
+                         lower_cols: Sequence[str] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """A1/A2 over workshops: first value of every column, programmes joined.
 
-    ``lower_cols``: the string columns to lower-case (the sessions' headers)."""
+    ``lower_cols``: the string columns to lower-case (the sessions' headers).
+    ``columns`` limits the output to the ones needed."""
     w = _activity(workshops, "taller", "tallerista", "mes_taller", "año_taller", lower_cols)
     concat = ["programagobierno"]
     first = [c for c in w.columns if c != KEY and c not in concat]
-    return per_key(w, KEY, order, first=first, concat=concat)
+    return per_key(w, KEY, order, first=_only(first, columns), concat=concat)
 
 
 def _only(cols: list[str], keep: Sequence[str] | None) -> list[str]:
@@ -123,18 +124,21 @@ def counsellors_per_person(log: DataFrame, order: Sequence[str],
 def guidance(sessions: DataFrame, workshops: DataFrame, registrations: DataFrame,
              counsellors: DataFrame, *, workshop_order: Sequence[str],
              registration_order: Sequence[str], counsellor_order: Sequence[str],
-             rules: GuidanceRules = GuidanceRules()) -> DataFrame:
+             rules: GuidanceRules = GuidanceRules(), columns: Sequence[str] | None = None) -> DataFrame:
     """L2: the integrated table of guided people with age band and population labels.
 
     ``*_order`` name the columns giving each sheet's row order (its row
-    number), which decides the "first" value per person.
+    number), which decides the "first" value per person. ``columns``: the
+    result's columns that will be read; of the workshops only these are then
+    gathered per person (columns met in both sheets count as read).
     """
     s = sessions_table(sessions)
     shared = normalize_headers(sessions, spaces=False).columns
     missing = set(shared) - set(normalize_headers(workshops, spaces=False).columns)
     if missing:
         raise ValueError(f"workshops sheet lacks the sessions headers {sorted(missing)}")
-    w = workshops_per_person(workshops, workshop_order, shared)
+    wanted = None if columns is None else {*columns, *s.columns}
+    w = workshops_per_person(workshops, workshop_order, shared, wanted)
     people = outer_merge(s, w, KEY)
     reg = registrations_per_person(registrations, registration_order, [REG_PROGRAMME, REG_CONDITION])
     log = counsellors_per_person(counsellors, counsellor_order, [LOG_AGE, LOG_POPULATION])

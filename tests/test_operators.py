@@ -206,3 +206,30 @@ def test_fixture_rows_for_concat_and_panel_ages(spark):
     ages = spark.createDataFrame([("m", 28), ("f", 29), ("m", 59), ("f", 60), ("m", 0)], "s string, a int")
     got = dict(rows(indicator_panel(ages, F.lit(True), spec), "indicator", "value"))
     assert (got["youth"], got["adults"], got["elders"]) == (2, 2, 1)
+
+
+def test_per_key_holds_the_order_once_and_agrees_with_plain_python(spark):
+    data = [("p", 1, 5, "x", None, "a", "u"), ("p", 0, 9, None, 7, "b", None), ("p", 0, 9, None, 7, "b", None), ("p", 2, 1, "z", 8, "a", "v"),
+            ("q", None, 3, None, None, None, "v"), ("q", 4, None, None, 6, "c", "v"), ("r", 1, 1, None, None, None, None), (None, 0, 0, "n", 1, "n", "n")]
+    df = spark.createDataFrame(data, "k string, o1 int, o2 int, f string, g int, c string, d string")
+    for order in (["o1", "o2"], ["o2"]):
+        out = per_key(df, "k", order, first=["f", "g", "o1", "o2"], concat=["c", "d"])
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "min_by" not in plan and plan.count("min(") == 1  # one row with its order per group, not an order per column
+        at = [df.columns.index(c) for c in order]
+        known = lambda r: len(at) > 1 or r[at[0]] is not None
+        rank = lambda r: [(r[i] is not None, r[i] or 0) for i in at]
+        want = []
+        for k in ("p", "q", "r"):
+            mine = sorted((r for r in data if r[0] == k), key=rank)
+            first = [next((r[df.columns.index(c)] for r in mine if known(r) and r[df.columns.index(c)] is not None), None) for c in ("f", "g", "o1", "o2")]
+            # a value is placed by its rows that have an order; one that has none comes first
+            placed = lambda c: sorted({r[c] for r in mine if r[c] is not None}, key=lambda v: min(
+                ((1, rank(r)) for r in mine if r[c] == v and known(r)), default=(0, [])))
+            want.append((k, *first, ",".join(placed(5)), ",".join(placed(6))))
+        assert sorted(rows(out)) == want
+
+
+def test_per_key_first_value_without_an_order_of_its_own(spark):
+    df = spark.createDataFrame([("p", 2, {"a": 1}, "x"), ("p", 1, {"b": 2}, "y")], "k string, o int, m map<string,int>, c string")
+    assert rows(per_key(df, "k", "o", first=["m"], concat=["c"]), "k", "m", "c") == [("p", {"b": 2}, "y,x")]
