@@ -17,6 +17,13 @@ def to_number(c) -> Column:
     return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
 
 
+def text_number(c) -> Column:
+    """P8 for a text column: text without a digit and without 'inf' is no number, and is not parsed
+    (a failed parse costs an exception)."""
+    c = as_col(c)
+    return to_number(F.when(c.rlike("[0-9]|[iI][nN][fF]"), c))
+
+
 def round_half_even(c) -> Column:
     """P10: banker's rounding to a nullable int (2.5 -> 2, 3.5 -> 4); no int, no value."""
     return F.bround(to_number(c), 0).try_cast("int")

@@ -14,7 +14,7 @@ from civic_indicators.functions import patterns as P
 from civic_indicators.functions.classify import any_flag, flag, label_last_match
 from civic_indicators.functions.cols import col
 from civic_indicators.functions.dates import iso_week, iso_year, month_of, to_ts_or_null
-from civic_indicators.functions.numbers import band, digits_or_null, integral_or_null, to_number
+from civic_indicators.functions.numbers import band, digits_or_null, integral_or_null, text_number, to_number
 from civic_indicators.functions.text import matches
 from civic_indicators.operators.aggregate import (
     PanelSpec, distinct_counts, distinct_values, distinct_with_null, panels, pivot_counts, sum_by, value_counts,
@@ -107,7 +107,7 @@ def _placement(raw: DataFrame, rules: PlacementRules, text_columns: Sequence[str
         "semana_publicacion_vacante": iso_week(pub),
         "mes_publicacion_vacante": F.coalesce(month_of(pub), F.lit(0)),
         "año_publicacion_vacante": iso_year(pub),
-        PLACED: F.coalesce(to_number(PLACED).try_cast("int"), F.lit(0)),
+        PLACED: F.coalesce((text_number if dict(df.dtypes).get(PLACED) == "string" else to_number)(PLACED).try_cast("int"), F.lit(0)),
     })
     return replace_columns(df, population_labels(CONDITION, rules))
 

@@ -143,3 +143,26 @@ def test_ages_and_person_numbers_that_are_none(spark):
     from civic_indicators.operators import person_key
     df = spark.createDataFrame([("3001234567", " "), ("2.5", "nan"), ("x", " 7 ")], "a string, k string")
     assert [tuple(r) for r in df.select(round_half_even("a"), person_key("k")).collect()] == [(None, None), (2, None), (None, "7")]
+
+
+def test_text_without_digits_is_not_parsed_as_a_number(spark):
+    from civic_indicators.functions.numbers import text_number, to_number
+    cells = ["si", "", " ", "1", " 1.5 ", "1e3", "-2", "inf", "-Infinity", "+INF", "nan", "NaN", "0x1p3", "1d", "1,5", "٣", None]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    got = df.select(text_number("c").alias("a"), to_number("c").alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got] and sum(r.a is None for r in got) == 8
+
+
+def test_strip_of_texts_with_and_without_edges(spark):
+    from civic_indicators.functions.text import WHITESPACE_CHARS, clean, strip
+    cells = [a + m + b for a in ("", " ", "\xa0", "\x1c", "!", "~", "\x7f", "é") for m in ("x", "", "a b") for b in ("", "\t", "\u2003", "!", "~", "\x7f", "É")]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    got = df.select(strip("c").alias("s"), clean("c", lower=True).alias("l")).collect()
+    assert [r.s for r in got] == [c.strip(WHITESPACE_CHARS) for c in cells]
+    assert [r.l for r in got] == [c.strip(WHITESPACE_CHARS).lower() for c in cells]
+
+
+def test_wide_flows_run_as_compiled_code(spark):
+    from civic_indicators.session import compiled
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    assert compiled(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
