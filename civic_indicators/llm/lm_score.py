@@ -10,8 +10,8 @@ A bit is predicted by three predictors: the tree node's own share, and two count
 fixed-size hashed tables, keyed by the node with the previous token and with the previous
 two (in spelling: two and four bytes). The predictions are mixed in the logistic domain
 by weights chosen by a gate (depth in the tree, or place in the spelling). The weights
-start from values tuned on a sample whose own counts are left out, and those of tokens
-are refined while a text is read, after every ``block`` tokens. Every bit of a code is
+start from values fitted to every bit of every training text, each bit's own count left out
+(Newton steps on sums that each task gathers), and those of tokens are refined while a text is read, after every ``block`` tokens. Every bit of a code is
 mixed, unless ``depth`` is set: bits deeper than that take the tree's share alone.
 
 The sum of the log-probabilities over the tokens is the score. It stands beside the base
@@ -20,8 +20,8 @@ takes to spell them gives the whole text's log-probability, from which the bits
 follow.
 
 What is gathered covers every training text: token counts (by 64-bit token hash,
-exact up to hash collisions) and the counters' bit counts, which each task sums in
-tables of a fixed size. Broadcast are only tables of fixed size: at most ``2**log2_words``
+exact up to hash collisions), the counters' bit counts, which each task sums in
+tables of a fixed size, and the sums the starting weights are fitted to. Broadcast are only tables of fixed size: at most ``2**log2_words``
 word counts, as many codes as ``2**log2_codes``, and the counters. Counts of rarer words
 meet the texts that hold them through a join.
 
@@ -46,7 +46,7 @@ from civic_indicators.llm.common import fold, q, stage, words
 
 END = b""  # the end token; no word is empty
 LOG10 = np.log(10.0)
-START = np.array([0.9, 0.1, 0.1, 0.0])  # weights before tuning: the tree's share, the two counters, the constant
+START = np.array([0.9, 0.1, 0.1, 0.0])  # weights before they are fitted: the tree's share, the two counters, the constant
 
 
 @dataclass(frozen=True)
@@ -56,7 +56,7 @@ class LmParams:
     log2_slots: int = 20
     depth: int | None = None
     block: int = 256
-    tune_docs: int = 300
+    fit_rounds: int = 2
     rate: float = 0.3
 
 
@@ -212,11 +212,9 @@ def _by_level(nodes: np.ndarray, bits: np.ndarray, odds: np.ndarray):
     return out
 
 
-def _counted(table: np.ndarray, at: np.ndarray, bit: np.ndarray, leave_out: bool) -> np.ndarray:
-    """A counter's log odds; in tuning from its counts, less the event itself."""
-    if not leave_out:
-        return table[at]
-    n = table[at]
+def _left_out(counts: np.ndarray, at: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """A counter's log odds from its counts, less the event itself."""
+    n = counts[at]
     return np.log((np.maximum(n[:, 1] - bit, 0) + np.float32(0.4)) / (np.maximum(n[:, 0] - (1 - bit), 0) + np.float32(0.4)))
 
 
@@ -226,12 +224,12 @@ def _segments(who: np.ndarray):
     return start, who[start], np.diff(np.r_[start, len(who)])
 
 
-def _code(w: np.ndarray, rows: np.ndarray | int, seg, step, tables, rate: float, cost: np.ndarray, tuning: bool) -> None:
-    """One step over events in runs (one text each): mix by the weights in each run's row (in tuning one row
-    for all), add the costs, move the weights down the gradient."""
+def _code(w: np.ndarray, rows: np.ndarray | int, seg, step, tables, rate: float, cost: np.ndarray) -> None:
+    """One step over events in runs (one text each): mix by the weights in each run's row (or by those of one
+    row), add the costs, move the weights down the gradient."""
     _, bit, sign, s0, a, b = step
     start, who, size = seg
-    s = (s0, _counted(tables[0], a, bit, tuning), _counted(tables[1], b, bit, tuning))
+    s = (s0, tables[0][a], tables[1][b])
     v = w[rows].astype(np.float32)
     if v.ndim == 1:
         x = s[0] * v[0] + s[1] * v[1] + s[2] * v[2] + v[3] * np.float32(0.3)
@@ -246,17 +244,13 @@ def _code(w: np.ndarray, rows: np.ndarray | int, seg, step, tables, rate: float,
     if rate:
         g = sign * e / (1 + e)
         sums = np.stack([*(np.add.reduceat(g * s[j], start) for j in range(3)), 0.3 * np.add.reduceat(g, start)], 1)
-        if v.ndim == 1:
-            w[rows] += rate * sums.sum(0) / (len(x) + 32.0)
-        else:
-            w[rows] += rate * sums / (size + 32.0)[:, None]
+        w[rows] += rate * sums / (size + 32.0)[:, None]
 
 
-def mix_texts(m: Model, tables, start: np.ndarray, ids: list[np.ndarray], tuning: bool = False) -> np.ndarray:
-    """Log-probability of each text's tokens, escapes not spelled; each text refines its own weights from
-    ``start``, in tuning all texts refine ``start`` itself."""
+def mix_texts(m: Model, tables, start: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
+    """Log-probability of each text's tokens, escapes not spelled; each text refines its own weights from ``start``."""
     n, g = len(ids), m.gates
-    w = start if tuning else np.tile(start.astype(np.float32), (n, 1))
+    w = np.tile(start.astype(np.float32), (n, 1))
     leaf, h1, h2, starts, lens = m.tokens(ids)
     cost = -np.bincount(np.repeat(np.arange(n), lens), m.w_deep[leaf], minlength=n)
     for first in range(0, int(lens.max()), m.p.block):
@@ -268,38 +262,81 @@ def mix_texts(m: Model, tables, start: np.ndarray, ids: list[np.ndarray], tuning
         for k, step in enumerate(m.steps(m.w_steps, leaf[at], h1[at], h2[at], 0)):
             if step[0] is not None:
                 seg = _segments(who[step[0]])
-            _code(w, k if tuning else seg[1] * g + k, seg, step, tables, m.p.rate, cost, tuning)
+            _code(w, seg[1] * g + k, seg, step, tables, m.p.rate, cost)
     return -cost
 
 
-def spell_words(m: Model, tables, w: np.ndarray, ws: list[bytes], tuning: bool = False) -> np.ndarray:
-    """Log-probability of each word's spelling; in tuning the weights are refined."""
+def spelled_steps(m: Model, ws: list[bytes]):
+    """The steps of spelled words, apart by gate: (gate, word of each event, step)."""
+    b, h1, h2, who, gate = m.spelling(ws)
+    for step in m.steps(m.b_steps, b, h1, h2, 1 << m.p.log2_slots):
+        on = slice(None) if step[0] is None else step[0]
+        for k in range(m.p.depth, m.gates):  # by place in the word
+            pick = np.flatnonzero(gate[on] == k)
+            if len(pick):
+                yield k, who[on][pick], (None, *(x[pick] for x in step[1:]))
+
+
+def spell_words(m: Model, tables, w: np.ndarray, ws: list[bytes]) -> np.ndarray:
+    """Log-probability of each word's spelling."""
     out = np.zeros(len(ws))
-    w = w if tuning else w.astype(np.float32)
+    w = w.astype(np.float32)
     for i in range(0, len(ws), 20_000):
-        b, h1, h2, who, gate = m.spelling(ws[i:i + 20_000])
-        cost = -np.bincount(who, m.b_deep[b], minlength=len(ws[i:i + 20_000]))
-        for step in m.steps(m.b_steps, b, h1, h2, 1 << m.p.log2_slots):
-            on = slice(None) if step[0] is None else step[0]
-            for k in range(m.p.depth, m.gates):  # by place in the word
-                pick = np.flatnonzero(gate[on] == k)
-                if len(pick):
-                    part = (None, *(x[pick] for x in step[1:]))
-                    _code(w, k, _segments(who[on][pick]), part, tables, m.p.rate if tuning else 0.0, cost, tuning)
+        some = ws[i:i + 20_000]
+        b, _, _, who, _ = m.spelling(some)
+        cost = -np.bincount(who, m.b_deep[b], minlength=len(some))
+        for k, of, step in spelled_steps(m, some):
+            _code(w, k, _segments(of), step, tables, 0.0, cost)
         out[i:i + 20_000] = -cost
     return out
 
 
-def tune(m: Model, raw: np.ndarray, sample: list[str | None], rounds: int = 5) -> np.ndarray:
-    """Starting weights: the sample's texts share them, and their own counts are left out."""
-    w = START * np.ones((m.gates, 1))
-    for _ in range(rounds):
-        for i in range(0, len(sample), 20):
-            ws, ids = m.sequences(sample[i:i + 20])
-            mix_texts(m, raw, w, ids, tuning=True)
-            rare = m.rare(ws, ids)
-            if rare:
-                spell_words(m, raw, w, rare, tuning=True)
+def _slope(raw: np.ndarray, w: np.ndarray, step) -> np.ndarray:
+    """Of the events of a step under weights ``w``: the gradient of their log-probability (4) and its negative
+    curvature (4 x 4), both as sums, and how many they are."""
+    _, bit, _, s0, a, b = step
+    s = np.empty((len(bit), 4), np.float32)
+    s[:, 0], s[:, 1], s[:, 2], s[:, 3] = s0, _left_out(raw[0], a, bit), _left_out(raw[1], b, bit), 0.3
+    p = 1 / (1 + np.exp(-np.clip(s @ w.astype(np.float32), -30, 30)))
+    return np.r_[s.T @ (bit - p), ((s * (p * (1 - p))[:, None]).T @ s).ravel(), len(bit)]
+
+
+SUMS = 21  # what _slope returns
+
+
+def newton(w: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Each gate's weights after a Newton step, held near ``w`` as if by 32 more events; no weight moves by over 1
+    (a node's own share says little in a tree whose bits are near even, so its weight is hardly determined)."""
+    move = np.stack([np.linalg.solve(x[4:20].reshape(4, 4) + 2.0 * np.eye(4), x[:4]) for x in sums])
+    return w + np.clip(move, -1.0, 1.0)
+
+
+def fit(train: DataFrame, shared, counters, p: LmParams) -> np.ndarray:
+    """Starting weights of every gate, fitted to all training texts with each event's own count left out."""
+    gates = p.depth + 4
+    w = START * np.ones((gates, 1))
+    for _ in range(p.fit_rounds):
+        now = w.copy()
+
+        def run(batches):
+            m, raw, sums = Model(shared.value, p), counters.value, np.zeros((gates, SUMS))
+            for batch in batches:
+                for _, _, ws, ids in _chunks(batch, m):
+                    leaf, h1, h2, _, _ = m.tokens(ids)
+                    for k, step in enumerate(m.steps(m.w_steps, leaf, h1, h2, 0)):
+                        sums[k] += _slope(raw, now[k], step)
+                    rare = m.rare(ws, ids)
+                    for i in range(0, len(rare), 20_000):
+                        for k, _, step in spelled_steps(m, rare[i:i + 20_000]):
+                            sums[k] += _slope(raw, now[k], step)
+            gate, place = np.nonzero(sums)
+            yield pa.record_batch({"gate": pa.array(gate, pa.int64()), "place": pa.array(place, pa.int64()), "x": pa.array(sums[gate, place])})
+
+        total = np.zeros((gates, SUMS))
+        got = train.select("t").mapInArrow(run, "gate bigint, place bigint, x double").groupBy("gate", "place").agg(F.sum("x").alias("x"))
+        for r in got.collect():  # 21 numbers a gate
+            total[r.gate, r.place] = r.x
+        w = newton(w, total)
     return w
 
 
@@ -420,18 +457,8 @@ def score(docs: DataFrame, folds: int = 7, out: int = 2, p: LmParams = LmParams(
               **dict(zip(("w_nodes", "w_bits", "w_deep", "w_odds"), w)), **dict(zip(("b_nodes", "b_bits", "b_deep", "b_odds"), b))}
     shared = spark.sparkContext.broadcast(arrays)
     raw = count_bits(train, shared, p)
-    some = train.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").select("doc_id").limit(p.tune_docs)
-    sample = train.join(F.broadcast(some), "doc_id").select("t").limit(p.tune_docs)
     counters = spark.sparkContext.broadcast(raw)
-
-    def tuning(batches):
-        texts = [t for b in batches for t in b.column(0).to_pylist()]
-        w = tune(Model(shared.value, p), counters.value, texts)
-        yield pa.record_batch({"w": pa.array([w.tobytes()], pa.binary())})
-
-    # The sample has at most ``tune_docs`` texts, so one task holds it.
-    got = sample.coalesce(1).mapInArrow(tuning, "w binary").first()
-    first = np.frombuffer(bytes(got.w), np.float64).reshape(-1, 4) if got else START * np.ones((p.depth + 4, 1))
+    first = fit(train, shared, counters, p)
     counters.destroy()
     raw += np.float32(0.4)
     odds = np.divide(raw[:, :, 1], raw[:, :, 0])

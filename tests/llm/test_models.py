@@ -248,3 +248,32 @@ def test_every_bit_of_a_code_is_mixed(make_docs):
     held = [i for i, r in every.items() if r.held_out]
     mean = [sum(g[i].score for i in held) / sum(g[i].n_tokens for i in held) for g in (every, some)]
     assert mean[0] > mean[1] + 0.3
+
+
+def test_starting_weights_are_fitted_to_every_training_text(make_docs, monkeypatch):
+    rng = random.Random(7)
+    docs = [(i, prose(rng, SYL["en"], rng.randint(1, 30))) for i in range(700)] + [(None, "not learned"), (2_000, None)]
+    seen = []
+    plain = M.newton
+    monkeypatch.setattr(M, "newton", lambda w, sums: (seen.append(sums.copy()), plain(w, sums))[1])
+    M.score(make_docs(*docs)).count()
+    tokens = sum(len(M.words(t)) + 1 for i, t in docs if i is not None and fold(i, 7) != 2)
+    assert len(seen) == M.LmParams().fit_rounds and all(x[0, 20] == tokens for x in seen)  # the root's bit of every token
+    grad = [abs(x[0, :4]).max() for x in seen]
+    assert grad[-1] < grad[0]
+
+
+def test_newton_step_finds_the_weights_of_a_logistic_model():
+    rng = np.random.default_rng(1)
+    n, want = 200_000, np.array([0.7, 0.4, -0.3, 0.5])
+    s = rng.normal(size=(n, 3)).astype(np.float32)
+    bit = (rng.random(n) < 1 / (1 + np.exp(-(np.c_[s, np.full(n, 0.3)] @ want)))).astype(np.int8)
+    w = M.START[None, :]
+    monkey = M._left_out
+    try:
+        M._left_out = lambda counts, at, bit: counts[at]
+        for _ in range(4):
+            w = M.newton(w, M._slope((s[:, 1], s[:, 2]), w[0], (None, bit, None, s[:, 0], np.arange(n), np.arange(n)))[None, :])
+    finally:
+        M._left_out = monkey
+    assert np.allclose(w[0, :3], want[:3], atol=0.03) and abs(w[0, 3] - want[3]) < 0.1
