@@ -25,18 +25,16 @@ WHITESPACE_CHARS = "".join(
 
 
 def strip(c) -> Column:
-    """Remove leading and trailing white space of every Unicode kind. A text that begins and ends
-    with a visible ASCII character is taken as it is: ``trim`` looks each edge up in the whole set."""
-    s = as_col(c).cast("string")
-    last = F.substring(s, -1, 1)
-    visible = (s >= "!") & (s < "\x7f") & (last >= "!") & (last < "\x7f")
-    return F.when(visible, s).otherwise(F.trim(s, F.lit(WHITESPACE_CHARS)))
+    """Remove leading and trailing white space of every Unicode kind."""
+    return F.trim(as_col(c), F.lit(WHITESPACE_CHARS))
 
 
 def clean(c, lower: bool = False) -> Column:
     """Text form of a cell, trimmed and optionally lower-cased; null stays null."""
-    s = strip(c)
-    return F.lower(s) if lower else s
+    s = as_col(c).cast("string")
+    if lower:
+        s = F.lower(s)
+    return strip(s)
 
 
 def null_if_in(c, values: Iterable[str]) -> Column:
