@@ -21,7 +21,9 @@ follow.
 
 What is gathered covers every training text: token counts (by 64-bit token hash,
 exact up to hash collisions), the counters' bit counts, which each task sums in
-tables of a fixed size, and the sums the starting weights are fitted to. Broadcast are only tables of fixed size: at most ``2**log2_words``
+tables of a fixed size, and the sums the starting weights are fitted to. For the last
+two and the scores, texts are read as token numbers from a table that is written once;
+equal bytes after equal bytes in spelled words are one event, with how often it is met. Broadcast are only tables of fixed size: at most ``2**log2_words``
 word counts, as many codes as ``2**log2_codes``, and the counters. Counts of rarer words
 meet the texts that hold them through a join.
 
@@ -126,179 +128,192 @@ class Model:
         self.__dict__.update(arrays)  # hashes, counts, symbol, escape, word tree w_*, byte tree b_*
         self.gates = p.depth + 4
         self.mask = np.uint32((1 << p.log2_slots) - 1)
-        self.w_steps = _by_level(self.w_nodes, self.w_bits, self.w_odds)
-        self.b_steps = _by_level(self.b_nodes, self.b_bits, self.b_odds)
-
-    def sequences(self, texts) -> tuple[list[list[bytes]], list[np.ndarray]]:
-        """Tokens of the texts, and their places among the known words (-1 if rare)."""
-        ws = [[*words(t), END] for t in texts]
-        own = list(set().union(*ws))
-        h = np.fromiter(map(word_hash, own), np.uint64, len(own))
-        order = np.argsort(h)  # keys in order are found faster
-        i = np.searchsorted(self.hashes, h[order])
-        i[i == len(self.hashes)] = 0
-        found = self.hashes[i] == h[order] if len(self.hashes) else np.zeros(len(h), bool)
-        at = np.empty(len(own), np.int64)
-        at[order] = np.where(found, i, -1)
-        place = dict(zip(own, at.tolist()))
-        return ws, [np.fromiter(map(place.__getitem__, w), np.int64, len(w)) for w in ws]
-
-    def slots(self, context: np.ndarray, node: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            x = (context ^ (node.astype(np.uint32) * np.uint32(0x9E3779B1))) * np.uint32(0x85EBCA6B)
-            return (x ^ (x >> np.uint32(15))) & self.mask
-
-    def tokens(self, ids: list[np.ndarray]):
-        """All texts' tokens one after the other: leaf, contexts of one and of two tokens, text starts and lengths."""
-        ident = np.concatenate(ids)
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.words = _by_level(self.w_nodes, self.w_bits, self.w_odds)
+        self.bytes = _by_level(self.b_nodes, self.b_bits, self.b_odds)
+
+    def slots(self, context: np.ndarray, node: np.ndarray, half: int) -> np.ndarray:
+        """``node``: multiplied already, see _by_level; ``half``: where the table's part begins."""
+        x = context ^ node
+        x *= np.uint32(0x85EBCA6B)
+        x ^= x >> np.uint32(15)
+        x &= self.mask
+        if half:
+            x += np.uint32(half)
+        return x.astype(np.int64)
+
+    def tokens(self, ident: np.ndarray, lens: np.ndarray):
+        """Texts' tokens one after the other, by their places: leaf, contexts of one and of two tokens."""
         starts = np.cumsum(lens) - lens
         p1 = np.r_[-2, ident[:-1]]
         p2 = np.r_[-2, p1[:-1]]
         p1[starts] = -2
         p2[starts] = -2
         p2[starts[lens > 1] + 1] = -2
-        leaf = np.where(ident >= 0, self.symbol[ident], self.escape) if len(self.symbol) else np.full(len(ident), self.escape)
-        with np.errstate(over="ignore"):
-            h1 = (p1.astype(np.uint32) + np.uint32(3)) * np.uint32(0xCC9E2D51)
-            h1 = h1 ^ (h1 >> np.uint32(16))
-            h2 = (h1 * np.uint32(0x1B873593)) ^ ((p2.astype(np.uint32) + np.uint32(77)) * np.uint32(0xE6546B64))
-            h2 = h2 ^ (h2 >> np.uint32(13))
-        return leaf, h1, h2, starts, lens
-
-    def spelling(self, ws: list[bytes]):
-        """The bytes of spelled words, an end each: byte, contexts of two and of four bytes, word, gate."""
-        text = [w + b"\x00" for w in ws]
-        lens = np.fromiter(map(len, text), np.int64, len(text))
-        b = np.frombuffer(b"".join(text), np.uint8)
-        who = np.repeat(np.arange(len(ws)), lens)
-        pos = np.arange(len(b)) - np.repeat(np.cumsum(lens) - lens, lens)
-        prev = [np.where(pos >= k, np.r_[np.zeros(k, np.uint8), b[:-k]][:len(b)], 0).astype(np.uint32) for k in (1, 2, 3, 4)]
-        with np.errstate(over="ignore"):
-            h1 = (prev[0] + np.uint32(256) * prev[1] + np.uint32(257)) * np.uint32(0xCC9E2D51)
-            h1 = h1 ^ (h1 >> np.uint32(16))
-            h2 = (prev[0] | prev[1] << np.uint32(8) | prev[2] << np.uint32(16) | prev[3] << np.uint32(24)) * np.uint32(0x1B873593) + np.uint32(5)
-            h2 = h2 ^ (h2 >> np.uint32(16))
-        return b.astype(np.int64), h1, h2, who, self.p.depth + np.minimum(pos, 3)
-
-    def rare(self, ws: list[list[bytes]], ids: list[np.ndarray]) -> list[bytes]:
-        """The tokens that train the spelling: met at most twice, or too rare to be in the table of counts."""
-        few = np.r_[self.counts <= 2, True]  # the last for place -1
-        return [t[i] for t, x in zip(ws, ids) for i in np.flatnonzero(few[x])]
+        leaf = self.symbol[ident]
+        h1 = (p1.astype(np.uint32) + np.uint32(3)) * np.uint32(0xCC9E2D51)
+        h1 ^= h1 >> np.uint32(16)
+        h2 = (h1 * np.uint32(0x1B873593)) ^ ((p2.astype(np.uint32) + np.uint32(77)) * np.uint32(0xE6546B64))
+        h2 ^= h2 >> np.uint32(13)
+        return leaf, h1, h2
+
+    def spelling(self, keys: np.ndarray):
+        """Bytes of spelled words (see spelled): byte, contexts of two and of four bytes, gate."""
+        b, gate, prev = keys >> 8 & 255, keys & 255, (keys >> 16).astype(np.uint32)
+        h1 = ((prev & np.uint32(0xFFFF)) + np.uint32(257)) * np.uint32(0xCC9E2D51)
+        h1 ^= h1 >> np.uint32(16)
+        h2 = prev * np.uint32(0x1B873593) + np.uint32(5)
+        h2 ^= h2 >> np.uint32(16)
+        return b, h1, h2, self.p.depth + gate
 
     def steps(self, levels, leaf: np.ndarray, h1: np.ndarray, h2: np.ndarray, half: int):
-        """Per level: (which tokens, None for all; bit; sign; the tree's odds; slot 1; slot 2)."""
-        live = None
-        for node, bit, sign, odds in levels:
-            at = node[leaf]
-            if (at < 0).any():
-                keep = np.flatnonzero(at >= 0)
-                if not len(keep):
+        """The events in the order of their leaves, those of the longest codes first, and their steps, one a level:
+        (how many, the first so many; bit; leaf; the tree's odds; slot 1; slot 2)."""
+        rank, size, table = levels
+        key = rank[leaf]
+        order = np.argsort(key)
+        leaf, h1, h2 = leaf[order].astype(np.int64), h1[order], h2[order]
+        live = np.searchsorted(key[order], size)
+
+        def each():
+            for n, (node, bit, odds) in zip(live.tolist(), table):
+                if not n:
                     return
-                live = keep if live is None else live[keep]
-                leaf, h1, h2, at = leaf[keep], h1[keep], h2[keep], at[keep]
-            yield live, bit[leaf], sign[leaf], odds[leaf], self.slots(h1, at) + np.uint32(half), self.slots(h2, at) + np.uint32(half)
+                of = leaf[:n]
+                at = node[of]
+                yield n, bit[of], of, odds[of], self.slots(h1[:n], at, half), self.slots(h2[:n], at, half)
+
+        return order, each()
 
 
 def _by_level(nodes: np.ndarray, bits: np.ndarray, odds: np.ndarray):
-    """Per level and leaf: node, bit, sign of the bit, the node's log odds."""
-    out = []
+    """Each leaf's rank, longest codes first; per level how many leaves have it; and per level and leaf: node (its
+    part of the slots' hash), bit, the node's log odds."""
+    long = (nodes >= 0).sum(1)
+    rank = np.empty(len(nodes), np.int32)
+    rank[np.argsort(-long, kind="stable")] = np.arange(len(nodes), dtype=np.int32)
+    size, table = [], []
     for k in range(nodes.shape[1]):
         n = np.ascontiguousarray(nodes[:, k])
         if (n < 0).all():
             break
-        b = np.ascontiguousarray(bits[:, k])
-        out.append((n, b, (2 * b - 1).astype(np.float32), np.where(n >= 0, odds[n], 0).astype(np.float32)))
-    return out
+        size.append(int((long > k).sum()))
+        table.append((n.astype(np.uint32) * np.uint32(0x9E3779B1), np.ascontiguousarray(bits[:, k]), np.where(n >= 0, odds[n], 0).astype(np.float32)))
+    return rank, np.array(size, np.int32), table
 
 
-def _left_out(counts: np.ndarray, at: np.ndarray, bit: np.ndarray) -> np.ndarray:
-    """A counter's log odds from its counts, less the event itself."""
-    n = counts[at]
-    return np.log((np.maximum(n[:, 1] - bit, 0) + np.float32(0.4)) / (np.maximum(n[:, 0] - (1 - bit), 0) + np.float32(0.4)))
+def _left_out(odds: np.ndarray, at: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """A counter's log odds less the event itself, from ``left_out_odds``."""
+    return odds[2 * at + bit]
 
 
-def _segments(who: np.ndarray):
-    """Runs of equal values: their starts, values and lengths."""
-    start = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
-    return start, who[start], np.diff(np.r_[start, len(who)])
+def left_out_odds(counts: np.ndarray) -> np.ndarray:
+    """Of every slot's counts (n, 2): the log odds less one event of bit 0, less one of bit 1."""
+    less, all_ = np.log(np.maximum(counts - 1, 0) + np.float32(0.4)), np.log(counts + np.float32(0.4))
+    out = np.empty_like(all_)
+    np.subtract(all_[:, 1], less[:, 0], out=out[:, 0])
+    np.subtract(less[:, 1], all_[:, 0], out=out[:, 1])
+    return out.ravel()
 
 
-def _code(w: np.ndarray, rows: np.ndarray | int, seg, step, tables, rate: float, cost: np.ndarray) -> None:
-    """One step over events in runs (one text each): mix by the weights in each run's row (or by those of one
-    row), add the costs, move the weights down the gradient."""
-    _, bit, sign, s0, a, b = step
-    start, who, size = seg
+def _code(w: np.ndarray, who: np.ndarray, step, tables, rate: float, cost: np.ndarray) -> None:
+    """One step over events of the texts ``who``: mix by the weights of each one's text (or by the only ones there
+    are), add the costs, move the weights down the gradient."""
+    _, bit, _, s0, a, b = step
     s = (s0, tables[0][a], tables[1][b])
-    v = w[rows].astype(np.float32)
-    if v.ndim == 1:
-        x = s[0] * v[0] + s[1] * v[1] + s[2] * v[2] + v[3] * np.float32(0.3)
-    else:
-        x = np.repeat(v[:, 3] * np.float32(0.3), size)
-        for j in range(3):
-            x += np.repeat(v[:, j], size) * s[j]
+    v = w.take(who, axis=0) if w.ndim == 2 else w
+    x = v[..., 3] * np.float32(-0.3)
+    for j in range(3):
+        x = x - v[..., j] * s[j]
+    sign = (2 * bit - 1).astype(np.float32)
     x *= sign
     np.clip(x, -30, 30, out=x)
-    e = np.exp(-x)
-    cost[who] += np.add.reduceat(np.log1p(e), start)
+    e = np.exp(x, out=x)
+    one = e + np.float32(1)
+    cost += np.bincount(who, np.log(one), len(cost))
     if rate:
-        g = sign * e / (1 + e)
-        sums = np.stack([*(np.add.reduceat(g * s[j], start) for j in range(3)), 0.3 * np.add.reduceat(g, start)], 1)
-        w[rows] += rate * sums / (size + 32.0)[:, None]
-
-
-def mix_texts(m: Model, tables, start: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
-    """Log-probability of each text's tokens, escapes not spelled; each text refines its own weights from ``start``."""
-    n, g = len(ids), m.gates
-    w = np.tile(start.astype(np.float32), (n, 1))
-    leaf, h1, h2, starts, lens = m.tokens(ids)
-    cost = -np.bincount(np.repeat(np.arange(n), lens), m.w_deep[leaf], minlength=n)
-    for first in range(0, int(lens.max()), m.p.block):
-        own = np.flatnonzero(lens > first)
-        size = np.minimum(lens[own] - first, m.p.block)
-        at = np.repeat(starts[own] + first - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        who = np.repeat(own, size)
-        seg = _segments(who)
-        for k, step in enumerate(m.steps(m.w_steps, leaf[at], h1[at], h2[at], 0)):
-            if step[0] is not None:
-                seg = _segments(who[step[0]])
-            _code(w, seg[1] * g + k, seg, step, tables, m.p.rate, cost)
-    return -cost
-
-
-def spelled_steps(m: Model, ws: list[bytes]):
-    """The steps of spelled words, apart by gate: (gate, word of each event, step)."""
-    b, h1, h2, who, gate = m.spelling(ws)
-    for step in m.steps(m.b_steps, b, h1, h2, 1 << m.p.log2_slots):
-        on = slice(None) if step[0] is None else step[0]
-        for k in range(m.p.depth, m.gates):  # by place in the word
-            pick = np.flatnonzero(gate[on] == k)
-            if len(pick):
-                yield k, who[on][pick], (None, *(x[pick] for x in step[1:]))
+        sign *= e
+        g = np.divide(sign, one, out=sign)
+        sums = np.stack([*(np.bincount(who, g * s[j], len(cost)) for j in range(3)), 0.3 * np.bincount(who, g, len(cost))], 1)
+        w += rate * sums / (np.bincount(who, minlength=len(cost)) + 32.0)[:, None]
+
+
+def mix_texts(m: Model, tables, start: np.ndarray, ident: np.ndarray, lens: np.ndarray, most: int = 256) -> np.ndarray:
+    """Log-probability of each text's tokens, escapes not spelled; each text refines its own weights from ``start``.
+    Texts of like length are read side by side, ``most`` at a time."""
+    leaf, h1, h2 = m.tokens(ident, lens)
+    begin = np.cumsum(lens) - lens
+    score = np.bincount(np.repeat(np.arange(len(lens)), lens), m.w_deep[leaf], minlength=len(lens))
+    by_length = np.argsort(-lens, kind="stable")
+    for i in range(0, len(lens), most):
+        some = by_length[i:i + most]
+        w = np.repeat(start[:, None].astype(np.float32), len(some), 1)  # by gate and text
+        cost = np.zeros(len(some))
+        for first in range(0, int(lens[some].max()), m.p.block):
+            size = np.clip(lens[some] - first, 0, m.p.block)
+            at = np.repeat(begin[some] + first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            order, steps = m.steps(m.words, leaf[at], h1[at], h2[at], 0)
+            who = np.repeat(np.arange(len(some)), size)[order]
+            for k, step in enumerate(steps):
+                _code(w[k], who[:step[0]], step, tables, m.p.rate, cost)
+        score[some] -= cost
+    return score
+
+
+def spelled(text: np.ndarray) -> np.ndarray:
+    """Every byte of words that end in a blank each, with what its prediction depends on: the four bytes before it in
+    the word, itself (0 for the blank) and the gate by its place, in 32, 8 and 8 bits."""
+    end = text == 32
+    lens = np.diff(np.r_[-1, np.flatnonzero(end)])
+    pos = np.arange(len(text)) - np.repeat(np.cumsum(lens) - lens, lens)
+    b = np.where(end, 0, text).astype(np.int64)
+    out = b << 8 | np.minimum(pos, 3)
+    for k in (1, 2, 3, 4):
+        out[k:] |= np.where(pos[k:] >= k, b[:-k], 0) << 8 * (k + 1)
+    return out
+
+
+def spelled_steps(m: Model, keys: np.ndarray):
+    """The steps of spelled bytes, apart by gate: (gate, which bytes, step)."""
+    b, h1, h2, gate = m.spelling(keys)
+    for k in range(m.p.depth, m.gates):  # by place in the word
+        pick = np.flatnonzero(gate == k)
+        if len(pick):
+            order, steps = m.steps(m.bytes, b[pick], h1[pick], h2[pick], 1 << m.p.log2_slots)
+            for step in steps:
+                yield k, pick[order[:step[0]]], step
 
 
 def spell_words(m: Model, tables, w: np.ndarray, ws: list[bytes]) -> np.ndarray:
     """Log-probability of each word's spelling."""
     out = np.zeros(len(ws))
     w = w.astype(np.float32)
-    for i in range(0, len(ws), 20_000):
-        some = ws[i:i + 20_000]
-        b, _, _, who, _ = m.spelling(some)
-        cost = -np.bincount(who, m.b_deep[b], minlength=len(some))
-        for k, of, step in spelled_steps(m, some):
-            _code(w, k, _segments(of), step, tables, 0.0, cost)
-        out[i:i + 20_000] = -cost
+    for i in range(0, len(ws), 5_000):
+        some = ws[i:i + 5_000]
+        lens = np.fromiter(map(len, some), np.int64, len(some)) + 1
+        keys = spelled(np.frombuffer(b"".join(x + b" " for x in some), np.uint8))
+        who = np.repeat(np.arange(len(some)), lens)
+        cost = -np.bincount(who, m.b_deep[keys >> 8 & 255], minlength=len(some))
+        for k, at, step in spelled_steps(m, keys):
+            _code(w[k], who[at], step, tables, 0.0, cost)
+        out[i:i + 5_000] = -cost
     return out
 
 
-def _slope(raw: np.ndarray, w: np.ndarray, step) -> np.ndarray:
-    """Of the events of a step under weights ``w``: the gradient of their log-probability (4) and its negative
-    curvature (4 x 4), both as sums, and how many they are."""
+def _slope(odds, w: np.ndarray, step, times: np.ndarray | None = None) -> np.ndarray:
+    """Of the events of a step (``times`` so often each) under weights ``w``: the gradient of their log-probability (4)
+    and its negative curvature (4 x 4), both as sums, and how many they are."""
     _, bit, _, s0, a, b = step
-    s = np.empty((len(bit), 4), np.float32)
-    s[:, 0], s[:, 1], s[:, 2], s[:, 3] = s0, _left_out(raw[0], a, bit), _left_out(raw[1], b, bit), 0.3
-    p = 1 / (1 + np.exp(-np.clip(s @ w.astype(np.float32), -30, 30)))
-    return np.r_[s.T @ (bit - p), ((s * (p * (1 - p))[:, None]).T @ s).ravel(), len(bit)]
+    s = np.empty((4, len(bit)), np.float32)
+    s[0], s[1], s[2], s[3] = s0, _left_out(odds[0], a, bit), _left_out(odds[1], b, bit), 0.3
+    x = -w.astype(np.float32) @ s
+    np.clip(x, -30, 30, out=x)
+    p = np.exp(x, out=x)
+    p += np.float32(1)
+    np.reciprocal(p, out=p)
+    g, h = bit - p, p * (1 - p)
+    if times is not None:
+        g, h = g * times, h * times
+    return np.r_[s @ g, ((s * h) @ s.T).ravel(), len(bit) if times is None else times.sum()]
 
 
 SUMS = 21  # what _slope returns
@@ -311,46 +326,127 @@ def newton(w: np.ndarray, sums: np.ndarray) -> np.ndarray:
     return w + np.clip(move, -1.0, 1.0)
 
 
-def fit(train: DataFrame, shared, counters, p: LmParams) -> np.ndarray:
+def fit(train: DataFrame, spelling: DataFrame, shared, counters, p: LmParams) -> np.ndarray:
     """Starting weights of every gate, fitted to all training texts with each event's own count left out."""
     gates = p.depth + 4
     w = START * np.ones((gates, 1))
     for _ in range(p.fit_rounds):
         now = w.copy()
 
-        def run(batches):
-            m, raw, sums = Model(shared.value, p), counters.value, np.zeros((gates, SUMS))
-            for batch in batches:
-                for _, _, ws, ids in _chunks(batch, m):
-                    leaf, h1, h2, _, _ = m.tokens(ids)
-                    for k, step in enumerate(m.steps(m.w_steps, leaf, h1, h2, 0)):
-                        sums[k] += _slope(raw, now[k], step)
-                    rare = m.rare(ws, ids)
-                    for i in range(0, len(rare), 20_000):
-                        for k, _, step in spelled_steps(m, rare[i:i + 20_000]):
-                            sums[k] += _slope(raw, now[k], step)
+        def out(sums):
             gate, place = np.nonzero(sums)
-            yield pa.record_batch({"gate": pa.array(gate, pa.int64()), "place": pa.array(place, pa.int64()), "x": pa.array(sums[gate, place])})
+            return pa.record_batch({"gate": pa.array(gate, pa.int64()), "place": pa.array(place, pa.int64()), "x": pa.array(sums[gate, place])})
+
+        def tokens(batches):
+            m, sums = Model(shared.value, p), np.zeros((gates, SUMS))
+            for leaf, h1, h2 in _token_runs(batches, m):
+                for k, step in enumerate(m.steps(m.words, leaf, h1, h2, 0)[1]):
+                    sums[k] += _slope(counters.value, now[k], step)
+            yield out(sums)
+
+        def letters(batches):
+            m, sums = Model(shared.value, p), np.zeros((gates, SUMS))
+            for keys, n in _spelled_runs(batches):
+                for k, at, step in spelled_steps(m, keys):
+                    sums[k] += _slope(counters.value, now[k], step, n[at].astype(np.float32))
+            yield out(sums)
 
         total = np.zeros((gates, SUMS))
-        got = train.select("t").mapInArrow(run, "gate bigint, place bigint, x double").groupBy("gate", "place").agg(F.sum("x").alias("x"))
-        for r in got.collect():  # 21 numbers a gate
+        schema = "gate bigint, place bigint, x double"
+        got = train.select("ids").mapInArrow(tokens, schema).union(spelling.mapInArrow(letters, schema))
+        for r in got.groupBy("gate", "place").agg(F.sum("x").alias("x")).collect():  # 21 numbers a gate
             total[r.gate, r.place] = r.x
         w = newton(w, total)
     return w
 
 
-def _chunks(batch, m: Model, most: int = 250_000):
-    """(rows from, to, words, ids) over a batch, by bytes of text (one text at least)."""
-    t = batch.column("t")
-    at = 0
-    while at < len(t):
-        first, size, texts = at, 0, []
-        while at < len(t) and size < most:
-            texts.append(t[at].as_py())
-            size += len(texts[-1] or "")
-            at += 1
-        yield first, at, *m.sequences(texts)
+def _texts(ids: pa.Array, most: int = 400_000):
+    """(rows from, to, places of all their tokens, lengths) over a column of ``ids``, by tokens (one text at least)."""
+    raw = ids.to_pylist()
+    lens = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+    ends, at = np.cumsum(lens), 0
+    while at < len(raw):
+        to = max(at + 1, int(np.searchsorted(ends, most + ends[at] - lens[at], "right")))
+        yield at, to, np.frombuffer(b"".join(raw[at:to]), np.int32), lens[at:to]
+        at = to
+
+
+def _token_runs(batches, m: Model, most: int = 100_000):
+    """Leaves and contexts of all tokens, so many at a time."""
+    for batch in batches:
+        for _, _, ident, lens in _texts(batch.column(0)):
+            all_ = m.tokens(ident, lens)
+            for i in range(0, len(ident), most):
+                yield tuple(x[i:i + most] for x in all_)
+
+
+def _spelled_runs(batches, most: int = 100_000):
+    """Spelled bytes and how often each is met, so many at a time."""
+    for batch in batches:
+        keys, n = (batch.column(c).to_numpy() for c in (0, 1))
+        for i in range(0, len(keys), most):
+            yield keys[i:i + most], n[i:i + most]
+
+
+class _Numbers(dict):
+    """Words numbered as they are met; ``words`` has them in that order, a blank after each."""
+
+    def __init__(self):
+        super().__init__()
+        self.words: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        i = self[word] = len(self)
+        self.words.append(word + b" ")
+        return i
+
+
+def coded_texts(own: DataFrame, shared) -> DataFrame:
+    """Every text cut into tokens once: their places among the known words (-1 if rare) as 32-bit integers, the text's
+    bytes, and the words met at most twice or too rare to be in the table of counts, a blank after each."""
+    def run(batches):
+        hashes = shared.value["hashes"]
+        few = np.r_[shared.value["counts"] <= 2, True]  # the last for place -1
+        number, place = _Numbers(), np.zeros(0, np.int32)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                some = batch.slice(at, 200)
+                texts = some.column("t").to_pylist()
+                if len(number) > 400_000:
+                    number, place = _Numbers(), place[:0]
+                ws = [np.fromiter(map(number.__getitem__, [*words(t), END]), np.int64) for t in texts]
+                new = number.words[len(place):]
+                h = np.fromiter((word_hash(w[:-1]) for w in new), np.uint64, len(new))
+                order = np.argsort(h)  # keys in order are found faster
+                i = np.searchsorted(hashes, h[order])
+                i[i == len(hashes)] = 0
+                found = np.empty(len(new), np.int32)
+                found[order] = np.where(hashes[i] == h[order], i, -1) if len(hashes) else -1
+                place = np.r_[place, found]
+                ids = [place[w] for w in ws]
+                yield pa.record_batch({
+                    "doc_id": some.column("doc_id"), "learned": some.column("learned"),
+                    "bytes": pa.array([len((t or "").encode("utf-8", "replace")) for t in texts], pa.int64()),
+                    "ids": pa.array([x.tobytes() for x in ids], pa.binary()),
+                    "few": pa.array([b"".join([number.words[i] for i in w[few[x]].tolist()]) for w, x in zip(ws, ids)], pa.binary())})
+
+    return own.mapInArrow(run, "doc_id bigint, learned boolean, bytes bigint, ids binary, few binary")
+
+
+def spelled_bytes(train: DataFrame) -> DataFrame:
+    """(key, n): how often each byte is met after the same bytes in the rare words of the training texts."""
+    def run(batches):
+        for batch in batches:
+            text, few, size = [], batch.column(0).to_pylist(), 0
+            for i, x in enumerate(few):
+                text.append(x)
+                size += len(x)
+                if size > 4_000_000 or i == len(few) - 1:
+                    key, n = np.unique(spelled(np.frombuffer(b"".join(text), np.uint8)), return_counts=True)
+                    yield pa.record_batch({"key": pa.array(key, pa.int64()), "n": pa.array(n, pa.int64())})
+                    text, size = [], 0
+
+    return train.select("few").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def vocabulary(train: DataFrame) -> DataFrame:
@@ -389,29 +485,33 @@ def _common(vocab: DataFrame, most: int):
     return h[o], c[o]
 
 
-def count_bits(train: DataFrame, shared, p: LmParams):
+def count_bits(train: DataFrame, spelling: DataFrame, shared, p: LmParams):
     """The two counter tables: (2 * slots, 2) counts of bits seen, over all training texts."""
     n, rows = 1 << p.log2_slots, 1 << 14
 
-    def run(batches):
-        m, own, one = Model(shared.value, p), np.zeros((2, 4 * n), np.uint32), np.uint32(1)
-        for b in batches:
-            for _, _, ws, ids in _chunks(b, m):
-                leaf, h1, h2, _, _ = m.tokens(ids)
-                rare = m.rare(ws, ids)
-                todo = [m.steps(m.w_steps, leaf, h1, h2, 0)]
-                if rare:
-                    todo.append(m.steps(m.b_steps, *m.spelling(rare)[:3], n))
-                for steps in todo:
-                    for _, bit, _, _, a, c in steps:
-                        for j, at in enumerate((a, c)):
-                            np.add.at(own[j], 2 * at + bit.astype(np.uint32), one)
+    def out(own):
         for j in (0, 1):
             for i in range(0, 4 * n, rows):
                 if own[j, i:i + rows].any():
                     yield pa.record_batch({"part": pa.array([j * 4 * n + i], pa.int64()),
                                            "z": pa.array([zlib.compress(own[j, i:i + rows].tobytes(), 1)], pa.binary())})
 
+    def tokens(batches):
+        m, own, one = Model(shared.value, p), np.zeros((2, 4 * n), np.uint32), np.uint32(1)
+        for leaf, h1, h2 in _token_runs(batches, m):
+            for _, bit, _, _, a, b in m.steps(m.words, leaf, h1, h2, 0)[1]:
+                for j, at in enumerate((a, b)):
+                    np.add.at(own[j], 2 * at + bit, one)
+        yield from out(own)
+
+    def letters(batches):
+        m, own = Model(shared.value, p), np.zeros((2, 4 * n), np.uint32)
+        for keys, times in _spelled_runs(batches):
+            for _, which, (_, bit, _, _, a, b) in spelled_steps(m, keys):
+                for j, at in enumerate((a, b)):
+                    np.add.at(own[j], 2 * at + bit, times[which].astype(np.uint32))
+        yield from out(own)
+
     def merge(batches):
         have: dict[int, np.ndarray] = {}
         for b in batches:
@@ -421,7 +521,8 @@ def count_bits(train: DataFrame, shared, p: LmParams):
         for i, x in have.items():
             yield pa.record_batch({"part": pa.array([i], pa.int64()), "z": pa.array([zlib.compress(x.astype(np.float32).tobytes(), 1)], pa.binary())})
 
-    parts = train.select("t").mapInArrow(run, "part bigint, z binary").repartition("part").mapInArrow(merge, "part bigint, z binary")
+    schema = "part bigint, z binary"
+    parts = train.select("ids").mapInArrow(tokens, schema).union(spelling.mapInArrow(letters, schema)).repartition("part").mapInArrow(merge, "part bigint, z binary")
     out = np.zeros(8 * n, np.float32)
     for r in stage(parts, "counters").toLocalIterator():  # 32 * slots bytes in all
         x = np.frombuffer(zlib.decompress(bytes(r.z)), np.float32)
@@ -432,16 +533,16 @@ def count_bits(train: DataFrame, shared, p: LmParams):
 def score(docs: DataFrame, folds: int = 7, out: int = 2, p: LmParams = LmParams(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte for every row."""
     spark = docs.sparkSession
-    own = docs.select(q(doc_id).cast("bigint").alias("doc_id"), q(text).alias("t"))
-    train = own.where(fold(F.col("doc_id"), folds) != out)
-    vocab = stage(vocabulary(train), "vocab")
+    learned = F.coalesce(fold(F.col("doc_id"), folds) != out, F.lit(False)).alias("learned")
+    own = docs.select(q(doc_id).cast("bigint").alias("doc_id"), q(text).alias("t")).select("doc_id", "t", learned)
+    vocab = stage(vocabulary(own.where("learned")), "vocab")
     total, kinds = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     hashes, counts = _common(vocab, 1 << p.log2_words)
     # A code each for the commonest of these; the others share the escape leaf with the unknown words,
     # which have the weight of the words met once.
     coded = np.argsort(-counts, kind="stable")[:1 << p.log2_codes]
     coded = np.sort(coded[counts[coded] > 2])
-    symbol = np.full(len(hashes), len(coded), np.int32)
+    symbol = np.full(len(hashes) + 1, len(coded), np.int32)  # the last for place -1
     symbol[coded] = np.arange(len(coded))
     rare_tokens = int(total - counts[coded].sum())
     once = max(1, vocab.where("c = 1").count())
@@ -456,9 +557,12 @@ def score(docs: DataFrame, folds: int = 7, out: int = 2, p: LmParams = LmParams(
     arrays = {"hashes": hashes, "counts": counts, "symbol": symbol, "escape": len(coded), "total": total, "kinds": kinds,
               **dict(zip(("w_nodes", "w_bits", "w_deep", "w_odds"), w)), **dict(zip(("b_nodes", "b_bits", "b_deep", "b_odds"), b))}
     shared = spark.sparkContext.broadcast(arrays)
-    raw = count_bits(train, shared, p)
-    counters = spark.sparkContext.broadcast(raw)
-    first = fit(train, shared, counters, p)
+    coded_ = stage(coded_texts(own, shared), "coded")
+    train = coded_.where("learned")
+    spelling = stage(spelled_bytes(train), "spelling")
+    raw = count_bits(train, spelling, shared, p)
+    counters = spark.sparkContext.broadcast(np.stack([left_out_odds(x) for x in raw]))
+    first = fit(train, spelling, shared, counters, p)
     counters.destroy()
     raw += np.float32(0.4)
     odds = np.divide(raw[:, :, 1], raw[:, :, 0])
@@ -472,27 +576,28 @@ def score(docs: DataFrame, folds: int = 7, out: int = 2, p: LmParams = LmParams(
 
     def run(batches):
         m, (odds, first) = Model(shared.value, p), tables.value
-        logs = np.log10(m.counts + 1.0)
+        logs, few = np.r_[np.log10(m.counts + 1.0), 0.0], np.r_[m.counts <= 2, True]  # the last for place -1
+        share = np.r_[np.where(m.symbol[:-1] == m.escape, np.log(m.counts * behind), 0.0), 0.0]  # of rare words of the table of counts, behind the escape
         for batch in batches:
-            for lo, hi, ws, ids in _chunks(batch, m):
-                got = mix_texts(m, odds, first, ids)
-                known = [x >= 0 for x in ids]
-                # Rare words of the table of counts: their share behind the escape.
-                got += [np.log(m.counts[x[k]][m.symbol[x[k]] == m.escape] * behind).sum() for x, k in zip(ids, known)]
-                rare = [Counter([t[i] for i in np.flatnonzero(~k)]) for t, k in zip(ws, known)]
+            for lo, hi, ident, lens in _texts(batch.column("ids")):
+                some, who = batch.slice(lo, hi - lo), np.repeat(np.arange(hi - lo), lens)
+                got = mix_texts(m, odds, first, ident, lens) + np.bincount(who, share[ident], hi - lo)
+                at = np.flatnonzero(few[ident])
+                ws = b"".join(some.column("few").to_pylist()).split(b" ")
+                rare = Counter((i, ws[k]) for k, i in enumerate(who[at].tolist()) if ident[at[k]] < 0)
                 # Only words of texts not learned from can be unknown and need their spelling.
-                names = list(set().union(*(x for x, f in zip(rare, batch.column("learned").slice(lo, hi - lo).to_pylist()) if not f)))
+                learned = some.column("learned").to_pylist()
+                names = list({x for i, x in rare if not learned[i]})
                 lp = dict(zip(names, (spell_words(m, odds, first, names) / LOG10).tolist()))
+                of = np.bincount(np.fromiter((i for i, _ in rare), np.int64, len(rare)), minlength=hi - lo)
+                parts = [pa.array(np.fromiter((word_hash(x) for _, x in rare), np.uint64, len(rare)).view(np.int64)),
+                         pa.array(rare.values(), pa.int64()), pa.array([lp.get(x, 0.0) for _, x in rare], pa.float64())]
                 yield pa.record_batch({
-                    "doc_id": batch.column("doc_id").slice(lo, hi - lo),
-                    "n_tokens": pa.array([len(x) for x in ids], pa.int64()), "known": pa.array([int(k.sum()) for k in known], pa.int64()),
-                    "base": pa.array([float(logs[x[k]].sum()) for x, k in zip(ids, known)]),
-                    "score": pa.array(got / LOG10), "bytes": pa.array([len((t or "").encode("utf-8", "replace")) for t in batch.column("t").slice(lo, hi - lo).to_pylist()], pa.int64()),
-                    "rare": pa.array([[{"h": int(np.uint64(word_hash(w)).view(np.int64)), "n": n, "lp": lp.get(w, 0.0)} for w, n in r.items()] for r in rare],
-                                     pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64()), ("lp", pa.float64())])))})
+                    "doc_id": some.column("doc_id"), "n_tokens": pa.array(lens), "known": pa.array(np.bincount(who, ident >= 0, hi - lo).astype(np.int64)),
+                    "base": pa.array(np.bincount(who, logs[ident], hi - lo)), "score": pa.array(got / LOG10), "bytes": some.column("bytes"),
+                    "rare": pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(of)], pa.int32()), pa.StructArray.from_arrays(parts, ["h", "n", "lp"]))})
 
-    learned = F.coalesce(fold(F.col("doc_id"), folds) != out, F.lit(False)).alias("learned")
-    scored = stage(own.select("doc_id", "t", learned).mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
+    scored = stage(coded_.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     tail = scored.select("row", F.explode("rare").alias("r")).select("row", "r.h", "r.n", "r.lp").join(vocab, "h", "left")
     met = F.col("c").isNotNull()
     tail = tail.groupBy("row").agg(

@@ -277,3 +277,95 @@ def test_newton_step_finds_the_weights_of_a_logistic_model():
     finally:
         M._left_out = monkey
     assert np.allclose(w[0, :3], want[:3], atol=0.03) and abs(w[0, 3] - want[3]) < 0.1
+
+
+def test_texts_are_cut_into_tokens_twice_only(spark, make_docs):
+    from pyspark.sql import functions as F
+    rng = random.Random(9)
+    docs = [(i, prose(rng, SYL["en"], rng.randint(1, 30))) for i in range(200)]
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    counted = F.udf(seen, "string").asNondeterministic()
+    assert M.score(make_docs(*docs).withColumn("text", counted("text"))).count() == 200
+    learned = sum(fold(i, 7) != 2 for i, _ in docs)
+    assert learned <= read.value <= 200 + 200  # once for the vocabulary, once for the places
+
+
+def _small_model(rng, ws):
+    """A model of the words ``ws`` with random counters, and its tables."""
+    count = Counter(ws)
+    names = sorted(count, key=M.word_hash)
+    counts = np.array([count[w] for w in names])
+    coded = np.flatnonzero(counts > 2)
+    symbol = np.full(len(names) + 1, len(coded), np.int32)
+    symbol[coded] = np.arange(len(coded))
+    w, b = M.tree(np.r_[counts[coded], 5.0]), M.tree(np.arange(1.0, 257.0), 24)
+    p = M.LmParams(log2_slots=8, depth=w[0].shape[1], block=4)
+    arrays = {"hashes": np.array([M.word_hash(x) for x in names], np.uint64), "counts": counts, "symbol": symbol, "escape": len(coded),
+              **dict(zip(("w_nodes", "w_bits", "w_deep", "w_odds"), w)), **dict(zip(("b_nodes", "b_bits", "b_deep", "b_odds"), b))}
+    return M.Model(arrays, p), rng.normal(size=(2, 2 << 8)).astype(np.float32)
+
+
+def _slot(context, node):
+    x = (int(context) ^ (node * 0x9E3779B1 & 0xFFFFFFFF)) * 0x85EBCA6B & 0xFFFFFFFF
+    return (x ^ x >> 15) & 255
+
+
+def test_mixing_side_by_side_is_mixing_one_bit_after_the_other():
+    rng = np.random.default_rng(4)
+    m, tables = _small_model(rng, [b"w%d" % i for i in range(12) for _ in range(3 * i + 1)])
+    lens = np.array([1, 9, 4, 23, 2])
+    ident = rng.integers(-1, len(m.counts), lens.sum()).astype(np.int32)
+    start = rng.normal(size=(m.gates, 4))
+    leaf, h1, h2 = m.tokens(ident, lens)
+    want, at = [], 0
+    for n in lens:
+        w, total = start.copy(), 0.0
+        for first in range(at, at + n, m.p.block):
+            moved = [(np.zeros(4), 0) for _ in range(m.gates)]
+            for t in range(first, min(first + m.p.block, at + n)):
+                for k, node in enumerate(m.w_nodes[leaf[t]].tolist()):
+                    if node < 0:
+                        break
+                    sign = 2.0 * m.w_bits[leaf[t], k] - 1
+                    s = np.array([m.w_odds[node], tables[0][_slot(h1[t], node)], tables[1][_slot(h2[t], node)], 0.3])
+                    p = 1 / (1 + math.exp(-sign * (w[k] @ s)))
+                    total += math.log(p)
+                    moved[k] = moved[k][0] + sign * (1 - p) * s, moved[k][1] + 1
+            for k, (g, events) in enumerate(moved):
+                w[k] += m.p.rate * g / (events + 32.0)
+        want.append(total)
+        at += n
+    for most in (1, 2, 256):
+        assert np.allclose(M.mix_texts(m, tables, start, ident, lens, most), want, rtol=1e-5, atol=1e-4)
+
+
+def test_spelled_bytes_are_counted_once_each(spark):
+    texts = [b"ab abcdef ", b"", b" ", b"ab ", "é\0x abcdef ".encode()]
+    want = Counter()
+    for t in texts:
+        for w in t.split(b" ")[:-1]:
+            for i, c in enumerate(w + b"\0"):
+                before = (w[max(0, i - 4):i][::-1] + b"\0\0\0\0")[:4]
+                want[int.from_bytes(before, "little") << 16 | c << 8 | min(i, 3)] += 1
+    frame = spark.createDataFrame([(bytearray(t),) for t in texts], "few binary").repartition(2)
+    assert {r.key: r.n for r in M.spelled_bytes(frame).collect()} == want
+
+
+def test_an_event_met_n_times_is_summed_n_times():
+    rng = np.random.default_rng(2)
+    counts = rng.integers(0, 9, (2, 2 << 8, 2)).astype(np.float32)
+    odds = [M.left_out_odds(x) for x in counts]
+    bit, s0, times = rng.integers(0, 2, 50).astype(np.int8), rng.normal(size=50).astype(np.float32), rng.integers(1, 5, 50)
+    a, b = rng.integers(0, 512, (2, 50))
+    n = counts[0][a]
+    less = np.log((np.maximum(n[:, 1] - bit, 0) + 0.4) / (np.maximum(n[:, 0] - (1 - bit), 0) + 0.4))
+    assert np.allclose(M._left_out(odds[0], a, bit), less, atol=1e-5)
+    each = np.repeat(np.arange(50), times)
+    one = M._slope(odds, M.START, (50, bit, None, s0, a, b), times.astype(np.float32))
+    many = M._slope(odds, M.START, (len(each), bit[each], None, s0[each], a[each], b[each]))
+    assert one[20] == many[20] == times.sum() and np.allclose(one, many, rtol=1e-4, atol=1e-4)
